@@ -1,3 +1,4 @@
 """Imports every plan module so their queries register themselves."""
 
 from tokenmill.plans import pretrain  # noqa: F401
+from tokenmill.plans import corpus  # noqa: F401
