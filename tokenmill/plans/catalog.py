@@ -4,3 +4,4 @@ from tokenmill.plans import pretrain  # noqa: F401
 from tokenmill.plans import corpus  # noqa: F401
 from tokenmill.plans import sft  # noqa: F401
 from tokenmill.plans import preference  # noqa: F401
+from tokenmill.plans import ngram  # noqa: F401
