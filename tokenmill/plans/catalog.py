@@ -6,3 +6,4 @@ from tokenmill.plans import sft  # noqa: F401
 from tokenmill.plans import preference  # noqa: F401
 from tokenmill.plans import ngram  # noqa: F401
 from tokenmill.plans import sampling  # noqa: F401
+from tokenmill.plans import runlog  # noqa: F401
