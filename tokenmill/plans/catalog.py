@@ -8,3 +8,4 @@ from tokenmill.plans import ngram  # noqa: F401
 from tokenmill.plans import sampling  # noqa: F401
 from tokenmill.plans import runlog  # noqa: F401
 from tokenmill.plans import ranking  # noqa: F401
+from tokenmill.plans import streams  # noqa: F401
