@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenmill.plans.prefix import global_offsets, total
+from tokenmill.plans.prefix import global_offsets, materialize, total
 
 DEFAULT_CHUNK = 65_536
 
@@ -46,18 +46,24 @@ def chunk_tokens(df: DataFrame, tokens: str = "tokens", chunk_size: int = DEFAUL
 
 
 def stream_offsets(df: DataFrame, order: Sequence[str], tokens: str = "tokens",
-                   chunk_size: int = DEFAULT_CHUNK, partitions: int | None = None) -> DataFrame:
+                   chunk_size: int = DEFAULT_CHUNK, partitions: int | None = None,
+                   with_total: bool = False):
     """Position of every chunk in the EOS-joined stream.
 
-    Returns ``order + (chunk_no, piece, n, offset)``. The prefix sum runs on the narrow
-    (keys, n) table; the token chunks join it back on the keys.
+    Returns ``order + (chunk_no, piece, n, offset)`` (and the total token count N when
+    ``with_total``). The token chunks are written once as a table; the prefix sum reads
+    only its (keys, n) columns and the chunks join the narrow offsets back on the keys.
     """
     order = list(order)
-    chunks = chunk_tokens(df.select(*order, tokens), tokens, chunk_size)
+    chunks = materialize(chunk_tokens(df.select(*order, tokens), tokens, chunk_size),
+                         "token_chunks")
     lengths = chunks.select(*order, "chunk_no", "n")
     offs = global_offsets(lengths, order + ["chunk_no"], "n", out="offset",
-                          partitions=partitions)
-    return chunks.join(offs.select(*order, "chunk_no", "offset"), order + ["chunk_no"])
+                          partitions=partitions).select(*order, "chunk_no", "offset", "n")
+    out = chunks.join(offs.drop("n"), order + ["chunk_no"])
+    if with_total:
+        return out, total(offs, "n")
+    return out
 
 
 def _pieces(chunks: DataFrame, max_length: int, stride: int, n_windows: Column,
@@ -105,7 +111,7 @@ def sliding_windows(offsets: DataFrame, max_length: int, stride: int,
     """
     _check(max_length, stride)
     if n_tokens is None:
-        n_tokens = total(offsets, "n")
+        n_tokens = total(offsets.select("n"), "n")
     W = window_count_value(n_tokens, max_length, stride)
     keep = [lineage_key] if lineage_key else []
     pieces = _pieces(offsets, max_length, stride, F.lit(W), keep=keep)

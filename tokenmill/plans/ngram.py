@@ -11,6 +11,7 @@ from tokenmill.operators import metrics as M
 from tokenmill.operators import ngram as N
 from tokenmill.operators import ordering as O
 from tokenmill.plans.pretrain import doc_tokens
+from tokenmill.plans.prefix import materialize
 from tokenmill.plans.registry import register
 from tokenmill.sources.tables import table
 
@@ -26,10 +27,13 @@ v AS (SELECT count(DISTINCT tok) AS V FROM t)
 """
 
 
-def split_tokens(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+def split_tokens(spark: SparkSession, sf: str, with_vocab: bool = True
+                 ) -> tuple[DataFrame, int | None]:
+    """Tokenized documents with their G3 split, written once; plus the vocabulary size."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    toks = O.split_by_document(doc_tokens(docs), "doc_id", 0.1, seed=3)
-    return toks, N.vocab_size(toks)
+    toks = materialize(O.split_by_document(doc_tokens(docs), "doc_id", 0.1, seed=3),
+                       "split_tokens")
+    return toks, (N.vocab_size(toks) if with_vocab else None)
 
 
 def _scored(spark: SparkSession, sf: str, n: int, by=()) -> DataFrame:
@@ -105,7 +109,7 @@ SELECT c1 || ' ' || c2 AS ctx, nxt AS next, CAST(count(*) AS BIGINT) AS count FR
 
 @register("trigram_counts", "I1 (n=3)", TRIGRAM_COUNTS_SQL)
 def trigram_counts(spark: SparkSession, sf: str) -> DataFrame:
-    toks, _ = split_tokens(spark, sf)
+    toks, _ = split_tokens(spark, sf, with_vocab=False)
     c = N.ngram_counts(toks, 3)
     return c.select(F.array_join("ctx", " ").alias("ctx"), "next", "count")
 
@@ -142,7 +146,7 @@ SELECT CAST(V AS BIGINT) AS vocab_size, round(ln(V), 6) AS uniform_loss, round(C
 
 @register("uniform_baseline", "H14", UNIFORM_SQL)
 def uniform_baseline(spark: SparkSession, sf: str) -> DataFrame:
-    toks, _ = split_tokens(spark, sf)
+    toks, _ = split_tokens(spark, sf, with_vocab=False)
     u = M.uniform_baseline(toks.select(F.explode("tokens").alias("token")))
     return u.select(F.col("vocab_size").cast("long"), F.round("uniform_loss", 6).alias("uniform_loss"),
                     F.round("uniform_ppl", 6).alias("uniform_ppl"))

@@ -110,3 +110,17 @@ def total(df: DataFrame, size: str | None = None) -> int:
         return int(df.count())
     v = df.agg(F.sum(size)).first()[0]
     return int(v or 0)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage (a lost executor re-reads the table instead of re-running the whole
+    plan) and lets later jobs prune columns: e.g. offsets read only the token counts of a
+    tokenized corpus, never the token arrays.
+    """
+    import uuid
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

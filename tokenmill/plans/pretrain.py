@@ -10,6 +10,7 @@ from tokenmill.functions.arrays import join_tokens
 from tokenmill.functions.text import word_pattern
 from tokenmill.operators import tokenize as tok
 from tokenmill.operators import windows as win
+from tokenmill.plans.prefix import materialize
 from tokenmill.plans.registry import register
 from tokenmill.sources.tables import table
 
@@ -28,8 +29,9 @@ def doc_tokens(docs: DataFrame, kind: str = "word", text_col: str = "text",
 def lm_dataset(docs: DataFrame, max_length: int, stride: int, kind: str = "word",
                key: str = "doc_id", lineage: bool = False) -> DataFrame:
     """documents -> encode -> append EOS -> stream offsets -> sliding windows."""
-    offs = win.stream_offsets(doc_tokens(docs, kind, key=key), [key])
-    return win.sliding_windows(offs, max_length, stride, lineage_key=key if lineage else None)
+    offs, n = win.stream_offsets(doc_tokens(docs, kind, key=key), [key], with_total=True)
+    return win.sliding_windows(offs, max_length, stride, n_tokens=n,
+                               lineage_key=key if lineage else None)
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -216,7 +218,7 @@ FROM toks JOIN v USING (token) GROUP BY doc_id
 @register("encode_word", "C3 C8 C10 (word ids via vocabulary)", ENCODE_WORD_SQL)
 def encode_word(spark: SparkSession, sf: str) -> DataFrame:
     docs = _docs(spark, sf)
-    toks = tok.encode(docs, "text", "word")
+    toks = materialize(tok.encode(docs, "text", "word"), "word_tokens")
     v = tok.build_vocab(toks, "tokens")
     ids = tok.tokens_to_ids(toks.select("doc_id", "tokens"), "tokens", v, ["doc_id"])
     ids = tok.append_eos(ids, "ids", 0)
