@@ -4,9 +4,12 @@ The reference concatenates every document's tokens (+EOS) into one list and cuts
 windows at starts ``range(0, N - L, S)``; input = ``[i, i+L)``, target = ``[i+1, i+L+1)``.
 We never build that list. Each document (split into chunks of at most
 ``chunk_size`` tokens so one huge document cannot become one huge task) gets its
-global offset from a two-level prefix sum; each chunk then emits only the pieces
-of the windows that overlap it, and one shuffle on ``window_id`` reassembles them.
-Shuffled volume is about N * (L + 1) / S tokens, i.e. the size of the output.
+global offset from a two-level prefix sum.
+
+Windows are assembled per fixed-size stream block: each token is shuffled to its
+block, plus the first L tokens of a block to the previous one (the halo), so the
+shuffle moves about N * (1 + L / B) tokens whatever the stride; windows are then cut
+out of each block with ``slice``. A block group holds at most B + L tokens.
 """
 
 from __future__ import annotations
@@ -19,6 +22,10 @@ from pyspark.sql import functions as F
 from tokenmill.plans.prefix import global_offsets, materialize, total
 
 DEFAULT_CHUNK = 65_536
+# Stream block for window assembly.
+DEFAULT_BLOCK = 65_536
+# The chunk -> offset join broadcasts the offsets when there are at most this many chunks.
+BROADCAST_OFFSET_ROWS = 4_000_000
 
 
 def window_count_value(n_tokens: int, max_length: int, stride: int) -> int:
@@ -52,7 +59,8 @@ def stream_offsets(df: DataFrame, order: Sequence[str], tokens: str = "tokens",
 
     Returns ``order + (chunk_no, piece, n, offset)`` (and the total token count N when
     ``with_total``). The token chunks are written once as a table; the prefix sum reads
-    only its (keys, n) columns and the chunks join the narrow offsets back on the keys.
+    only its (keys, n) columns, and the chunks join the narrow offsets back on the keys
+    (broadcast only below a checked row count).
     """
     order = list(order)
     chunks = materialize(chunk_tokens(df.select(*order, tokens), tokens, chunk_size),
@@ -60,75 +68,104 @@ def stream_offsets(df: DataFrame, order: Sequence[str], tokens: str = "tokens",
     lengths = chunks.select(*order, "chunk_no", "n")
     offs = global_offsets(lengths, order + ["chunk_no"], "n", out="offset",
                           partitions=partitions).select(*order, "chunk_no", "offset", "n")
-    out = chunks.join(offs.drop("n"), order + ["chunk_no"])
+    stats = offs.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).first()
+    side = offs.drop("n")
+    if stats["rows"] <= BROADCAST_OFFSET_ROWS:  # size check before broadcasting
+        side = F.broadcast(side)
+    out = chunks.join(side, order + ["chunk_no"])
     if with_total:
-        return out, total(offs, "n")
+        return out, int(stats["n"] or 0)
     return out
 
 
-def _pieces(chunks: DataFrame, max_length: int, stride: int, n_windows: Column,
-            keep: Sequence[str] = (), base: Column | None = None) -> DataFrame:
-    """Explode each chunk into (window_id, start, piece) for every window overlapping it.
+def _block_pieces(chunks: DataFrame, max_length: int, block: int, last_start: Column,
+                  keep: Sequence[str] = (), base: Column | None = None,
+                  lineage: str | None = None) -> DataFrame:
+    """Explode each chunk into the pieces of every stream block that needs it.
 
-    Window w spans stream positions [w*S, w*S + L] (L + 1 tokens: input + last target).
-    ``base`` shifts positions (0 for the global stream, the document start in
-    per-document mode).
+    Block b owns the windows starting in [b*B, (b+1)*B) and so needs the tokens
+    [b*B, (b+1)*B + L): its own plus an L-token halo from the next block. A chunk at
+    [off, off+n) feeds blocks max(0, floor((off-L)/B)) .. floor((off+n-1)/B), capped
+    at the block holding ``last_start`` (the last window start; < 0 means no window).
     """
-    L, S = max_length, stride
+    L, B = max_length, block
     off = F.col("offset") - (base if base is not None else F.lit(0))
     n = F.col("n")
-    lo = F.when(off > L, F.floor((off - L + S - 1) / S)).otherwise(F.lit(0)).cast("long")
-    hi = F.least(n_windows - 1, F.floor((off + n - 1) / S)).cast("long")
-    exploded = chunks.where((n > 0) & (lo <= hi)).select(
-        *keep, "piece", "n", off.alias("__off"), F.explode(F.sequence(lo, hi)).alias("window_id"))
-    w, o = F.col("window_id"), F.col("__off")
-    start = F.greatest(w * S, o)
-    end = F.least(w * S + L, o + n - 1)
-    return exploded.select(
-        *keep, "window_id", start.alias("start"),
-        F.slice("piece", (start - o + 1).cast("int"), (end - start + 1).cast("int")).alias("piece"))
-
-
-def _assemble(pieces: DataFrame, group: Sequence[str], max_length: int,
-              extra: Sequence[Column] = ()) -> DataFrame:
-    parts = F.sort_array(F.collect_list(F.struct("start", "piece")))
-    grouped = pieces.groupBy(*group).agg(parts.alias("__parts"), *extra)
-    seq = F.flatten(F.transform("__parts", lambda p: p["piece"]))
-    return grouped.withColumn("__seq", seq).select(
-        *group,
-        F.slice("__seq", 1, max_length).alias("input_ids"),
-        F.slice("__seq", 2, max_length).alias("target_ids"),
-        *[F.col(c) for c in grouped.columns if c not in (*group, "__parts", "__seq")],
-    )
+    lo = F.greatest(F.lit(0), F.floor((off - L) / B)).cast("long")
+    hi = F.least(F.floor((off + n - 1) / B), F.floor(last_start / B)).cast("long")
+    cols = [*keep, "piece", "n", off.alias("__off"), last_start.alias("__last"),
+            F.explode(F.sequence(lo, hi)).alias("block")]
+    if lineage:
+        cols.append(F.col(lineage).alias("__doc"))
+    exploded = chunks.where((n > 0) & (last_start >= 0) & (lo <= hi)).select(*cols)
+    b, o = F.col("block"), F.col("__off")
+    start = F.greatest(b * B, o)
+    end = F.least((b + 1) * B + L - 1, o + n - 1)
+    out = [*keep, "block", "__last", start.alias("start"),
+           F.slice("piece", (start - o + 1).cast("int"), (end - start + 1).cast("int"))
+           .alias("piece")]
+    if lineage:
+        out.append(F.array_repeat(F.col("__doc"), (end - start + 1).cast("int")).alias("docs"))
+    return exploded.select(*out)
+
+
+def _block_windows(pieces: DataFrame, group: Sequence[str], max_length: int, stride: int,
+                   block: int, lineage: bool = False) -> DataFrame:
+    """Reassemble each block (one shuffle on the block key) and cut its windows:
+    input = [s, s+L), target = [s+1, s+L+1) for every start s = w*S in the block."""
+    L, S, B = max_length, stride, block
+    fields = ["start", "piece"] + (["docs"] if lineage else [])
+    g = pieces.groupBy(*group, "block").agg(
+        F.sort_array(F.collect_list(F.struct(*fields))).alias("__p"),
+        F.max("__last").alias("__last"))
+    cols = [*group, "block", "__last",
+            F.flatten(F.transform("__p", lambda p: p["piece"])).alias("__arr")]
+    if lineage:
+        cols.append(F.flatten(F.transform("__p", lambda p: p["docs"])).alias("__docs"))
+    g = g.select(*cols)
+    b = F.col("block")
+    w_lo = F.floor((b * B + S - 1) / S).cast("long")
+    w_hi = F.least(F.floor(((b + 1) * B - 1) / S), F.floor(F.col("__last") / S)).cast("long")
+
+    def cut(w: Column) -> Column:
+        rel = (w * S - b * B + 1).cast("int")
+        fields = [w.alias("window_id"), F.slice("__arr", rel, L).alias("input_ids"),
+                  F.slice("__arr", rel + 1, L).alias("target_ids")]
+        if lineage:
+            fields.append(F.array_distinct(F.slice("__docs", rel, L + 1)).alias("doc_ids"))
+        return F.struct(*fields)
+
+    # Windows are built inside the block row and only the small structs are exploded,
+    # so the block array is never copied onto every output row.
+    x = g.where(w_lo <= w_hi).select(
+        *group, F.explode(F.transform(F.sequence(w_lo, w_hi), cut)).alias("__w"))
+    return x.select(*group, "__w.*")
 
 
 def sliding_windows(offsets: DataFrame, max_length: int, stride: int,
-                    n_tokens: int | None = None, lineage_key: str | None = None) -> DataFrame:
+                    n_tokens: int | None = None, lineage_key: str | None = None,
+                    block: int = DEFAULT_BLOCK) -> DataFrame:
     """Windows over the global stream (they cross document boundaries).
 
-    ``offsets`` is the output of :func:`stream_offsets`. With ``lineage_key`` (D6)
-    every window also lists the documents it touches in stream order.
+    ``offsets`` is the output of :func:`stream_offsets`. Starts are ``range(0, N-L, S)``
+    (S < L overlaps, S == L tiles, S > L leaves gaps); with ``lineage_key`` (D6) every
+    window also lists the documents it touches, in stream order.
+    Output: (window_id, input_ids, target_ids[, doc_ids, n_docs]).
     """
     _check(max_length, stride)
     if n_tokens is None:
         n_tokens = total(offsets.select("n"), "n")
     W = window_count_value(n_tokens, max_length, stride)
-    keep = [lineage_key] if lineage_key else []
-    pieces = _pieces(offsets, max_length, stride, F.lit(W), keep=keep)
-    extra = []
-    if lineage_key:
-        docs = F.sort_array(F.collect_list(F.struct("start", F.col(lineage_key).alias("k"))))
-        extra = [docs.alias("__docs")]
-    out = _assemble(pieces, ["window_id"], max_length, extra)
+    last = F.lit((W - 1) * stride).cast("long")
+    pieces = _block_pieces(offsets, max_length, block, last, lineage=lineage_key)
+    out = _block_windows(pieces, [], max_length, stride, block, lineage=bool(lineage_key))
     if lineage_key:
-        ks = F.transform("__docs", lambda d: d["k"])
-        out = (out.withColumn("doc_ids", F.array_distinct(ks))
-               .withColumn("n_docs", F.size("doc_ids"))
-               .drop("__docs"))
+        out = out.withColumn("n_docs", F.size("doc_ids"))
     return out
 
 
-def per_document_windows(offsets: DataFrame, key: str, max_length: int, stride: int) -> DataFrame:
+def per_document_windows(offsets: DataFrame, key: str, max_length: int, stride: int,
+                         block: int = DEFAULT_BLOCK) -> DataFrame:
     """D6 extension: windows that never cross a document boundary.
 
     Each document's own stream (its tokens + EOS) is windowed like the global one.
@@ -140,17 +177,16 @@ def per_document_windows(offsets: DataFrame, key: str, max_length: int, stride:
     L, S = max_length, stride
     w_doc = F.greatest(F.lit(0), F.ceil((F.col("__doc_n") - L) / F.lit(S))).cast("long")
     joined = offsets.join(docs, key)
-    pieces = _pieces(joined, L, S, w_doc, keep=[key], base=F.col("__doc_start"))
-    return _assemble(pieces, [key, "window_id"], L)
+    pieces = _block_pieces(joined, L, block, (w_doc - 1) * S, keep=[key],
+                           base=F.col("__doc_start"))
+    return _block_windows(pieces, [key], L, S, block)
 
 
-def window_count(offsets_or_lengths: DataFrame, max_length: int, stride: int,
-                 size: str = "n") -> DataFrame:
+def window_count(lengths: DataFrame, max_length: int, stride: int, size: str = "n") -> DataFrame:
     """D4 as a one-row DataFrame: (n_tokens, n_windows)."""
     _check(max_length, stride)
-    N = F.coalesce(F.sum(size), F.lit(0)).cast("long")
-    W = F.greatest(F.lit(0), F.ceil((N - max_length) / F.lit(stride))).cast("long")
-    return offsets_or_lengths.agg(N.alias("n_tokens")).select(
+    n = F.coalesce(F.sum(size), F.lit(0)).cast("long")
+    return lengths.agg(n.alias("n_tokens")).select(
         "n_tokens",
         F.greatest(F.lit(0), F.ceil((F.col("n_tokens") - max_length) / F.lit(stride)))
         .cast("long").alias("n_windows"))
