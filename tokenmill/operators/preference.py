@@ -118,8 +118,9 @@ def pad_collision_audit(df: DataFrame, ids: str, mask: str, pad) -> DataFrame:
     """where the pad-scan guess of the last real token (first pad position - 1)
     disagrees with the mask (``sum(mask) - 1``). Happens when the pad id also occurs
     among the real tokens (e.g. pad == EOS)."""
-    scan = F.array_position(ids, F.lit(pad)) - 1
+    first_pad = F.array_position(ids, F.lit(pad))  # 1-based, 0 when absent
     by_mask = A.last_real_index(mask)
     return (df.withColumn("mask_last", by_mask)
-            .withColumn("scan_last", F.when(scan >= 0, scan).otherwise(F.size(ids) - 1))
+            .withColumn("scan_last", F.when(first_pad > 0, first_pad - 2)
+                        .otherwise(F.size(ids) - 1))
             .withColumn("collision", F.col("mask_last") != F.col("scan_last")))

@@ -99,7 +99,7 @@ WITH {PAIRS_SQL},
 k AS (SELECT pair_id, side, list_slice(fl, greatest(1, len(fl) - 128 + 1), len(fl)) AS ids FROM f),
 s AS (SELECT pair_id, side, len(ids) - 1 AS mask_last,
              CASE WHEN list_position(ids, '{EOT_TEXT}') IS NULL THEN len(ids) - 1
-                  ELSE list_position(ids, '{EOT_TEXT}') - 1 END AS scan_last FROM k)
+                  ELSE list_position(ids, '{EOT_TEXT}') - 2 END AS scan_last FROM k)
 SELECT pair_id, side, CAST(mask_last AS INTEGER) AS mask_last, CAST(scan_last AS INTEGER) AS scan_last,
        mask_last <> scan_last AS collision
 FROM s
