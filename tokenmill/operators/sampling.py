@@ -5,7 +5,9 @@ repetition penalty -> greedy (T = 0) | temperature -> top-k -> top-p -> softmax
 
 Per-group max / sum and the argmax are hash aggregates joined back (a hot group is
 pre-aggregated, and AQE splits the skewed join); top-k is ``rank() <= k`` which Spark
-limits per partition before the shuffle. Every ordering has an item tie-break, and
+limits per partition before the shuffle; top-p and the draw use range-partitioned
+per-group running sums, so a hot group is spread over many tasks. Every ordering has
+an item tie-break, and
 randomness is an md5 uniform of (seed, group), so results are reproducible.
 """
 
@@ -13,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
 from tokenmill.functions import arrays as A
 from tokenmill.operators.ordering import md5_uniform
+from tokenmill.plans.prefix import grouped_offsets
 
 
 def repetition_penalty(df: DataFrame, history: DataFrame, rho: float, group: str = "group_id",
@@ -66,8 +69,10 @@ def top_k(df: DataFrame, k: int | None, group: str = "group_id", logit: str = "l
     return df.withColumn("__rk", F.rank().over(w)).where(F.col("__rk") <= k).drop("__rk")
 
 
-def _desc_order(group: str, item: str, prob: str) -> Window:
-    return Window.partitionBy(group).orderBy(F.col(prob).desc(), F.col(item).asc())
+def _mass_before(df: DataFrame, group: str, item: str, prob: str, out: str) -> DataFrame:
+    """Probability mass of the group's items strictly before each item in
+    (prob desc, item asc) order: a range-partitioned per-group running sum."""
+    return grouped_offsets(df, [group], [F.col(prob).desc(), F.col(item).asc()], prob, out)
 
 
 def top_p(df: DataFrame, p: float | None, group: str = "group_id", item: str = "item_id",
@@ -76,27 +81,22 @@ def top_p(df: DataFrame, p: float | None, group: str = "group_id", item: str = "
     probability mass strictly before it is < p (so at least one item stays). 0/None = off."""
     if not p:
         return df
-    pr = softmax(df, group, logit, "__p")
-    before = F.sum("__p").over(_desc_order(group, item, "__p").rowsBetween(
-        Window.unboundedPreceding, -1))
-    return pr.withColumn("__cb", F.coalesce(before, F.lit(0.0))).where(
-        F.col("__cb") < F.lit(float(p))).drop("__p", "__cb")
+    pr = _mass_before(softmax(df, group, logit, "__p"), group, item, "__p", "__cb")
+    return pr.where(F.col("__cb") < F.lit(float(p))).drop("__p", "__cb")
 
 
 def sample(df: DataFrame, seed: int, group: str = "group_id", item: str = "item_id",
            logit: str = "logit") -> DataFrame:
     """Draw one item per group with probability softmax(logit): the first item (by
-    prob desc, item asc) whose inclusive cumulative probability reaches u(seed, group)."""
-    pr = softmax(df, group, logit, "prob")
-    w = _desc_order(group, item, "prob")
-    cum = F.sum("prob").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    last = F.row_number().over(Window.partitionBy(group).orderBy(F.col("prob").asc(),
-                                                                  F.col(item).desc())) == 1
-    marked = pr.withColumn("__cum", cum).withColumn("__last", last).withColumn(
-        "__u", md5_uniform(F.lit(seed), F.col(group)))
-    hit = marked.where((F.col("__cum") >= F.col("__u")) | F.col("__last"))
-    return hit.groupBy(group).agg(
-        F.min_by(item, F.struct(-F.col("prob"), F.col(item))).alias(item))
+    prob desc, item asc) whose inclusive cumulative probability reaches u(seed, group);
+    the last item when rounding leaves the total just below u."""
+    pr = _mass_before(softmax(df, group, logit, "prob"), group, item, "prob", "__cb")
+    u = md5_uniform(F.lit(seed), F.col(group))
+    first = F.min_by(item, F.struct(-F.col("prob"), F.col(item)))
+    hits = pr.where(F.col("__cb") + F.col("prob") >= u).groupBy(group).agg(first.alias("__hit"))
+    last = pr.groupBy(group).agg(F.max_by(item, F.struct(-F.col("prob"), F.col(item))).alias("__last"))
+    return last.join(hits, group, "left").select(
+        group, F.coalesce("__hit", "__last").alias(item))
 
 
 def decode_step(df: DataFrame, history: DataFrame | None = None, rho: float = 1.0,

@@ -124,3 +124,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def grouped_offsets(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
+                    size: str, out: str = "offset") -> DataFrame:
+    """Add ``out`` = sum of ``size`` over the rows of the same group strictly before this
+    one in ``order`` (a per-group running sum) without putting a group in one task.
+
+    Rows are range-partitioned on (group, order), so a hot group spans several
+    partitions. Inside each partition the running sum is a window over (partition,
+    group); the carry-in of a group into a partition comes from a table with one row per
+    (partition, group), whose window per group holds at most one row per partition.
+    """
+    g = list(group)
+    staged = stage_in_order(df, [*g, *order])
+    local = Window.partitionBy(_PID, *g).orderBy(_MID).rowsBetween(Window.unboundedPreceding, -1)
+    per = staged.groupBy(_PID, *g).agg(F.sum(size).alias("__s"))
+    carry = per.select(
+        _PID, *g,
+        F.coalesce(F.sum("__s").over(Window.partitionBy(*g).orderBy(_PID).rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0)).alias("__carry"))
+    return (staged.withColumn("__before", F.coalesce(F.sum(size).over(local), F.lit(0)))
+            .join(carry, [_PID, *g])
+            .withColumn(out, F.col("__carry") + F.col("__before"))
+            .drop(_PID, _MID, "__carry", "__before"))
