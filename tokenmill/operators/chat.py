@@ -101,10 +101,10 @@ def layout(rendered: DataFrame, key: str = "conv_id", order: str = "turn",
                     "last_header_ok"))
 
 
-def conversation_stats(lay: DataFrame, key: str = "conv_id") -> DataFrame:
-    """One row per conversation from a :func:`layout`."""
-    return lay.select(key, "full_len", "prompt_len", "last_turn", "last_role", "n_turns",
-                      "last_header_ok").dropDuplicates([key])
+def conversation_stats(lay: DataFrame, key: str = "conv_id", order: str = "turn") -> DataFrame:
+    """One row per conversation from a :func:`layout` (its last-turn row: no shuffle)."""
+    return lay.where(F.col(order) == F.col("last_turn")).select(
+        key, "full_len", "prompt_len", "last_turn", "last_role", "n_turns", "last_header_ok")
 
 
 def require_last_role(lay: DataFrame, role: str = "assistant") -> tuple[DataFrame, DataFrame]:
@@ -160,7 +160,7 @@ def render_chat(turns: DataFrame, max_length: int | None = None, key: str = "con
     r = render_turns(turns, template)
     lay = layout(r, key, order, template)
     out = _assemble(_tail_pieces(r, lay, key, order, max_length, None, False, template), key, False)
-    return out.join(conversation_stats(lay, key).select(key, "full_len", "prompt_len",
+    return out.join(conversation_stats(lay, key, order).select(key, "full_len", "prompt_len",
                                                          "last_role"), key)
 
 
@@ -181,7 +181,7 @@ def sft_examples(turns: DataFrame, max_length: int, key: str = "conv_id", order:
     if fits_only:
         lay = fits(lay, max_length)
     ex = _assemble(_tail_pieces(r, lay, key, order, max_length, ignore, True, template), key, True)
-    return ex.join(conversation_stats(lay, key).select(key, "full_len", "prompt_len"), key).select(
+    return ex.join(conversation_stats(lay, key, order).select(key, "full_len", "prompt_len"), key).select(
         key, A.drop_last("ids").alias("input_ids"), A.drop_first("labels").alias("target_ids"),
         "full_len", "prompt_len")
 
