@@ -21,18 +21,22 @@ def _maybe_broadcast(df: DataFrame) -> DataFrame:
 
 
 def ngrams(tokens: DataFrame, n: int, col: str = "tokens", keep: Sequence[str] = ()) -> DataFrame:
-    """Adjacent n-grams inside each token array: (keep..., ctx array, next)."""
+    """Adjacent n-grams inside each token array: (keep..., ctx, next).
+
+    ``ctx`` is the previous token (a string) for bigrams, ``""`` for unigrams and an
+    array of the n-1 previous tokens otherwise: scalar keys hash and sort fastest.
+    """
     if n < 1:
         raise ValueError("n >= 1")
     a = F.col(col)
     if n == 1:
-        return tokens.select(*keep, F.array().cast("array<string>").alias("ctx"),
-                             F.explode(a).alias("next"))
+        return tokens.select(*keep, F.lit("").alias("ctx"), F.explode(a).alias("next"))
     k = n - 1
     starts = F.sequence(F.lit(1), F.size(a) - k)
+    ctx = (lambda i: F.element_at(a, i)) if n == 2 else (lambda i: F.slice(a, i, k))
     g = tokens.where(F.size(a) >= n).select(
         *keep, F.explode(F.transform(starts, lambda i: F.struct(
-            F.slice(a, i, k).alias("ctx"), F.element_at(a, i + k).alias("next")))).alias("g"))
+            ctx(i).alias("ctx"), F.element_at(a, i + k).alias("next")))).alias("g"))
     return g.select(*keep, "g.ctx", "g.next")
 
 
@@ -74,8 +78,11 @@ def score_ngram(model: DataFrame, eval_tokens: DataFrame, n: int, vocab_size: in
 def next_token_candidates(prompts: DataFrame, model: DataFrame, key: str, col: str = "tokens",
                           n: int = 2) -> DataFrame:
     """I4: candidate next tokens for the last ``n-1`` tokens of each prompt, with P(next|ctx)."""
-    last = prompts.select(key, F.slice(col, -(n - 1), n - 1).alias("ctx")).where(
-        F.size("ctx") == n - 1)
+    if n == 2:
+        last = prompts.where(F.size(col) >= 1).select(key, F.element_at(col, -1).alias("ctx"))
+    else:
+        last = prompts.where(F.size(col) >= n - 1).select(
+            key, F.slice(col, -(n - 1), n - 1).alias("ctx"))
     return last.join(model, "ctx").select(key, "ctx", "next", F.exp("logp").alias("prob"))
 
 

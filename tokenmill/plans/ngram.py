@@ -134,7 +134,7 @@ def next_token(spark: SparkSession, sf: str) -> DataFrame:
     bench = table(spark, sf, "benchmark").select("item_id", word_tokens("text").alias("tokens"))
     cands = N.next_token_candidates(bench, model, "item_id")
     top = N.top_candidates(cands, "item_id", 5)
-    return top.select("item_id", F.element_at("ctx", 1).alias("ctx"), "next",
+    return top.select("item_id", "ctx", "next",
                       F.round("prob", 6).alias("prob"), F.col("rank").cast("int"))
 
 
