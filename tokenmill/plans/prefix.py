@@ -44,11 +44,20 @@ def _num_partitions(df: DataFrame, partitions: int | None) -> int:
 
 def stage_in_order(df: DataFrame, order: Sequence[str | Column],
                    partitions: int | None = None) -> DataFrame:
-    """Range-partition, sort, stamp (partition id, position), checkpoint."""
+    """Range-partition, sort, stamp (partition id, position), checkpoint.
+
+    Without an explicit ``partitions`` the range exchange uses the session's shuffle
+    partitions and AQE may coalesce them; coalescing merges adjacent ranges in order,
+    so partition ids stay monotone in the order key.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    n = _num_partitions(df, partitions)
+    if partitions is None:
+        _num_partitions(df, None)
+        ranged = df.repartitionByRange(*_cols(order))
+    else:
+        ranged = df.repartitionByRange(_num_partitions(df, partitions), *_cols(order))
     staged = (
-        df.repartitionByRange(n, *_cols(order))
+        ranged
         .sortWithinPartitions(*_cols(order))
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_MID, F.monotonically_increasing_id())
