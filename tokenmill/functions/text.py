@@ -48,9 +48,15 @@ def word_tokens(text: str | Column, specials: Sequence[str] = (EOS_TEXT,)) -> Co
 
 
 def utf8_byte_ids(text: str | Column) -> Column:
-    """Text -> array<int> of its UTF-8 bytes (0-255)."""
-    pairs = F.regexp_extract_all(F.hex(_c(text)), F.lit(".."), 0)
-    return F.transform(pairs, lambda h: F.conv(h, 16, 10).cast("int"))
+    """Text -> array<int> of its UTF-8 bytes (0-255).
+
+    The UTF-8 bytes are re-read as ISO-8859-1, which maps byte b to the character U+00b,
+    so splitting into characters and taking each code point yields the bytes.
+    """
+    latin = F.decode(F.encode(_c(text), "UTF-8"), "ISO-8859-1")
+    chars = F.split(latin, "(?s)(?!$)")
+    return F.when(F.length(latin) == 0, F.array().cast("array<int>")).otherwise(
+        F.transform(chars, lambda ch: F.ascii(ch)))
 
 
 def byte_tokens(text: str | Column, specials: Sequence[str] = (EOS_TEXT,)) -> Column:
@@ -78,11 +84,11 @@ def _special_index(s: Column, specials: Sequence[str]) -> Column:
 
 def decode_bytes(ids: str | Column, specials: Sequence[str] = (EOS_TEXT,)) -> Column:
     """array<int> byte ids -> text. Specials decode to their literal; ``[]`` -> ``""``."""
-    def hex_of(x: Column) -> Column:
-        out = F.lpad(F.hex(x), 2, "0")
+    def char_of(x: Column) -> Column:
+        out = F.chr(x)  # byte b -> U+00b, undone by the ISO-8859-1 encode below
         for i, sp in enumerate(specials):
-            out = F.when(x == BYTE_VOCAB + i, F.hex(F.lit(sp))).otherwise(out)
+            out = F.when(x == BYTE_VOCAB + i, F.lit(sp)).otherwise(out)
         return out
 
-    joined = F.array_join(F.transform(_c(ids), hex_of), "")
-    return F.decode(F.unhex(joined), "UTF-8")
+    latin = F.array_join(F.transform(_c(ids), char_of), "")
+    return F.decode(F.encode(latin, "ISO-8859-1"), "UTF-8")
