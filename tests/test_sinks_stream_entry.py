@@ -54,3 +54,16 @@ def test_entry_contract(spark):
     assert df.count() >= 0
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q) and len(q) >= 55
+
+
+def test_stream_run_log_append_emits_closed_windows(spark, tmp_dir):
+    import datetime as dt
+    src = os.path.join(tmp_dir, "log")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(hours=h), "a" if h % 2 else "b", float(h)) for h in range(72)]
+    spark.createDataFrame(rows, "ts timestamp_ntz, event_type string, value double").write.parquet(src)
+    out = jobs.stream_run_log(spark, src)  # append: only windows the watermark has closed
+    days = sorted({r.window_start for r in out.collect()})
+    assert days and all(d < 1704067200 + 2 * 86400 for d in days)  # the last day is still open
+    full = jobs.stream_run_log(spark, src, mode="complete")
+    assert full.select("window_start").distinct().count() == 3

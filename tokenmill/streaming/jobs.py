@@ -87,9 +87,13 @@ def run_log_means(log: DataFrame, ts: str = "ts", run: str = "run", value: str =
 
 
 def stream_run_log(spark: SparkSession, folder: str, glob: str | None = None,
-                   mode: str = "complete", window: str = "1 day", watermark: str = "1 hour"
+                   mode: str = "append", window: str = "1 day", watermark: str = "1 hour"
                    ) -> DataFrame:
-    """M2 over the events table as a run log (run = event_type, loss = value / 100)."""
+    """M2 over the events table as a run log (run = event_type, loss = value / 100).
+
+    ``append`` (default) emits each window once the watermark passes its end and drops
+    its state, so state stays bounded on an endless log; ``complete`` rewrites every
+    window each trigger (exact snapshot, state kept for all windows)."""
     out, ckpt = stream_dirs(spark, "runlog")
     src = source(spark, folder, glob=glob).select(
         "ts", F.col("event_type").alias("run"), (F.col("value") / 100).alias("loss"))
