@@ -24,7 +24,7 @@ from tokenmill.config import (BOS_TEXT, EOS_TEXT, EOT_TEXT, HEADER_END_TEXT, HEA
                               IGNORE_INDEX)
 from tokenmill.functions import arrays as A
 from tokenmill.functions.text import word_tokens
-from tokenmill.plans.prefix import global_offsets
+from tokenmill.plans.prefix import global_offsets, materialize
 
 
 @dataclass(frozen=True)
@@ -65,9 +65,18 @@ def collect_messages(turns: DataFrame, key: str = "conv_id") -> DataFrame:
 
 
 def render_turns(turns: DataFrame, template: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
-    """Per-turn token arrays ``toks`` and their length ``n`` (row-local)."""
+    """Per-turn token arrays ``toks``, their length ``n`` and opening header ``hdr`` (row-local)."""
     return (turns.withColumn("toks", template.turn(F.col("role"), F.col("text")))
-            .withColumn("n", F.size("toks").cast("long")))
+            .withColumn("n", F.size("toks").cast("long"))
+            .withColumn("hdr", F.slice("toks", 1, template.header_len)))
+
+
+def rendered_table(turns: DataFrame, key: str = "conv_id", order: str = "turn",
+                   template: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
+    """Render every turn once and write it as a table (tokenize once; the layout then
+    reads only the narrow columns, the tail pieces read the tokens)."""
+    r = render_turns(turns.select(key, order, "role", "text"), template)
+    return materialize(r.drop("text"), "rendered_turns")
 
 
 def layout(rendered: DataFrame, key: str = "conv_id", order: str = "turn",
@@ -79,8 +88,7 @@ def layout(rendered: DataFrame, key: str = "conv_id", order: str = "turn",
     ``last_header_ok``: the last turn opens with the assistant header, which is exactly
     when the prompt is a prefix of the full rendering.
     """
-    narrow = rendered.select(key, order, "role", "n",
-                             F.slice("toks", 1, template.header_len).alias("__hdr"))
+    narrow = rendered.select(key, order, "role", "n", F.col("hdr").alias("__hdr"))
     offs = global_offsets(narrow, [key, order], "n", out="__off")
     assistant_header = F.array(F.lit(template.header_start), F.lit("assistant"),
                                F.lit(template.header_end))
@@ -157,7 +165,7 @@ def render_chat(turns: DataFrame, max_length: int | None = None, key: str = "con
     Without ``max_length`` the whole rendering is collected; use that only for bounded
     conversations.
     """
-    r = render_turns(turns, template)
+    r = rendered_table(turns, key, order, template)
     lay = layout(r, key, order, template)
     out = _assemble(_tail_pieces(r, lay, key, order, max_length, None, False, template), key, False)
     return out.join(conversation_stats(lay, key, order).select(key, "full_len", "prompt_len",
@@ -174,7 +182,7 @@ def sft_examples(turns: DataFrame, max_length: int, key: str = "conv_id", order:
     then input = ids[:-1], target = labels[1:].
     Output: (key, input_ids, target_ids, full_len, prompt_len).
     """
-    r = render_turns(turns, template)
+    r = rendered_table(turns, key, order, template)
     lay = layout(r, key, order, template)
     if require_assistant:
         lay, _ = require_last_role(lay)
