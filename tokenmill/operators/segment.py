@@ -6,7 +6,8 @@ joined with "\\n"; documents whose ``strip()`` is empty are dropped.
 
 Segment ids are computed without a global window: the number of headings in every
 source row goes through the range-partitioned prefix sum (one narrow row per source
-row), and the running count inside a row is a window partitioned by that row.
+row), and the running count inside a row is a window partitioned by that row (bounded
+by the row, which is already one record).
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.config import HEADING_PREFIX, SUBHEADING_PREFIX
 from tokenmill.functions.text import is_blank, split_lines
-from tokenmill.plans.prefix import global_offsets
+from tokenmill.plans.prefix import global_offsets, materialize
 
 
 def drop_blank(df: DataFrame, col: str = "text") -> DataFrame:
@@ -42,13 +43,14 @@ def segment_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """C2 (line form): every line with its ``seg_id`` (0 = lines before the first heading).
 
     Input: source rows (key, text) in ``key`` order. Output: (key, line_no, line, seg_id).
+    Lines are split and flagged once and written as a table; the per-row heading counts
+    (narrow columns) feed the prefix sum.
     """
-    flags = F.transform(split_lines(text), lambda l: is_heading(l).cast("int"))
-    per_row = df.select(key, F.aggregate(flags, F.lit(0), lambda a, x: a + x).cast("long")
-                        .alias("__h"))
+    lines = materialize(
+        explode_lines(df, key, text).withColumn("__s", is_heading("line").cast("int")), "lines")
+    per_row = lines.groupBy(key).agg(F.sum("__s").cast("long").alias("__h"))
     before = global_offsets(per_row, [key], "__h", out="__heads_before").select(
         key, "__heads_before")
-    lines = explode_lines(df, key, text).withColumn("__s", is_heading("line").cast("int"))
     run = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     return (lines.withColumn("__run", F.sum("__s").over(run))
             .join(before, key)
