@@ -61,3 +61,14 @@ def test_flatten_and_collect_messages(spark):
         (0, "user", "hi"), (1, "assistant", "yo")]
     back = C.collect_messages(flat).first().messages
     assert [(m.role, m.content) for m in back] == [("user", "hi"), ("assistant", "yo")]
+
+
+def test_read_splits_and_eval_set(spark, tmp_dir):
+    for split in ("train", "validation"):
+        spark.createDataFrame([(f"{split} text",)], "text string").write.parquet(
+            os.path.join(tmp_dir, split))
+    df = tables.read_splits(spark, {s: os.path.join(tmp_dir, s) for s in ("train", "validation")})
+    assert sorted((r.split, r.text) for r in df.collect()) == [
+        ("train", "train text"), ("validation", "validation text")]
+    ev = tables.eval_set(spark, [("p1", "good", "bad")], "prompt string, chosen string, rejected string")
+    assert ev.count() == 1

@@ -12,14 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Model tables at or below this many rows are broadcast to the scorer.
-BROADCAST_MODEL_ROWS = 2_000_000
-
-
-def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_MODEL_ROWS else df
-
-
 def ngrams(tokens: DataFrame, n: int, col: str = "tokens", keep: Sequence[str] = ()) -> DataFrame:
     """Adjacent n-grams inside each token array: (keep..., ctx, next).
 

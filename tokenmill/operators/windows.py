@@ -25,7 +25,7 @@ DEFAULT_CHUNK = 65_536
 # Stream block for window assembly.
 DEFAULT_BLOCK = 65_536
 # The chunk -> offset join broadcasts the offsets when there are at most this many chunks.
-BROADCAST_OFFSET_ROWS = 4_000_000
+BROADCAST_OFFSET_ROWS = 2_000_000  # about 50 MB of (key, chunk_no, offset)
 
 
 def window_count_value(n_tokens: int, max_length: int, stride: int) -> int:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.config import EOS_TEXT
 from tokenmill.functions.text import word_pattern
 from tokenmill.operators import ordering as O
 from tokenmill.operators import segment as seg
