@@ -17,8 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.config import HEADING_PREFIX, SUBHEADING_PREFIX
-from tokenmill.functions.text import is_blank, split_lines
+from tokenmill.config import EOS_TEXT, HEADING_PREFIX, SUBHEADING_PREFIX
+from tokenmill.functions.text import is_blank, split_lines, word_tokens
 from tokenmill.plans.prefix import global_offsets, materialize
 
 
@@ -87,3 +87,24 @@ def heading_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             .when(F.col(key) % 3 == 1, F.lit(" = = Part = = ")))
     return docs.select(key, F.when(head.isNull(), F.col(text))
                        .otherwise(F.concat(head, F.lit("\n"), F.col(text))).alias(text))
+
+
+def segment_tokens(lines: DataFrame, key: str = "doc_id", eos: str = EOS_TEXT,
+                   specials=(EOS_TEXT,)) -> DataFrame:
+    """C2 + B1 + C3 + C10 without building document strings: word tokens per line of
+    each non-blank segment, with EOS after the segment's last line.
+
+    Word tokens never contain whitespace, so the tokens of a document joined with
+    "\\n" are exactly its lines' tokens in order. Per-segment facts (last line,
+    non-blank) are bounded aggregates. Output (seg_id, key, line_no, tokens) is ordered
+    by (seg_id, key, line_no) for :func:`tokenmill.operators.windows.stream_offsets`.
+    """
+    last = F.max(F.struct(F.col(key), F.col("line_no"))).alias("__last")
+    facts = lines.groupBy("seg_id").agg(
+        last, F.max((~is_blank("line")).cast("int")).alias("__nonblank"))
+    kept = lines.join(facts.where(F.col("__nonblank") == 1), "seg_id")
+    is_last = (F.col(key) == F.col("__last")[key]) & (F.col("line_no") == F.col("__last.line_no"))
+    toks = word_tokens(F.col("line"), specials)
+    return kept.select(
+        "seg_id", key, "line_no",
+        F.when(is_last, F.concat(toks, F.array(F.lit(eos)))).otherwise(toks).alias("tokens"))

@@ -165,3 +165,41 @@ def step_plan(spark: SparkSession, sf: str) -> DataFrame:
                       F.lit(plan["total_steps"]).cast("long").alias("total_steps"),
                       F.lit(plan["warmup_steps"]).cast("long").alias("warmup_steps"),
                       F.lit(every).cast("long").alias("eval_every"), "n_evals", "n_peeks")
+
+
+SEGMENT_WINDOWS_SQL = f"""
+WITH src AS (
+  SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN ' = Doc ' || doc_id || ' = ' || chr(10) || text
+                      WHEN doc_id % 3 = 1 THEN ' = = Part = = ' || chr(10) || text
+                      ELSE text END AS text FROM documents),
+p AS (SELECT doc_id, string_split_regex(text, '{LINE_RX}') AS parts FROM src),
+l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS ln, len(parts) AS np FROM p),
+k AS (SELECT * FROM l WHERE NOT (ln = np AND line = '')),
+s AS (SELECT *, sum(CASE WHEN starts_with(line, ' = ') AND NOT starts_with(line, ' = = ') THEN 1 ELSE 0 END)
+                OVER (ORDER BY doc_id, ln ROWS UNBOUNDED PRECEDING) AS seg_id FROM k),
+d AS (SELECT seg_id, string_agg(line, chr(10) ORDER BY doc_id, ln) AS t,
+             max(CASE WHEN regexp_full_match(line, '\\s*') THEN 0 ELSE 1 END) AS nonblank
+      FROM s GROUP BY seg_id),
+t AS (SELECT seg_id, list_append(regexp_extract_all(t, '{RX}'), '<|endoftext|>') AS a FROM d WHERE nonblank = 1),
+g AS (SELECT row_number() OVER (ORDER BY seg_id, pos) - 1 AS i, tok
+      FROM (SELECT seg_id, unnest(a) AS tok, generate_subscripts(a, 1) AS pos FROM t)),
+n AS (SELECT count(*) AS n_tok FROM g),
+e AS (SELECT unnest(range(greatest(0, (i - 64 + 31) // 32), i // 32 + 1)) AS w, i, tok FROM g)
+SELECT CAST(w AS BIGINT) AS window_id,
+       string_agg(tok, ' ' ORDER BY i) FILTER (WHERE i < w * 32 + 64) AS input_ids,
+       string_agg(tok, ' ' ORDER BY i) FILTER (WHERE i > w * 32) AS target_ids
+FROM e, n WHERE w * 32 < n_tok - 64 GROUP BY w
+"""
+
+
+@register("segment_windows", "A1 C1 C2 B1 C3 C10 D1 D2 (line corpus -> windows, no document strings)",
+          SEGMENT_WINDOWS_SQL)
+def segment_windows(spark: SparkSession, sf: str) -> DataFrame:
+    from tokenmill.functions.arrays import join_tokens
+    from tokenmill.operators import windows as win
+    corpus = seg.heading_corpus(_docs(spark, sf))
+    toks = seg.segment_tokens(seg.segment_lines(corpus))
+    offs, n = win.stream_offsets(toks, ["seg_id", "doc_id", "line_no"], with_total=True)
+    w = win.sliding_windows(offs, 64, 32, n_tokens=n)
+    return w.select("window_id", join_tokens("input_ids").alias("input_ids"),
+                    join_tokens("target_ids").alias("target_ids"))
