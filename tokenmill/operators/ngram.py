@@ -24,12 +24,12 @@ def ngrams(tokens: DataFrame, n: int, col: str = "tokens", keep: Sequence[str] =
     if n == 1:
         return tokens.select(*keep, F.lit("").alias("ctx"), F.explode(a).alias("next"))
     k = n - 1
-    starts = F.sequence(F.lit(1), F.size(a) - k)
-    ctx = (lambda i: F.element_at(a, i)) if n == 2 else (lambda i: F.slice(a, i, k))
-    g = tokens.where(F.size(a) >= n).select(
-        *keep, F.explode(F.transform(starts, lambda i: F.struct(
-            ctx(i).alias("ctx"), F.element_at(a, i + k).alias("next")))).alias("g"))
-    return g.select(*keep, "g.ctx", "g.next")
+    m = F.size(a) - k  # number of n-grams
+    # n shifted slices zipped position-wise: codegen'd expressions, no per-element lambda
+    shifted = [F.slice(a, j + 1, m).alias(f"t{j}") for j in range(n)]
+    z = tokens.where(F.size(a) >= n).select(*keep, F.explode(F.arrays_zip(*shifted)).alias("z"))
+    ctx = F.col("z.t0") if n == 2 else F.array(*[F.col(f"z.t{j}") for j in range(k)])
+    return z.select(*keep, ctx.alias("ctx"), F.col(f"z.t{k}").alias("next"))
 
 
 def ngram_counts(tokens: DataFrame, n: int, col: str = "tokens") -> DataFrame:
