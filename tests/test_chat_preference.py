@@ -134,3 +134,13 @@ def test_pairs_from_conversations_wraps(spark):
     pairs = P.pairs_from_conversations(turns_df(spark, convs)).collect()
     rej = {r.pair_id: r.text for r in pairs if r.side == "rejected" and r.role == "assistant"}
     assert rej == {10: "r12", 12: "r10"}
+
+
+def test_array_helpers(spark):
+    df = spark.createDataFrame([([5, 6, 7], [1, 1, 0])], "a array<int>, m array<int>")
+    r = df.select(A.mask_prefix("a", 2, -100).alias("x"), A.mask_prefix("a", 9, -1).alias("y"),
+                  A.mask_prefix("a", 0, -1).alias("z"), A.count_not("a", 6).alias("c"),
+                  A.mask_sum("m").alias("s"), A.pool_last("a", "m").alias("p"),
+                  A.left_truncate("a", 5).alias("t"), A.join_tokens("a").alias("j")).first()
+    assert list(r.x) == [-100, -100, 7] and list(r.y) == [-1, -1, -1] and list(r.z) == [5, 6, 7]
+    assert (r.c, r.s, r.p, list(r.t), r.j) == (2, 2, 6, [5, 6, 7], "5 6 7")

@@ -61,19 +61,22 @@ def attention_mask(a: str | Column, width: int | Column) -> Column:
 
 def mask_prefix(a: str | Column, n_masked: Column | int, ignore) -> Column:
     """Replace the first ``n_masked`` elements with ``ignore``."""
+    a = _c(a)
     n = n_masked if isinstance(n_masked, Column) else F.lit(n_masked)
     ig = ignore if isinstance(ignore, Column) else F.lit(ignore)
-    return F.transform(_c(a), lambda x, i: F.when(i < n, ig).otherwise(x))
+    m = F.least(F.greatest(n, F.lit(0)), F.size(a)).cast("int")
+    return F.concat(F.array_repeat(ig, m), F.slice(a, m + 1, F.size(a) - m))
 
 
 def count_not(a: str | Column, ignore) -> Column:
     """Number of elements different from ``ignore``."""
     ig = ignore if isinstance(ignore, Column) else F.lit(ignore)
-    return F.size(F.filter(_c(a), lambda x: x != ig))
+    return F.size(F.array_remove(_c(a), ig))
 
 
 def mask_sum(mask: str | Column) -> Column:
-    return F.aggregate(_c(mask), F.lit(0), lambda acc, x: acc + x)
+    """Number of ones in a 0/1 mask."""
+    return F.size(F.array_remove(_c(mask), 0))
 
 
 def last_real_index(mask: str | Column) -> Column:
@@ -110,4 +113,4 @@ def dot(x: str | Column, w: str | Column) -> Column:
 
 def join_tokens(a: str | Column, sep: str = " ") -> Column:
     """Array -> one string (oracle-friendly display of token arrays)."""
-    return F.array_join(F.transform(_c(a), lambda x: x.cast("string")), sep)
+    return F.array_join(_c(a).cast("array<string>"), sep)

@@ -137,8 +137,10 @@ def _tail_pieces(rendered: DataFrame, lay: DataFrame, key: str, order: str,
                     (F.col("start") + F.col("n") - ps).cast("int"))
     cols = [key, ps.alias("pos"), piece.alias("ids")]
     if mask:
-        cols.append(F.transform(piece, lambda x, i: F.when(ps + i < F.col("prompt_len"),
-                                                             F.lit(ignore)).otherwise(x))
+        # the first (prompt_len - ps) tokens of the piece are prompt: masked
+        n_masked = F.least(F.greatest(F.col("prompt_len") - ps, F.lit(0)), F.size(piece)).cast("int")
+        cols.append(F.concat(F.array_repeat(F.lit(ignore), n_masked),
+                             F.slice(piece, n_masked + 1, F.size(piece) - n_masked))
                     .alias("labels"))
     pieces = t.select(*cols)
     conv = lay.where(F.col(order) == F.col("last_turn")).where(cut == 0)
@@ -152,9 +154,9 @@ def _tail_pieces(rendered: DataFrame, lay: DataFrame, key: str, order: str,
 def _assemble(pieces: DataFrame, key: str, mask: bool) -> DataFrame:
     fields = ["pos", "ids"] + (["labels"] if mask else [])
     g = pieces.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("__p"))
-    out = [key, F.flatten(F.transform("__p", lambda p: p["ids"])).alias("ids")]
+    out = [key, F.flatten(F.col("__p.ids")).alias("ids")]
     if mask:
-        out.append(F.flatten(F.transform("__p", lambda p: p["labels"])).alias("labels"))
+        out.append(F.flatten(F.col("__p.labels")).alias("labels"))
     return g.select(*out)
 
 

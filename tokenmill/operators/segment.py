@@ -75,7 +75,7 @@ def segment_by_heading(df: DataFrame, key: str = "doc_id", text: str = "text") -
         F.sort_array(F.collect_list(F.struct(key, "line_no", "line"))).alias("__l"),
         F.max((~is_blank("line")).cast("int")).alias("__nonblank"))
     return (docs.where(F.col("__nonblank") == 1)
-            .select("seg_id", F.array_join(F.transform("__l", lambda s: s["line"]), "\n")
+            .select("seg_id", F.array_join(F.col("__l.line"), "\n")
                     .alias("text")))
 
 

@@ -129,7 +129,7 @@ def tokens_to_ids(df: DataFrame, tokens: str, vocab: DataFrame, key: Sequence[st
     looked = looked.withColumn("id", F.coalesce(F.col("id"), unk_id))
     grouped = looked.groupBy(*key).agg(
         F.sort_array(F.collect_list(F.struct("__pos", "id"))).alias("__p"))
-    ids = grouped.select(*key, F.transform("__p", lambda s: s["id"]).alias(out))
+    ids = grouped.select(*key, F.col("__p.id").alias(out))
     # rows with empty token arrays have nothing to explode; keep them with []
     return df.join(ids, key, "left").withColumn(
         out, F.coalesce(F.col(out), F.array().cast("array<int>")))
@@ -143,7 +143,7 @@ def ids_to_tokens(df: DataFrame, ids: str, vocab: DataFrame, key: Sequence[str],
     looked = _lookup_join(exploded, vocab.select("id", "token"), "id")
     grouped = looked.groupBy(*key).agg(
         F.sort_array(F.collect_list(F.struct("__pos", "token"))).alias("__p"))
-    return grouped.select(*key, F.transform("__p", lambda s: s["token"]).alias(out))
+    return grouped.select(*key, F.col("__p.token").alias(out))
 
 
 def roundtrip_audit(df: DataFrame, text_col: str = "text", kind: str = "byte",

@@ -119,9 +119,9 @@ def _block_windows(pieces: DataFrame, group: Sequence[str], max_length: int, str
         F.sort_array(F.collect_list(F.struct(*fields))).alias("__p"),
         F.max("__last").alias("__last"))
     cols = [*group, "block", "__last",
-            F.flatten(F.transform("__p", lambda p: p["piece"])).alias("__arr")]
+            F.flatten(F.col("__p.piece")).alias("__arr")]
     if lineage:
-        cols.append(F.flatten(F.transform("__p", lambda p: p["docs"])).alias("__docs"))
+        cols.append(F.flatten(F.col("__p.docs")).alias("__docs"))
     g = g.select(*cols)
     b = F.col("block")
     w_lo = F.floor((b * B + S - 1) / S).cast("long")
