@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenmill.config import BYTE_VOCAB, EOS_TEXT, EOT_TEXT, PAD_TEXT
 from tokenmill.functions import arrays as A
 from tokenmill.functions import text as T
-from tokenmill.plans.prefix import global_rank
+from tokenmill.plans.prefix import global_rank, materialize
 
 DEFAULT_SPECIALS = (EOS_TEXT,)
 UNK_TEXT = "<unk>"
@@ -97,6 +97,9 @@ def build_vocab(tokens_df: DataFrame, tokens: str = "tokens", min_count: int = 1
         .groupBy("token").agg(F.count(F.lit(1)).alias("count"))
         .where((F.col("count") >= min_count) & ~F.col("token").isin(reserved))
     )
+    # the aggregate is written once (vocabulary-sized) so range sampling and the ranking
+    # pass do not both recount the corpus
+    counts = materialize(counts, "token_counts")
     ranked = global_rank(counts, [F.col("count").desc(), F.col("token").asc()], out="__r")
     if max_size is not None:
         ranked = ranked.where(F.col("__r") <= max_size - len(reserved))

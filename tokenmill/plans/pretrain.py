@@ -200,7 +200,7 @@ UNION ALL SELECT '<unk>', 1, 0
 
 @register("vocab", "C6 C7", VOCAB_SQL)
 def vocab(spark: SparkSession, sf: str) -> DataFrame:
-    toks = tok.encode(_docs(spark, sf), "text", "word")
+    toks = materialize(tok.encode(_docs(spark, sf), "text", "word"), "word_tokens")
     return tok.build_vocab(toks, "tokens")
 
 
