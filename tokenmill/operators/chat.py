@@ -168,7 +168,8 @@ def render_chat(turns: DataFrame, max_length: int | None = None, key: str = "con
     conversations.
     """
     r = rendered_table(turns, key, order, template)
-    lay = layout(r, key, order, template)
+    # the narrow per-turn layout is used three times below: write it once
+    lay = materialize(layout(r, key, order, template), "layout")
     out = _assemble(_tail_pieces(r, lay, key, order, max_length, None, False, template), key, False)
     return out.join(conversation_stats(lay, key, order).select(key, "full_len", "prompt_len",
                                                          "last_role"), key)
@@ -185,7 +186,8 @@ def sft_examples(turns: DataFrame, max_length: int, key: str = "conv_id", order:
     Output: (key, input_ids, target_ids, full_len, prompt_len).
     """
     r = rendered_table(turns, key, order, template)
-    lay = layout(r, key, order, template)
+    # the narrow per-turn layout is used three times below: write it once
+    lay = materialize(layout(r, key, order, template), "layout")
     if require_assistant:
         lay, _ = require_last_role(lay)
     if fits_only:

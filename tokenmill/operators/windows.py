@@ -184,12 +184,21 @@ def per_document_windows(offsets: DataFrame, key: str, max_length: int, stride:
 
 def window_count(lengths: DataFrame, max_length: int, stride: int, size: str = "n") -> DataFrame:
     """D4 as a one-row DataFrame: (n_tokens, n_windows)."""
-    _check(max_length, stride)
-    n = F.coalesce(F.sum(size), F.lit(0)).cast("long")
-    return lengths.agg(n.alias("n_tokens")).select(
-        "n_tokens",
-        F.greatest(F.lit(0), F.ceil((F.col("n_tokens") - max_length) / F.lit(stride)))
-        .cast("long").alias("n_windows"))
+    return window_counts(lengths, [(max_length, stride)], size).drop("max_length", "stride")
+
+
+def window_counts(lengths: DataFrame, params, size: str = "n") -> DataFrame:
+    """D4 for several (max_length, stride) pairs from one pass over the lengths."""
+    for L, S in params:
+        _check(L, S)
+    n = lengths.agg(F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("n_tokens"))
+    grid = F.explode(F.array(*[F.struct(F.lit(L).cast("long").alias("max_length"),
+                                        F.lit(S).cast("long").alias("stride"))
+                               for L, S in params])).alias("p")
+    return n.select("n_tokens", grid).select(
+        "p.max_length", "p.stride", "n_tokens",
+        F.greatest(F.lit(0), F.ceil((F.col("n_tokens") - F.col("p.max_length"))
+                                    / F.col("p.stride"))).cast("long").alias("n_windows"))
 
 
 def next_token_pairs(windows: DataFrame) -> DataFrame:

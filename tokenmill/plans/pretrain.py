@@ -91,13 +91,7 @@ FROM n, p
 @register("lm_window_count", "C9 D4", WINDOW_COUNT_SQL)
 def lm_window_count(spark: SparkSession, sf: str) -> DataFrame:
     lengths = doc_tokens(_docs(spark, sf)).select(F.size("tokens").cast("long").alias("n"))
-    counts = [win.window_count(lengths, L, S).select(
-        F.lit(L).cast("long").alias("max_length"), F.lit(S).cast("long").alias("stride"),
-        "n_tokens", "n_windows") for L, S in ((64, 32), (64, 64), (64, 100), (7, 3), (4, 2))]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    return win.window_counts(lengths, [(64, 32), (64, 64), (64, 100), (7, 3), (4, 2)])
 
 
 LINEAGE_SQL = f"""
