@@ -28,6 +28,8 @@ _BASE_SUM = "__base_sum"
 
 # Upper bound on the per-partition table we broadcast.
 MAX_RANGE_PARTITIONS = 100_000
+# The (partition, group) carry table of grouped running sums is broadcast up to this size.
+MAX_BROADCAST_CARRY = 1_000_000
 
 
 def _cols(order: Sequence[str | Column]) -> list[Column]:
@@ -153,7 +155,9 @@ def grouped_offsets(df: DataFrame, group: Sequence[str], order: Sequence[str | C
         _PID, *g,
         F.coalesce(F.sum("__s").over(Window.partitionBy(*g).orderBy(_PID).rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("__carry"))
+    # one row per (partition, group): broadcast it when a count shows it is small
+    side = F.broadcast(carry) if per.count() <= MAX_BROADCAST_CARRY else carry
     return (staged.withColumn("__before", F.coalesce(F.sum(size).over(local), F.lit(0)))
-            .join(carry, [_PID, *g])
+            .join(side, [_PID, *g])
             .withColumn(out, F.col("__carry") + F.col("__before"))
             .drop(_PID, _MID, "__carry", "__before"))
