@@ -134,6 +134,9 @@ def tokens_to_ids(df: DataFrame, tokens: str, vocab: DataFrame, key: Sequence[st
         F.sort_array(F.collect_list(F.struct("__pos", "id"))).alias("__p"))
     ids = grouped.select(*key, F.col("__p.id").alias(out))
     # rows with empty token arrays have nothing to explode; keep them with []
+    if set(df.columns) <= set(key) | {tokens}:
+        empty = df.where(F.size(tokens) == 0).select(*key, F.array().cast("array<int>").alias(out))
+        return ids.unionByName(empty)  # no join back: the token arrays are shuffled once
     return df.join(ids, key, "left").withColumn(
         out, F.coalesce(F.col(out), F.array().cast("array<int>")))
 
