@@ -6,21 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenmill.llm import (contamination, embedding_dedup, licenses, lm_scoring, near_dedup,
-                           quality, secrets, sentencepiece, token_counts, toxicity)
+from tokenmill.llm import (contamination, near_dedup, quality, secrets, sentencepiece)
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Builder] = {
-    "op1_token_counts": token_counts.query,
     "op2_sentencepiece": sentencepiece.query,
-    "op3_embedding_dedup": embedding_dedup.query,
     "op4_minhash_dedup": near_dedup.query,
-    "op5_lm_scoring": lm_scoring.query,
     "op6_secret_scans": secrets.query,
     "op7_quality": quality.query,
-    "op8_licenses": licenses.query,
-    "op9_toxicity": toxicity.query,
     "op10_decontamination": contamination.query,
 }
 SQL: dict[str, str] = {
