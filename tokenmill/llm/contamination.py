@@ -61,13 +61,19 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                      F.sum(F.size("th") * (F.size("th") + 8)).alias("rows")).first()
     lengths = [r["n"] for r in items.where(F.size("th") < SPAN)
                .select(F.size("th").alias("n")).distinct().orderBy("n").collect()]  # below 9
-    seeds = _seeds(items, lengths).select(
-        "seed", "item", F.col("p").alias("q"), F.col("th").alias("bh"))
-    if 8 * len(MASKS) * (size["rows"] or 0) <= MAX_BROADCAST_BYTES:
-        seeds = F.broadcast(seeds)
+    seeds = _seeds(items, lengths)
     src = _token_hashes(docs, text_col, F.col(id_col).alias("id"),
                         F.xxhash64(F.col(text_col)).alias("text_key"))
-    hits = _seeds(src, lengths).join(seeds, "seed")
+    if 8 * len(MASKS) * (size["rows"] or 0) <= MAX_BROADCAST_BYTES:
+        side = seeds.select("seed", "item", F.col("p").alias("q"), F.col("th").alias("bh"))
+        hits = _seeds(src, lengths).join(F.broadcast(side), "seed")
+    else:  # shuffle seeds without their texts, then fetch the texts of the hits
+        hits = (_seeds(src, lengths).select("id", "text_key", "p", "seed")
+                .join(seeds.select("seed", "item", F.col("p").alias("q")), "seed")
+                .join(items.select("item", F.col("th").alias("bh")).distinct(), "item"))
+        again = src.select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), "th")
+        hits = hits.join(again, hits["id"].eqNullSafe(again["__id"])
+                         & (hits["text_key"] == again["__key"]))
     # aligned stretches around the hit: item positions lo..hi-1, the document shifted by p - q
     shift = F.col("p") - F.col("q")
     lo = F.greatest(F.col("q") - REACH, F.lit(0), -shift)
@@ -76,9 +82,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                        lambda a, b: (a == b).cast("int"))
     matched = F.aggregate(equal, F.lit(0), lambda a, b: a + b)
     needed = F.least(F.lit(MIN_EQUAL), F.ceil(F.size("bh") * MIN_SHARE))
+    # the test stands above the aggregate: inside the join it would keep the join from running in
+    # generated code, and every position of a long text would then be copied with its tokens
     return (hits.select("id", "text_key", "item", matched.alias("matched"), needed.alias("needed"))
-            .where("matched >= needed")
-            .groupBy("id", "text_key", "item").agg(F.max("matched").alias("matched")))
+            .groupBy("id", "text_key", "item")
+            .agg(F.max("matched").alias("matched"), F.max("needed").alias("needed"))
+            .where("matched >= needed").drop("needed"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
