@@ -33,6 +33,34 @@ def test_bpe_encode_with_specials(spark):
     assert got[1] == []
 
 
+def test_bpe_pieces_lose_nothing(spark):
+    from tokenmill.operators.bpe import load_ranks
+    texts = ["a_b __init__ x1", "it's  two\n\n  lines\t", "", "naïve 漢字 \U0001f600!", f"a{EOS_TEXT}b", "½²"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    small, _ = ranks(spark)
+    for table in (small, load_ranks("/opt/tokenizers/byte_bpe_50k.tiktoken")):
+        bad = tok.roundtrip_audit(df, "text", "bpe", ranks=table).where("not roundtrip_ok")
+        assert bad.count() == 0
+
+
+def test_bpe_ids_equal_the_library_s(spark):
+    import tiktoken
+
+    from tokenmill.operators.bpe import SPLIT_PATTERN, load_ranks
+    table = load_ranks("/opt/tokenizers/byte_bpe_50k.tiktoken")
+    lib = tiktoken.Encoding("own", pat_str=SPLIT_PATTERN, mergeable_ranks=table, special_tokens={})
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(30)
+    for r in tok.encode(docs, "text", "bpe", ranks=table).collect():
+        assert r.tokens == lib.encode_ordinary(r.text)
+
+
+def test_one_layout_of_reserved_ids(spark):
+    vocab = {r.token: r.id for r in tok.build_vocab(
+        spark.createDataFrame([(["b", "a", "b"],)], "tokens array<string>")).collect()}
+    fixed = {r.token: r.id for r in tok.special_ids(spark, "word").collect()}
+    assert all(vocab[t] == i for t, i in fixed.items()) and len(set(vocab.values())) == len(vocab) == 6
+
+
 def test_read_corpus_text_and_whole_text(spark, tmp_dir):
     p = os.path.join(tmp_dir, "a.txt")
     with open(p, "w") as f:

@@ -1,4 +1,4 @@
-"""SFT examples and preference pairs against a naive list implementation."""
+"""SFT examples and preference pairs: literal cases and properties."""
 
 import random
 
@@ -22,14 +22,6 @@ def render(msgs, gen_prompt=False):
     return out
 
 
-def naive_sft(msgs, L):
-    full = render(msgs)
-    prompt = render(msgs[:-1], gen_prompt=True)
-    labels = [IGN] * len(prompt) + full[len(prompt):]
-    full, labels = full[-L:], labels[-L:]
-    return full[:-1], labels[1:]
-
-
 CONVS = {
     0: [("user", "hi there"), ("assistant", "hello friend")],
     1: [("assistant", "solo reply words")],                       # one-turn [assistant]
@@ -45,14 +37,51 @@ def turns_df(spark, convs):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
 
+def test_sft_example_literal(spark):
+    ex = {r.conv_id: r for r in C.sft_examples(turns_df(spark, CONVS), 64).collect()}
+    head = [BOS_TEXT, HEADER_START_TEXT, "user", HEADER_END_TEXT, "hi", "there", EOT_TEXT,
+            HEADER_START_TEXT, "assistant", HEADER_END_TEXT]
+    assert ex[0].input_ids == head + ["hello", "friend"]
+    assert ex[0].target_ids == [IGN] * 9 + ["hello", "friend", EOT_TEXT]
+    assert ex[1].target_ids == [IGN] * 3 + ["solo", "reply", "words", EOT_TEXT]
+
+
 @pytest.mark.parametrize("L", [5, 9, 16, 64, 256])
-def test_sft_examples_match_naive(spark, L):
-    ex = C.sft_examples(turns_df(spark, CONVS), L, ignore=IGN).collect()
-    got = {r.conv_id: (list(r.input_ids), list(r.target_ids)) for r in ex}
-    exp = {cid: naive_sft(m, L) for cid, m in CONVS.items() if m[-1][0] == "assistant"}
-    assert got == exp
-    for inp, tgt in got.values():
-        assert len(inp) == len(tgt) <= L - 1
+def test_sft_example_properties(spark, L):
+    ex = {r.conv_id: r for r in C.sft_examples(turns_df(spark, CONVS), L).collect()}
+    assert set(ex) == {0, 1, 2, 4}  # those that the assistant ends
+    for cid, r in ex.items():
+        whole = render(CONVS[cid])
+        answer = CONVS[cid][-1][1].split() + [EOT_TEXT]
+        kept = min(L, len(whole))
+        assert len(r.input_ids) == len(r.target_ids) == kept - 1
+        assert r.input_ids + whole[-1:] == whole[len(whole) - kept:]
+        # the answer is supervised, nothing before it
+        n = min(len(answer), kept - 1)
+        assert r.target_ids[kept - 1 - n:] == answer[len(answer) - n:]
+        assert set(r.target_ids[:kept - 1 - n]) <= {IGN}
+
+
+@pytest.mark.parametrize("L", [7, 300])
+def test_integer_ids_and_nested_form(spark, L):
+    turns = turns_df(spark, CONVS)
+    flat = C.sft_examples(turns, L, template=C.BYTE_TEMPLATE)
+    assert dict(flat.dtypes)["target_ids"] == "array<int>"
+    nested = C.sft_examples_nested(C.collect_messages(turns), L, template=C.BYTE_TEMPLATE)
+    rows = [sorted(map(tuple, d.select("conv_id", "input_ids", "target_ids", "full_len",
+                                       "prompt_len").collect())) for d in (flat, nested)]
+    assert rows[0] == rows[1] and len(rows[0]) == 4
+    if L == 300:
+        r = next(x for x in rows[0] if x[0] == 0)
+        assert bytes(i for i in r[2] if 0 <= i < 256) == b"hello friend" and r[2][-1] == 257
+
+
+def test_answers_of_long_conversations_are_whole(spark):
+    answer = " ".join(f"w{i}" for i in range(40))
+    turns = turns_df(spark, {7: [("user", "x " * 5200), ("assistant", answer)]})
+    assert "".join(C.last_response(turns).first().response) == answer.replace(" ", "")
+    r = C.render_chat(turns).first()
+    assert len(r.ids) == r.full_len == 1 + 4 + 5200 + 4 + 80
 
 
 def test_rejects_and_prefix_audit(spark):
@@ -144,3 +173,16 @@ def test_array_helpers(spark):
                   A.left_truncate("a", 5).alias("t"), A.join_tokens("a").alias("j")).first()
     assert list(r.x) == [-100, -100, 7] and list(r.y) == [-1, -1, -1] and list(r.z) == [5, 6, 7]
     assert (r.c, r.s, r.p, list(r.t), r.j) == (2, 2, 6, [5, 6, 7], "5 6 7")
+
+
+def test_pair_ids_and_incomplete_pairs(spark):
+    big = 9007199254740993
+    rows = [(big, s, 0, "user", "q") for s in ("chosen", "rejected")] + [(big + 1, "rejected", 0, "user", "z")]
+    df = spark.createDataFrame(rows, "pair_id long, side string, turn long, role string, text string")
+    enc = P.encode_pairs(df, 32)
+    assert {(r.pair_id, r.side) for r in enc.collect()} == {(r[0], r[1]) for r in rows}
+    wide = {r.pair_id: r for r in P.to_wide(enc).collect()}
+    assert wide[big + 1].chosen_ids is None and wide[big].chosen_ids == wide[big].rejected_ids
+    assert [tuple(r) for r in P.incomplete_pairs(enc).collect()] == [(big + 1, "chosen")]
+    named = P.encode_pairs(df.withColumn("pair_id", F.concat(F.lit("p"), F.col("pair_id").cast("string"))), 32)
+    assert named.count() == 3

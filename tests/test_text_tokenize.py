@@ -48,7 +48,7 @@ def test_vocab_and_ids(spark):
     df = spark.createDataFrame([(0, "b a b c"), (1, "c b")], "doc_id long, text string")
     toks = tok.encode(df, "text", "word")
     v = {r.token: (r.id, r["count"]) for r in tok.build_vocab(toks).collect()}
-    assert v[EOS_TEXT][0] == 0 and v["<unk>"][0] == 1
+    assert v[EOS_TEXT][0] == 0 and v["<unk>"][0] == 3  # after the reserved markers
     assert v["b"] == (2, 3) and v["c"] == (3, 2) and v["a"] == (4, 1)
     ids = {r.doc_id: list(r.ids) for r in tok.tokens_to_ids(toks, "tokens", tok.build_vocab(toks),
                                                              ["doc_id"]).collect()}

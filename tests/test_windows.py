@@ -1,6 +1,7 @@
-"""Sliding windows against the reference algorithm written naively (list + range)."""
+"""Sliding windows: literal cases and the properties that define them."""
 
 import random
+from itertools import chain
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,17 +9,6 @@ from pyspark.sql import functions as F
 from tokenmill.operators import windows as win
 
 
-def naive(docs, L, S, eos="<eos>"):
-    stream = []
-    for d in docs:
-        stream.extend(d)
-        stream.append(eos)
-    out = []
-    for i in range(0, len(stream) - L, S):
-        out.append((stream[i:i + L], stream[i + 1:i + L + 1]))
-    return out
-
-
 def spark_windows(spark, docs, L, S, chunk=65536, block=65536, eos="<eos>"):
     rows = [(i, d + [eos]) for i, d in enumerate(docs)]
     df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
@@ -31,19 +21,21 @@ def spark_windows(spark, docs, L, S, chunk=65536, block=65536, eos="<eos>"):
 def test_reference_fixture(spark):
     docs = [["hello", "world"], ["foo", "bar", "baz"]]
     got, ids = spark_windows(spark, docs, 4, 2)
-    assert got == naive(docs, 4, 2)
-    assert ids == list(range(len(got)))
+    assert got == [(["hello", "world", "<eos>", "foo"], ["world", "<eos>", "foo", "bar"]),
+                   (["<eos>", "foo", "bar", "baz"], ["foo", "bar", "baz", "<eos>"])]
+    assert ids == [0, 1]
 
 
 @pytest.mark.parametrize("L,S", [(4, 1), (4, 2), (4, 4), (4, 5), (4, 9), (7, 3), (1, 1)])
 def test_random_docs_small_chunks_and_blocks(spark, L, S):
     rnd = random.Random(L * 100 + S)
     docs = [[f"t{rnd.randint(0, 9)}" for _ in range(rnd.randint(0, 12))] for _ in range(15)]
-    exp = naive(docs, L, S)
-    got, _ = spark_windows(spark, docs, L, S, chunk=3, block=5)
-    assert got == exp
-    for inp, tgt in got:
-        assert inp[1:] == tgt[:-1] and len(inp) == L == len(tgt)
+    stream = list(chain.from_iterable(d + ["<eos>"] for d in docs))
+    got, ids = spark_windows(spark, docs, L, S, chunk=3, block=5)
+    # as many windows as starts 0, S, 2S, ... leave room for L tokens and the next one
+    assert ids == list(range(max(0, (len(stream) - L + S - 1) // S)))
+    for w, (inp, tgt) in zip(ids, got):
+        assert inp + tgt[-1:] == stream[w * S:w * S + L + 1] and inp[1:] == tgt[:-1]
 
 
 def test_edge_counts(spark):

@@ -34,6 +34,11 @@ BYTE_VOCAB = 256
 # Python str.splitlines() boundaries: \r\n first, then any single separator.
 SPLITLINES_PATTERN = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
+# Characters that Python str.strip() removes, as the inside of a character class that Java's
+# regex engine and RE2 both read.
+BLANK_CLASS = (r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+               r"\x{202f}\x{205f}\x{3000}")
+
 # Heading rule of the line corpus: " = Title = " opens a document, " = = Sub = = " does not.
 HEADING_PREFIX = " = "
 SUBHEADING_PREFIX = " = = "

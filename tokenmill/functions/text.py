@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tokenmill.config import BYTE_VOCAB, EOS_TEXT, SPLITLINES_PATTERN, WORD_PATTERN
+from tokenmill.config import BLANK_CLASS, BYTE_VOCAB, EOS_TEXT, SPLITLINES_PATTERN, WORD_PATTERN
 
 
 def _c(col: str | Column) -> Column:
@@ -26,9 +26,22 @@ def split_lines(text: str | Column) -> Column:
         F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, n - 1)).otherwise(parts))
 
 
+def corpus_lines(text: str | Column, is_last: Column) -> Column:
+    """The lines a source row contributes to the corpus "rows joined with a line feed, then split".
+
+    The joiner ends the last piece of every row but the corpus' last one, so that piece is a line
+    even when it is empty: an empty row is a blank line, a trailing line end adds one. After a
+    lone carriage return the joiner completes one "\\r\\n" boundary instead of adding another.
+    """
+    text = F.coalesce(_c(text), F.lit(""))
+    parts = F.split(text, SPLITLINES_PATTERN, -1)
+    drop = (F.element_at(parts, -1) == "") & (is_last | text.endswith("\r"))
+    return F.slice(parts, 1, F.size(parts) - drop.cast("int"))
+
+
 def is_blank(text: str | Column) -> Column:
-    """True when Python ``text.strip()`` would be empty (Unicode whitespace, incl. NBSP)."""
-    return F.regexp_replace(_c(text), r"(?U)^\s+|\s+$", "") == ""
+    """True when Python ``text.strip()`` would be empty."""
+    return _c(text).rlike("\\A[" + BLANK_CLASS + "]*\\z")
 
 
 def special_pattern(specials: Sequence[str]) -> str:

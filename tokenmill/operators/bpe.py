@@ -1,84 +1,117 @@
-"""Byte-pair encoding with a user-supplied rank table (C3 ``bpe``), via ``mapInPandas``.
+"""Byte-pair encoding with a rank table (C3, C4, C11 ``bpe``), via an Arrow UDF on the text alone.
 
-Ranks are a table ``(token binary, rank int)``: the byte strings a merge may produce,
-lower rank merges first; single bytes must be present (their rank is their id). Text
-is pre-split with the word pattern (tokens never span whitespace; the whitespace run
-before a word joins it, as GPT-style tokenizers do), then each piece is merged
-greedily by lowest rank. Specials become their own ids (``rank_count + index``).
+Ranks map byte strings to ids; a merge is allowed when its result has a rank, lower ranks merge
+first, and every single byte has one. Text is cut by the published split pattern of byte-level
+vocabularies, whose pieces make up the text again, so decoding returns it exactly. Specials become ids
+of their own (``len(ranks) + index``).
 
-This is the one Python step: rows stay in Spark partitions, batches move by Arrow,
-and the rank table (checked to be small) is broadcast once per executor.
+Spark passes only the text column to Python; the other columns stay in the JVM. The rank table is
+broadcast once per executor; its size in bytes is checked against ``MAX_RANK_BYTES`` first.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import base64
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import functions as F
 
 from tokenmill.config import EOS_TEXT
 
-MAX_RANKS = 1_000_000  # a rank table larger than this is not broadcast
+MAX_RANK_BYTES = 256 << 20  # beyond this a rank table is refused rather than broadcast
+MAX_CACHED_PIECES = 200_000
 
-# Pre-tokenizer: optional leading spaces + a word, a number, or one other character.
-PRE_PATTERN = r" ?[^\W\d_]+| ?\d+| ?[^\s\w]|\s+(?!\S)|\s+"
+# Fixed value: the published pre-token pattern of byte-level BPE vocabularies.
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def load_ranks(path: str) -> dict[bytes, int]:
+    """A rank file: a base64 token and its rank on each line."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
+
+
+def rank_table(ranks: DataFrame) -> dict[bytes, int]:
+    """(token binary, rank int) as a dictionary, behind the size check."""
+    size = ranks.agg(F.sum(F.octet_length("token") + 64)).first()[0] or 0
+    if size > MAX_RANK_BYTES:
+        raise ValueError(f"rank table of {size} bytes (> {MAX_RANK_BYTES}); refusing to broadcast")
+    return {bytes(r["token"]): int(r["rank"]) for r in ranks.select("token", "rank").collect()}
 
 
 def bpe_merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Greedy lowest-rank merging of one pre-token (small per-row helper)."""
+    """Lowest-rank-first merging of one piece."""
+    whole = ranks.get(piece)
+    if whole is not None:
+        return [whole]
     parts = [piece[i:i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best, best_i = None, -1
-        for i in range(len(parts) - 1):
-            r = ranks.get(parts[i] + parts[i + 1])
-            if r is not None and (best is None or r < best):
-                best, best_i = r, i
-        if best is None:
-            break
-        parts[best_i:best_i + 2] = [parts[best_i] + parts[best_i + 1]]
-    return [ranks[p] for p in parts]
-
-
-def _encoder(ranks: dict[bytes, int], specials: Sequence[str]):
-    import re
-
-    pre = re.compile(PRE_PATTERN)
-    special_ids = {s: len(ranks) + i for i, s in enumerate(specials)}
-    split = re.compile("(" + "|".join(re.escape(s) for s in specials) + ")") if specials else None
-
-    def encode(text: str) -> list[int]:
+    rank = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
+    while True:
+        i = min((r, i) for i, r in enumerate(rank + [None]) if r is not None)[1] if any(
+            r is not None for r in rank) else -1
+        if i < 0:
+            return [ranks[p] for p in parts]
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        del rank[i]
+        for j in (i - 1, i):  # only the neighbours of the merged part change
+            if 0 <= j < len(rank):
+                rank[j] = ranks.get(parts[j] + parts[j + 1])
+
+
+class _Encoder:
+    def __init__(self, ranks: dict[bytes, int], specials: Sequence[str]):
+        import regex
+        self.ranks, self.cache = ranks, {}
+        self.find = regex.compile(SPLIT_PATTERN).findall
+        self.special = {s: len(ranks) + i for i, s in enumerate(specials)}
+        self.cut = (regex.compile("(" + "|".join(regex.escape(s) for s in specials) + ")").split
+                    if specials else lambda t: [t])
+
+    def __call__(self, text: str | None) -> list[int] | None:
         if text is None:
             return None
         out: list[int] = []
-        chunks = split.split(text) if split else [text]
-        for chunk in chunks:
-            if chunk in special_ids:
-                out.append(special_ids[chunk])
+        for part in self.cut(text):
+            if part in self.special:
+                out.append(self.special[part])
                 continue
-            for m in pre.finditer(chunk):
-                out.extend(bpe_merge(m.group(0).encode("utf-8"), ranks))
+            for piece in self.find(part):
+                ids = self.cache.get(piece)
+                if ids is None:
+                    if len(self.cache) >= MAX_CACHED_PIECES:
+                        self.cache.clear()
+                    ids = self.cache[piece] = bpe_merge(piece.encode("utf-8"), self.ranks)
+                out += ids
         return out
 
-    return encode
 
+def _broadcast(df: DataFrame, ranks):
+    table = ranks if isinstance(ranks, dict) else rank_table(ranks)
+    return df.sparkSession.sparkContext.broadcast(table)
+
+
+def bpe_encode(df: DataFrame, text_col: str, ranks: DataFrame | dict[bytes, int], out: str = "tokens",
+               specials: Sequence[str] = (EOS_TEXT,)) -> DataFrame:
+    """Add ``out`` = BPE ids of ``text_col``; a null text gives null."""
+    shared, names = _broadcast(df, ranks), tuple(specials)
+
+    def encode(texts: pd.Series) -> pd.Series:
+        return texts.map(_Encoder(shared.value, names))
+
+    return df.withColumn(out, F.pandas_udf(encode, "array<int>")(text_col))
 
-def bpe_encode(df: DataFrame, text_col: str, ranks: DataFrame, out: str = "tokens",
+
+def bpe_decode(df: DataFrame, ids_col: str, ranks: DataFrame | dict[bytes, int], out: str = "decoded",
                specials: Sequence[str] = (EOS_TEXT,)) -> DataFrame:
-    """Add ``out`` = BPE ids of ``text_col``; every other column passes through."""
-    n = ranks.count()
-    if n > MAX_RANKS:
-        raise ValueError(f"rank table has {n} rows (> {MAX_RANKS}); refusing to broadcast")
-    table = {bytes(r["token"]): int(r["rank"]) for r in ranks.select("token", "rank").collect()}
-    bc = df.sparkSession.sparkContext.broadcast(table)
-    schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.IntegerType()))])
-    spec = tuple(specials)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = _encoder(bc.value, spec)
-        for pdf in batches:
-            pdf[out] = pdf[text_col].map(enc)
-            yield pdf
-
-    return df.mapInPandas(run, schema)
+    """Add ``out`` = the text of the ids; ids that do not end a character give U+FFFD."""
+    shared, names = _broadcast(df, ranks), tuple(specials)
+
+    def decode(ids: pd.Series) -> pd.Series:
+        token = {r: t for t, r in shared.value.items()}
+        token.update({len(token) + i: s.encode() for i, s in enumerate(names)})
+        return ids.map(lambda x: None if x is None else
+                       b"".join(token[int(i)] for i in x).decode("utf-8", "replace"))
+
+    return df.withColumn(out, F.pandas_udf(decode, "string")(ids_col))

@@ -20,10 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenmill.config import (BOS_TEXT, EOS_TEXT, EOT_TEXT, HEADER_END_TEXT, HEADER_START_TEXT,
+from tokenmill.config import (BOS_TEXT, BYTE_VOCAB, EOS_TEXT, EOT_TEXT, HEADER_END_TEXT, HEADER_START_TEXT,
                               IGNORE_INDEX)
 from tokenmill.functions import arrays as A
-from tokenmill.functions.text import word_tokens
+from tokenmill.functions.text import byte_tokens, word_tokens
 from tokenmill.plans.prefix import global_offsets, materialize
 
 
@@ -36,16 +36,36 @@ class ChatTemplate:
     eot: str = EOT_TEXT
     specials: tuple[str, ...] = (EOS_TEXT, EOT_TEXT, BOS_TEXT, HEADER_START_TEXT, HEADER_END_TEXT)
 
-    header_len: int = 3
+    kind: str = "word"  # "word": string tokens; "byte": integer ids, specials from 256 on
+
+    def special(self, text: str):
+        """A special token in the template's token form."""
+        return text if self.kind == "word" else BYTE_VOCAB + self.specials.index(text)
+
+    @property
+    def bos_id(self):
+        return self.special(self.bos)
+
+    @property
+    def header_len(self) -> int:
+        """Tokens of the assistant header, which ends every prompt."""
+        return 3 if self.kind == "word" else 2 + len("assistant")
+
+    def tokens(self, text: Column) -> Column:
+        return (word_tokens if self.kind == "word" else byte_tokens)(text, self.specials)
 
     def header(self, role: Column) -> Column:
-        return F.array(F.lit(self.header_start), role, F.lit(self.header_end))
+        name = F.array(role) if self.kind == "word" else byte_tokens(role, ())
+        return F.concat(F.array(F.lit(self.special(self.header_start))), name,
+                        F.array(F.lit(self.special(self.header_end))))
 
     def turn(self, role: Column, text: Column) -> Column:
-        return F.concat(self.header(role), word_tokens(text, self.specials), F.array(F.lit(self.eot)))
+        return F.concat(self.header(role), self.tokens(text),
+                        F.array(F.lit(self.special(self.eot))))
 
 
 DEFAULT_TEMPLATE = ChatTemplate()
+BYTE_TEMPLATE = ChatTemplate(kind="byte")
 
 
 def flatten_messages(df: DataFrame, key: str = "conv_id", messages: str = "messages") -> DataFrame:
@@ -90,8 +110,7 @@ def layout(rendered: DataFrame, key: str = "conv_id", order: str = "turn",
     """
     narrow = rendered.select(key, order, "role", "n", F.col("hdr").alias("__hdr"))
     offs = global_offsets(narrow, [key, order], "n", out="__off")
-    assistant_header = F.array(F.lit(template.header_start), F.lit("assistant"),
-                               F.lit(template.header_end))
+    assistant_header = template.header(F.lit("assistant"))
     stats = offs.groupBy(key).agg(
         F.min("__off").alias("__conv_off"), F.sum("n").alias("__body"),
         F.max(order).alias("last_turn"), F.max_by("role", order).alias("last_role"),
@@ -139,14 +158,17 @@ def _tail_pieces(rendered: DataFrame, lay: DataFrame, key: str, order: str,
     if mask:
         # the first (prompt_len - ps) tokens of the piece are prompt: masked
         n_masked = F.least(F.greatest(F.col("prompt_len") - ps, F.lit(0)), F.size(piece)).cast("int")
-        cols.append(F.concat(F.array_repeat(F.lit(ignore), n_masked),
+        # the label takes the ids' type: -100 for integer ids, "-100" for string tokens
+        kind = t.schema["toks"].dataType.elementType
+        ignore = F.lit(ignore).cast(kind)
+        cols.append(F.concat(F.array_repeat(ignore, n_masked),
                              F.slice(piece, n_masked + 1, F.size(piece) - n_masked))
                     .alias("labels"))
     pieces = t.select(*cols)
     conv = lay.where(F.col(order) == F.col("last_turn")).where(cut == 0)
-    bos = [key, F.lit(0).cast("long").alias("pos"), F.array(F.lit(template.bos)).alias("ids")]
+    bos = [key, F.lit(0).cast("long").alias("pos"), F.array(F.lit(template.bos_id)).alias("ids")]
     if mask:
-        bos.append(F.array(F.lit(ignore)).alias("labels"))
+        bos.append(F.array(ignore).alias("labels"))
     bos_rows = conv.select(*bos)
     return pieces.unionByName(bos_rows.select(*pieces.columns))
 
@@ -198,6 +220,27 @@ def sft_examples(turns: DataFrame, max_length: int, key: str = "conv_id", order:
         "full_len", "prompt_len")
 
 
+def sft_examples_nested(df: DataFrame, max_length: int, key: str = "conv_id",
+                        messages: str = "messages", ignore=IGNORE_INDEX, fits_only: bool = False,
+                        template: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
+    """E2-E7 (+B2, B7) for nested ``messages``: the same examples row by row, without a shuffle, so it
+    also runs on a stream. A conversation here already is one record."""
+    turns = F.transform(messages, lambda m: template.turn(m["role"], m["content"]))
+    ok = df.where(F.size(messages) > 0).where(F.element_at(messages, -1)["role"] == "assistant")
+    full = F.concat(F.array(F.lit(template.bos_id)), F.flatten(turns))
+    t = ok.select(key, full.alias("__f"), F.size(F.element_at(turns, -1)).alias("__n")).withColumn(
+        "full_len", F.size("__f").cast("long"))
+    t = t.withColumn("prompt_len", F.col("full_len") - F.col("__n") + template.header_len)
+    if fits_only:
+        t = t.where(F.col("full_len") <= max_length)
+    masked = F.array_repeat(F.lit(ignore).cast(t.schema["__f"].dataType.elementType),
+                            F.col("prompt_len").cast("int"))
+    labels = F.concat(masked, F.slice("__f", F.size(masked) + 1, F.size("__f")))
+    return t.select(key, A.drop_last(A.left_truncate("__f", max_length)).alias("input_ids"),
+                    A.drop_first(A.left_truncate(labels, max_length)).alias("target_ids"),
+                    "full_len", "prompt_len")
+
+
 def resolve_pad_id(pad_id, eos_id):
     """Pad id, else EOS id (works on Python values and Columns)."""
     if isinstance(pad_id, Column) or isinstance(eos_id, Column):
@@ -246,7 +289,7 @@ def resolve_template(models: DataFrame, templates: DataFrame, model: str = "mode
 def format_prompt(df: DataFrame, text: str = "prompt", out: str = "prompt_ids",
                   template: ChatTemplate = DEFAULT_TEMPLATE) -> DataFrame:
     """One user message + the assistant header (generation prompt), row-local."""
-    ids = F.concat(F.array(F.lit(template.bos)), template.turn(F.lit("user"), F.col(text)),
+    ids = F.concat(F.array(F.lit(template.bos_id)), template.turn(F.lit("user"), F.col(text)),
                    template.header(F.lit("assistant")))
     return df.withColumn(out, ids)
 
@@ -262,6 +305,19 @@ def extract_response(df: DataFrame, generated: str, prompt_len: str | Column,
     return df.withColumn(out, dropped)
 
 
+def last_response(turns: DataFrame, key: str = "conv_id", order: str = "turn",
+                  role: str = "assistant", template: ChatTemplate = DEFAULT_TEMPLATE,
+                  out: str = "response") -> DataFrame:
+    """E13 for rendered conversations: the tokens of each conversation's last turn, where ``role``
+    spoke it. The answer is that turn's own row, so nothing is rendered, cut or collected.
+    Specials written inside the text are dropped."""
+    last = turns.groupBy(key).agg(F.max_by(F.struct("role", "text"), order).alias("m")).where(
+        F.col("m.role") == role)
+    marks = [F.lit(template.special(s)) for s in template.specials]
+    return last.select(key, F.filter(template.tokens(F.col("m.text")),
+                                     lambda t: ~t.isin(*marks)).alias(out))
+
+
 def supervised_token_stats(examples: DataFrame, by: Sequence[str], target: str = "target_ids",
                            ignore=IGNORE_INDEX) -> DataFrame:
     """Supervised (non-ignored) and total target positions per group."""

@@ -112,10 +112,10 @@ def perplexity(mean_nll: str | Column) -> Column:
     return F.exp(_c(mean_nll))
 
 
-def compare_runs(log: DataFrame, runs: Sequence[str], run: str = "run", step: str = "step",
-                 value: str = "value", bucket: str = "epoch") -> DataFrame:
-    """One column per run (pivot) of the mean value per bucket."""
-    return log.groupBy(bucket).pivot(run, list(runs)).agg(F.avg(value))
+def compare_runs(log: DataFrame, run: str = "run", value: str = "value", bucket: str = "epoch"
+                 ) -> DataFrame:
+    """(bucket, run, mean_value) for every run of the log."""
+    return log.groupBy(bucket, run).agg(F.avg(value).alias("mean_value"))
 
 
 def first_last(log: DataFrame, run: str = "run", step: str = "step", value: str = "value"

@@ -12,6 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenmill.plans.prefix import materialize
+
+
 def ngrams(tokens: DataFrame, n: int, col: str = "tokens", keep: Sequence[str] = ()) -> DataFrame:
     """Adjacent n-grams inside each token array: (keep..., ctx, next).
 
@@ -41,23 +44,38 @@ def fit_ngram(train_tokens: DataFrame, n: int, vocab_size: int, k: float = 1.0,
               col: str = "tokens") -> DataFrame:
     """Add-k smoothed P(next | ctx) for seen n-grams, plus the context totals.
 
-    Returns (ctx, next, count, ctx_count, logp); unseen (ctx, next) use
-    ``log(k / (ctx_count + k V))`` and unseen contexts ``log(1 / V)``.
+    Returns (ctx, next, count, ctx_count, logp), written once as a table; unseen (ctx, next) use
+    ``log(k / (ctx_count + k V))`` and unseen contexts ``log(1 / V)``. The corpus is counted once:
+    context totals come from the count table, for n = 1 they are one number.
     """
-    counts = ngram_counts(train_tokens, n, col)
-    totals = counts.groupBy("ctx").agg(F.sum("count").alias("ctx_count"))
-    return counts.join(totals, "ctx").withColumn(
+    counts = materialize(ngram_counts(train_tokens, n, col), "ngram_counts")
+    if n == 1:
+        total = counts.agg(F.sum("count")).first()[0] or 0
+        model = counts.withColumn("ctx_count", F.lit(total).cast("long"))
+    else:
+        totals = counts.groupBy("ctx").agg(F.sum("count").alias("ctx_count"))
+        model = materialize(counts.join(totals, "ctx"), "ngram_model")
+    return model.withColumn(
         "logp", F.log((F.col("count") + k) / (F.col("ctx_count") + k * vocab_size)))
 
 
 def score_ngram(model: DataFrame, eval_tokens: DataFrame, n: int, vocab_size: int,
                 k: float = 1.0, col: str = "tokens", by: Sequence[str] = ()) -> DataFrame:
-    """Cross-entropy and perplexity of ``eval_tokens`` under ``model`` (overall or per ``by``)."""
-    ev = ngrams(eval_tokens, n, col, keep=by).groupBy(*by, "ctx", "next").agg(
-        F.count(F.lit(1)).alias("m"))
-    seen = model.select("ctx", "next", "logp")
-    ctx = model.select("ctx", "ctx_count").dropDuplicates(["ctx"])
-    j = ev.join(seen, ["ctx", "next"], "left").join(ctx, "ctx", "left")
+    """Cross-entropy and perplexity of ``eval_tokens`` under ``model`` (overall or per ``by``).
+
+    For n = 1 there is one context, so the join is on the token alone and its total is a number.
+    """
+    ev = ngrams(eval_tokens, n, col, keep=by)
+    if n == 1:
+        row = model.select("ctx_count").first()  # equal in all rows
+        ev = ev.groupBy(*by, "next").agg(F.count(F.lit(1)).alias("m"))
+        j = ev.join(model.select("next", "logp"), "next", "left").withColumn(
+            "ctx_count", F.lit(row[0] if row else None).cast("long"))
+    else:
+        ev = ev.groupBy(*by, "ctx", "next").agg(F.count(F.lit(1)).alias("m"))
+        totals = model.groupBy("ctx").agg(F.max("ctx_count").alias("ctx_count"))
+        j = ev.join(model.select("ctx", "next", "logp"), ["ctx", "next"], "left").join(
+            totals, "ctx", "left")
     unseen = F.when(F.col("ctx_count").isNull(), F.lit(-1.0) * F.log(F.lit(float(vocab_size)))) \
         .otherwise(F.log(F.lit(float(k)) / (F.col("ctx_count") + k * vocab_size)))
     lp = F.coalesce(F.col("logp"), unseen)
@@ -68,22 +86,27 @@ def score_ngram(model: DataFrame, eval_tokens: DataFrame, n: int, vocab_size: in
 
 
 def next_token_candidates(prompts: DataFrame, model: DataFrame, key: str, col: str = "tokens",
-                          n: int = 2) -> DataFrame:
-    """I4: candidate next tokens for the last ``n-1`` tokens of each prompt, with P(next|ctx)."""
+                          n: int = 2, k: int | None = None) -> DataFrame:
+    """I4: candidate next tokens for the last ``n-1`` tokens of each prompt, with P(next|ctx).
+
+    With ``k`` only the ``k`` best of a context (ties kept) are joined, with their ``rank``: the
+    model is ranked before the prompts multiply it, so the result holds about prompts x k rows.
+    """
     if n == 2:
         last = prompts.where(F.size(col) >= 1).select(key, F.element_at(col, -1).alias("ctx"))
     else:
         last = prompts.where(F.size(col) >= n - 1).select(
             key, F.slice(col, -(n - 1), n - 1).alias("ctx"))
-    return last.join(model, "ctx").select(key, "ctx", "next", F.exp("logp").alias("prob"))
+    cols = [key, "ctx", "next", F.exp("logp").alias("prob")]
+    if k is not None:
+        asked = model.join(last.select("ctx").distinct(), "ctx", "left_semi")
+        w = Window.partitionBy("ctx").orderBy(F.col("logp").desc())
+        model = asked.withColumn("rank", F.rank().over(w)).where(F.col("rank") <= k)
+        cols.append("rank")
+    return last.join(model, "ctx").select(*cols)
 
 
 def vocab_size(tokens: DataFrame, col: str = "tokens") -> int:
     """Distinct token count (one scalar)."""
     return tokens.select(F.explode(col).alias("t")).distinct().count()
 
-
-def top_candidates(cands: DataFrame, key: str, k: int) -> DataFrame:
-    """Top-k candidates per prompt by probability (ties kept)."""
-    w = Window.partitionBy(key).orderBy(F.col("prob").desc())
-    return cands.withColumn("rank", F.rank().over(w)).where(F.col("rank") <= k)

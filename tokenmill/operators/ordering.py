@@ -63,6 +63,13 @@ def split_by_document(df: DataFrame, key: str, frac: float = 0.1, seed: int = 0,
     return df.withColumn(out, F.when(u < frac, F.lit("validation")).otherwise(F.lit("train")))
 
 
+def split_by_content(df: DataFrame, text: str = "text", frac: float = 0.1, seed: int = 0,
+                     out: str = "split") -> DataFrame:
+    """Equal texts go to one split, whatever their ids: u(seed, digest of the text) < frac."""
+    u = md5_uniform(F.lit(seed), F.md5(F.coalesce(F.col(text), F.lit(""))))
+    return df.withColumn(out, F.when(u < frac, F.lit("validation")).otherwise(F.lit("train")))
+
+
 def split_leaks(df: DataFrame, key: str, split: str = "split") -> DataFrame:
     """Keys present in both train and validation (must be empty): a semi join."""
     tr = df.where(F.col(split) == "train").select(key).distinct()
@@ -98,13 +105,12 @@ def batch_shape(df: DataFrame, length: str | Column, batch: str = "batch_id",
                 static_width: int | None = None) -> DataFrame:
     """Per batch: rows, longest sequence, real tokens, pad waste (dynamic / static)."""
     n = _c(length)
-    out = df.groupBy(batch).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.max(n).alias("max_len"),
-        F.sum(n).alias("real_tokens"))
-    out = out.withColumn("dynamic_pad", F.col("n_rows") * F.col("max_len") - F.col("real_tokens"))
-    if static_width is not None:
-        out = out.withColumn("static_pad", F.col("n_rows") * static_width - F.col("real_tokens"))
-    return out
+    aggs = [F.count(F.lit(1)).alias("n_rows"), F.max(n).alias("max_len"),
+            F.sum(n).alias("real_tokens")]
+    if static_width is not None:  # rows above the width are cut to it, so they waste nothing
+        aggs.append(F.sum(static_width - F.least(n, F.lit(static_width))).alias("static_pad"))
+    out = df.groupBy(batch).agg(*aggs)
+    return out.withColumn("dynamic_pad", F.col("n_rows") * F.col("max_len") - F.col("real_tokens"))
 
 
 def plan_steps(batches: DataFrame, epochs: int = 1, batch: str = "batch_id",

@@ -17,10 +17,6 @@ from tokenmill.plans.prefix import global_rank
 SIDES = ("chosen", "rejected")
 
 
-def _side_no(side: Column) -> Column:
-    return F.when(side == "chosen", F.lit(0)).otherwise(F.lit(1))
-
-
 def pairs_from_prompts(df: DataFrame, key: str = "pair_id", prompt: str = "prompt",
                        chosen: str = "chosen", rejected: str = "rejected") -> DataFrame:
     """(prompt, chosen, rejected) strings -> flat two-turn conversations per side."""
@@ -67,11 +63,9 @@ def encode_pairs(pairs: DataFrame, max_length: int, template: C.ChatTemplate = C
 
     Output: (pair_id, side, ids, full_len) - one row per side.
     """
-    keyed = pairs.withColumn("__pk", F.col("pair_id") * 2 + _side_no(F.col("side")))
-    r = C.render_chat(keyed.drop("pair_id", "side"), max_length, key="__pk", template=template)
-    return r.select((F.col("__pk") / 2).cast("long").alias("pair_id"),
-                    F.when(F.col("__pk") % 2 == 0, F.lit("chosen")).otherwise(F.lit("rejected"))
-                    .alias("side"), "ids", "full_len")
+    keyed = pairs.withColumn("__pk", F.struct("pair_id", "side")).drop("pair_id", "side")
+    r = C.render_chat(keyed, max_length, key="__pk", template=template)
+    return r.select("__pk.pair_id", "__pk.side", "ids", "full_len")
 
 
 def pair_fits(encoded: DataFrame, max_length: int) -> DataFrame:
@@ -82,10 +76,31 @@ def pair_fits(encoded: DataFrame, max_length: int) -> DataFrame:
 
 
 def to_wide(encoded: DataFrame) -> DataFrame:
-    """One row per pair: chosen_ids, rejected_ids (a two-row pivot, no shuffle beyond the key)."""
-    return encoded.groupBy("pair_id").agg(
-        F.max_by("ids", F.col("side") == "chosen").alias("chosen_ids"),
-        F.max_by("ids", F.col("side") == "rejected").alias("rejected_ids"))
+    """One row per pair: chosen_ids, rejected_ids; a side that a pair lacks is null."""
+    def ids_of(side: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col("ids")))
+
+    return encoded.groupBy("pair_id").agg(ids_of("chosen").alias("chosen_ids"),
+                                          ids_of("rejected").alias("rejected_ids"))
+
+
+def incomplete_pairs(encoded: DataFrame) -> DataFrame:
+    """(pair_id, missing) of the pairs that lack a side."""
+    has = [F.max((F.col("side") == s).cast("int")).alias(s) for s in SIDES]
+    return (encoded.groupBy("pair_id").agg(*has).where("chosen = 0 or rejected = 0")
+            .select("pair_id", F.when(F.col("chosen") == 0, "chosen").otherwise("rejected")
+                    .alias("missing")))
+
+
+def flatten_pairs(df: DataFrame, key: str = "pair_id", chosen: str = "chosen",
+                  rejected: str = "rejected") -> DataFrame:
+    """A4: nested ``chosen`` / ``rejected`` message lists -> (pair_id, side, turn, role, text)."""
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(c).alias("messages"))
+                      for s, c in zip(SIDES, (chosen, rejected))])
+    rows = df.select(F.col(key).alias("pair_id"), F.explode(sides).alias("s"))
+    return rows.select("pair_id", "s.side", F.posexplode("s.messages").alias("turn", "m")).select(
+        "pair_id", "side", F.col("turn").cast("long").alias("turn"), F.col("m.role").alias("role"),
+        F.col("m.content").alias("text"))
 
 
 def pad_pairs(wide: DataFrame, pad, mode: str = "dynamic", max_length: int | None = None,

@@ -21,17 +21,26 @@ def as_double_array(col: str) -> F.Column:
     return F.col(col).cast("array<double>")
 
 
-def ranking_pairs(vectors: DataFrame, key: str, vec: str, label: str, chosen_label,
-                  rejected_label) -> DataFrame:
-    """Pair the i-th ``chosen_label`` vector with the i-th ``rejected_label`` vector (both in
-    ``key`` order): a rank equi-join, linear in the data (no cross product).
+def ranking_pairs(vectors: DataFrame, key: str, vec: str, chosen: F.Column, rejected: F.Column
+                  ) -> DataFrame:
+    """Pair the i-th vector for which ``chosen`` holds with the i-th for which ``rejected`` holds
+    (both in ``key`` order); the shorter side is used again from its start until the longer one
+    ends, so every vector of either side is in a pair. A rank equi-join, linear in the data.
     Output: (pair_id, chosen, rejected, feature = chosen - rejected)."""
-    def side(lbl, name):
-        s = vectors.where(F.col(label) == lbl).select(key, as_double_array(vec).alias(name))
-        return global_rank(s, [key], out="pair_id").drop(key)
-    c, r = side(chosen_label, "chosen"), side(rejected_label, "rejected")
-    return c.join(r, "pair_id").withColumn(
-        "feature", F.zip_with("chosen", "rejected", lambda a, b: a - b))
+    def side(which, name):
+        s = vectors.where(which).select(key, as_double_array(vec).alias(name))
+        ranked = global_rank(s.select(key), [key], out="__r")  # the key alone is ranked
+        return s.join(ranked, key).drop(key), ranked.count()
+
+    (c, n_c), (r, n_r) = side(chosen, "chosen"), side(rejected, "rejected")
+    if n_c >= n_r:
+        pairs = c.withColumn("pair_id", F.col("__r")).withColumn(
+            "__r", (F.col("__r") - 1) % max(n_r, 1) + 1).join(r, "__r")
+    else:
+        pairs = r.withColumn("pair_id", F.col("__r")).withColumn(
+            "__r", (F.col("__r") - 1) % max(n_c, 1) + 1).join(c, "__r")
+    return pairs.select("pair_id", "chosen", "rejected", F.zip_with(
+        "chosen", "rejected", lambda a, b: a - b).alias("feature"))
 
 
 def score_linear(df: DataFrame, vec: str, weights: Sequence[float], out: str = "score"

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.plans.prefix import global_rank
+from tokenmill.plans.prefix import global_offsets
 
+# The column names of the metrics CSV.
 CSV_SCHEMA = ("timestamp string, epoch int, step bigint, train_loss double, "
               "train_perplexity double, val_loss double, val_perplexity double")
 CSV_COLUMNS = ["timestamp", "epoch", "step", "train_loss", "train_perplexity", "val_loss",
@@ -70,14 +71,16 @@ def resume_point(arts: DataFrame, run: str = "run") -> DataFrame:
 
 def merge_resumed_runs(log: DataFrame, segment: str, step: str = "step", ts: str = "ts",
                        out: str = "merged_step") -> DataFrame:
-    """A resumed run restarts its log; stitch the segments (ordered by their first
-    timestamp) into one step axis. ``local_step`` restarts at 0 per segment; ``out`` is
-    the position on the merged axis (range-partitioned global rank, no global window)."""
-    first = log.groupBy(segment).agg(F.min(ts).alias("__first"))
-    keyed = log.join(first, segment)
-    ranked = global_rank(keyed, ["__first", segment, step], out="__r")
-    base = ranked.groupBy(segment).agg(F.min("__r").alias("__b"))
-    return (ranked.join(base, segment)
-            .withColumn(out, F.col("__r") - 1)
-            .withColumn("local_step", F.col("__r") - F.col("__b"))
-            .drop("__first", "__r", "__b"))
+    """A resumed run restarts its step counter; put its segments (ordered by their first
+    timestamp, then name) on one axis: ``out`` = step + the sum of the largest steps of the earlier
+    segments. ``local_step`` is the step itself.
+
+    One row per segment is summed up and joined back; the log is neither sorted nor ranked.
+    """
+    per = log.groupBy(segment).agg(F.min(ts).alias("__first"),
+                                   F.max(step).cast("long").alias("__last"))
+    offsets = global_offsets(per, ["__first", segment], "__last", out="__shift").select(
+        segment, "__shift")
+    return (log.join(offsets, segment)
+            .withColumn(out, F.col(step) + F.col("__shift")).withColumn("local_step", F.col(step))
+            .drop("__shift"))

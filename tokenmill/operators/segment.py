@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.config import EOS_TEXT, HEADING_PREFIX, SUBHEADING_PREFIX
-from tokenmill.functions.text import is_blank, split_lines, word_tokens
+from tokenmill.functions.text import corpus_lines, is_blank, word_tokens
 from tokenmill.plans.prefix import global_offsets, materialize
 
 
@@ -29,9 +29,15 @@ def drop_blank(df: DataFrame, col: str = "text") -> DataFrame:
 
 def explode_lines(df: DataFrame, key: Sequence[str] | str = "doc_id", text: str = "text",
                   out: str = "line") -> DataFrame:
-    """One row per line (``str.splitlines`` boundaries), ``line_no`` from 0."""
+    """The lines of the corpus made of the rows in ``key`` order (a unique key), joined with a
+    line feed and split at every line boundary. One row per line, ``line_no`` from 0 in its
+    source row; a null text is an empty row."""
     key = [key] if isinstance(key, str) else list(key)
-    return df.select(*key, F.posexplode(split_lines(text)).alias("line_no", out))
+    last = df.agg(F.max(F.struct(*key)).alias("k")).first()["k"]  # one key
+    is_last = F.lit(True)
+    for c in key:
+        is_last = is_last & F.col(c).eqNullSafe(F.lit(last[c] if last is not None else None))
+    return df.select(*key, F.posexplode(corpus_lines(text, is_last)).alias("line_no", out))
 
 
 def is_heading(line: str | Column) -> Column:
@@ -58,16 +64,6 @@ def segment_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
                     (F.col("__heads_before") + F.col("__run")).alias("seg_id")))
 
 
-def segment_stats(lines: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per segment: line count, first source row and whether it is blank (bounded aggregates)."""
-    return lines.groupBy("seg_id").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.min(key).alias("first_" + key),
-        F.max((~is_blank("line")).cast("int")).alias("__nonblank"),
-        (F.sum(F.length("line")) + F.count(F.lit(1)) - 1).alias("n_chars"),
-    )
-
-
 def segment_by_heading(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """C2 + B1: documents (seg_id, text) built from the line corpus, blanks dropped."""
     lines = segment_lines(df, key, text)
@@ -81,11 +77,15 @@ def segment_by_heading(df: DataFrame, key: str = "doc_id", text: str = "text") -
 
 def heading_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Line-corpus fixture: doc_id % 3 == 0 gets a " = Doc <id> = " heading, == 1 gets a
-    " = = Part = = " sub-heading, each as an extra first line of the row."""
+    " = = Part = = " sub-heading, each as an extra first line of the row; some rows end in a line
+    feed (% 7 == 0), a carriage return (% 7 == 1) or are empty (% 11 == 0)."""
+    tail = (F.when(F.col(key) % 7 == 0, F.concat(F.col(text), F.lit("\n")))
+            .when(F.col(key) % 7 == 1, F.concat(F.col(text), F.lit("\r"))).otherwise(F.col(text)))
+    docs = docs.select(key, F.when(F.col(key) % 11 == 0, F.lit("")).otherwise(tail).alias(text))
     head = (F.when(F.col(key) % 3 == 0, F.concat(F.lit(" = Doc "), F.col(key).cast("string"),
                                                   F.lit(" = ")))
             .when(F.col(key) % 3 == 1, F.lit(" = = Part = = ")))
-    return docs.select(key, F.when(head.isNull(), F.col(text))
+    return docs.select(key, F.when(head.isNull() | (F.col(key) % 11 == 0), F.col(text))
                        .otherwise(F.concat(head, F.lit("\n"), F.col(text))).alias(text))
 
 

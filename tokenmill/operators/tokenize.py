@@ -21,6 +21,7 @@ from tokenmill.plans.prefix import global_rank, materialize
 
 DEFAULT_SPECIALS = (EOS_TEXT,)
 UNK_TEXT = "<unk>"
+RESERVED = (EOS_TEXT, EOT_TEXT, PAD_TEXT)  # ids 0, 1, 2 of a word vocabulary; <unk> follows
 
 # A vocabulary at or below this many rows is broadcast to the id lookup; larger ones
 # use a shuffle join (AQE splits hot tokens).
@@ -28,7 +29,7 @@ BROADCAST_VOCAB_ROWS = 2_000_000
 
 
 def encode(df: DataFrame, text_col: str = "text", kind: str = "word", out: str = "tokens",
-           specials: Sequence[str] = DEFAULT_SPECIALS, ranks: DataFrame | None = None) -> DataFrame:
+           specials: Sequence[str] = DEFAULT_SPECIALS, ranks=None) -> DataFrame:
     """Text -> tokens. ``word`` gives strings, ``byte``/``bpe`` give int ids."""
     if kind == "word":
         return df.withColumn(out, T.word_tokens(text_col, specials))
@@ -44,7 +45,7 @@ def encode(df: DataFrame, text_col: str = "text", kind: str = "word", out: str =
 
 def decode(df: DataFrame, ids_col: str = "tokens", kind: str = "word", out: str = "decoded",
            specials: Sequence[str] = DEFAULT_SPECIALS, vocab: DataFrame | None = None,
-           key: Sequence[str] = ()) -> DataFrame:
+           key: Sequence[str] = (), ranks=None) -> DataFrame:
     """C4: tokens -> text. ``[]`` decodes to ``""``.
 
     ``byte`` is exact. ``word`` joins tokens with single spaces (lossy); with a
@@ -58,13 +59,19 @@ def decode(df: DataFrame, ids_col: str = "tokens", kind: str = "word", out: str
         strings = ids_to_tokens(df.select(*key, ids_col), ids_col, vocab, key, out="__toks")
         return df.join(strings, list(key), "left").withColumn(
             out, F.coalesce(F.array_join("__toks", " "), F.lit(""))).drop("__toks")
-    raise ValueError(f"decode not available for kind {kind!r}")
+    if kind == "bpe":
+        from tokenmill.operators.bpe import bpe_decode
+        if ranks is None:
+            raise ValueError("bpe needs a rank table (merges)")
+        return bpe_decode(df, ids_col, ranks, out=out, specials=specials)
+    raise ValueError(f"unknown tokenizer kind {kind!r}")
 
 
-def special_ids(spark, kind: str = "word", specials: Sequence[str] = (EOS_TEXT, EOT_TEXT, PAD_TEXT)
+def special_ids(spark, kind: str = "word", specials: Sequence[str] = RESERVED, n_ranks: int = 0
                 ) -> DataFrame:
-    """The special-token table (token, id). Word ids are 0..k-1, byte ids 256..."""
-    base = BYTE_VOCAB if kind == "byte" else 0
+    """The special-token table (token, id): the layout that :func:`build_vocab` reserves (word
+    ids 0..k-1), ids from 256 (byte), ids after the ranks (bpe)."""
+    base = {"word": 0, "byte": BYTE_VOCAB, "bpe": n_ranks}[kind]
     return spark.createDataFrame([(s, base + i) for i, s in enumerate(specials)],
                                  "token string, id int")
 
@@ -85,7 +92,7 @@ def crop_context(df: DataFrame, tokens: str, n: int, out: str | None = None) ->
 
 
 def build_vocab(tokens_df: DataFrame, tokens: str = "tokens", min_count: int = 1,
-                max_size: int | None = None, specials: Sequence[str] = DEFAULT_SPECIALS,
+                max_size: int | None = None, specials: Sequence[str] = RESERVED,
                 unk: str | None = UNK_TEXT) -> DataFrame:
     """(token, id, count). Specials (and ``unk``) take ids 0..k-1, then tokens by
     count desc, token asc. Counting is a partial+final hash aggregate; ranking runs on
@@ -153,9 +160,9 @@ def ids_to_tokens(df: DataFrame, ids: str, vocab: DataFrame, key: Sequence[str],
 
 
 def roundtrip_audit(df: DataFrame, text_col: str = "text", kind: str = "byte",
-                    specials: Sequence[str] = DEFAULT_SPECIALS) -> DataFrame:
+                    specials: Sequence[str] = DEFAULT_SPECIALS, ranks=None) -> DataFrame:
     """C11: rows where decode(encode(text)) != text, with both texts."""
-    enc = encode(df, text_col, kind, out="__ids", specials=specials)
-    dec = decode(enc, "__ids", kind, out="decoded", specials=specials)
+    enc = encode(df, text_col, kind, out="__ids", specials=specials, ranks=ranks)
+    dec = decode(enc, "__ids", kind, out="decoded", specials=specials, ranks=ranks)
     return dec.withColumn("roundtrip_ok", F.col("decoded") == F.col(text_col)).drop("__ids")
 

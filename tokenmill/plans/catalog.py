@@ -9,3 +9,5 @@ from tokenmill.plans import sampling  # noqa: F401
 from tokenmill.plans import runlog  # noqa: F401
 from tokenmill.plans import ranking  # noqa: F401
 from tokenmill.plans import streams  # noqa: F401
+from tokenmill.plans import flows  # noqa: F401
+from tokenmill.plans import io  # noqa: F401

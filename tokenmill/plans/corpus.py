@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.functions.text import word_pattern
+from tokenmill.config import BLANK_CLASS
+from tokenmill.functions.text import is_blank, word_pattern
 from tokenmill.operators import ordering as O
 from tokenmill.operators import segment as seg
 from tokenmill.plans.registry import register
 from tokenmill.sources.tables import table
 
 RX = word_pattern()
+BLANK = f"[{BLANK_CLASS}]*"
 LINE_RX = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
 
 
@@ -19,18 +21,23 @@ def _docs(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select("doc_id", "text")
 
 
+# the corpus by its definition: rows joined with a line feed, then split
+RAW_LINES = f"""
+raw AS (SELECT string_agg(CASE WHEN doc_id % 11 = 0 THEN '' WHEN doc_id % 3 = 0 THEN ' = Doc ' || doc_id || ' = ' || chr(10) || x
+                          WHEN doc_id % 3 = 1 THEN ' = = Part = = ' || chr(10) || x ELSE x END,
+                          chr(10) ORDER BY doc_id) AS raw
+        FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN text || chr(10) WHEN doc_id % 7 = 1 THEN text || chr(13)
+                             ELSE text END AS x FROM documents)),
+p AS (SELECT string_split_regex(raw, '{LINE_RX}') AS parts FROM raw),
+k AS (SELECT line, ln FROM (SELECT unnest(parts) AS line, generate_subscripts(parts, 1) AS ln, len(parts) AS np FROM p)
+      WHERE NOT (ln = np AND line = ''))
+"""
 SEGMENT_SQL = f"""
-WITH src AS (
-  SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN ' = Doc ' || doc_id || ' = ' || chr(10) || text
-                      WHEN doc_id % 3 = 1 THEN ' = = Part = = ' || chr(10) || text
-                      ELSE text END AS text FROM documents),
-p AS (SELECT doc_id, string_split_regex(text, '{LINE_RX}') AS parts FROM src),
-l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS ln, len(parts) AS np FROM p),
-k AS (SELECT * FROM l WHERE NOT (ln = np AND line = '')),
+WITH {RAW_LINES},
 s AS (SELECT *, sum(CASE WHEN starts_with(line, ' = ') AND NOT starts_with(line, ' = = ') THEN 1 ELSE 0 END)
-                OVER (ORDER BY doc_id, ln ROWS UNBOUNDED PRECEDING) AS seg_id FROM k),
-d AS (SELECT seg_id, string_agg(line, chr(10) ORDER BY doc_id, ln) AS t,
-             max(CASE WHEN regexp_full_match(line, '\\s*') THEN 0 ELSE 1 END) AS nonblank
+                OVER (ORDER BY ln ROWS UNBOUNDED PRECEDING) AS seg_id FROM k),
+d AS (SELECT seg_id, string_agg(line, chr(10) ORDER BY ln) AS t,
+             max(CASE WHEN regexp_full_match(line, '{BLANK}') THEN 0 ELSE 1 END) AS nonblank
       FROM s GROUP BY seg_id)
 SELECT CAST(seg_id AS BIGINT) AS seg_id, CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5
 FROM d WHERE nonblank = 1
@@ -46,25 +53,31 @@ def segment_headings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 LINES_SQL = f"""
-WITH p AS (SELECT doc_id, string_split_regex(text, '{LINE_RX}') AS parts FROM documents),
-l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS ln, len(parts) AS np FROM p)
-SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines,
-       CAST(sum(CASE WHEN regexp_full_match(line, '\\s*') THEN 0 ELSE 1 END) AS BIGINT) AS n_nonblank,
+WITH {RAW_LINES}
+SELECT md5(line) AS line_md5, CAST(count(*) AS BIGINT) AS n_lines,
+       CAST(sum(CASE WHEN regexp_full_match(line, '{BLANK}') THEN 0 ELSE 1 END) AS BIGINT) AS n_nonblank,
        CAST(sum(length(line)) AS BIGINT) AS line_chars
-FROM l WHERE NOT (ln = np AND line = '') GROUP BY doc_id
+FROM k GROUP BY md5(line)
 """
 
 
 @register("explode_lines", "C1 B1", LINES_SQL)
 def explode_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = seg.explode_lines(_docs(spark, sf))
-    nonblank = seg.drop_blank(lines, "line")
-    a = lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"),
-                                    F.sum(F.length("line")).cast("long").alias("line_chars"))
-    b = nonblank.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_nonblank"))
-    return a.join(b, "doc_id", "left").select(
-        "doc_id", "n_lines", F.coalesce("n_nonblank", F.lit(0)).cast("long").alias("n_nonblank"),
-        "line_chars")
+    lines = seg.explode_lines(seg.heading_corpus(_docs(spark, sf)))
+    return lines.groupBy(F.md5("line").alias("line_md5")).agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum((~is_blank("line")).cast("int")).cast("long").alias("n_nonblank"),
+        F.sum(F.length("line")).cast("long").alias("line_chars"))
+
+
+@register("drop_blank", "B1 (lines that strip to nothing)", f"""
+WITH {RAW_LINES}
+SELECT md5(line) AS line_md5, CAST(count(*) AS BIGINT) AS n FROM k
+WHERE NOT regexp_full_match(line, '{BLANK}') GROUP BY md5(line)
+""")
+def drop_blank(spark: SparkSession, sf: str) -> DataFrame:
+    lines = seg.drop_blank(seg.explode_lines(seg.heading_corpus(_docs(spark, sf))), "line")
+    return lines.groupBy(F.md5("line").alias("line_md5")).agg(F.count(F.lit(1)).alias("n"))
 
 
 TAIL_SPLIT_SQL = """
@@ -81,21 +94,23 @@ def tail_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 DOC_SPLIT_SQL = """
-WITH s AS (SELECT doc_id, CASE WHEN CAST(('0x' || substr(md5('3:' || doc_id), 1, 13)) AS BIGINT)
-                                 / 4503599627370496.0 < 0.1 THEN 'validation' ELSE 'train' END AS split
+WITH s AS (SELECT text, CASE WHEN CAST(('0x' || substr(md5('3:' || md5(text)), 1, 13)) AS BIGINT)
+                                / 4503599627370496.0 < 0.1 THEN 'validation' ELSE 'train' END AS split
            FROM documents)
-SELECT split, CAST(count(*) AS BIGINT) AS n_docs,
-       CAST((SELECT count(*) FROM s a JOIN s b USING (doc_id) WHERE a.split <> b.split) AS BIGINT) AS n_leaked
+SELECT split, CAST(count(*) AS BIGINT) AS n_docs, CAST(count(DISTINCT text) AS BIGINT) AS n_texts,
+       CAST((SELECT count(*) FROM (SELECT text FROM s GROUP BY text HAVING count(DISTINCT split) > 1)) AS BIGINT)
+         AS n_leaked
 FROM s GROUP BY split
 """
 
 
-@register("doc_split_leak", "G3 (split by document + semi-join leak check)", DOC_SPLIT_SQL)
+@register("doc_split_leak", "G3 (split by content; leaks looked for by text)", DOC_SPLIT_SQL)
 def doc_split_leak(spark: SparkSession, sf: str) -> DataFrame:
-    s = O.split_by_document(_docs(spark, sf).select("doc_id"), "doc_id", 0.1, seed=3)
-    n_leaked = O.split_leaks(s, "doc_id").count()  # one scalar (must be 0)
-    counts = s.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"))
-    return counts.select("split", "n_docs", F.lit(n_leaked).cast("long").alias("n_leaked"))
+    s = O.split_by_content(_docs(spark, sf), "text", 0.1, seed=3).withColumn("digest", F.md5("text"))
+    n_leaked = O.split_leaks(s, "digest").count()  # one scalar (must be 0)
+    counts = s.groupBy("split").agg(F.count(F.lit(1)).alias("n_docs"),
+                                    F.count_distinct("digest").alias("n_texts"))
+    return counts.select("split", "n_docs", "n_texts", F.lit(n_leaked).cast("long").alias("n_leaked"))
 
 
 BATCH_PLAN_SQL = """
@@ -120,7 +135,7 @@ b AS (SELECT (rn - 1) // 7 AS batch_id, n_tok FROM r)
 SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n_rows,
        CAST(max(n_tok) AS INTEGER) AS max_len, CAST(sum(n_tok) AS BIGINT) AS real_tokens,
        CAST(count(*) * max(n_tok) - sum(n_tok) AS BIGINT) AS dynamic_pad,
-       CAST(count(*) * 4096 - sum(n_tok) AS BIGINT) AS static_pad
+       CAST(sum(4096 - least(n_tok, 4096)) AS BIGINT) AS static_pad
 FROM b GROUP BY batch_id
 """
 
@@ -168,17 +183,11 @@ def step_plan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SEGMENT_WINDOWS_SQL = f"""
-WITH src AS (
-  SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN ' = Doc ' || doc_id || ' = ' || chr(10) || text
-                      WHEN doc_id % 3 = 1 THEN ' = = Part = = ' || chr(10) || text
-                      ELSE text END AS text FROM documents),
-p AS (SELECT doc_id, string_split_regex(text, '{LINE_RX}') AS parts FROM src),
-l AS (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS ln, len(parts) AS np FROM p),
-k AS (SELECT * FROM l WHERE NOT (ln = np AND line = '')),
+WITH {RAW_LINES},
 s AS (SELECT *, sum(CASE WHEN starts_with(line, ' = ') AND NOT starts_with(line, ' = = ') THEN 1 ELSE 0 END)
-                OVER (ORDER BY doc_id, ln ROWS UNBOUNDED PRECEDING) AS seg_id FROM k),
-d AS (SELECT seg_id, string_agg(line, chr(10) ORDER BY doc_id, ln) AS t,
-             max(CASE WHEN regexp_full_match(line, '\\s*') THEN 0 ELSE 1 END) AS nonblank
+                OVER (ORDER BY ln ROWS UNBOUNDED PRECEDING) AS seg_id FROM k),
+d AS (SELECT seg_id, string_agg(line, chr(10) ORDER BY ln) AS t,
+             max(CASE WHEN regexp_full_match(line, '{BLANK}') THEN 0 ELSE 1 END) AS nonblank
       FROM s GROUP BY seg_id),
 t AS (SELECT seg_id, list_append(regexp_extract_all(t, '{RX}'), '<|endoftext|>') AS a FROM d WHERE nonblank = 1),
 g AS (SELECT row_number() OVER (ORDER BY seg_id, pos) - 1 AS i, tok

@@ -14,6 +14,9 @@ from tokenmill.config import EOS_TEXT, IGNORE_INDEX, PAD_TEXT
 from tokenmill.operators import chat as C
 from tokenmill.operators import ordering as O
 from tokenmill.operators import preference as P
+from tokenmill.operators import windows as win
+from tokenmill.operators.segment import segment_lines, segment_tokens
+from tokenmill.plans.prefix import materialize
 from tokenmill.plans.pretrain import lm_dataset
 
 
@@ -28,15 +31,35 @@ def _batches(df: DataFrame, split: str, key: str, batch_size: int, seed: int, ep
     return O.assign_batches(df, [key], batch_size)
 
 
+def _planned(rows: DataFrame, key: str, batch_size: int, val_fraction: float,
+             max_examples: int | None, seed: int) -> DataFrame:
+    """``rows`` with split, batch_id and pos_in_batch: the plan is made on the key column alone and
+    joined back once, so token arrays are not ranked."""
+    rows = materialize(rows, "examples")
+    keys = O.tail_split(O.cap_examples(rows.select(key), [key], max_examples), [key], val_fraction)
+    parts = [_batches(keys.where(F.col("split") == s), s, key, batch_size, seed, 0, False)
+             for s in ("train", "validation")]
+    return rows.join(parts[0].unionByName(parts[1]), key)
+
+
 def pretraining_examples(docs: DataFrame, max_length: int = 256, stride: int = 128,
                          batch_size: int = 4, split_col: str = "split", key: str = "doc_id",
-                         seed: int = 0, epoch: int = 0, kind: str = "word") -> DataFrame:
-    """§3.1: per split: encode -> EOS -> stream offsets -> windows (input, target);
-    train shuffled with the last partial batch dropped, other splits in order."""
-    splits = [r[0] for r in docs.select(split_col).distinct().collect()]  # a few names
+                         seed: int = 0, epoch: int = 0, kind: str = "word",
+                         splits: tuple[str, ...] = ("train", "validation", "test"),
+                         headings: bool = False) -> DataFrame:
+    """§3.1: per named split: (segment the line corpus at its headings) -> encode -> EOS -> stream
+    offsets -> windows (input, target); train shuffled with the last partial batch dropped,
+    other splits in order. ``headings`` says that the rows are lines of a corpus, not documents;
+    segments are then cut into windows without building document strings."""
     out = None
-    for s in sorted(splits):
-        w = lm_dataset(docs.where(F.col(split_col) == s), max_length, stride, kind=kind, key=key)
+    for s in splits:
+        rows = docs.where(F.col(split_col) == s)
+        if headings:
+            toks = segment_tokens(segment_lines(rows, key), key)
+            offs, n = win.stream_offsets(toks, ["seg_id", key, "line_no"], with_total=True)
+            w = win.sliding_windows(offs, max_length, stride, n_tokens=n)
+        else:
+            w = lm_dataset(rows, max_length, stride, kind=kind, key=key)
         b = _batches(w, s, "window_id", batch_size, seed, epoch, drop_last_train=True)
         b = b.withColumn(split_col, F.lit(s))
         out = b if out is None else out.unionByName(b)
@@ -46,8 +69,8 @@ def pretraining_examples(docs: DataFrame, max_length: int = 256, stride: int = 1
 def sft_dataset(turns: DataFrame, max_length: int = 1024, batch_size: int = 4,
                 val_fraction: float = 0.01, filter_small: bool = False, filter_scan: int = 50000,
                 max_examples: int | None = None, dynamic_padding: bool = True,
-                pad_id=PAD_TEXT, ignore=IGNORE_INDEX, seed: int = 0, key: str = "conv_id"
-                ) -> DataFrame:
+                pad_id=None, ignore=IGNORE_INDEX, seed: int = 0, key: str = "conv_id",
+                template: C.ChatTemplate = C.DEFAULT_TEMPLATE) -> DataFrame:
     """§3.2: bounded scan -> fits -> cap -> tail split -> mask/truncate/shift -> batches -> pad.
 
     Conversations whose last message is not the assistant's are left out (B7).
@@ -55,15 +78,12 @@ def sft_dataset(turns: DataFrame, max_length: int = 1024, batch_size: int = 4,
     if filter_small:
         scanned = O.first_n_by_order(turns.select(key).distinct(), [key], filter_scan)
         turns = turns.join(scanned, key, "left_semi")
-    ex = C.sft_examples(turns, max_length, key=key, ignore=ignore, fits_only=filter_small)
-    ex = O.cap_examples(ex, [key], max_examples)
-    ex = O.tail_split(ex, [key], val_fraction)
-    parts = []
-    for s in ("train", "validation"):
-        part = _batches(ex.where(F.col("split") == s), s, key, batch_size, seed, 0, False)
-        parts.append(part)
-    out = parts[0].unionByName(parts[1])
-    pads = {"input_ids": C.resolve_pad_id(pad_id, EOS_TEXT), "target_ids": ignore}
+    ex = C.sft_examples(turns, max_length, key=key, ignore=ignore, fits_only=filter_small,
+                        template=template)
+    out = _planned(ex, key, batch_size, val_fraction, max_examples, seed)
+    kind = ex.schema["target_ids"].dataType.elementType
+    pad = C.resolve_pad_id(pad_id, template.special(EOS_TEXT))
+    pads = {"input_ids": pad, "target_ids": F.lit(ignore).cast(kind)}
     if dynamic_padding:
         # batch ids restart per split, so the padding window is per (split, batch)
         out = out.withColumn("__b", F.concat_ws(":", "split", F.col("batch_id").cast("string")))
@@ -83,11 +103,7 @@ def reward_dataset(pairs: DataFrame, max_length: int = 1024, batch_size: int = 4
     enc = P.encode_pairs(pairs, max_length)
     if filter_small:
         enc = P.pair_fits(enc, max_length)
-    wide = O.cap_examples(P.to_wide(enc), ["pair_id"], max_examples)
-    wide = O.tail_split(wide, ["pair_id"], val_fraction)
-    parts = [_batches(wide.where(F.col("split") == s), s, "pair_id", batch_size, seed, 0, False)
-             for s in ("train", "validation")]
-    out = parts[0].unionByName(parts[1])
+    out = _planned(P.to_wide(enc), "pair_id", batch_size, val_fraction, max_examples, seed)
     if dynamic_padding:
         out = out.withColumn("__b", F.concat_ws(":", "split", F.col("batch_id").cast("string")))
         return P.pad_pairs(out, pad_id, "dynamic", batch="__b").drop("__b")

@@ -132,8 +132,7 @@ def next_token(spark: SparkSession, sf: str) -> DataFrame:
     toks, V = split_tokens(spark, sf)
     model = N.fit_ngram(toks, 2, V, k=1.0)
     bench = table(spark, sf, "benchmark").select("item_id", word_tokens("text").alias("tokens"))
-    cands = N.next_token_candidates(bench, model, "item_id")
-    top = N.top_candidates(cands, "item_id", 5)
+    top = N.next_token_candidates(bench, model, "item_id", k=5)
     return top.select("item_id", "ctx", "next",
                       F.round("prob", 6).alias("prob"), F.col("rank").cast("int"))
 

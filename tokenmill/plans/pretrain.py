@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenmill.config import EOS_TEXT
+from tokenmill.config import EOS_TEXT, EOT_TEXT, PAD_TEXT
 from tokenmill.functions.arrays import join_tokens
 from tokenmill.functions.text import word_pattern
 from tokenmill.operators import tokenize as tok
@@ -19,17 +19,18 @@ EOS = EOS_TEXT
 
 
 def doc_tokens(docs: DataFrame, kind: str = "word", text_col: str = "text",
-               key: str = "doc_id") -> DataFrame:
-    """documents -> (key, tokens + EOS)."""
-    enc = tok.encode(docs.select(key, text_col), text_col, kind)
-    eos = EOS_TEXT if kind == "word" else 256
+               key: str = "doc_id", ranks: dict[bytes, int] | None = None) -> DataFrame:
+    """documents -> (key, tokens + EOS); ``bpe`` takes a rank dictionary."""
+    enc = tok.encode(docs.select(key, text_col), text_col, kind, ranks=ranks)
+    eos = {"word": EOS_TEXT, "byte": 256, "bpe": len(ranks or ())}[kind]
     return tok.append_eos(enc, "tokens", eos).select(key, "tokens")
 
 
 def lm_dataset(docs: DataFrame, max_length: int, stride: int, kind: str = "word",
-               key: str = "doc_id", lineage: bool = False) -> DataFrame:
+               key: str = "doc_id", lineage: bool = False,
+               ranks: dict[bytes, int] | None = None) -> DataFrame:
     """documents -> encode -> append EOS -> stream offsets -> sliding windows."""
-    offs, n = win.stream_offsets(doc_tokens(docs, kind, key=key), [key], with_total=True)
+    offs, n = win.stream_offsets(doc_tokens(docs, kind, key=key, ranks=ranks), [key], with_total=True)
     return win.sliding_windows(offs, max_length, stride, n_tokens=n,
                                lineage_key=key if lineage else None)
 
@@ -184,11 +185,13 @@ def roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 VOCAB_SQL = f"""
 WITH toks AS (SELECT unnest(regexp_extract_all(text, '{RX}')) AS token FROM documents),
 c AS (SELECT token, count(*) AS cnt FROM toks WHERE token NOT IN ('{EOS}', '<unk>') GROUP BY token)
-SELECT token, CAST(row_number() OVER (ORDER BY cnt DESC, token) + 1 AS INTEGER) AS id,
+SELECT token, CAST(row_number() OVER (ORDER BY cnt DESC, token) + 3 AS INTEGER) AS id,
        CAST(cnt AS BIGINT) AS count
 FROM c
 UNION ALL SELECT '{EOS}', 0, 0
-UNION ALL SELECT '<unk>', 1, 0
+UNION ALL SELECT '{EOT_TEXT}', 1, 0
+UNION ALL SELECT '{PAD_TEXT}', 2, 0
+UNION ALL SELECT '<unk>', 3, 0
 """
 
 
@@ -202,7 +205,7 @@ ENCODE_WORD_SQL = f"""
 WITH toks AS (SELECT doc_id, unnest(regexp_extract_all(text, '{RX}')) AS token,
                      generate_subscripts(regexp_extract_all(text, '{RX}'), 1) AS pos FROM documents),
 c AS (SELECT token, count(*) AS cnt FROM toks GROUP BY token),
-v AS (SELECT token, row_number() OVER (ORDER BY cnt DESC, token) + 1 AS id FROM c)
+v AS (SELECT token, row_number() OVER (ORDER BY cnt DESC, token) + 3 AS id FROM c)
 SELECT doc_id, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY pos) || ' 0' AS token_ids,
        CAST(count(*) + 1 AS BIGINT) AS n_tokens
 FROM toks JOIN v USING (token) GROUP BY doc_id

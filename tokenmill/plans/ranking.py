@@ -16,10 +16,19 @@ PROBE_SQL = "[" + ", ".join(repr(x) for x in PROBE) + "]"
 
 
 def _pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Even labels against odd ones: every vector takes part."""
     emb = table(spark, sf, "embeddings")
-    return K.ranking_pairs(emb, "vec_id", "embedding", "label", 0, 1)
+    return K.ranking_pairs(emb, "vec_id", "embedding", F.col("label") % 2 == 0, F.col("label") % 2 == 1)
 
 
+PAIRS_SQL = """
+a AS (SELECT embedding AS c, row_number() OVER (ORDER BY vec_id) AS r, count(*) OVER () AS n
+      FROM embeddings WHERE label % 2 = 0),
+b AS (SELECT embedding AS j, row_number() OVER (ORDER BY vec_id) AS r, count(*) OVER () AS n
+      FROM embeddings WHERE label % 2 = 1),
+p AS (SELECT c, j FROM a JOIN b ON CASE WHEN a.n >= b.n THEN (a.r - 1) % b.n + 1 = b.r
+                                        ELSE (b.r - 1) % a.n + 1 = a.r END)
+"""
 SCORE_SQL = f"""
 WITH w AS (SELECT {PROBE_SQL}::DOUBLE[] AS w)
 SELECT vec_id, round(list_reduce(list_transform(range(1, len(embedding) + 1),
@@ -34,11 +43,31 @@ def score_linear(spark: SparkSession, sf: str) -> DataFrame:
     return s.select("vec_id", F.round("score", 6).alias("score"))
 
 
-BASELINE_SQL = """
-WITH a AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings WHERE label = 0),
-b AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings WHERE label = 1)
+def _dot(v: str) -> str:
+    return (f"list_reduce(list_transform(range(1, 65), lambda i: CAST({v}[i] AS DOUBLE) * w[i]), "
+            "lambda x, y: x + y)")
+
+
+PROBE_EVAL_SQL = f"""
+WITH w AS (SELECT {PROBE_SQL}::DOUBLE[] AS w), {PAIRS_SQL},
+s AS (SELECT {_dot("c")} AS rc, {_dot("j")} AS rj FROM p, w)
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, round(avg(ln(1 + exp(-(rc - rj)))), 6) AS bt,
+       round(avg(CASE WHEN rc > rj THEN 1.0 ELSE 0.0 END), 6) AS acc, round(avg(rc), 6) AS r_chosen,
+       round(avg(rj), 6) AS r_rejected
+FROM s
+"""
+
+
+@register("ranker_eval", "K3 (fixed probe weights)", PROBE_EVAL_SQL)
+def ranker_eval(spark: SparkSession, sf: str) -> DataFrame:
+    m = K.evaluate_ranker(_pairs(spark, sf), PROBE)
+    return m.select("n_pairs", *[F.round(c, 6).alias(c) for c in ("bt", "acc", "r_chosen", "r_rejected")])
+
+
+BASELINE_SQL = f"""
+WITH {PAIRS_SQL}
 SELECT CAST(count(*) AS BIGINT) AS n_pairs, round(ln(2), 6) AS bt, 0.0 AS acc, 0.0 AS r_chosen, 0.0 AS r_rejected
-FROM a JOIN b USING (r)
+FROM p
 """
 
 
@@ -50,10 +79,17 @@ def ranker_baseline(spark: SparkSession, sf: str) -> DataFrame:
                     F.round("r_rejected", 6).alias("r_rejected"))
 
 
-@register("ranker_fit", "K2 K3 (Spark ML fit; rows-only check)")
+@register("ranker_fit", "K2 (Spark ML fit at its optimum, better than the zero weights)", f"""
+WITH {PAIRS_SQL}
+SELECT CAST(count(*) AS BIGINT) AS n_pairs, true AS gradient_is_zero, true AS below_ln2 FROM p
+""")
 def ranker_fit(spark: SparkSession, sf: str) -> DataFrame:
+    reg = 1e-3
     pairs = _pairs(spark, sf)
-    w = K.fit_bradley_terry(pairs, reg=1e-3)
-    m = K.evaluate_ranker(pairs, w)
-    return m.select("n_pairs", F.round("bt", 6).alias("bt"), F.round("acc", 6).alias("acc"),
-                    F.round("margin", 6).alias("margin"))
+    w = K.fit_bradley_terry(pairs, reg=reg)
+    # gradient of mean log(1 + exp(-w.f)) + reg/2 |w|^2 at the fit: reg * w - mean(sigmoid(-w.f) f)
+    scored = K.score_linear(pairs, "feature", w, out="z")
+    grad = [F.avg(F.get("feature", F.lit(i)) / (1 + F.exp("z"))) for i in range(DIM)]
+    slope = sum(((F.lit(reg * x) - g) * (F.lit(reg * x) - g) for x, g in zip(w, grad)), F.lit(0.0))
+    return scored.agg(F.count(F.lit(1)).alias("n_pairs"), (F.sqrt(slope) < 1e-4).alias("gradient_is_zero"),
+                      (F.avg(F.log1p(F.exp(-F.col("z")))) < F.log(F.lit(2.0))).alias("below_ln2"))

@@ -10,8 +10,6 @@ from tokenmill.operators import runlog as R
 from tokenmill.plans.registry import register
 from tokenmill.sources.tables import table
 
-RUNS = ("click", "error", "purchase", "signup", "view")
-
 
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
     """Run-log fixture from ``events``: step = event_id, epoch = event_id div 1000,
@@ -77,34 +75,32 @@ def resume_point(spark: SparkSession, sf: str) -> DataFrame:
 
 
 MERGE_SQL = """
-WITH f AS (SELECT event_type, min(ts) AS first_ts FROM events GROUP BY event_type),
-r AS (SELECT e.event_id, e.event_type AS run,
-             row_number() OVER (ORDER BY f.first_ts, e.event_type, e.event_id) - 1 AS merged_step,
-             row_number() OVER (PARTITION BY e.event_type ORDER BY e.event_id) - 1 AS local_step
-      FROM events e JOIN f USING (event_type))
-SELECT event_id, run, merged_step, local_step FROM r
+WITH f AS (SELECT event_type, min(ts) AS first_ts, max(event_id // 5) AS last FROM events GROUP BY event_type),
+o AS (SELECT event_type, coalesce(sum(last) OVER (ORDER BY first_ts, event_type ROWS BETWEEN UNBOUNDED PRECEDING
+                                                  AND 1 PRECEDING), 0) AS base FROM f)
+SELECT e.event_id, e.event_type AS run, CAST(e.event_id // 5 + o.base AS BIGINT) AS merged_step,
+       CAST(e.event_id // 5 AS BIGINT) AS local_step
+FROM events e JOIN o USING (event_type)
 """
 
 
 @register("merge_runs", "L5 G0", MERGE_SQL)
 def merge_runs(spark: SparkSession, sf: str) -> DataFrame:
-    log = run_log(spark, sf).withColumnRenamed("step", "event_id")
-    m = R.merge_resumed_runs(log, "run", step="event_id")
-    return m.select("event_id", "run", "merged_step", "local_step")
+    log = run_log(spark, sf).withColumn("event_id", F.col("step")).withColumn(
+        "step", F.floor(F.col("step") / 5).cast("long"))
+    return R.merge_resumed_runs(log, "run").select("event_id", "run", "merged_step", "local_step")
 
 
 COMPARE_SQL = """
-SELECT CAST(event_id // 1000 AS INTEGER) AS epoch,
-""" + ",\n".join(f"       round(avg(value / 100) FILTER (WHERE event_type = '{r}'), 6) AS {r}"
-                 for r in RUNS) + """
-FROM events GROUP BY event_id // 1000
+SELECT CAST(event_id // 1000 AS INTEGER) AS epoch, event_type AS run, round(avg(value / 100), 6) AS mean_loss
+FROM events GROUP BY event_id // 1000, event_type
 """
 
 
-@register("compare_runs", "H12 (pivot)", COMPARE_SQL)
+@register("compare_runs", "H12 (one row per epoch and run)", COMPARE_SQL)
 def compare_runs(spark: SparkSession, sf: str) -> DataFrame:
-    p = M.compare_runs(run_log(spark, sf), RUNS, value="loss")
-    return p.select("epoch", *[F.round(r, 6).alias(r) for r in RUNS])
+    p = M.compare_runs(run_log(spark, sf), value="loss")
+    return p.select("epoch", "run", F.round("mean_value", 6).alias("mean_loss"))
 
 
 SUMMARY_SQL = """

@@ -95,6 +95,18 @@ def rep_penalty(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("group_id", "item_id", F.round("logit", 6).alias("logit"))
 
 
+@register("rep_penalty_repeat", "J1 (items generated several times)", """
+WITH g AS (SELECT user_id AS group_id, event_id % 16 AS item_id, max(ln(value + 1)) AS z FROM events GROUP BY 1, 2),
+h AS (SELECT user_id AS group_id, event_id % 16 AS item_id, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1, 2)
+SELECT group_id, item_id, round(z / pow(1.3, coalesce(n, 0)), 6) AS logit FROM g LEFT JOIN h USING (group_id, item_id)
+""")
+def rep_penalty_repeat(spark: SparkSession, sf: str) -> DataFrame:
+    item = (F.col("item_id") % 16).alias("item_id")
+    logits = _logits(spark, sf).groupBy("group_id", item).agg(F.max("logit").alias("logit"))
+    r = S.repetition_penalty(logits, _history(spark, sf).select("group_id", item), 1.3)
+    return r.select("group_id", "item_id", F.round("logit", 6).alias("logit"))
+
+
 SAMPLE_SQL = f"""
 WITH g AS (SELECT user_id AS group_id, event_id AS item_id, ln(value + 1) AS z0 FROM events),
 h AS (SELECT user_id AS group_id, event_id AS item_id, count(*) AS n FROM events

@@ -175,9 +175,9 @@ SELECT conv_id, CAST(len(fl) AS BIGINT) AS full_len, array_to_string(fl, ' ') AS
 """
 
 
-@register("chat_render", "A3 E1 E2", RENDER_SQL)
+@register("chat_render", "E2", RENDER_SQL)
 def chat_render(spark: SparkSession, sf: str) -> DataFrame:
-    r = C.render_chat(_turns(spark, sf), max_length=4096)
+    r = C.render_chat(_turns(spark, sf))
     return r.select("conv_id", "full_len", join_tokens("ids").alias("rendered"))
 
 
@@ -188,10 +188,9 @@ FROM m JOIN f USING (conv_id) WHERE f.lr = 'assistant' GROUP BY conv_id
 """
 
 
-@register("extract_response", "E13 C12", EXTRACT_SQL)
+@register("extract_response", "E13", EXTRACT_SQL)
 def extract_response(spark: SparkSession, sf: str) -> DataFrame:
-    r = C.render_chat(_turns(spark, sf), max_length=4096).where(F.col("last_role") == "assistant")
-    out = C.extract_response(r, "ids", "prompt_len", drop=list(T.specials))
+    out = C.last_response(_turns(spark, sf))
     return out.select("conv_id", join_tokens("response").alias("response"))
 
 
@@ -205,7 +204,7 @@ FROM conversations WHERE role = 'user'
 """
 
 
-@register("format_prompt", "E12 B6 A8", FORMAT_PROMPT_SQL)
+@register("format_prompt", "E12 B6", FORMAT_PROMPT_SQL)
 def format_prompt(spark: SparkSession, sf: str) -> DataFrame:
     users = _turns(spark, sf).where(F.col("role") == "user").withColumnRenamed("text", "prompt")
     out = C.format_prompt(users, "prompt")

@@ -71,6 +71,16 @@ def stream_encode(spark: SparkSession, folder: str, glob: str | None = None,
     return spark.read.parquet(out)
 
 
+def stream_sft(spark: SparkSession, folder: str, max_length: int, fmt: str = "parquet",
+               template: C.ChatTemplate = C.DEFAULT_TEMPLATE) -> DataFrame:
+    """M1, whole chain: nested conversations -> B7, B2-able rendering, mask, truncation, shift; all
+    row-local, so the stream keeps no state. Returns the sink as a DataFrame."""
+    out, ckpt = stream_dirs(spark, "sft")
+    run_to_completion(C.sft_examples_nested(source(spark, folder, fmt), max_length,
+                                            template=template), out, ckpt)
+    return spark.read.parquet(out)
+
+
 def event_time(ts: str) -> F.Column:
     """Event time as TIMESTAMP from a TIMESTAMP or TIMESTAMP_NTZ column, read as UTC wall
     time (independent of the session time zone), second precision."""
