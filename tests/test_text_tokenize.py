@@ -49,14 +49,14 @@ def test_vocab_and_ids(spark):
     toks = tok.encode(df, "text", "word")
     v = {r.token: (r.id, r["count"]) for r in tok.build_vocab(toks).collect()}
     assert v[EOS_TEXT][0] == 0 and v["<unk>"][0] == 3  # after the reserved markers
-    assert v["b"] == (2, 3) and v["c"] == (3, 2) and v["a"] == (4, 1)
+    assert v["b"] == (4, 3) and v["c"] == (5, 2) and v["a"] == (6, 1)
     ids = {r.doc_id: list(r.ids) for r in tok.tokens_to_ids(toks, "tokens", tok.build_vocab(toks),
                                                              ["doc_id"]).collect()}
-    assert ids == {0: [2, 4, 2, 3], 1: [3, 2]}
-    small = tok.build_vocab(toks, max_size=3)
+    assert ids == {0: [4, 6, 4, 5], 1: [5, 4]}
+    small = tok.build_vocab(toks, max_size=5)
     unk = {r.doc_id: list(r.ids) for r in tok.tokens_to_ids(toks, "tokens", small,
                                                              ["doc_id"]).collect()}
-    assert unk == {0: [2, 1, 2, 1], 1: [1, 2]}
+    assert unk == {0: [4, 3, 4, 3], 1: [3, 4]}
 
 
 def test_append_eos_and_crop(spark):
