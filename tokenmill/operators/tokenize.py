@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.config import BYTE_VOCAB, EOS_TEXT, EOT_TEXT, PAD_TEXT
 from tokenmill.functions import arrays as A
+from tokenmill.functions import bytes as B
 from tokenmill.functions import text as T
 from tokenmill.plans.prefix import global_rank, materialize
 
@@ -34,7 +35,7 @@ def encode(df: DataFrame, text_col: str = "text", kind: str = "word", out: str =
     if kind == "word":
         return df.withColumn(out, T.word_tokens(text_col, specials))
     if kind == "byte":
-        return df.withColumn(out, T.byte_tokens(text_col, specials))
+        return df.withColumn(out, B.encode_bytes(text_col, specials))
     if kind == "bpe":
         from tokenmill.operators.bpe import bpe_encode
         if ranks is None:
@@ -52,7 +53,7 @@ def decode(df: DataFrame, ids_col: str = "tokens", kind: str = "word", out: str
     ``vocab`` the ids are first mapped back to token strings (needs row ``key``).
     """
     if kind == "byte":
-        return df.withColumn(out, T.decode_bytes(ids_col, specials))
+        return df.withColumn(out, B.decode_bytes(ids_col, specials))
     if kind == "word":
         if vocab is None:
             return df.withColumn(out, F.array_join(F.col(ids_col), " "))

@@ -134,9 +134,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+_WRITTEN: list[str] = []  # tables that materialize() wrote and nobody has released
+
+
+def release_tables(spark) -> int:
+    """Delete the tables that :func:`materialize` has written so far and return their number.
+
+    Results are lazy, so call this once the results built on them are written or collected.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    return n
+
+
 def grouped_offsets(df: DataFrame, group: Sequence[str], order: Sequence[str | Column],
                     size: str, out: str = "offset") -> DataFrame:
     """Add ``out`` = sum of ``size`` over the rows of the same group strictly before this

@@ -129,8 +129,7 @@ FROM e WHERE w * 32 < n - 64 GROUP BY doc_id, w
 
 @register("per_doc_windows", "D6 (per_document mode)", PER_DOC_SQL)
 def per_doc_windows(spark: SparkSession, sf: str) -> DataFrame:
-    offs = win.stream_offsets(doc_tokens(_docs(spark, sf)), ["doc_id"])
-    w = win.per_document_windows(offs, "doc_id", 64, 32)
+    w = win.windows_of_rows(doc_tokens(_docs(spark, sf)), "doc_id", 64, 32)
     return w.select("doc_id", "window_id", join_tokens("input_ids").alias("input_ids"),
                     join_tokens("target_ids").alias("target_ids"))
 
