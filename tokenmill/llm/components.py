@@ -20,7 +20,6 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Links are undirected; null ends and self links are ignored; an empty table gives none.
     """
     links = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b")
-    links = materialize(links, "links")
     total = None
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -43,7 +43,7 @@ from tokenmill.plans.prefix import materialize
 BANDS, ROWS, SHINGLE, THRESHOLD = 24, 5, 5, 0.8
 #: A pair at the threshold agrees in fewer than this share of 120 slots once in about 10^5 times.
 MIN_AGREEMENT = 0.64
-TURNS = 4
+TURNS = 2
 _U = np.uint64
 _GOLD, _C2 = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 
@@ -159,15 +159,6 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        text.alias("__text"))
 
 
-def _items(nodes: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(node, items) of some classes: the expanded multiset of a class's text."""
-    reps = nodes.join(classes, "node")
-    return X.map_arrow(
-        docs.join(reps, (docs["node"] == reps["node"]) & docs["id"].eqNullSafe(reps["class_id"]),
-                  "left_semi").select("node", "__text"),
-        _overlap_rows(k), "node long, items array<long>").dropDuplicates(["node"])
-
-
 def _leaders(rest: DataFrame, by: str, turn: int = 0) -> DataFrame:
     """(by, main, chief) of the keys that hold several components: the largest of them and a class
     of it, which ``turn`` varies."""
@@ -179,16 +170,14 @@ def _leaders(rest: DataFrame, by: str, turn: int = 0) -> DataFrame:
         by, F.col("b.component").alias("main"), F.col("b.m").alias("chief"))
 
 
-def _prefix_pairs(rest: DataFrame, docs: DataFrame, classes: DataFrame, threshold: float, k: int
-                  ) -> DataFrame:
+def _prefix_pairs(rest: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of ``rest`` (node, component) in different components that can reach the
     threshold, exactly, by prefix filtering: with every class's items in one order, rare ones
     first, two similar classes share an item among their first size - ceil(t * size) + 1, and from
     its places at least ceil(t / (1 + t) * (sizes)) items must still be common. Classes whose
     differences are their own (edited copies, shared passages) have no such item and meet nobody."""
-    items = _items(rest.select("node"), docs, classes, k)
-    flat = materialize(items.select("node", F.size("items").alias("size"),
-                                    F.explode("items").alias("item")), "flat")
+    flat = materialize(items.join(rest, "node", "left_semi").select(
+        "node", F.size("items").alias("size"), F.explode("items").alias("item")), "flat")
     often = flat.groupBy("item").agg(F.count(F.lit(1)).alias("f"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("f", "item"))
     first = (flat.join(often, "item").withColumn("place", place)
@@ -210,22 +199,16 @@ def _prefix_pairs(rest: DataFrame, docs: DataFrame, classes: DataFrame, threshol
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def _similar(pairs: DataFrame, raw: DataFrame, docs: DataFrame, classes: DataFrame,
-             threshold: float, k: int) -> DataFrame:
+def _similar(pairs: DataFrame, signatures: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) of classes whose multiset Jaccard similarity reaches the threshold."""
-    def ends(p):
-        return p.select(F.col("a").alias("node")).union(p.select("b")).distinct()
+    def side(table, end, column, name):
+        return table.select(F.col("node").alias(end), F.col(column).alias(name))
 
-    sig = raw.select("node", "sig").join(ends(pairs), "node", "left_semi").dropDuplicates(["node"])
-    sig = materialize(sig, "signatures")
     likely = materialize(
-        pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sa")), "a")
-        .join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sb")), "b")
+        pairs.join(side(signatures, "a", "sig", "sa"), "a").join(side(signatures, "b", "sig", "sb"), "b")
         .where(F.pandas_udf(_agreement, "double")("sa", "sb") >= MIN_AGREEMENT).select("a", "b"), "likely")
-    items = materialize(_items(ends(likely), docs, classes, k), "items")
     common = F.size(F.array_intersect("x", "y"))
-    return (likely.join(items.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-            .join(items.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
+    return (likely.join(side(items, "a", "items", "x"), "a").join(side(items, "b", "items", "y"), "b")
             .select("a", "b", common.alias("n"), (F.size("x") + F.size("y")).alias("s"))
             .where(F.col("n") >= threshold * (F.col("s") - F.col("n")))
             .select("a", "b"))
@@ -248,11 +231,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = in_band.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")
                                          ).where("lo <> hi")
     member = materialize(in_band.join(shared, "band"), "buckets")
+    # signature and items of the classes that share a bucket, made once
+    used = materialize(member.select("node").distinct().join(classes, "node"), "used")
+    signatures = materialize(raw.select("node", "sig").join(used, "node", "left_semi")
+                             .dropDuplicates(["node"]), "signatures")
+    items = materialize(X.map_arrow(
+        keyed.join(used, (keyed["node"] == used["node"]) & keyed["id"].eqNullSafe(used["class_id"]),
+                   "left_semi").select("node", "__text"),
+        _overlap_rows(k), "node long, items array<long>").dropDuplicates(["node"]), "items")
     star = materialize(
         member.select("node", F.explode(F.array("lo", "hi")).alias("c")).where("node <> c")
         .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct(),
         "pairs")
-    links = materialize(_similar(star, raw, keyed, classes, threshold, k), "links")
+    links = materialize(_similar(star, signatures, items, threshold), "links")
     comp = connected_components(links)
 
     def with_components(rows):
@@ -270,7 +261,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if again.isEmpty():
             break
         tested = tested.union(again)
-        found = materialize(_similar(again, raw, keyed, classes, threshold, k), "links")
+        found = materialize(_similar(again, signatures, items, threshold), "links")
         if found.isEmpty():
             break
         links = links.union(found)
@@ -280,10 +271,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = with_components(member.select("band", "node"))
     open_ = materialize(with_components(rest.join(_leaders(rest, "band"), "band", "left_semi")
                                         .select("node").distinct()), "open")
-    last = materialize(_prefix_pairs(open_, keyed, classes, threshold, k)
+    last = materialize(_prefix_pairs(open_, items, threshold)
                        .join(tested, ["a", "b"], "left_anti"), "pairs")
     if not last.isEmpty():
-        more = materialize(_similar(last, raw, keyed, classes, threshold, k), "links")
+        more = materialize(_similar(last, signatures, items, threshold), "links")
         if not more.isEmpty():
             comp = connected_components(links.union(more))
 
