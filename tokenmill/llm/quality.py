@@ -156,8 +156,8 @@ def fit_quality(rates: DataFrame, labels: DataFrame, train: Column, max_fit: int
     def sample(df, bound, seed):
         share = min(1.0, bound / max(df.count(), 1))
         key = F.coalesce(F.col("id").cast("string"), F.lit(""))
-        rows = df.where(hash_share(key, share, seed)).select("rates").toPandas()["rates"]
-        return np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, N_FEATURES))
+        return X.collected(df.where(hash_share(key, share, seed)).select("rates"))["rates"].reshape(
+            -1, N_FEATURES)
 
     pos = sample(good, max_fit, 7)
     if not len(pos):

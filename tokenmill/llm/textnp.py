@@ -165,6 +165,19 @@ def shingles(h: np.ndarray, first: np.ndarray, k: int = 5) -> tuple[np.ndarray,
     return sh, row
 
 
+def collected(df: DataFrame) -> dict[str, np.ndarray]:
+    """The columns of a bounded result as arrays, by Arrow: no Python object for each row. A list
+    column becomes its values end to end."""
+    table = df.toArrow()
+    out = {}
+    for name in table.column_names:
+        col = table.column(name).combine_chunks()
+        if isinstance(col, pa.ChunkedArray):
+            col = pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], col.type)
+        out[name] = (col.flatten() if pa.types.is_list(col.type) else col).to_numpy(zero_copy_only=False)
+    return out
+
+
 def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
     off = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=off[1:])
