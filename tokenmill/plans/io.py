@@ -164,3 +164,16 @@ def special_marker_bytes(spark: SparkSession, sf: str) -> DataFrame:
     docs = tables.table(spark, sf, "documents").select(
         "doc_id", F.concat(head, F.lit(EOS_TEXT), head).alias("text"))
     return tok.encode(docs, kind="byte").select("doc_id", F.array_join("tokens", " ").alias("ids"))
+
+
+@register("special_marker_texts", "C5 C6 (a marker between whole texts is one reserved id)", """
+WITH h AS (SELECT doc_id, list_transform(regexp_extract_all(hex(text), '..'),
+                                         lambda h: CAST(('0x' || h) AS INTEGER)) AS b FROM documents)
+SELECT doc_id, md5(array_to_string(b || [256] || b, ' ')) AS ids_md5,
+       CAST(2 * len(b) + 1 AS INTEGER) AS n_ids FROM h
+""")
+def special_marker_texts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = tables.table(spark, sf, "documents").select(
+        "doc_id", F.concat("text", F.lit(EOS_TEXT), "text").alias("text"))
+    return tok.encode(docs, kind="byte").select(
+        "doc_id", F.md5(F.array_join("tokens", " ")).alias("ids_md5"), F.size("tokens").alias("n_ids"))
