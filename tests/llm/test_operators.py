@@ -413,3 +413,24 @@ def test_decontamination_sql(spark):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = sorted(con.execute(contamination.SQL).fetchall())
     assert want and sorted(tuple(r) for r in contamination.query(spark, SF).collect()) == want
+
+
+def test_benchmark_rows_with_shared_or_null_ids(spark):
+    short = [f"s{i}" for i in range(9)]
+    long = [f"g{i}" for i in range(30)]
+    docs = spark.createDataFrame([(1, " ".join(short) + " x " + " ".join(long[:9])), (2, " ".join(long))],
+                                 "doc_id long, text string")
+    for key in (7, None):
+        bench = spark.createDataFrame([(key, " ".join(short)), (key, " ".join(long))],
+                                      "item_id long, text string")
+        for limit in (contamination.MAX_BROADCAST_BYTES, 0):
+            old, contamination.MAX_BROADCAST_BYTES = contamination.MAX_BROADCAST_BYTES, limit
+            try:
+                got = {(r["id"], r["item"], r["matched"])
+                       for r in contamination.find_overlaps(docs, bench).collect()}
+                left = contamination.drop_contaminated(docs, bench).count()
+            finally:
+                contamination.MAX_BROADCAST_BYTES = old
+            # the second document matches 25 tokens: 9 of the mask and 16 to either side where there are any
+            assert {(1, key, 9)} < got and {g[:2] for g in got} == {(1, key), (2, key)}
+            assert left == 0

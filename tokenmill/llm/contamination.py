@@ -11,8 +11,9 @@ tokens are searched by a hash of all their tokens. The benchmark side is broadca
 estimated size is below ``MAX_BROADCAST_BYTES``; beyond it the same join shuffles.
 
 Defined cases: null texts and texts without tokens match nothing; null ids are carried as they
-are; repeated rows give one result row; an empty benchmark gives an empty result; extra columns
-are not read.
+are; repeated rows give one result row; benchmark rows that share an id (or have none) are compared
+text by text, each against its own length; an empty benchmark gives an empty result; extra columns are
+not read.
 """
 
 from __future__ import annotations
@@ -55,8 +56,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text") -> DataFrame:
     """(id, text_key, item, matched): the most equal aligned tokens around any hit."""
+    # a benchmark row's own key: ids may be null or repeated, equal keys hold equal tokens
     items = _token_hashes(benchmark, item_text_col, F.col(item_col).alias("item")
-                          ).where(F.size("th") > 0)
+                          ).where(F.size("th") > 0).withColumn("item_key", F.xxhash64("item", "th"))
     size = items.agg(F.max(F.size("th")).alias("m"), F.sum(F.size("th")).alias("n"),
                      F.sum(F.size("th") * (F.size("th") + 8)).alias("rows")).first()
     lengths = [r["n"] for r in items.where(F.size("th") < SPAN)
@@ -65,12 +67,13 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     src = _token_hashes(docs, text_col, F.col(id_col).alias("id"),
                         F.xxhash64(F.col(text_col)).alias("text_key"))
     if 8 * len(MASKS) * (size["rows"] or 0) <= MAX_BROADCAST_BYTES:
-        side = seeds.select("seed", "item", F.col("p").alias("q"), F.col("th").alias("bh"))
+        side = seeds.select("seed", "item", "item_key", F.col("p").alias("q"), F.col("th").alias("bh"))
         hits = _seeds(src, lengths).join(F.broadcast(side), "seed")
     else:  # shuffle seeds without their texts, then fetch the texts of the hits
         hits = (_seeds(src, lengths).select("id", "text_key", "p", "seed")
-                .join(seeds.select("seed", "item", F.col("p").alias("q")), "seed")
-                .join(items.select("item", F.col("th").alias("bh")).distinct(), "item"))
+                .join(seeds.select("seed", "item_key", F.col("p").alias("q")), "seed")
+                .join(items.select("item_key", "item", F.col("th").alias("bh"))
+                      .dropDuplicates(["item_key"]), "item_key"))
         again = src.select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), "th")
         hits = hits.join(again, hits["id"].eqNullSafe(again["__id"])
                          & (hits["text_key"] == again["__key"]))
@@ -84,10 +87,12 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     needed = F.least(F.lit(MIN_EQUAL), F.ceil(F.size("bh") * MIN_SHARE))
     # the test stands above the aggregate: inside the join it would keep the join from running in
     # generated code, and every position of a long text would then be copied with its tokens
-    return (hits.select("id", "text_key", "item", matched.alias("matched"), needed.alias("needed"))
-            .groupBy("id", "text_key", "item")
-            .agg(F.max("matched").alias("matched"), F.max("needed").alias("needed"))
-            .where("matched >= needed").drop("needed"))
+    return (hits.select("id", "text_key", "item", "item_key", matched.alias("matched"),
+                        needed.alias("needed"))
+            .groupBy("id", "text_key", "item", "item_key")
+            .agg(F.max("matched").alias("matched"), F.first("needed").alias("needed"))
+            .where("matched >= needed")
+            .groupBy("id", "text_key", "item").agg(F.max("matched").alias("matched")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
