@@ -337,6 +337,18 @@ def test_toxicity_held_out_accuracy(spark, edges, empty):
     assert toxicity.score_toxicity(empty, lab).count() == 0
 
 
+def test_lexicon_counts_all_labelled_rows(spark):
+    rare = ["zorbag", "quimpel", "vraxon", "drunzel", "flobber"]
+    plain = ["garden", "window", "silver", "planet", "monday"]
+    rows = [(i, f"the report number {i % 37} is ready for you {plain[i % 5]}", 0) for i in range(2850)]
+    rows += [(10_000 + i, f"the report number {i % 37} is ready for you {rare[i % 5]}", 1) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.score_toxicity(df.drop("toxic"), df.select(F.col("doc_id").alias("id"), "toxic"),
+                                  max_fit=300).where("held_out").toPandas()
+    bad = got.doc_id >= 10_000
+    assert got[bad].score.mean() > 0.7 and got[~bad].score.mean() < 0.1
+
+
 def test_features_see_cloaked_words():
     texts = [b"you are an idiot", b"you are an 1d10t", b"a calm walk", b""]
     data, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0] + [len(t) for t in texts])

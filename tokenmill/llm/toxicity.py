@@ -1,8 +1,8 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-Lexicon. A few seed words per language are fixed; the rest is induced from labelled training rows:
-word stems (the first 4 to 8 bytes, or the whole word) whose document frequency among toxic rows
-exceeds that among others with a high z-score. A stem's weight is its log ratio; a word's weight is the
+Lexicon. A few seed words per language are fixed; the rest is induced from all labelled training rows
+but the quarter kept for calibration: word stems (the first 4 to 8 bytes, or the whole word) whose document frequency among toxic rows
+exceeds that among others with a high z-score, every one that does. A stem's weight is its log ratio; a word's weight is the
 largest of its stems. Stems are held as 64-bit hashes.
 
 Features of a whole text, dense: densities and counts of lexicon words (strong, weak, weighted), the
@@ -36,7 +36,6 @@ from tokenmill.llm.quality import fold, hash_share
 from tokenmill.plans.prefix import materialize
 
 MAX_FIT = 12_000
-MAX_STEMS = 600
 STEMS = (4, 5, 6, 7, 8)
 FLAG_AT = 0.7
 _U = np.uint64
@@ -186,14 +185,13 @@ def induce_lexicon(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     if yes and no:
         a, b = F.col("yes") + 0.5, F.col("no") + 0.5
         ratio = F.log(a / (yes + 1)) - F.log(b / (no + 1))
-        best = (X.map_arrow(labelled.select("toxic", "__text"), _stem_counts,
+        best = X.collected(X.map_arrow(labelled.select("toxic", "__text"), _stem_counts,
                             "stem long, yes long, no long")
                 .groupBy("stem").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
                 .withColumn("w", ratio).withColumn("z", F.col("w") / F.sqrt(1 / a + 1 / b))
-                .where("yes >= 4 and w >= 1.0 and z >= 4.0")
-                .orderBy(F.desc("z"), "stem").limit(MAX_STEMS).collect())  # a bounded lexicon
-        keys += [_U(r["stem"] & (2 ** 64 - 1)) for r in best]
-        values += [min(r["w"], 6.0) for r in best]
+                .where("yes >= 4 and w >= 1.0 and z >= 4.0").select("stem", "w"))
+        keys = np.r_[keys, best["stem"].astype(np.int64).view(_U)]
+        values = np.r_[values, np.minimum(best["w"], 6.0)]
     keys, values = np.array(keys, _U), np.array(values)
     order = np.lexsort((-values, keys))
     keys, values = keys[order], values[order]
@@ -228,9 +226,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
     share = min(1.0, max_fit / max(rows.count(), 1))
     sample = rows.where(hash_share(F.col("id"), share, 9))
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text"))
-    sample = materialize(text.join(sample, "id").withColumn(
-        "part", F.pmod(F.xxhash64("id", F.lit(4)), F.lit(4))), "labelled")
-    lexicon = induce_lexicon(sample.where("part <> 0"))
+    part = F.pmod(F.xxhash64("id", F.lit(4)), F.lit(4))
+    lexicon = induce_lexicon(text.join(rows.where(part != 0), "id"))
+    sample = materialize(text.join(sample, "id").withColumn("part", part), "labelled")
     feats = materialize(features_of(docs, lexicon, id_col, text_col), "features")
     held_out = F.coalesce(out(F.col("id")), F.lit(False)).alias("held_out")
 
