@@ -118,6 +118,22 @@ def test_dropout_varies_and_decodes(spark, edges, empty):
     assert sentencepiece.encode_documents(empty).count() == 0
 
 
+def test_every_occurrence_draws_its_own_skips():
+    p = sentencepiece.Pieces()
+    enc = sentencepiece.Encoder(p, 0.1)
+    texts = ["internationalization of\nthe ünïcödé thing " * 300, "", "x" * 70 + " the the", "the " * 3000]
+    ids, n = enc.encode(texts, [1, 2, 3, 4])
+    chunks = [sentencepiece._chunks(t) for t in texts]
+    key = enc.keys(np.array([len(c) for c in chunks]), [1, 2, 3, 4])
+    want = [sentencepiece.merge_chunk(p, np.array([ord(x) for x in c.replace(" ", sentencepiece.SPACE)]),
+                                      int(k), enc.drop) for c, k in zip(sum(chunks, []), key)]
+    assert [i for w in want for i in w] == ids.tolist()
+    of_word = [tuple(w) for c, w in zip(sum(chunks, []), want) if c == " internationalization"]
+    assert len(set(of_word)) > 4
+    again, m = enc.encode(texts[3:], [4])
+    assert again.tolist() == ids[-m[0]:].tolist()
+
+
 def test_rounds_equal_the_agenda():
     p = sentencepiece.Pieces()
     words = ["▁internationalization", "▁▁▁▁word", "thth", "x", "▁ünïcödé", "aaaaaaaaaaaaaaa"]

@@ -1,15 +1,16 @@
 """SentencePiece BPE encoding and decoding with seeded merge-dropout.
 
 Encoding merges adjacent pieces by an agenda: the best-scored candidate merge is taken first
-(leftmost on ties), and each candidate may be skipped. A keyed hash of (seed, variant, chunk,
-place, merged piece) decides the skips, so a run repeats exactly and shares no random state. Every occurrence of a chunk draws one of ``variants`` variants by a hash
-of (seed, document, position): the same word gets different segmentations, all made of merges the
-vocabulary allows, and all decode to the same text. With ``dropout`` 0 the pieces are those of
-the library for the same model.
+(leftmost on ties), and each candidate may be skipped. A keyed hash of (seed, document, position of
+the chunk, place, merged piece) decides the skips, so a run repeats exactly and shares no random state.
+Every occurrence of a chunk draws its own skips: the same word gets different segmentations, all made of
+merges the vocabulary allows, and all decode to the same text. With ``dropout`` 0 the pieces are those of
+the library for the same model. ``variants`` above 0 lets the occurrences share so many keys.
 
 Text is cut into chunks where no piece of the vocabulary can span (before a run of spaces and
-around line ends), so a chunk's pieces do not depend on its neighbours and are computed once per
-task for each (chunk, variant); that memory is bounded by ``MAX_CACHED``. A literal U+2581, which the
+around line ends), so a chunk's pieces do not depend on its neighbours. Its pieces without dropout and
+the candidates met on the way are computed once per task (bounded by ``MAX_CACHED`` chunks); an
+occurrence that keeps all of these candidates has those pieces, any other is merged on its own. A literal U+2581, which the
 vocabulary uses for spaces, is spelled in byte pieces, which keeps decoding lossless.
 
 Defined cases: a null text is empty and has no pieces; characters outside the vocabulary become
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +32,9 @@ from pyspark.sql import types as T
 from tokenmill.llm import textnp as X
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, VARIANTS, SEED = 0.1, 4, 20
+DROPOUT, SEED = 0.1, 20
 MAX_CACHED = 1_000_000
+WIDTHS = (4, 8, 12, 16, 24, 48)  # chunks up to each are merged side by side, longer ones alone
 SPACE = "▁"
 _CHUNK = re.compile(r"\n| *[^ \n]+| +")
 _U = np.uint64
@@ -127,10 +130,11 @@ def merge_chunk(p: Pieces, codes: np.ndarray, key: int, dropout: int) -> list[in
     return out
 
 
-def merge_chunks(p: Pieces, codes: np.ndarray, size: np.ndarray, key: np.ndarray, dropout: int
-                 ) -> tuple[np.ndarray, np.ndarray]:
+def merge_chunks(p: Pieces, codes: np.ndarray, size: np.ndarray, key: np.ndarray, dropout: int,
+                 met: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(ids, number of ids) of many chunks, all agendas advancing together: in each round every
-    chunk takes its best candidate, the leftmost on ties. ``codes`` holds the chunks end to end."""
+    chunk takes its best candidate, the leftmost on ties. ``codes`` holds the chunks end to end;
+    ``met`` takes the (chunk, place, piece) of the candidates."""
     w, width = len(size), int(size.max())
     none = np.iinfo(np.int32).max
     inside = np.arange(width) < size[:, None]
@@ -144,6 +148,8 @@ def merge_chunks(p: Pieces, codes: np.ndarray, size: np.ndarray, key: np.ndarray
     def offer(rows, i, left, right):
         got = p.merge(left, right)
         ok = got >= 0
+        if met is not None:
+            met.append((rows[ok], i[ok], got[ok]))
         if dropout:
             ok &= ~skipped(key[rows], i, got, dropout)
         rank[rows, i] = np.where(ok, p.rank[got], none)
@@ -216,40 +222,35 @@ class _Numbers(dict):
 
 
 class Encoder:
-    """Encodes blocks of texts; remembers the ids of each (chunk, variant) it has met."""
+    """Encodes blocks of texts; remembers what each chunk it has met becomes without dropout."""
 
-    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, variants: int = VARIANTS,
+    def __init__(self, pieces: Pieces, dropout: float = DROPOUT, variants: int = 0,
                  seed: int = SEED):
         self.pieces, self.drop = pieces, int(round(dropout * 65536))
-        self.variants = variants if self.drop else 1
-        self.seed = seed
+        self.variants, self.seed = variants, seed
         self._forget()
 
     def _forget(self) -> None:
         self.number = _Numbers()
-        self.start = np.zeros(0, np.int64)  # by number * variants + variant; -1: not yet met
-        self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
-
-    def _meet(self, slots: np.ndarray, chunk_of: list[str]) -> None:
-        p, v = self.pieces, self.variants
-        own = [chunk_of[s // v] for s in slots]
+        self.chunks: list[str] = []
+        self.start, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        # candidates: of each chunk its first one and how many; place and piece. -1: a long chunk, not listed
+        self.first, self.many = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.place, self.piece = np.zeros(0, np.uint8), np.zeros(0, np.int32)
+
+    def _merge(self, own: list[str], key: np.ndarray, dropout: int, met: list | None = None):
+        """(ids, start and number of the ids of each chunk); ``met``: candidates, all but long chunks'."""
+        p = self.pieces
         size = np.fromiter(map(len, own), np.int64, len(own))
         codes = np.frombuffer("".join(own).encode("utf-32-le", "surrogatepass"), np.uint32
                               ).astype(np.int64)
         end = np.cumsum(size)
-        place = np.arange(len(codes)) - np.repeat(end - size, size)
-        parts = X.mix64(codes.astype(_U) + (place.astype(_U) << _U(24)))
-        sums = np.zeros(len(codes) + 1, _U)
-        np.cumsum(parts, out=sums[1:])
-        key = X.mix64((sums[end] - sums[end - size]) ^ ((slots % v).astype(_U) << _U(32))
-                      ^ X.mix64(np.full(1, self.seed, _U)))
         literal = codes == ord(SPACE)
         codes = np.where(codes == 32, ord(SPACE), codes)
-        ids, count = [self.ids], np.zeros(len(slots), np.int64)
-        start, at = np.zeros(len(slots), np.int64), len(self.ids)
+        ids, count = [np.zeros(0, np.int32)], np.zeros(len(own), np.int64)
+        start, at = np.zeros(len(own), np.int64), 0
         edge = 0
-        for width in (4, 8, 12, 16, 24, 48):
+        for width in WIDTHS:
             i = np.flatnonzero((size > edge) & (size <= width))
             edge = width
             for lo in range(0, len(i), 1 << 16):
@@ -257,20 +258,51 @@ class Encoder:
                 pick = np.repeat(end[part] - size[part], size[part]) + (
                     np.arange(int(size[part].sum()))
                     - np.repeat(np.cumsum(size[part]) - size[part], size[part]))
-                got, n = merge_chunks(p, codes[pick], size[part], key[part], self.drop)
+                seen = None if met is None else []
+                got, n = merge_chunks(p, codes[pick], size[part], key[part], dropout, seen)
+                if met is not None:
+                    met += [(part[r], place, piece) for r, place, piece in seen]
                 if literal[pick].any():  # such a chunk is one character
                     got, n = self._literal(got, n, literal[pick][np.cumsum(size[part]) - 1])
                 count[part], start[part] = n, at + np.cumsum(n) - n
                 ids.append(got)
                 at += len(got)
         for i in np.flatnonzero(size > edge):
-            got = np.array(merge_chunk(p, codes[end[i] - size[i]:end[i]], int(key[i]), self.drop),
+            got = np.array(merge_chunk(p, codes[end[i] - size[i]:end[i]], int(key[i]), dropout),
                            np.int32)
             count[i], start[i] = len(got), at
             ids.append(got)
             at += len(got)
-        self.ids = np.concatenate(ids)
-        self.start[slots], self.count[slots] = start, count
+        return np.concatenate(ids), start, count
+
+    def _meet(self, own: list[str]) -> None:
+        """Remember the chunks ``own``, all new."""
+        met: list | None = [] if self.drop else None
+        ids, start, count = self._merge(own, np.zeros(len(own), _U), 0, met)
+        self.start = np.concatenate([self.start, start + len(self.ids)])
+        self.count = np.concatenate([self.count, count])
+        self.ids = np.concatenate([self.ids, ids])
+        if not self.drop:
+            return
+        row, place, piece = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*met)) if met else (
+            np.zeros(0, np.int64),) * 3
+        order = np.argsort(row, kind="stable")
+        many = np.bincount(row, minlength=len(own))
+        first = len(self.place) + np.cumsum(many) - many
+        many[np.fromiter(map(len, own), np.int64, len(own)) > WIDTHS[-1]] = -1
+        self.first, self.many = np.concatenate([self.first, first]), np.concatenate([self.many, many])
+        self.place = np.concatenate([self.place, place[order].astype(np.uint8)])
+        self.piece = np.concatenate([self.piece, piece[order].astype(np.int32)])
+
+    def _drops(self, num: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Which occurrences skip any candidate of their chunk's way without dropout."""
+        many = np.maximum(self.many[num], 0)
+        end = np.cumsum(many)
+        at = np.repeat(self.first[num] - (end - many), many) + np.arange(int(end[-1]) if len(end) else 0)
+        hit = skipped(np.repeat(key, many), self.place[at], self.piece[at], self.drop)
+        sums = np.zeros(len(hit) + 1, np.int64)
+        np.cumsum(hit, out=sums[1:])
+        return (sums[end] > sums[end - many]) | (self.many[num] < 0)
 
     def _literal(self, ids, n, mask):
         spell = np.array(self.pieces.spell(ord(SPACE)), np.int32)
@@ -280,37 +312,42 @@ class Encoder:
 
     def encode(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each text), in order."""
-        if len(self.number) * self.variants >= MAX_CACHED:
+        if len(self.number) >= MAX_CACHED:
             self._forget()
-        v, look = self.variants, self.number.__getitem__
-        numbers, lens = [], []
+        look = self.number.__getitem__
+        numbers, lens, known = [], [], len(self.number)
         for text in texts:
             own = _chunks(text)
             numbers += map(look, own)
             lens.append(len(own))
         num, n = np.array(numbers, np.int64), np.array(lens, np.int64)
-        place = np.arange(len(num)) - np.repeat(np.cumsum(n) - n, n)
-        doc = np.repeat(np.array(keys, np.int64).astype(_U), n)
-        slot = num * v
-        if v > 1:
-            slot += (X.mix64(X.mix64(doc + _U(self.seed)) + place.astype(_U) * X._B)
-                     % _U(v)).astype(np.int64)
-        grow = len(self.number) * v - len(self.start)
-        if grow > 0:
-            self.start = np.concatenate([self.start, np.full(grow, -1, np.int64)])
-            self.count = np.concatenate([self.count, np.zeros(grow, np.int64)])
-        new = np.unique(slot[self.start[slot] < 0])
-        if len(new):
-            self._meet(new, list(self.number))
-        c = self.count[slot]
+        if len(self.number) > known:
+            new = list(islice(self.number, known, None))
+            self.chunks += new
+            self._meet(new)
+        all_ids, first, c = self.ids, self.start[num], self.count[num]
+        if self.drop:
+            key = self.keys(n, keys)
+            own = np.flatnonzero(self._drops(num, key))
+            if len(own):
+                ids, start, c[own] = self._merge([self.chunks[i] for i in num[own]], key[own], self.drop)
+                first[own] = start + len(all_ids)
+                all_ids = np.concatenate([all_ids, ids])
         total = np.cumsum(c)
-        pick = np.repeat(self.start[slot] - (total - c), c) + np.arange(int(total[-1]) if len(c) else 0)
+        pick = np.repeat(first - (total - c), c) + np.arange(int(total[-1]) if len(c) else 0)
         ends = np.concatenate([[0], total])[np.cumsum(n)]
-        return self.ids[pick], np.diff(np.concatenate([[0], ends]))
+        return all_ids[pick], np.diff(np.concatenate([[0], ends]))
+
+    def keys(self, n: np.ndarray, keys: list[int]) -> np.ndarray:
+        """The skip key of each occurrence, of texts of ``n`` chunks."""
+        place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        doc = np.repeat(np.array(keys, np.int64).astype(_U), n)
+        key = X.mix64(X.mix64(doc + _U(self.seed)) + place.astype(_U) * X._B)
+        return X.mix64(key % _U(self.variants) + _U(self.seed)) if self.variants else key
 
 
 def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     model: str = MODEL, dropout: float = DROPOUT, variants: int = VARIANTS,
+                     model: str = MODEL, dropout: float = DROPOUT, variants: int = 0,
                      seed: int = SEED) -> DataFrame:
     """(id, ids, n_pieces, lossless): piece ids; lossless says that they decode to the text."""
     spark = docs.sparkSession
