@@ -328,6 +328,23 @@ def test_random_strings_are_told_from_words(spark):
     assert all(masked[1000 + i] == f"das {w} ist" for i, w in enumerate(words))
 
 
+def test_random_values_after_names_and_in_paths(spark):
+    rnd = random.Random(2)
+    abc = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = ["see SESSION_KEY={} ok", "at https://host.example/a?sig={} ok", "get /files/my-file_name/{} ok",
+             "a SESSION_KEY={}== b"]
+    keys = ["".join(rnd.choice(abc) for _ in range(40)) for _ in range(160)]
+    rows = [(i, forms[i % 4].format(k)) for i, k in enumerate(keys)]
+    rows += [(1000 + i, f"in /the-long/path_of/{'keit' * 6}-{'schaft' * 4} no") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [r["text"][x["start"]:x["end"]] for x in r["spans"]]
+           for r in secrets.scan_secrets(df).join(df, "doc_id").collect()}
+    for form in range(4):
+        right = [got[i] == [keys[i] + ("==" if form == 3 else "")] for i in range(form, 160, 4)]
+        assert sum(right) >= 32, (form, sum(right))
+    assert not any(got[1000 + i] for i in range(100))
+
+
 # ---- 7 quality, 9 toxicity
 
 def test_quality_held_out_accuracy(spark, edges, empty):

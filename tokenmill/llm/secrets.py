@@ -3,8 +3,10 @@
 Base kinds, leftmost and non-overlapping for each kind: ``assign`` (a password-like key set to a
 value of 8+ characters), ``access`` (AKIA..., 16+ characters), ``hex`` (32+ hex digits).
 
-Battery. Every maximal run of 20+ characters of [A-Za-z0-9+/_=-] is a candidate. Its encoding is
-inferred (hex, base32, base62, base64) and its symbols are tested against uniform random ones:
+Battery. Every maximal run of 20+ characters of [A-Za-z0-9+/_=-] is cut at inner '=' (padding stays);
+parts of 20+ characters are candidates. A part that fits no one encoding is cut at '/' (at '-' and '_' when
+it holds a '+'); the parts of 20+ characters of that, and those between all of '/', '-' and '_', are the
+candidates then, and of nested ones the longest accepted counts. A candidate's encoding is inferred (hex, base32, base62, base64) and its symbols are tested against uniform random ones:
 chi-squared over character kinds and over eighths of the alphabet, a runs test around the middle
 of the alphabet, and lag-1 serial correlation. The smallest of the four p-values, corrected for
 their number, is the candidate's p: uniform for random strings, near 0 for ordinary words.
@@ -45,6 +47,7 @@ FDR = 0.10
 EDGES = [0.0, 0.001, 0.01, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5]
 LENGTHS = (32, 48, 96)
 MASK = "[SECRET]"
+_PATH_PARTS, _PLUS_PARTS, _SMALL_PARTS = (re.compile(x) for x in (rb"[^/]+", rb"[^_-]+", rb"[^/_-]+"))
 
 _HEX = np.isin(np.arange(256), list(b"0123456789abcdef"))
 _RUN = np.isin(np.arange(256), list(
@@ -109,6 +112,27 @@ def randomness(s: bytes) -> tuple[str, float] | None:
     return name, 1 - (1 - least) ** len(p)
 
 
+def _tested(run: bytes):
+    """(start, end, encoding, p) of the candidates of a run."""
+    stop, at = len(run.rstrip(b"=")), 0
+    for piece in run[:stop].split(b"="):
+        a, b = at, at + len(piece)
+        at = b + 1
+        if b - a < MIN_RUN:
+            continue
+        b = len(run) if b == stop else b
+        got = randomness(run[a:b])
+        if got:
+            yield a, b, *got
+            continue
+        wide = _PLUS_PARTS if b"+" in piece else _PATH_PARTS
+        for x, y in sorted({m.span() for parts in (wide, _SMALL_PARTS)
+                            for m in parts.finditer(run[a:b])}):
+            got = randomness(run[a + x:a + y])
+            if got:
+                yield a + x, a + y, *got
+
+
 def _candidates(data, off):
     """(row, start byte, end byte, stratum, p) of the block's candidates."""
     s, e = X.spans(data, off, _RUN)
@@ -116,9 +140,8 @@ def _candidates(data, off):
     s, e = s[keep], e[keep]
     rows = np.searchsorted(off, s, side="right") - 1
     for i, a, b in zip(rows, s, e):
-        got = randomness(data[a:b].tobytes())
-        if got:
-            yield int(i), int(a), int(b), f"{got[0]}:{sum(b - a >= x for x in LENGTHS)}", got[1]
+        for x, y, name, p in _tested(data[a:b].tobytes()):
+            yield int(i), int(a) + x, int(a) + y, f"{name}:{sum(y - x >= n for n in LENGTHS)}", p
 
 
 def _histogram(batches):
@@ -166,10 +189,11 @@ def find_spans(data: np.ndarray, off: np.ndarray, limits: dict[str, float]
                 if m.end() - m.start() >= MIN_ACCESS]
         if own:
             found.setdefault(i, []).extend(own)
-    for i, a, b, stratum, p in _candidates(data, off):
+    longest = sorted(_candidates(data, off), key=lambda c: c[1] - c[2])  # first among nested ones
+    for i, a, b, stratum, p in longest:
         a, b = a - int(off[i]), b - int(off[i])
         if p >= limits.get(stratum, 0.5) and not any(
-                x < b and a < y for x, y, k in found.get(i, ()) if k < 3):
+                x < b and a < y for x, y, _ in found.get(i, ())):
             found.setdefault(i, []).append((a, b, 3))
     return {i: sorted(v, key=lambda t: (t[0], t[2])) for i, v in found.items()}
 
