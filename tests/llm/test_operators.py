@@ -410,6 +410,25 @@ def test_licenses_and_inheritance(spark, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_full_license_files_and_wrapped_headers(spark):
+    rows, want = [], {}
+    for i, (name, text) in enumerate(licenses.full_texts()):
+        body = "Copyright (c) 2021 Some Author\n\n" + text.decode()
+        rows += [(i, f"{name}/LICENSE", body), (100 + i, f"{name}/src/x.txt", "plain words here")]
+        want |= {i: (name, "file"), 100 + i: (name, "inherited")}
+    wrapped = ("# Licensed under the Apache License,\n# Version 2.0 (the License); you may not\n# use this file "
+               "except in compliance\n# with the License.\n\n" + "code words go on " * 40)
+    rows += [(500, "z/y.py", wrapped), (501, "z/w.txt", "a text on the license of a shop\nand copyright law " * 30)]
+    want |= {500: ("Apache-2.0", "header"), 501: (None, None)}
+    rows.append((502, "z/b.c", "/* Redistribution and use in source and binary forms, with or without\n * modification, "
+                 "are permitted provided that the following conditions\n * are met: */\n\n" + "code words " * 60))
+    want[502] = ("BSD-3-Clause", "header")
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(df).collect()}
+    assert {i: (r["license"], r["origin"]) for i, r in got.items()} == want
+    assert got[500]["cosine"] > 0.95
+
+
 def test_license_statements_of_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     said = F.regexp_extract("text", "(?m)^(Released under the MIT License|Licensed under the Apache "

@@ -1,11 +1,13 @@
 """License scan: TF-IDF cosine of headers and license files to templates, then inheritance by path.
 
-Headers are the segments of a text (lines, cut at sentence ends) that hold a license cue. A segment and
+Headers are the segments of a text (lines, cut at sentence ends, and windows of up to ``WINDOW`` lines
+without a blank one, for wrapped headers) that hold a license cue. A segment and
 every template are sparse vectors of word counts times inverse document frequency, the frequencies
 counted over all documents (words outside the templates weigh as unseen words). The template of
 largest cosine at or above ``MIN_COSINE`` is the segment's license, ties by name; a document's own
 license is that of its best segment. A document at least half of whose words are license segments is
-a license file and declares its license for its directory.
+a license file and declares its license for its directory; so is one whose whole text has a cosine of at
+least ``FILE_COSINE`` to a full license text of ``license_texts``, and that text's name is its license.
 
 A document without a license of its own takes that of the nearest ancestor directory with a license
 file: each distinct directory meets its ancestors in an equi-join by path, the deepest wins, and the
@@ -20,6 +22,7 @@ gives an empty result; repeated rows count each; extra columns are not read.
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,10 @@ from tokenmill.plans.prefix import materialize
 
 MIN_COSINE = 0.6
 FILE_SHARE = 0.5
-CUE = re.compile(rb"licen[sc]e|copyright|permission is hereby|public domain", re.I)
+FILE_COSINE = 0.9
+WINDOW = 5
+CUE = re.compile(rb"licen[sc]e|copyright|permission is hereby|public domain|redistribution and use in source",
+                 re.I)
 _SEGMENT = re.compile(rb"[^\n]+")
 _SENTENCE = re.compile(rb"(?<=[.!?]) +(?=[A-Z])")
 
@@ -69,13 +75,20 @@ def word_hashes(raw: bytes) -> np.ndarray:
     return X.words(data, np.array([0, len(data)]), X.ALNUM)[2]
 
 
-def vocabulary() -> np.ndarray:
-    return np.unique(np.concatenate([word_hashes(t.encode()) for _, t in TEMPLATES]))
+def full_texts() -> list[tuple[str, bytes]]:
+    """(name, text) of the full licenses; read on the driver."""
+    return [(f.stem, f.read_bytes())
+            for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+
+
+def vocabulary(texts: list[tuple[str, bytes]] = ()) -> np.ndarray:
+    return np.unique(np.concatenate([word_hashes(t.encode()) for _, t in TEMPLATES]
+                                    + [word_hashes(t) for _, t in texts]))
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int, dict[int, int]]:
-    """(documents, template word hash -> documents that hold it), over the whole table."""
-    vocab = vocabulary()
+    """(documents, word hash of a template or full text -> documents that hold it), over the whole table."""
+    vocab = vocabulary(full_texts())
 
     def run(batches):
         for rec, data, off in X.blocks(batches, "__text"):
@@ -98,8 +111,14 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> tuple[int,
 class Matcher:
     """Cosine of segments to the templates."""
 
-    def __init__(self, n_docs: int, frequency: dict[int, int]):
-        self.n, self.frequency = n_docs, frequency
+    def __init__(self, n_docs: int, frequency: dict[int, int], texts: list[tuple[str, bytes]] = ()):
+        own = set(vocabulary().tolist())
+        self.n, self.frequency = n_docs, {w: c for w, c in frequency.items() if w in own}
+        self.vocab = np.sort(np.array(list(frequency), np.uint64))
+        held = np.array([frequency[int(w)] for w in self.vocab], float)
+        self.idf = np.log((n_docs + 1) / (held + 1)) + 1
+        self.names = [name for name, _ in texts]
+        self.texts = np.array([self.whole_vector(t) for _, t in texts])
         self.templates = [(name, self.vector(t.encode())) for name, t in TEMPLATES]
 
     def vector(self, raw: bytes) -> dict[int, float]:
@@ -109,6 +128,26 @@ class Matcher:
         norm = sum(x * x for x in v.values()) ** 0.5
         return {w: x / norm for w, x in v.items()} if norm else {}
 
+    def whole_vector(self, raw: bytes) -> np.ndarray:
+        """Weights of the vocabulary's words in a whole text, by the norm of all its words."""
+        words, count = np.unique(word_hashes(raw), return_counts=True)
+        v = np.zeros(len(self.vocab))
+        if not len(words) or not len(v):
+            return v
+        at = np.minimum(np.searchsorted(self.vocab, words), len(v) - 1)
+        known = self.vocab[at] == words
+        v[at[known]] = count[known] * self.idf[at[known]]
+        strange = float((count[~known].astype(float) ** 2).sum()) * (np.log(self.n + 1) + 1) ** 2
+        return v / np.sqrt((v * v).sum() + strange)
+
+    def whole(self, raw: bytes) -> tuple[str, float] | None:
+        """The full license whose text a whole document is."""
+        if not self.names:
+            return None
+        cosine = self.texts @ self.whole_vector(raw)
+        i = int(cosine.argmax())
+        return (self.names[i], float(cosine[i])) if cosine[i] >= FILE_COSINE else None
+
     def best(self, raw: bytes) -> tuple[str, float] | None:
         v = self.vector(raw)
         scored = [(-sum(x * t.get(w, 0.0) for w, x in v.items()), name) for name, t in self.templates]
@@ -128,10 +167,27 @@ def license_segments(raw: bytes):
                     yield raw.index(part, at), part
 
 
+def license_windows(raw: bytes):
+    """Runs of 2 to ``WINDOW`` lines, none blank, that hold a cue, each joined to one line."""
+    lines = [x if re.search(rb"\w", x) else b"" for x in raw.split(b"\n")]
+    cued = [bool(CUE.search(x)) for x in lines]
+    near = sorted({k for i, c in enumerate(cued) if c for k in range(max(i - WINDOW + 1, 0), i + 1)}
+                  | {i - 1 for i in range(1, len(lines)) if CUE.search(lines[i - 1] + b" " + lines[i])})
+    for lo in near:
+        for hi in range(lo + 2, min(lo + WINDOW, len(lines)) + 1):
+            if not all(lines[lo:hi]):
+                break
+            joined = b" ".join(lines[lo:hi])
+            if CUE.search(joined):
+                yield joined
+
+
 def own_licenses(files: DataFrame, n_docs: int, frequency: dict[int, int]) -> DataFrame:
     """(id, path, license, cosine, is_file) of each row of (id, path, __text)."""
+    texts = full_texts()
+
     def run(batches):
-        match = Matcher(n_docs, frequency)
+        match = Matcher(n_docs, frequency, texts)
         for rec, data, off in X.blocks(batches, "__text"):
             block = data.tobytes()
             hinted = {int(np.searchsorted(off, m.start(), side="right")) - 1
@@ -139,12 +195,21 @@ def own_licenses(files: DataFrame, n_docs: int, frequency: dict[int, int]) -> Da
             name, cosine, whole = [None] * rec.num_rows, [None] * rec.num_rows, [False] * rec.num_rows
             for i in hinted:
                 raw = block[off[i]:off[i + 1]]
+                full = match.whole(raw)
+                if full:
+                    (name[i], cosine[i]), whole[i] = full, True
+                    continue
                 found, covered = [], 0
                 for _, part in license_segments(raw):
                     got = match.best(part)
                     if got:
                         found.append((-got[1], got[0]))
                         covered += len(word_hashes(part))
+                for part in license_windows(raw):
+                    got = match.best(part)
+                    if got and -got[1] < min(found, default=(0.0, ""))[0]:
+                        found.append((-got[1], got[0]))
+                        covered = max(covered, len(word_hashes(part)))
                 if found:
                     c, name[i] = min(found)
                     cosine[i] = -c
