@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenmill.llm import (contamination, embedding_dedup, licenses, lm_scoring, near_dedup,
-                           quality, secrets, sentencepiece, token_counts, toxicity)
+from tokenmill.llm import (chat_format, collocations, contamination, embedding_dedup, licenses, lm_scoring, near_dedup,
+                           quality, secrets, sentencepiece, spelling, token_counts, toxicity)
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +22,12 @@ QUERIES: dict[str, Builder] = {
     "op8_licenses": licenses.query,
     "op9_toxicity": toxicity.query,
     "op10_decontamination": contamination.query,
+    "op11_spelling_variants": spelling.query,
+    "op12_collocations": collocations.query,
+    "op13_chat_format": chat_format.query,
 }
 SQL: dict[str, str] = {
     "op10_decontamination": contamination.SQL,
+    "op12_collocations": collocations.SQL,
+    "op13_chat_format": chat_format.SQL,
 }
