@@ -2,7 +2,7 @@
 
 The reward head of the reference is a bias-free linear map on a pooled vector. Here
 vectors are ``array<double>`` columns, scores are built-in ``zip_with`` + ``aggregate``
-expressions, and the fit is Spark ML logistic regression on feature differences.
+expressions, and the fit takes Newton steps from moment tables that Spark sums.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.functions import arrays as A
 from tokenmill.operators.metrics import preference_metrics
-from tokenmill.plans.prefix import global_rank
+from tokenmill.plans.prefix import global_rank, materialize
 
 
 def as_double_array(col: str) -> F.Column:
@@ -50,24 +50,91 @@ def score_linear(df: DataFrame, vec: str, weights: Sequence[float], out: str = "
     return df.withColumn(out, A.dot(as_double_array(vec), w))
 
 
-def fit_bradley_terry(pairs: DataFrame, reg: float = 1e-3, feature: str = "feature",
-                      max_iter: int = 100) -> list[float]:
-    """K2: weights w maximising sum log sigmoid(w . (phi_c - phi_r)) - reg/2 |w|^2.
-
-    Fitted as a logistic regression without intercept on the differences (label 1) and
-    their mirror images (label 0), which has the same optimum and two classes. ``reg`` is
-    an L2 penalty on the weights (not the reference's reward-L2). Returns the d weights.
+MAX_DIM = 2048  # the driver holds a d x d system; 32 MB at this bound
+
+
+def _moments(weights: list[float], d: int):
+    """Sums over the pairs of a partition at ``weights``: count, loss, rewards squared, then the
+    gradient (d), the Hessian (d x d) of the pair loss and the Gram sum (d x d) of both sides."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        w = np.array(weights)
+        acc, gram = np.zeros(3 + d), np.zeros((2, d, d))
+        for b in batches:
+            c, r = (b.column(i).flatten().to_numpy(zero_copy_only=False).reshape(-1, d) for i in (0, 1))
+            f = c - r
+            m = f @ w
+            p = np.exp(-np.logaddexp(0, m))  # sigmoid(-m)
+            acc[0] += len(f)
+            acc[1] += np.logaddexp(0, -m).sum()
+            acc[2] += ((c @ w) ** 2).sum() + ((r @ w) ** 2).sum()
+            acc[3:] -= p @ f
+            gram[0] += (f * (p * (1 - p))[:, None]).T @ f
+            gram[1] += c.T @ c + r.T @ r
+        out = np.concatenate([acc, gram.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], names=["m"])
+    return run
+
+
+def fit_bradley_terry(pairs: DataFrame, reward_l2: float = 0.0, weight_l2: float = 0.0,
+                      chosen: str = "chosen", rejected: str = "rejected", max_iter: int = 50,
+                      tol: float = 1e-9) -> list[float]:
+    """K2: weights w of least ``mean(log(1 + exp(-(r_c - r_r))) + reward_l2 * (r_c^2 + r_r^2))
+    + weight_l2 / 2 * |w|^2`` with rewards r = w . vector: the reward penalty is a quadratic form in
+    the Gram matrix of both sides, so it bounds the scale of the rewards, not of w.
+
+    Damped Newton steps. Each is one pass: tasks reduce their pairs to one row of d x d moments,
+    Spark sums the rows by position, and only the sums reach the driver (d at most ``MAX_DIM``).
+    A step that raises the loss is halved. Directions that no pair has keep weight zero.
+
+    Pairs with a null vector, a null or non-finite component, or vectors of another length than the
+    longest are left out; without pairs the result is empty.
     """
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.functions import array_to_vector
-
-    pos = pairs.select(array_to_vector(feature).alias("features"), F.lit(1.0).alias("label"))
-    neg = pairs.select(array_to_vector(F.transform(feature, lambda x: -x)).alias("features"),
-                       F.lit(0.0).alias("label"))
-    lr = LogisticRegression(fitIntercept=False, regParam=reg, elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=1e-9)
-    model = lr.fit(pos.unionByName(neg))
-    return [float(x) for x in model.coefficients.toArray()]
+    import numpy as np
+
+    def usable(v: str):
+        ok = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        return (F.size(v) == F.lit(d)) & ok
+
+    both = pairs.select(as_double_array(chosen).alias("c"), as_double_array(rejected).alias("r"))
+    d = both.agg(F.max(F.greatest(F.size("c"), F.size("r")))).first()[0] or 0
+    if d <= 0:
+        return []
+    if d > MAX_DIM:
+        raise ValueError(f"vectors of {d} components; at most {MAX_DIM} are supported")
+    both = materialize(both.where(usable("c") & usable("r")), "ranking_pairs")
+
+    def at(w):
+        rows = both.mapInArrow(_moments([float(x) for x in w], d), "m array<double>")
+        sums = rows.select(F.posexplode("m").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
+        m = np.zeros(3 + d + 2 * d * d)
+        for i, v in sums.collect():  # d x d numbers, whatever the number of pairs
+            m[i] = v
+        n = m[0]
+        if not n:
+            return None
+        h, g = m[3 + d:3 + d + d * d].reshape(d, d), m[3 + d + d * d:].reshape(d, d)
+        loss = (m[1] + reward_l2 * m[2]) / n + weight_l2 / 2 * w @ w
+        grad = (m[3:3 + d] + 2 * reward_l2 * g @ w) / n + weight_l2 * w
+        return loss, grad, (h + 2 * reward_l2 * g) / n + weight_l2 * np.eye(d)
+
+    w = np.zeros(d)
+    now = at(w)
+    if now is None:
+        return []
+    for _ in range(max_iter):
+        loss, grad, hess = now
+        if np.linalg.norm(grad) <= tol:
+            break
+        step = np.linalg.lstsq(hess, grad, rcond=1e-12)[0]
+        size = 1.0
+        while (then := at(w - size * step))[0] > loss + 1e-12 and size > 1e-6:
+            size /= 2
+        w, now = w - size * step, then
+        if abs(loss - then[0]) <= 1e-14 * max(1.0, abs(loss)):
+            break
+    return [float(x) for x in w]
 
 
 def evaluate_ranker(pairs: DataFrame, weights: Sequence[float], l2: float = 0.0) -> DataFrame:

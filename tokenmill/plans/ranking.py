@@ -79,17 +79,50 @@ def ranker_baseline(spark: SparkSession, sf: str) -> DataFrame:
                     F.round("r_rejected", 6).alias("r_rejected"))
 
 
-@register("ranker_fit", "K2 (Spark ML fit at its optimum, better than the zero weights)", f"""
-WITH {PAIRS_SQL}
-SELECT CAST(count(*) AS BIGINT) AS n_pairs, true AS gradient_is_zero, true AS below_ln2 FROM p
-""")
-def ranker_fit(spark: SparkSession, sf: str) -> DataFrame:
-    reg = 1e-3
+def _fit_sql(reward_l2: float, weight_l2: float, steps: int) -> str:
+    """The same optimum by another route: accelerated gradient steps from zero, written as a
+    recursive query over (step, component, weight, momentum)."""
+    return f"""
+WITH RECURSIVE {PAIRS_SQL},
+q AS MATERIALIZED (SELECT row_number() OVER () AS pair, c, j FROM p),
+v AS MATERIALIZED (SELECT pair, unnest(range(1, {DIM + 1})) AS i, unnest(c)::DOUBLE AS c, unnest(j)::DOUBLE AS j FROM q),
+n AS MATERIALIZED (SELECT count(*) AS n FROM q),
+top AS MATERIALIZED (SELECT (max(s) / 4 + 4 * {reward_l2} * max(t)) + {weight_l2} AS lip
+        FROM (SELECT sum((c - j) * (c - j)) AS s, greatest(sum(c * c), sum(j * j)) AS t FROM v GROUP BY pair)),
+fit AS (
+  SELECT 0 AS step, i::BIGINT AS i, 0.0::DOUBLE AS w, 0.0::DOUBLE AS y FROM range(1, {DIM + 1}) r(i)
+  UNION ALL
+  SELECT step + 1, i, nw, nw + step / (step + 3.0) * (nw - w) FROM (
+    SELECT f.step, f.i, f.w, f.y - (g.g / n.n + {weight_l2} * f.y) / top.lip AS nw
+    FROM fit f, n, top, (
+      SELECT v.i, sum(-(v.c - v.j) / (1 + exp(m.rc - m.rj)) + 2 * {reward_l2} * (m.rc * v.c + m.rj * v.j)) AS g
+      FROM v, (SELECT v.pair, sum(v.c * fit.y) AS rc, sum(v.j * fit.y) AS rj FROM v JOIN fit ON fit.i = v.i
+               GROUP BY v.pair) m
+      WHERE v.pair = m.pair GROUP BY v.i) g
+    WHERE g.i = f.i AND f.step < {steps})),
+s AS (SELECT pair, sum(c * w) AS rc, sum(j * w) AS rj FROM v JOIN (SELECT i, w FROM fit WHERE step = {steps}) USING (i)
+      GROUP BY pair)
+SELECT CAST(count(*) AS BIGINT) AS n_pairs,
+       round(avg(ln(1 + exp(rj - rc)) + {reward_l2} * (rc * rc + rj * rj)), 4) AS loss,
+       round(avg(ln(1 + exp(rj - rc))), 4) AS bt, round({reward_l2} * avg(rc * rc + rj * rj), 4) AS reg,
+       round(avg(rc), 3) AS r_chosen, round(avg(rj), 3) AS r_rejected
+FROM s
+"""
+
+
+def _fitted(spark: SparkSession, sf: str, reward_l2: float, weight_l2: float) -> DataFrame:
     pairs = _pairs(spark, sf)
-    w = K.fit_bradley_terry(pairs, reg=reg)
-    # gradient of mean log(1 + exp(-w.f)) + reg/2 |w|^2 at the fit: reg * w - mean(sigmoid(-w.f) f)
-    scored = K.score_linear(pairs, "feature", w, out="z")
-    grad = [F.avg(F.get("feature", F.lit(i)) / (1 + F.exp("z"))) for i in range(DIM)]
-    slope = sum(((F.lit(reg * x) - g) * (F.lit(reg * x) - g) for x, g in zip(w, grad)), F.lit(0.0))
-    return scored.agg(F.count(F.lit(1)).alias("n_pairs"), (F.sqrt(slope) < 1e-4).alias("gradient_is_zero"),
-                      (F.avg(F.log1p(F.exp(-F.col("z")))) < F.log(F.lit(2.0))).alias("below_ln2"))
+    w = K.fit_bradley_terry(pairs, reward_l2=reward_l2, weight_l2=weight_l2)
+    m = K.evaluate_ranker(pairs, w, l2=reward_l2)
+    return m.select("n_pairs", *[F.round(c, 4).alias(c) for c in ("loss", "bt", "reg")],
+                    *[F.round(c, 3).alias(c) for c in ("r_chosen", "r_rejected")])
+
+
+@register("ranker_fit", "K2 (penalty on the weights)", _fit_sql(0.0, 1e-3, 1500))
+def ranker_fit(spark: SparkSession, sf: str) -> DataFrame:
+    return _fitted(spark, sf, 0.0, 1e-3)
+
+
+@register("ranker_fit_reward", "K2 (penalty on the rewards)", _fit_sql(0.05, 0.0, 600))
+def ranker_fit_reward(spark: SparkSession, sf: str) -> DataFrame:
+    return _fitted(spark, sf, 0.05, 0.0)
