@@ -82,3 +82,45 @@ def test_next_token_pairs(spark):
                                "window_id long, input_ids array<string>, target_ids array<string>")
     got = [(r.context_token, r.next_token) for r in win.next_token_pairs(df).orderBy("pos").collect()]
     assert got == [("a", "b"), ("b", "c")]
+
+
+def test_null_and_repeated_keys_keep_their_rows(spark):
+    docs = [(1, ["a"] * 5), (1, ["b"] * 4), (None, ["c"] * 3), (2, ["d"] * 2), (1, ["b"] * 4), (3, None), (4, [])]
+    df = spark.createDataFrame(docs, "doc_id long, tokens array<string>").repartition(3)
+    for chunk in (2, 65536):
+        offs, n = win.stream_offsets(df, ["doc_id"], chunk_size=chunk, with_total=True)
+        assert n == 18
+        got = sorted(win.sliding_windows(offs, 4, 3, n_tokens=n, block=5).collect())
+        stream = [t for r in sorted(got) for t in r.input_ids[:3]] + list(got[-1].input_ids[3:]) + [
+            got[-1].target_ids[-1]]
+        # null first, rows of key 1 whole and one after the other in some fixed order, then key 2
+        runs = "".join(stream)
+        assert runs in {("ccc" + "".join(p) + "dd")[:len(runs)] for p in (
+            ("aaaaa", "bbbb", "bbbb"), ("bbbb", "bbbb", "aaaaa"))}
+        assert [r.window_id for r in got] == list(range(5))
+        per_doc = win.per_document_windows(offs, "doc_id", 3, 1, block=4).collect()
+        assert sorted((r.doc_id is None, r.doc_id or 0, "".join(r.input_ids)) for r in per_doc) == [
+            (False, 1, "aaa"), (False, 1, "aaa"), (False, 1, "bbb"), (False, 1, "bbb")]
+
+
+def test_window_documents_equal_a_walk_over_the_tokens(spark):
+    rnd = random.Random(7)
+    docs = [[f"t{rnd.randint(0, 9)}" for _ in range(rnd.choice([0, 1, 2, 5, 30]))] for _ in range(25)]
+    df = spark.createDataFrame([(i, d + ["<eos>"]) for i, d in enumerate(docs)], "doc_id long, tokens array<string>")
+    stream = [(i, p) for i, d in enumerate(docs) for p in range(len(d) + 1)]
+    for L, S, chunk in [(4, 2, 3), (4, 4, 65536), (4, 9, 3), (7, 1, 2)]:
+        offs, n = win.stream_offsets(df, ["doc_id"], chunk_size=chunk, with_total=True)
+        want = {}
+        for w, s in enumerate(range(0, len(stream) - L, S)):
+            for at, (i, p) in enumerate(stream[s:s + L + 1]):
+                first = want.setdefault((w, i), [at, p, 0])
+                first[2] += 1
+        got = {(r.window_id, r.doc_id): [r.window_pos, r.doc_pos, r.n_tokens]
+               for r in win.window_documents(offs, "doc_id", L, S, n).collect()}
+        assert got == want
+
+
+def test_window_documents_of_nothing(spark):
+    df = spark.createDataFrame([], "doc_id long, tokens array<string>")
+    offs = win.stream_offsets(df, ["doc_id"])
+    assert win.window_documents(offs, "doc_id", 4, 2).collect() == []

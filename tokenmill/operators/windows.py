@@ -57,30 +57,37 @@ def stream_offsets(df: DataFrame, order: Sequence[str], tokens: str = "tokens",
                    with_total: bool = False):
     """Position of every chunk in the EOS-joined stream.
 
-    Returns ``order + (chunk_no, piece, n, offset)`` (and the total token count N when
+    Returns ``order + (doc_row, chunk_no, piece, n, offset)`` (and the total token count N when
     ``with_total``). The token chunks are written once as a table; the prefix sum reads
-    only its (keys, n) columns, and the chunks join the narrow offsets back on the keys
-    (broadcast only below a checked row count).
+    only its narrow columns, and the chunks join the offsets back on a row number of their
+    own (broadcast only below a checked row count), so no key has to be unique or known.
+
+    ``doc_row`` numbers the input rows. Null keys come first; rows of equal keys follow each
+    other whole, in the order of a hash of their tokens (equal rows are interchangeable); a null
+    token array has no tokens.
     """
     order = list(order)
-    chunks = materialize(chunk_tokens(df.select(*order, tokens), tokens, chunk_size),
-                         "token_chunks")
-    lengths = chunks.select(*order, "chunk_no", "n")
-    offs = global_offsets(lengths, order + ["chunk_no"], "n", out="offset",
-                          partitions=partitions).select(*order, "chunk_no", "offset", "n")
+    rows = (df.select(*order, F.coalesce(F.col(tokens), F.array().cast(df.schema[tokens].dataType))
+                      .alias(tokens))
+            .withColumn("doc_row", F.monotonically_increasing_id())
+            .withColumn("__hash", F.xxhash64(tokens)))
+    chunks = materialize(chunk_tokens(rows, tokens, chunk_size).withColumn(
+        "__chunk", F.monotonically_increasing_id()), "token_chunks")  # written, so numbers stay
+    lengths = chunks.select(*order, "__hash", "doc_row", "chunk_no", "__chunk", "n")
+    offs = global_offsets(lengths, [*order, "__hash", "doc_row", "chunk_no"], "n", out="offset",
+                          partitions=partitions).select("__chunk", "offset", "n")
     stats = offs.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).first()
     side = offs.drop("n")
     if stats["rows"] <= BROADCAST_OFFSET_ROWS:  # size check before broadcasting
         side = F.broadcast(side)
-    out = chunks.join(side, order + ["chunk_no"])
+    out = chunks.join(side, "__chunk").drop("__hash", "__chunk")
     if with_total:
         return out, int(stats["n"] or 0)
     return out
 
 
 def _block_pieces(chunks: DataFrame, max_length: int, block: int, last_start: Column,
-                  keep: Sequence[str] = (), base: Column | None = None,
-                  lineage: str | None = None) -> DataFrame:
+                  keep: Sequence[str] = (), base: Column | None = None) -> DataFrame:
     """Explode each chunk into the pieces of every stream block that needs it.
 
     Block b owns the windows starting in [b*B, (b+1)*B) and so needs the tokens
@@ -95,8 +102,6 @@ def _block_pieces(chunks: DataFrame, max_length: int, block: int, last_start: Co
     hi = F.least(F.floor((off + n - 1) / B), F.floor(last_start / B)).cast("long")
     cols = [*keep, "piece", "n", off.alias("__off"), last_start.alias("__last"),
             F.explode(F.sequence(lo, hi)).alias("block")]
-    if lineage:
-        cols.append(F.col(lineage).alias("__doc"))
     exploded = chunks.where((n > 0) & (last_start >= 0) & (lo <= hi)).select(*cols)
     b, o = F.col("block"), F.col("__off")
     start = F.greatest(b * B, o)
@@ -104,36 +109,26 @@ def _block_pieces(chunks: DataFrame, max_length: int, block: int, last_start: Co
     out = [*keep, "block", "__last", start.alias("start"),
            F.slice("piece", (start - o + 1).cast("int"), (end - start + 1).cast("int"))
            .alias("piece")]
-    if lineage:
-        out.append(F.array_repeat(F.col("__doc"), (end - start + 1).cast("int")).alias("docs"))
     return exploded.select(*out)
 
 
 def _block_windows(pieces: DataFrame, group: Sequence[str], max_length: int, stride: int,
-                   block: int, lineage: bool = False) -> DataFrame:
+                   block: int) -> DataFrame:
     """Reassemble each block (one shuffle on the block key) and cut its windows:
     input = [s, s+L), target = [s+1, s+L+1) for every start s = w*S in the block."""
     L, S, B = max_length, stride, block
-    fields = ["start", "piece"] + (["docs"] if lineage else [])
     g = pieces.groupBy(*group, "block").agg(
-        F.sort_array(F.collect_list(F.struct(*fields))).alias("__p"),
+        F.sort_array(F.collect_list(F.struct("start", "piece"))).alias("__p"),
         F.max("__last").alias("__last"))
-    cols = [*group, "block", "__last",
-            F.flatten(F.col("__p.piece")).alias("__arr")]
-    if lineage:
-        cols.append(F.flatten(F.col("__p.docs")).alias("__docs"))
-    g = g.select(*cols)
+    g = g.select(*group, "block", "__last", F.flatten(F.col("__p.piece")).alias("__arr"))
     b = F.col("block")
     w_lo = F.floor((b * B + S - 1) / S).cast("long")
     w_hi = F.least(F.floor(((b + 1) * B - 1) / S), F.floor(F.col("__last") / S)).cast("long")
 
     def cut(w: Column) -> Column:
         rel = (w * S - b * B + 1).cast("int")
-        fields = [w.alias("window_id"), F.slice("__arr", rel, L).alias("input_ids"),
-                  F.slice("__arr", rel + 1, L).alias("target_ids")]
-        if lineage:
-            fields.append(F.array_distinct(F.slice("__docs", rel, L + 1)).alias("doc_ids"))
-        return F.struct(*fields)
+        return F.struct(w.alias("window_id"), F.slice("__arr", rel, L).alias("input_ids"),
+                        F.slice("__arr", rel + 1, L).alias("target_ids"))
 
     # Windows are built inside the block row and only the small structs are exploded,
     # so the block array is never copied onto every output row.
@@ -149,7 +144,7 @@ def sliding_windows(offsets: DataFrame, max_length: int, stride: int,
 
     ``offsets`` is the output of :func:`stream_offsets`. Starts are ``range(0, N-L, S)``
     (S < L overlaps, S == L tiles, S > L leaves gaps); with ``lineage_key`` (D6) every
-    window also lists the documents it touches, in stream order.
+    window also lists the documents it touches, in stream order (see :func:`window_documents`).
     Output: (window_id, input_ids, target_ids[, doc_ids, n_docs]).
     """
     _check(max_length, stride)
@@ -157,13 +152,52 @@ def sliding_windows(offsets: DataFrame, max_length: int, stride: int,
         n_tokens = total(offsets.select("n"), "n")
     W = window_count_value(n_tokens, max_length, stride)
     last = F.lit((W - 1) * stride).cast("long")
-    pieces = _block_pieces(offsets, max_length, block, last, lineage=lineage_key)
-    out = _block_windows(pieces, [], max_length, stride, block, lineage=bool(lineage_key))
+    pieces = _block_pieces(offsets, max_length, block, last)
+    out = _block_windows(pieces, [], max_length, stride, block)
     if lineage_key:
-        out = out.withColumn("n_docs", F.size("doc_ids"))
+        listed = F.sort_array(F.collect_list(F.struct("window_pos", lineage_key)))
+        docs = window_documents(offsets, lineage_key, max_length, stride, n_tokens).groupBy(
+            "window_id").agg(listed.alias("__d"))  # at most L + 1 documents
+        out = out.join(docs, "window_id").withColumn(
+            "doc_ids", F.col(f"__d.{lineage_key}")).drop("__d").withColumn("n_docs", F.size("doc_ids"))
     return out
 
 
+def window_documents(offsets: DataFrame, key: str, max_length: int, stride: int,
+                     n_tokens: int | None = None) -> DataFrame:
+    """Which tokens of which document every window holds, from intervals alone.
+
+    Windows start at multiples of the stride, so the windows that a chunk's span reaches follow
+    from its offset by division: one row for each window and chunk that meet, no row or id a token
+    and no token array. Chunks of one document inside a window are merged. Output, one row for each
+    window and document: (window_id, key, doc_row, window_pos, doc_pos, n_tokens): the document's
+    tokens ``[doc_pos, doc_pos + n_tokens)`` stand at ``[window_pos, window_pos + n_tokens)`` of the
+    window's L + 1 tokens (inputs and the last target).
+    """
+    _check(max_length, stride)
+    if n_tokens is None:
+        n_tokens = total(offsets.select("n"), "n")
+    L, S = max_length, stride
+    W = window_count_value(n_tokens, L, S)
+    lo, hi = F.col("offset"), F.col("offset") + F.col("n")
+    first = F.greatest(F.lit(0), F.ceil((lo - L) / S)).cast("long")
+    last = F.least(F.floor((hi - 1) / S), F.lit(W - 1)).cast("long")
+    # a chunk's place in its document: all chunks but the last have the same size
+    spans = offsets.where((F.col("n") > 0) & (first <= last)).select(
+        key, "doc_row", "chunk_no", "offset", "n", F.explode(F.sequence(first, last)).alias("window_id"))
+    start = F.col("window_id") * S
+    a, b = F.greatest("offset", start), F.least(hi, start + L + 1)
+    parts = spans.where(a < b).select("window_id", key, "doc_row", (a - start).alias("window_pos"), (
+        b - a).alias("n_tokens"), F.struct("chunk_no", (a - F.col("offset")).alias("at")).alias("place"))
+    merged = parts.groupBy("window_id", "doc_row").agg(
+        F.first(key).alias(key), F.min("window_pos").alias("window_pos"), F.min("place").alias("place"),
+        F.sum("n_tokens").alias("n_tokens"))
+    size = offsets.agg(F.max("n")).first()[0] or 0  # of a full chunk, if any document has two
+    return merged.select("window_id", key, "doc_row", "window_pos",
+                         (F.col("place.chunk_no") * F.lit(size) + F.col("place.at")).alias("doc_pos"),
+                         "n_tokens")
+
+
 def per_document_windows(offsets: DataFrame, key: str, max_length: int, stride: int,
                          block: int = DEFAULT_BLOCK) -> DataFrame:
     """D6 extension: windows that never cross a document boundary.
@@ -172,14 +206,14 @@ def per_document_windows(offsets: DataFrame, key: str, max_length: int, stride:
     Output ``(key, window_id, input_ids, target_ids)`` with ``window_id`` local to the doc.
     """
     _check(max_length, stride)
-    docs = offsets.groupBy(key).agg(F.min("offset").alias("__doc_start"),
-                                    F.sum("n").alias("__doc_n"))
+    docs = offsets.groupBy("doc_row").agg(F.min("offset").alias("__doc_start"),
+                                          F.sum("n").alias("__doc_n"))
     L, S = max_length, stride
     w_doc = F.greatest(F.lit(0), F.ceil((F.col("__doc_n") - L) / F.lit(S))).cast("long")
-    joined = offsets.join(docs, key)
-    pieces = _block_pieces(joined, L, block, (w_doc - 1) * S, keep=[key],
+    joined = offsets.join(docs, "doc_row")
+    pieces = _block_pieces(joined, L, block, (w_doc - 1) * S, keep=[key, "doc_row"],
                            base=F.col("__doc_start"))
-    return _block_windows(pieces, [key], L, S, block)
+    return _block_windows(pieces, [key, "doc_row"], L, S, block).drop("doc_row")
 
 
 def windows_of_rows(docs: DataFrame, key: str, max_length: int, stride: int, tokens: str = "tokens"

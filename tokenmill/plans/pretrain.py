@@ -95,24 +95,43 @@ def lm_window_count(spark: SparkSession, sf: str) -> DataFrame:
     return win.window_counts(lengths, [(64, 32), (64, 64), (64, 100), (7, 3), (4, 2)])
 
 
-LINEAGE_SQL = f"""
+_LINEAGE = f"""
 WITH t AS (SELECT doc_id, list_append(regexp_extract_all(text, '{RX}'), '{EOS}') AS a FROM documents),
-g AS (SELECT row_number() OVER (ORDER BY doc_id, pos) - 1 AS i, doc_id
+g AS (SELECT row_number() OVER (ORDER BY doc_id, pos) - 1 AS i, doc_id, pos - 1 AS pos
       FROM (SELECT doc_id, unnest(a) AS tok, generate_subscripts(a, 1) AS pos FROM t)),
 n AS (SELECT count(*) AS n_tok FROM g),
-e AS (SELECT unnest(range(greatest(0, (i - 64 + 31) // 32), i // 32 + 1)) AS w, i, doc_id FROM g)
+e AS (SELECT unnest(range(greatest(0, (i - 64 + 31) // 32), i // 32 + 1)) AS w, i, doc_id, pos FROM g)
+"""
+LINEAGE_SQL = _LINEAGE + """
 SELECT CAST(w AS BIGINT) AS window_id, CAST(count(DISTINCT doc_id) AS BIGINT) AS n_docs,
        min(doc_id) AS first_doc, max(doc_id) AS last_doc
 FROM e, n WHERE w * 32 < n_tok - 64 GROUP BY w
 """
 
 
+def _window_documents(spark: SparkSession, sf: str) -> DataFrame:
+    offs, n = win.stream_offsets(doc_tokens(_docs(spark, sf)), ["doc_id"], with_total=True)
+    return win.window_documents(offs, "doc_id", 64, 32, n)
+
+
 @register("window_lineage", "D6", LINEAGE_SQL)
 def window_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    w = lm_dataset(_docs(spark, sf), 64, 32, lineage=True)
-    return w.select("window_id", F.col("n_docs").cast("long").alias("n_docs"),
-                    F.element_at("doc_ids", 1).alias("first_doc"),
-                    F.element_at("doc_ids", -1).alias("last_doc"))
+    at = F.struct("window_pos", "doc_id")
+    return _window_documents(spark, sf).groupBy("window_id").agg(
+        F.count(F.lit(1)).alias("n_docs"), F.min(at)["doc_id"].alias("first_doc"),
+        F.max(at)["doc_id"].alias("last_doc"))
+
+
+WINDOW_DOCUMENTS_SQL = _LINEAGE + """
+SELECT CAST(w AS BIGINT) AS window_id, doc_id, CAST(min(i) - w * 32 AS BIGINT) AS window_pos,
+       CAST(min(pos) AS BIGINT) AS doc_pos, CAST(count(*) AS BIGINT) AS n_tokens
+FROM e, n WHERE w * 32 < n_tok - 64 GROUP BY w, doc_id
+"""
+
+
+@register("window_documents", "D6 (place of every document in its windows)", WINDOW_DOCUMENTS_SQL)
+def window_documents(spark: SparkSession, sf: str) -> DataFrame:
+    return _window_documents(spark, sf).select("window_id", "doc_id", "window_pos", "doc_pos", "n_tokens")
 
 
 PER_DOC_SQL = f"""
