@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tokenmill.config import EOS_TEXT, EOT_TEXT, PAD_TEXT
 from tokenmill.functions.arrays import join_tokens
 from tokenmill.functions.text import word_pattern
+from tokenmill.operators import packing as pk
 from tokenmill.operators import tokenize as tok
 from tokenmill.operators import windows as win
 from tokenmill.plans.prefix import materialize
@@ -153,6 +154,25 @@ def per_doc_windows(spark: SparkSession, sf: str) -> DataFrame:
                     join_tokens("target_ids").alias("target_ids"))
 
 
+PACK_LENGTH = 512
+_PARTS = f"""
+WITH t AS (SELECT doc_id, list_append(regexp_extract_all(text, '{RX}'), '{EOS}') AS a FROM documents),
+c AS (SELECT doc_id, a, unnest(range(0, len(a), {PACK_LENGTH})) AS pos FROM t)
+"""
+
+
+@register("pack_documents", "D6 (packing: every part read back from its row)", _PARTS + f"""
+SELECT doc_id, pos AS doc_pos, CAST(len(a[pos + 1:pos + {PACK_LENGTH}]) AS BIGINT) AS n_tokens,
+       md5(array_to_string(a[pos + 1:pos + {PACK_LENGTH}], ' ')) AS tokens_md5
+FROM c
+""")
+def pack_documents(spark: SparkSession, sf: str) -> DataFrame:
+    packed = materialize(pk.pack_documents(doc_tokens(_docs(spark, sf)), ["doc_id"], PACK_LENGTH), "packed")
+    back = pk.unpack_documents(packed.where(F.size("tokens") <= PACK_LENGTH), ["doc_id"])
+    return back.select("doc_id", "doc_pos", F.size("tokens").cast("long").alias("n_tokens"),
+                       F.md5(join_tokens("tokens")).alias("tokens_md5"))
+
+
 NEXT_PAIRS_SQL = f"""
 WITH t AS (SELECT doc_id, list_append(regexp_extract_all(text, '{RX}'), '{EOS}') AS a FROM documents),
 g AS (SELECT row_number() OVER (ORDER BY doc_id, pos) - 1 AS i, tok
