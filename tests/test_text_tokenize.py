@@ -64,3 +64,23 @@ def test_append_eos_and_crop(spark):
     assert list(tok.append_eos(df, "tokens", 9).first().tokens) == [1, 2, 3, 9]
     assert list(tok.crop_context(df, "tokens", 2).first().tokens) == [2, 3]
     assert list(tok.crop_context(df, "tokens", 5).first().tokens) == [1, 2, 3]
+
+
+def test_lookup_keeps_rows_columns_and_order(spark):
+    from tokenmill.operators import tokenize as tok
+    vocab = spark.createDataFrame([("<eos>", 0, 0), ("<unk>", 1, 0), ("a", 2, 5), ("b", 3, 4)],
+                                  "token string, id int, count long")
+    rows = [(1, ["a", "b", "a"], "x"), (1, ["b"], "y"), (None, ["zz", None, "a"], "z"), (2, [], "e"),
+            (3, None, "n"), (1, ["b"], "y")]
+    df = spark.createDataFrame(rows, "doc_id long, tokens array<string>, block string").repartition(3)
+    got = sorted(tuple(r) for r in tok.tokens_to_ids(df, "tokens", vocab).select(
+        F.coalesce("doc_id", F.lit(-1)), "block", "ids").collect())
+    assert got == [(-1, "z", [1, 1, 2]), (1, "x", [2, 3, 2]), (1, "y", [3]), (1, "y", [3]), (2, "e", []), (3, "n", [])]
+    only = tok.tokens_to_ids(df.select("doc_id", "tokens"), "tokens", vocab, ["doc_id"])
+    assert only.columns == ["doc_id", "ids"] and only.count() == 6
+    back = tok.decode(tok.tokens_to_ids(df, "tokens", vocab), "ids", "word", vocab=vocab)
+    assert sorted(r.decoded for r in back.collect()) == ["", "", "<unk> <unk> a", "a b a", "b", "b"]
+    empty = df.limit(0)
+    assert tok.tokens_to_ids(empty, "tokens", vocab).collect() == []
+    plan = tok.tokens_to_ids(df, "tokens", vocab)._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode(tokens" not in plan

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from tokenmill.config import BYTE_VOCAB, EOS_TEXT, EOT_TEXT, PAD_TEXT
 from tokenmill.functions import arrays as A
@@ -50,16 +51,15 @@ def decode(df: DataFrame, ids_col: str = "tokens", kind: str = "word", out: str
     """C4: tokens -> text. ``[]`` decodes to ``""``.
 
     ``byte`` is exact. ``word`` joins tokens with single spaces (lossy); with a
-    ``vocab`` the ids are first mapped back to token strings (needs row ``key``).
+    ``vocab`` the ids are first mapped back to token strings.
     """
     if kind == "byte":
         return df.withColumn(out, B.decode_bytes(ids_col, specials))
     if kind == "word":
         if vocab is None:
             return df.withColumn(out, F.array_join(F.col(ids_col), " "))
-        strings = ids_to_tokens(df.select(*key, ids_col), ids_col, vocab, key, out="__toks")
-        return df.join(strings, list(key), "left").withColumn(
-            out, F.coalesce(F.array_join("__toks", " "), F.lit(""))).drop("__toks")
+        strings = ids_to_tokens(df.withColumn("__ids", F.col(ids_col)), "__ids", vocab, key, out="__toks")
+        return strings.withColumn(out, F.array_join("__toks", " ")).drop("__toks")
     if kind == "bpe":
         from tokenmill.operators.bpe import bpe_decode
         if ranks is None:
@@ -119,45 +119,79 @@ def build_vocab(tokens_df: DataFrame, tokens: str = "tokens", min_count: int = 1
     return fixed.unionByName(words)
 
 
-def _lookup_join(exploded: DataFrame, vocab: DataFrame, on: str) -> DataFrame:
-    n = vocab.count()
-    side = F.broadcast(vocab) if n <= BROADCAST_VOCAB_ROWS else vocab
-    return exploded.join(side, on, "left")
-
-
-def tokens_to_ids(df: DataFrame, tokens: str, vocab: DataFrame, key: Sequence[str],
+def _to_blocks(column: str, others: list[str]):
+    """Each Arrow batch to one block row: its distinct values, and its rows with places in them."""
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+        block = TaskContext.get().partitionId() << 33
+        for b in batches:
+            col = b.column(b.schema.get_field_index(column))
+            values = col.flatten().dictionary_encode()
+            places = values.indices.cast(pa.int32())
+            lengths = pa.compute.fill_null(pa.compute.list_value_length(col), 0).cast(pa.int64())
+            ends = pa.compute.cumulative_sum(lengths)
+            offsets = pa.concat_arrays([pa.array([0], pa.int64()), ends]).cast(pa.int32())
+            idx = pa.ListArray.from_arrays(offsets, places)
+            rows = pa.StructArray.from_arrays(
+                [*[b.column(b.schema.get_field_index(c)) for c in others], idx], names=[*others, "__idx"])
+
+            def one(values):
+                return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), one(values.dictionary), one(rows)],
+                                             names=["block", "dictionary", "rows"])
+            block += 1
+    return run
+
+
+def _lookup(df: DataFrame, column: str, table: DataFrame, source: str, target: str, out: str,
+            default: Column | None = None) -> DataFrame:
+    """``column``'s arrays with every value replaced by its ``target`` in ``table``.
+
+    Rows travel in blocks of one Arrow batch: (distinct values, rows of places). Only the distinct
+    values of a block meet the table; their targets come back as one array a block, and places
+    are resolved inside the block. No row a value, and no grouping of values by their row.
+    """
+    others = [c for c in df.columns if c != column]
+    values = df.schema[column].dataType
+    row = T_.StructType([df.schema[c] for c in others]
+                        + [T_.StructField("__idx", T_.ArrayType(T_.IntegerType()))])
+    schema = T_.StructType([T_.StructField("block", T_.LongType()), T_.StructField("dictionary", values),
+                            T_.StructField("rows", T_.ArrayType(row))])
+    blocks = materialize(df.mapInArrow(_to_blocks(column, others), schema), "value_blocks")
+    side = table.select(F.col(source).alias("__v"), F.col(target).alias("__t"))
+    if side.count() <= BROADCAST_VOCAB_ROWS:  # size check before broadcasting
+        side = F.broadcast(side)
+    found = blocks.select("block", F.posexplode("dictionary").alias("__pos", "__v")).join(side, "__v", "left")
+    targets = found.groupBy("block").agg(  # at most the distinct values of one block
+        F.sort_array(F.collect_list(F.struct("__pos", "__t"))).alias("__d"))
+    targets = targets.select("block", F.col("__d.__t").alias("__t"))
+    fill = (lambda v: v) if default is None else (lambda v: F.coalesce(v, default))
+    made = blocks.select("block", "rows").join(targets, "block", "left").select(F.explode(F.transform(
+        "rows", lambda r: F.struct(*[r[c].alias(c) for c in others], F.transform(
+            r["__idx"], lambda i: fill(F.get("__t", i))).alias(out)))).alias("__r"))
+    return made.select("__r.*")
+
+
+def tokens_to_ids(df: DataFrame, tokens: str, vocab: DataFrame, key: Sequence[str] = (),
                   out: str = "ids", unk: str = UNK_TEXT) -> DataFrame:
-    """Token strings -> ids via the vocabulary; unknown -> ``unk`` id.
+    """Token strings -> ids via the vocabulary; unknown and null tokens -> ``unk`` id.
 
-    posexplode -> join (broadcast when the vocabulary is small, else shuffle) ->
-    ordered regroup per row ``key``. Rows should be bounded (chunked) sequences.
+    Adds ``out``; a null token array gives an empty one. No column has to be a key (``key`` is
+    what an input of only key and tokens keeps): rows that share an id stay rows of their own.
     """
-    key = list(key)
     row = vocab.where(F.col("token") == unk).select("id").first()  # one scalar
     unk_id = F.lit(row[0] if row else None).cast("int")
-    exploded = df.select(*key, F.posexplode(tokens).alias("__pos", "token"))
-    looked = _lookup_join(exploded, vocab.select("token", "id"), "token")
-    looked = looked.withColumn("id", F.coalesce(F.col("id"), unk_id))
-    grouped = looked.groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.struct("__pos", "id"))).alias("__p"))
-    ids = grouped.select(*key, F.col("__p.id").alias(out))
-    # rows with empty token arrays have nothing to explode; keep them with []
     if set(df.columns) <= set(key) | {tokens}:
-        empty = df.where(F.size(tokens) == 0).select(*key, F.array().cast("array<int>").alias(out))
-        return ids.unionByName(empty)  # no join back: the token arrays are shuffled once
-    return df.join(ids, key, "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+        return _lookup(df, tokens, vocab, "token", "id", out, unk_id)
+    kept = df.withColumn("__tokens", F.col(tokens))
+    return _lookup(kept, "__tokens", vocab, "token", "id", out, unk_id)
 
 
-def ids_to_tokens(df: DataFrame, ids: str, vocab: DataFrame, key: Sequence[str],
+def ids_to_tokens(df: DataFrame, ids: str, vocab: DataFrame, key: Sequence[str] = (),
                   out: str = "tokens") -> DataFrame:
-    """Inverse of :func:`tokens_to_ids`."""
-    key = list(key)
-    exploded = df.select(*key, F.posexplode(ids).alias("__pos", "id"))
-    looked = _lookup_join(exploded, vocab.select("id", "token"), "id")
-    grouped = looked.groupBy(*key).agg(
-        F.sort_array(F.collect_list(F.struct("__pos", "token"))).alias("__p"))
-    return grouped.select(*key, F.col("__p.token").alias(out))
+    """Inverse of :func:`tokens_to_ids`; an id the vocabulary lacks gives null."""
+    return _lookup(df, ids, vocab, "id", "token", out)
 
 
 def roundtrip_audit(df: DataFrame, text_col: str = "text", kind: str = "byte",
