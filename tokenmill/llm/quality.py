@@ -139,8 +139,11 @@ def fit_pu(pos: np.ndarray, unl: np.ndarray, l2: float = 1e-4, steps: int = 400
 
 
 def hash_share(column: Column, share: float, seed: int) -> Column:
-    """True for about ``share`` of the values, decided by a seeded hash."""
-    return F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20))
+    """True for about ``share`` of the values, decided by all 64 bits of a seeded hash."""
+    bound = int(share * 2.0 ** 64) - (1 << 63)
+    if bound >= 1 << 63:
+        return F.lit(True)
+    return F.xxhash64(column, F.lit(seed)) < F.lit(max(bound, -(1 << 63)))
 
 
 def fold(column: Column, n: int) -> Column:

@@ -36,6 +36,9 @@ from tokenmill.llm.quality import fold, hash_share
 from tokenmill.plans.prefix import materialize
 
 MAX_FIT = 12_000
+# Labelled ids up to this many rows travel to the texts (about 100 MB); beyond it the texts are
+# shuffled to the labels once. Both give the same rows.
+MAX_SENT_LABELS = 2_000_000
 STEMS = (4, 5, 6, 7, 8)
 FLAG_AT = 0.7
 _U = np.uint64
@@ -132,7 +135,7 @@ def text_features(data: np.ndarray, off: np.ndarray, keys: np.ndarray, values: n
     np.cumsum(_LETTER[data], out=letters[1:])
     odd = np.zeros(len(data) + 1, np.int64)
     np.cumsum(_ODD[data], out=odd[1:])
-    mixed = (letters[me] - letters[ms] >= 2) & (odd[me - 1] - odd[ms] >= 1) & (me - ms <= 24)
+    mixed = (letters[me] - letters[ms] >= 2) & (odd[me - 1] - odd[ms] >= 1)
     ms, me = ms[mixed], me[mixed]
     mrow = np.searchsorted(off, ms, side="right") - 1
     cloaked = (_weights(_stems(_LEET[data], ms, me), keys, values) > 0 if len(ms)
@@ -178,8 +181,8 @@ def _stem_counts(batches):
 
 def induce_lexicon(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(sorted stem hashes, weights) from (toxic, __text) rows, with the seeds."""
-    n = labelled.agg(F.sum(F.col("toxic").cast("long")).alias("yes"),
-                     F.count(F.lit(1)).alias("all")).first()
+    n = labelled.select("toxic").agg(F.sum(F.col("toxic").cast("long")).alias("yes"),
+                                     F.count(F.lit(1)).alias("all")).first()
     yes, no = n["yes"] or 0, n["all"] - (n["yes"] or 0)
     keys, values = [h for h in _hashes(SEEDS)], [4.0] * len(SEEDS)
     if yes and no:
@@ -223,12 +226,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
 
     rows = labels.where(~out(F.col("id"))).groupBy("id").agg(F.max(F.col("toxic") == 1).alias("toxic"))
     rows = rows.where("toxic is not null")
-    share = min(1.0, max_fit / max(rows.count(), 1))
-    sample = rows.where(hash_share(F.col("id"), share, 9))
+    rows = materialize(rows, "labels")
+    n_rows = rows.count()
+    share = min(1.0, max_fit / max(n_rows, 1))
+    sample = rows.where(hash_share(F.col("id"), share, 9))  # bounded: about max_fit rows
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("__text"))
     part = F.pmod(F.xxhash64("id", F.lit(4)), F.lit(4))
-    lexicon = induce_lexicon(text.join(rows.where(part != 0), "id"))
-    sample = materialize(text.join(sample, "id").withColumn("part", part), "labelled")
+    learn = rows.where(part != 0)
+    lexicon = induce_lexicon(text.join(F.broadcast(learn) if n_rows <= MAX_SENT_LABELS else learn, "id"))
+    sample = materialize(text.join(F.broadcast(sample), "id").withColumn("part", part), "labelled")
     feats = materialize(features_of(docs, lexicon, id_col, text_col), "features")
     held_out = F.coalesce(out(F.col("id")), F.lit(False)).alias("held_out")
 
