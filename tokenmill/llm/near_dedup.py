@@ -44,6 +44,7 @@ BANDS, ROWS, SHINGLE, THRESHOLD = 24, 5, 5, 0.8
 #: A pair at the threshold agrees in fewer than this share of 120 slots once in about 10^5 times.
 MIN_AGREEMENT = 0.64
 TURNS = 2
+MAX_SENT_CLASSES = 2_000_000  # (key, id) rows, about 100 MB as a broadcast table
 _U = np.uint64
 _GOLD, _C2 = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 
@@ -235,8 +236,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     used = materialize(member.select("node").distinct().join(classes, "node"), "used")
     signatures = materialize(raw.select("node", "sig").join(used, "node", "left_semi")
                              .dropDuplicates(["node"]), "signatures")
+    # the narrow class table goes to the texts while it is small; beyond that both are shuffled
+    named = F.broadcast(used) if used.count() <= MAX_SENT_CLASSES else used
     items = materialize(X.map_arrow(
-        keyed.join(used, (keyed["node"] == used["node"]) & keyed["id"].eqNullSafe(used["class_id"]),
+        keyed.join(named, (keyed["node"] == used["node"]) & keyed["id"].eqNullSafe(used["class_id"]),
                    "left_semi").select("node", "__text"),
         _overlap_rows(k), "node long, items array<long>").dropDuplicates(["node"]), "items")
     star = materialize(
