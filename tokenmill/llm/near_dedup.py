@@ -11,8 +11,8 @@ similarity is at least 0.8; groups are the connected components of the links.
    probability equal to their weighted Jaccard similarity. A process stops when its time passes
    the latest slot, which leaves two or three points for a shingle of a usual document.
 2. Exact copies share a text hash and stand for one another as one class.
-3. Bands of slots give bucket keys. Every class of a bucket is held against the bucket's smallest and
-   largest class, then, where several components are left, against a class of the largest, in a few turns. That is
+3. Bands of slots give bucket keys. Every class of a bucket is held against the bucket's smallest
+   class, then, where several components are left, against a class of the largest, in a few turns. That is
    linear in the bucket and joins most copies. Classes whose buckets still hold several components
    meet in an exact prefix-filtering join on their rarest shingles, which compares only pairs that can
    still reach the threshold; so a group of n copies is not expanded into its pairs, and no
@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in_band = raw.select(F.explode("bands").alias("band"), "node").distinct()
     shared = in_band.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")
                                          ).where("lo <> hi")
-    member = materialize(in_band.join(shared, "band"), "buckets")
+    member = materialize(in_band.join(shared.select("band", "lo"), "band"), "buckets")
     # signature and items of the classes that share a bucket, made once
     used = materialize(member.select("node").distinct().join(classes, "node"), "used")
     signatures = materialize(raw.select("node", "sig").join(used, "node", "left_semi")
@@ -243,8 +243,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    "left_semi").select("node", "__text"),
         _overlap_rows(k), "node long, items array<long>").dropDuplicates(["node"]), "items")
     star = materialize(
-        member.select("node", F.explode(F.array("lo", "hi")).alias("c")).where("node <> c")
-        .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct(),
+        member.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct(),
         "pairs")
     links = materialize(_similar(star, signatures, items, threshold), "links")
     comp = connected_components(links)
