@@ -119,3 +119,23 @@ def test_ngram_fit_and_score(spark):
     assert got.cross_entropy == pytest.approx(exp) and got.n_tokens == 2
     uni = N.score_ngram(N.fit_ngram(train, 1, 3), ev, 1, 3).first()
     assert uni.cross_entropy == pytest.approx(-(math.log(3 / 7) * 2 + math.log(1 / 7)) / 3)
+
+
+def test_race_draws_in_proportion_to_softmax(spark):
+    import math
+    logits = {1: 0.0, 2: 1.0, 3: -2.0, 4: 2.5, 5: float("-inf"), 6: None, 7: float("nan")}
+    rows = [(g, i, z) for g in range(4000) for i, z in logits.items()]
+    df = spark.createDataFrame(rows, "group_id long, item_id long, logit double")
+    drawn = [r.item_id for r in S.sample_race(df, seed=3).collect()]
+    total = sum(math.exp(z) for z in logits.values() if z is not None and z == z)
+    assert len(drawn) == 4000
+    for i, z in logits.items():
+        p = math.exp(z) / total if z is not None and z == z else 0.0
+        assert abs(drawn.count(i) / 4000 - p) < 4 * math.sqrt(p * (1 - p) / 4000) + 1e-9
+    again = [r.item_id for r in S.sample_race(df.repartition(7), seed=3).orderBy("group_id").collect()]
+    assert again == [r.item_id for r in S.sample_race(df, seed=3).orderBy("group_id").collect()]
+    # large logits do not overflow; equal rows and an undrawable group are defined
+    odd = spark.createDataFrame([(1, 1, 1e308), (1, 2, 5.0), (2, 9, 1.0), (2, 9, 1.0), (3, 1, None)],
+                                "group_id long, item_id long, logit double")
+    assert sorted((r.group_id, r.item_id) for r in S.sample_race(odd, 1).collect()) == [(1, 1), (2, 9)]
+    assert "SortMergeJoin" not in S.sample_race(df, 1)._jdf.queryExecution().executedPlan().toString()

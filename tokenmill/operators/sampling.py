@@ -85,6 +85,24 @@ def top_p(df: DataFrame, p: float | None, group: str = "group_id", item: str = "
     return pr.where(F.col("__cb") < F.lit(float(p))).drop("__p", "__cb")
 
 
+def sample_race(df: DataFrame, seed: int, group: str = "group_id", item: str = "item_id",
+                logit: str = "logit") -> DataFrame:
+    """J6 by exponential races: every item gets an arrival time with rate ``exp(logit)`` from a keyed
+    uniform, and the first to arrive is drawn, which happens with probability softmax(logit).
+
+    One aggregate a group and nothing else: no softmax, no order of the items, no join; a hot group
+    is reduced before the shuffle. Times are compared as logarithms, so large logits do not
+    overflow. Null and NaN logits, and those of minus infinity, are never drawn (a group of none
+    else has no row); among equal times the smallest item wins; rows of an item that is repeated
+    share their draw.
+    """
+    u = (md5_uniform(F.lit(seed), F.col(group), F.col(item)) + F.lit(2.0 ** -53))  # inside (0, 1)
+    z = F.col(logit)
+    late = F.log(-F.log(u)) - z
+    racing = df.where(z.isNotNull() & ~F.isnan(z) & (z > float("-inf")))
+    return racing.groupBy(group).agg(F.min_by(item, F.struct(late, F.col(item))).alias(item))
+
+
 def sample(df: DataFrame, seed: int, group: str = "group_id", item: str = "item_id",
            logit: str = "logit") -> DataFrame:
     """Draw one item per group with probability softmax(logit): the first item (by

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tokenmill.config import EOS_TEXT, HEADING_PREFIX, SUBHEADING_PREFIX
 from tokenmill.functions.text import corpus_lines, is_blank, word_tokens
-from tokenmill.plans.prefix import global_offsets, materialize
+from tokenmill.plans.prefix import global_offsets, grouped_offsets, materialize
 
 
 def drop_blank(df: DataFrame, col: str = "text") -> DataFrame:
@@ -75,6 +75,41 @@ def segment_by_heading(df: DataFrame, key: str = "doc_id", text: str = "text") -
                     .alias("text")))
 
 
+PART_BYTES = 64 << 10
+
+
+def segment_parts(df: DataFrame, key: str = "doc_id", text: str = "text",
+                  part_bytes: int = PART_BYTES) -> DataFrame:
+    """C2 + B1 with documents as bounded parts: (seg_id, part_no, text), no row above ``part_bytes``.
+
+    The parts of a document, joined in order with nothing between, are the text that
+    :func:`segment_by_heading` gives. Lines longer than a part are cut at code points; where a part
+    ends follows from the running byte count inside the document (a per-group running sum over
+    range partitions), so a document of any length never meets in one task. Whether a document is
+    blank is a flag a document, joined back by its id alone.
+    """
+    if part_bytes < 8:
+        raise ValueError("part_bytes must be at least 8")
+    half, width = part_bytes // 2, part_bytes // 8  # a code point has at most four bytes
+    lines = materialize(segment_lines(df, key, text), "segment_lines")
+    facts = lines.groupBy("seg_id").agg(  # one narrow row a document
+        F.max(F.struct(F.col(key).alias("k"), F.col("line_no").alias("l"))).alias("last"),
+        F.max((~is_blank("line")).cast("int")).alias("nonblank")).where("nonblank = 1")
+    kept = lines.join(facts.select("seg_id", "last"), "seg_id")
+    is_last = (F.col(key) == F.col("last.k")) & (F.col("line_no") == F.col("last.l"))
+    ended = kept.select("seg_id", key, "line_no", F.when(is_last, F.col("line")).otherwise(
+        F.concat("line", F.lit("\n"))).alias("line"))
+    starts = F.sequence(F.lit(0), F.greatest(F.length("line") - 1, F.lit(0)), F.lit(width))
+    pieces = ended.select("seg_id", key, "line_no", F.posexplode(F.transform(
+        starts, lambda i: F.substring(F.col("line"), i + 1, F.lit(width)))).alias("piece_no", "piece"))
+    pieces = pieces.withColumn("size", F.octet_length("piece").cast("long"))
+    at = grouped_offsets(pieces, ["seg_id"], [key, "line_no", "piece_no"], "size", out="at")
+    # a part starts less than half a part's bytes before its last piece, which is at most the other half
+    return at.groupBy("seg_id", F.floor(F.col("at") / half).alias("part_no")).agg(
+        F.sort_array(F.collect_list(F.struct(key, "line_no", "piece_no", "piece"))).alias("p")).select(
+        "seg_id", "part_no", F.array_join("p.piece", "").alias("text"))
+
+
 def heading_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Line-corpus fixture: doc_id % 3 == 0 gets a " = Doc <id> = " heading, == 1 gets a
     " = = Part = = " sub-heading, each as an extra first line of the row; some rows end in a line

@@ -52,6 +52,31 @@ def segment_headings(spark: SparkSession, sf: str) -> DataFrame:
                        F.md5("text").alias("text_md5"))
 
 
+PART_BYTES = 2048
+PARTS_SQL = f"""
+WITH {RAW_LINES},
+s AS (SELECT *, sum(CASE WHEN starts_with(line, ' = ') AND NOT starts_with(line, ' = = ') THEN 1 ELSE 0 END)
+                OVER (ORDER BY ln ROWS UNBOUNDED PRECEDING) AS seg_id FROM k),
+d AS (SELECT *, max(CASE WHEN regexp_full_match(line, '{BLANK}') THEN 0 ELSE 1 END) OVER w AS nonblank,
+             max(ln) OVER w AS last FROM s WINDOW w AS (PARTITION BY seg_id)),
+e AS (SELECT seg_id, ln, CASE WHEN ln = last THEN line ELSE line || chr(10) END AS line FROM d WHERE nonblank = 1),
+x AS (SELECT seg_id, ln, i, substr(line, i + 1, {PART_BYTES // 8}) AS piece FROM (
+        SELECT *, unnest(range(0, greatest(length(line), 1), {PART_BYTES // 8})) AS i FROM e)),
+a AS (SELECT *, coalesce(sum(octet_length(encode(piece))) OVER (PARTITION BY seg_id ORDER BY ln, i
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM x)
+SELECT CAST(seg_id AS BIGINT) AS seg_id, CAST(before // {PART_BYTES // 2} AS BIGINT) AS part_no,
+       CAST(sum(octet_length(encode(piece))) AS BIGINT) AS n_bytes, md5(string_agg(piece, '' ORDER BY ln, i)) AS text_md5
+FROM a GROUP BY ALL
+"""
+
+
+@register("segment_parts", "C2 B1 (documents as bounded parts)", PARTS_SQL)
+def segment_parts(spark: SparkSession, sf: str) -> DataFrame:
+    parts = seg.segment_parts(seg.heading_corpus(_docs(spark, sf)), part_bytes=PART_BYTES)
+    return parts.select("seg_id", "part_no", F.octet_length("text").cast("long").alias("n_bytes"),
+                        F.md5("text").alias("text_md5"))
+
+
 LINES_SQL = f"""
 WITH {RAW_LINES}
 SELECT md5(line) AS line_md5, CAST(count(*) AS BIGINT) AS n_lines,

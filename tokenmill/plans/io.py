@@ -155,14 +155,13 @@ def lm_windows_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("special_marker_bytes", "C5 C6 (a marker inside the text is one reserved id)", f"""
-SELECT doc_id, array_to_string(list_transform(regexp_extract_all(hex(substr(text, 1, 40)), '..'),
-         lambda h: CAST(('0x' || h) AS INTEGER)) || [256] || list_transform(regexp_extract_all(hex(substr(text, 1, 40)), '..'),
+SELECT doc_id, array_to_string(list_transform(regexp_extract_all(hex(text), '..'),
+         lambda h: CAST(('0x' || h) AS INTEGER)) || [256] || list_transform(regexp_extract_all(hex(text), '..'),
          lambda h: CAST(('0x' || h) AS INTEGER)), ' ') AS ids FROM documents
 """)
 def special_marker_bytes(spark: SparkSession, sf: str) -> DataFrame:
-    head = F.substring("text", 1, 40)
     docs = tables.table(spark, sf, "documents").select(
-        "doc_id", F.concat(head, F.lit(EOS_TEXT), head).alias("text"))
+        "doc_id", F.concat("text", F.lit(EOS_TEXT), "text").alias("text"))
     return tok.encode(docs, kind="byte").select("doc_id", F.array_join("tokens", " ").alias("ids"))
 
 

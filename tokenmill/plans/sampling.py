@@ -133,6 +133,19 @@ def sample(spark: SparkSession, sf: str) -> DataFrame:
                          seed=11)
 
 
+RACE_SQL = """
+WITH g AS (SELECT user_id AS group_id, event_id AS item_id, ln(value + 1) / 0.8 AS z FROM events),
+u AS (SELECT *, CAST(('0x' || substr(md5('5:' || group_id || ':' || item_id), 1, 13)) AS BIGINT) / 4503599627370496.0
+             + power(2.0, -53) AS u FROM g)
+SELECT group_id, arg_min(item_id, (ln(-ln(u)) - z, item_id)) AS item_id FROM u GROUP BY group_id
+"""
+
+
+@register("sample_race", "J6 J3 (draw by exponential races)", RACE_SQL)
+def sample_race(spark: SparkSession, sf: str) -> DataFrame:
+    return S.sample_race(S.temperature(_logits(spark, sf), 0.8), seed=5)
+
+
 CUT_SQL = f"""
 WITH t AS (SELECT doc_id, regexp_extract_all(text, '{RX}') AS a FROM documents),
 p AS (SELECT doc_id, a, least(coalesce(list_position(a, '.'), 4611686018427387904),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenmill.config import BOS_TEXT, EOT_TEXT, HEADER_END_TEXT, HEADER_START_TEXT, PAD_TEXT
@@ -194,6 +194,29 @@ def extract_response(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("conv_id", join_tokens("response").alias("response"))
 
 
+GENERATED_SQL = f"""
+WITH n AS (SELECT conv_id, turn, role, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS answer FROM conversations),
+t AS (SELECT conv_id, turn, regexp_extract_all(answer, '{TRX}') AS a FROM n WHERE role = 'user' AND answer IS NOT NULL)
+SELECT conv_id, turn, array_to_string(a[1:(len(a) + 1) // 2], ' ') AS response FROM t
+"""
+
+
+@register("extract_generated", "E13 E12 (slice after the prompt, cut at the stop inside, specials dropped)", GENERATED_SQL)
+def extract_generated(spark: SparkSession, sf: str) -> DataFrame:
+    """A generation for every user turn that is answered: the prompt, a header mark, the first half of
+    the answer, an end mark, then the second half, which no longer belongs to the response."""
+    following = Window.partitionBy("conv_id").orderBy("turn")
+    asked = _turns(spark, sf).withColumn("answer", F.lead("text").over(following)).where(
+        (F.col("role") == "user") & F.col("answer").isNotNull()).withColumnRenamed("text", "prompt")
+    a = T.tokens(F.col("answer"))
+    half = F.ceil(F.size("a") / 2).cast("int")
+    made = C.format_prompt(asked, "prompt").withColumn("a", a).withColumn("generated", F.concat(
+        "prompt_ids", F.array(F.lit(HEADER_END_TEXT)), F.slice("a", F.lit(1), half), F.array(F.lit(EOT_TEXT)),
+        F.slice("a", half + 1, F.size("a") - half)))
+    out = C.extract_response(made, "generated", F.size("prompt_ids"), drop=[HEADER_END_TEXT])
+    return out.select("conv_id", "turn", join_tokens("response").alias("response"))
+
+
 FORMAT_PROMPT_SQL = f"""
 SELECT conv_id, turn,
        array_to_string(['{BOS_TEXT}', '{HEADER_START_TEXT}', 'user', '{HEADER_END_TEXT}']
