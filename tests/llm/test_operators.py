@@ -173,6 +173,16 @@ def test_embedding_links_equal_brute_force(spark):
     assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_are_compared_one_by_one(spark):
+    rows = [(1, [1.0, 0.0, 0.0], "x"), (1, [0.0, 1.0, 0.0], "x"), (2, [0.0, 1.0, 0.01], "x"),
+            (3, [1.0, 0.01, 0.0], "x"), (4, [0.0, 0.0, 1.0], "x"), (4, [0.0, 0.0, 1.0], "x"), (5, [-1.0, 0.0, 0.0], "x")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, g string").withColumn(
+        "id", F.lit("clash")).withColumn("cell", F.lit(0)).repartition(3)
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False),
+                   (4, 1, 4, True), (4, 1, 4, True), (5, 0, 5, True)]
+
+
 def test_calibrated_tables_reach_the_recall():
     for n in (100, 10_000, 10_000_000):
         b, t = embedding_dedup.calibrate(n)

@@ -17,9 +17,9 @@ common leader are all linked by the triangle inequality, so a group is counted,
 only pairs of different groups are counted and verified.
 
 Defined cases: null, zero or non-finite vectors, and vectors with null components, link with
-nothing; vectors of different length never link; repeated ids are one vector each (the smallest
-row hash gets the links of that id's other rows too); null ids link with nothing; an empty table
-gives an empty result; extra columns are not read.
+nothing; vectors of different length never link; every row is a vector of its own, numbered when it is
+read, so rows that share an id are compared and counted one by one (equal rows link with each other);
+null ids link with nothing; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -108,12 +108,14 @@ def _with_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                  threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 3) -> DataFrame:
     """(id, n_links, component_id, kept) for every row of ``vectors``."""
-    everything = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = everything.where("id is not null and vec is not null and size(vec) > 0").where(
-        F.coalesce(finite, F.lit(False)) & F.exists("vec", lambda x: x != 0))
-    usable = materialize(usable.withColumn("vec", F.col("vec").cast("array<double>"))
-                         .groupBy("id").agg(F.min("vec").alias("vec")), "vectors")
+    ok = (F.col("name").isNotNull() & (F.size("vec") > 0) & finite
+          & F.exists("vec", lambda x: x != 0))
+    everything = materialize(
+        vectors.select(F.col(id_col).alias("name"), F.col(vec_col).cast("array<double>").alias("vec"))
+        .withColumn("ok", F.coalesce(ok, F.lit(False)))
+        .withColumn("id", F.monotonically_increasing_id()), "vectors")  # written: the numbers stay
+    usable = everything.where("ok").select("id", "vec")
     b, tables = calibrate(usable.count(), threshold, recall)
     cells = materialize(X.map_arrow(usable, _cells(tables, b, seed),
                                     "id long, t int, cell long, proj double"), "cells")
@@ -153,10 +155,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     comp = connected_components(links.union(inside))
     per = (group.join(sizes, "g").join(cross, "id", "left")
            .select("id", (F.col("members") - 1 + F.coalesce("cross", F.lit(0))).alias("n")))
-    return (everything.select("id").join(per, "id", "left")
-            .join(comp.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left")
-            .select(F.col("id").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("c", "id").alias("component_id"))
+    part = comp.select(F.col("node").alias("id"), "component").join(
+        everything.select("id", "name"), "id")
+    part = part.join(part.groupBy("component").agg(F.min("name").alias("c")), "component").select("id", "c")
+    return (everything.select("id", "name").join(per, "id", "left").join(part, "id", "left")
+            .select(F.col("name").alias(id_col), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
+                    F.coalesce("c", "name").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))
 
 
