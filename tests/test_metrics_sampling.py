@@ -139,3 +139,14 @@ def test_race_draws_in_proportion_to_softmax(spark):
                                 "group_id long, item_id long, logit double")
     assert sorted((r.group_id, r.item_id) for r in S.sample_race(odd, 1).collect()) == [(1, 1), (2, 9)]
     assert "SortMergeJoin" not in S.sample_race(df, 1)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_side_by_side(spark):
+    rows = [(0, "a", 1.0, 2.0), (0, "a", 3.0, None), (0, "b", 5.0, 1.0), (1, "b", 7.0, 1.0), (2, "c", 9.0, 1.0),
+            (0, None, 4.0, 4.0), (None, "a", 6.0, 6.0)]
+    log = spark.createDataFrame(rows, "epoch int, run string, loss double, acc double")
+    got = {r.epoch: tuple(r)[1:] for r in M.runs_side_by_side(log, ["a", "b"], ["loss", "acc"]).collect()}
+    # a_loss, a_acc, b_loss, b_acc, then b against a
+    assert got == {0: (2.0, 2.0, 5.0, 1.0, 3.0, -1.0), 1: (None, None, 7.0, 1.0, None, None),
+                   2: (None,) * 6, None: (6.0, 6.0, None, None, None, None)}
+    assert M.runs_side_by_side(log.limit(0), ["a"], ["loss"]).collect() == []

@@ -118,6 +118,18 @@ def compare_runs(log: DataFrame, run: str = "run", value: str = "value", bucket:
     return log.groupBy(bucket, run).agg(F.avg(value).alias("mean_value"))
 
 
+def runs_side_by_side(log: DataFrame, runs: Sequence[str], values: Sequence[str], run: str = "run",
+                      bucket: str = "epoch") -> DataFrame:
+    """One row a bucket with ``<run>_<value>``, the mean of every value in every given run, and
+    ``<run>_<value>_diff`` against the first run. The runs are named by the caller, so the columns are
+    known before the data is read and one aggregate does all. A run without rows in a bucket is null
+    there; rows of other runs only keep their bucket."""
+    means = [F.avg(F.when(F.col(run) == r, F.col(v))).alias(f"{r}_{v}") for r in runs for v in values]
+    table = log.groupBy(bucket).agg(*means)
+    return table.select(bucket, *[f"{r}_{v}" for r in runs for v in values], *[
+        (F.col(f"{r}_{v}") - F.col(f"{runs[0]}_{v}")).alias(f"{r}_{v}_diff") for r in runs[1:] for v in values])
+
+
 def first_last(log: DataFrame, run: str = "run", step: str = "step", value: str = "value"
                ) -> DataFrame:
     """First and final value per run."""

@@ -103,6 +103,22 @@ def compare_runs(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("epoch", "run", F.round("mean_value", 6).alias("mean_loss"))
 
 
+SIDE_BY_SIDE = ("view", "click")
+SIDE_SQL = """
+WITH m AS (
+  SELECT event_id // 1000 AS epoch, avg(value / 100) FILTER (event_type = 'view') AS a,
+         avg(value / 100) FILTER (event_type = 'click') AS b FROM events GROUP BY event_id // 1000)
+SELECT CAST(epoch AS INTEGER) AS epoch, round(a, 6) AS view_loss, round(b, 6) AS click_loss,
+       round(b - a, 6) AS click_loss_diff FROM m
+"""
+
+
+@register("runs_side_by_side", "H12 (one row per epoch, a column per run)", SIDE_SQL)
+def runs_side_by_side(spark: SparkSession, sf: str) -> DataFrame:
+    t = M.runs_side_by_side(run_log(spark, sf), SIDE_BY_SIDE, ["loss"])
+    return t.select("epoch", *[F.round(c, 6).alias(c) for c in t.columns if c != "epoch"])
+
+
 SUMMARY_SQL = """
 SELECT event_type AS run, round(arg_min(value / 100, event_id), 6) AS first_value,
        round(arg_max(value / 100, event_id), 6) AS final_value,
