@@ -13,8 +13,11 @@ give the pre-token's count, which stays in the task's table (bounded by ``MAX_KN
 
 Costs are whole numbers with the count in the low bits, so sums are exact and ties well defined.
 
-Defined cases: a null or empty text has no tokens; pre-tokens above 4096 bytes are cut into parts
-of 4096; repeated rows count each; extra columns are not read.
+A pre-token above ``LONG`` bytes shares no prefix worth keeping: it takes the same forward pass alone, in
+windows of ``WINDOW`` places that hand on the scores of the last places only, and is not remembered.
+
+Defined cases: a null or empty text has no tokens; pre-tokens of any length are scored whole; repeated
+rows count each; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published pre-token pattern of byte-level BPE vocabularies.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 MAX_KNOWN = 400_000
-MAX_PRETOKEN = 4096
+LONG, WINDOW = 4096, 1 << 16  # bytes: scored outside the trie; places of a long pre-token at a time
 SCALE = 1024  # cost units per nat
 _COUNT, WIDE = 20, 40  # low bits that count tokens: of a pre-token, of a document
 _U = np.uint64
@@ -106,24 +109,33 @@ class UnigramTrie:
             out[order[:m][done]] = score[node[done]]
         return out
 
-
-def _split(find, text: str) -> list[str]:
-    words = find(text)
-    if words and max(map(len, words)) * 4 > MAX_PRETOKEN:
-        cut = []
-        for w in words:
-            raw = w.encode()
-            if len(raw) <= MAX_PRETOKEN:
-                cut.append(w)
-            else:  # latin-1 carries the bytes of a part
-                cut += ["\0" + raw[i:i + MAX_PRETOKEN].decode("latin-1")
-                        for i in range(0, len(raw), MAX_PRETOKEN)]
-        return cut
-    return words
-
-
-def _bytes_of(word: str) -> bytes:
-    return word[1:].encode("latin-1") if word[:1] == "\0" and len(word) > 1 else word.encode()
+    def long_score(self, word: bytes) -> int:
+        """Forward score of one word of any length, its token count in the ``WIDE`` low bits."""
+        data = np.frombuffer(word, np.uint8).astype(_U) + _U(1)
+        few, recent = (1 << _COUNT) - 1, [0]  # scores up to the current place, the newest last
+        for lo in range(0, len(data), WINDOW):
+            hi = min(lo + WINDOW, len(data))
+            tail, power, found = np.zeros(hi - lo, _U), 1, []
+            for j in range(min(self.width, hi)):  # tails of j + 1 bytes by the place they end at
+                power = power * int(X._B) & (2 ** 64 - 1)
+                first = max(lo, j)
+                tail[first - lo:] += data[first - j:hi - j] * _U(power)
+                h = tail[first - lo:]
+                at = np.flatnonzero(self.maybe[h >> _U(42)])
+                key = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
+                ok = self.keys[key] == h[at]
+                at = at[ok] + first
+                found.append(np.stack([at, np.full(len(at), j), self.costs[key[ok]]]))
+            end, back, cost = np.concatenate(found, axis=1)
+            order = np.argsort(end, kind="stable")
+            shift = len(recent) - lo  # where the score after place 0 would lie
+            recent += [1 << 200] * (hi - lo)
+            for e, j, c in zip(end[order].tolist(), back[order].tolist(), cost[order].tolist()):
+                x = recent[e + shift - j - 1] + ((c >> _COUNT) << WIDE | (c & few))
+                if x < recent[e + shift]:
+                    recent[e + shift] = x
+            recent = recent[-self.width:]
+        return recent[-1]
 
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -138,15 +150,20 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         few, low = (1 << _COUNT) - 1, (1 << WIDE) - 1
         for rec, data, off in X.blocks(batches, "__text", 2 << 20):
             block = data.tobytes()
-            words = [_split(find, block[a:b].decode()) for a, b in zip(off[:-1], off[1:])]
+            words = [find(block[a:b].decode()) for a, b in zip(off[:-1], off[1:])]
             if len(known) > MAX_KNOWN:
                 known.clear()
             new = list(set().union(*words).difference(known))
+            large = [w for w in new if len(w) * 4 > LONG and len(w.encode()) > LONG]
             if new:
-                got = trie.scores([_bytes_of(w) for w in new]).tolist()
-                known.update(zip(new, (((x >> _COUNT) << WIDE) | (x & few) for x in got)))
+                small = list(set(new).difference(large))
+                got = trie.scores([w.encode() for w in small]).tolist()
+                known.update(zip(small, (((x >> _COUNT) << WIDE) | (x & few) for x in got)))
+                known.update((w, trie.long_score(w.encode())) for w in large)
             # a document's sum keeps both parts: the count needs fewer than 2^40 tokens
             total = [sum(map(known.__getitem__, w)) for w in words]
+            for w in large:
+                del known[w]
             n = np.array([t & low for t in total], np.int64)
             cost = np.array([t >> WIDE for t in total], np.float64)
             yield pa.RecordBatch.from_arrays([
