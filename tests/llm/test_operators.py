@@ -87,8 +87,17 @@ def test_token_counts_equal_brute_force(spark, edges, empty):
         g = got[r["doc_id"]]
         assert (g["n_pretokens"], g["n_tokens"]) == (len(words), sum(p[1] for p in parts))
         assert g["log_prob"] == pytest.approx(-sum(p[0] for p in parts) / 1024)
+    rng = random.Random(3)
+    for word in (LONG_WORD, "".join(rng.choice("etaoin shrdlu\xe9\u4e2d\0") for _ in range(70_000)), "=" * 5000):
+        x = trie.long_score(word.encode())  # crosses windows, never cut
+        assert (x >> token_counts.WIDE, x & (1 << token_counts.WIDE) - 1) == brute(word.encode())
     out = token_counts.count_tokens(edges)
     assert out.count() == len(EDGES)
+    assert out.where("doc_id = 5").first()["n_tokens"] == sum(
+        brute(w.encode())[1] for w in regex.findall(token_counts.PATTERN, LONG_WORD))
+    one = token_counts.count_tokens(spark.createDataFrame([doc(1, "a" + "\u4e2d" * 9000 + " b")], DOC)).first()
+    n = [brute(w.encode())[1] for w in ("a" + "\u4e2d" * 9000, " b")]
+    assert (one["n_pretokens"], one["n_tokens"]) == (2, sum(n))
     assert {(r["n_pretokens"], r["n_tokens"]) for r in out.where("doc_id in (1, 2)").collect()} == {(0, 0)}
     assert token_counts.count_tokens(empty).count() == 0
 
@@ -291,6 +300,31 @@ def test_scores_against_brute_force(spark, edges, empty):
     assert lm_scoring.score_documents(edges).count() == len(EDGES)
 
 
+def test_unlikely_runs_and_large_counts(spark):
+    rows = [(i, "the cat sat on the mat and the dog ran off to the old barn " * 3) for i in range(300)]
+    odd = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    got = {r["doc_id"]: r for r in lm_scoring.score_documents(
+        spark.createDataFrame([*rows, (odd, "\x7f" * 64), (odd, "\x01\x7f" * 500)],
+                              "doc_id long, text string")).where(f"doc_id = {odd}").collect()}
+    # every bit has a probability of 5e-7 at least, so no score is lost below the least double
+    assert -6.4 * 8 * 66 < got[odd]["score"] / 16 < 0 and got[odd]["bits_per_byte"] < 170
+    counts = [(-3000.25, -1), (-0.5, 0), (-2.0, 3), (-1.0, 2 ** 25 + 1), (-1.0, 2 ** 32 - 1), (-1.0, 2 ** 40 + 1)]
+    df = spark.createDataFrame(counts, "lp double, c long").select("lp", "c", lm_scoring._code("lp", "c").alias("x"))
+    got = df.collect()
+    lp, c = lm_scoring._decoded(np.array([r["x"] for r in got]))
+    assert lp.tolist() == [r["lp"] for r in got]
+    assert c.tolist() == [r["c"] if r["c"] < lm_scoring.LARGE else -1 for r in got]  # the last goes beside the code
+
+
+def test_large_word_counts_reach_the_base(spark, monkeypatch):
+    docs = (spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+            .union(spark.createDataFrame([(9000 + i, "the  the  " + "x" * 200) for i in range(9)],
+                                         "doc_id long, text string")))  # pieces without a word
+    whole = by_row(lm_scoring.score_documents(docs), "doc_id", "n_known", "base_score", "score")
+    monkeypatch.setattr(lm_scoring, "LARGE", 50)  # most counts travel beside the code
+    assert by_row(lm_scoring.score_documents(docs), "doc_id", "n_known", "base_score", "score") == whole
+
+
 # ---- 6 secrets
 
 def brute_base(text):
