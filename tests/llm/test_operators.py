@@ -486,6 +486,76 @@ def test_license_statements_of_the_table(spark):
                for i, x in want.items())
 
 
+HEADERS = [  # (statement, license that it names; None: none that the templates hold)
+    ("Released under the ISC License.", "ISC"), ("Licensed under CC BY-ND 4.0.", None),
+    ("Released under the BSD 4-Clause License.", None), ("Licensed under CC BY 3.0.", None),
+    ("Licensed under CC BY-NC-SA 4.0.", None), ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 1.", None),
+    ("This work is licensed under the GNU Lesser General Public License, version 2.", None),
+    ("Released under the Foo License.", None), ("Released under the Boost Software License.", None),
+    ("Licensed under the Apache License, Version 1.1.", None), ("Licensed under the Apache License.", None),
+    ("// SPDX-License-Identifier: MIT", "MIT"), ("# SPDX-License-Identifier:  GPL-2.0-or-later", "GPL-2.0-or-later"),
+    ("/* SPDX-License-Identifier: (MIT OR Apache-2.0) */", "(MIT OR Apache-2.0)"),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General "
+     "Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n"
+     "(at your option) any later version.", "GPL-3.0"),
+    (" * This program is free software; you can redistribute it\n * and/or modify it under the terms\n * of the GNU "
+     "General Public License\n * as published by the Free\n * Software Foundation; either\n * version 2 of the\n"
+     " * License, or (at your option)\n * any later version.", "GPL-2.0"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser "
+     "General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or "
+     "(at your option) any later version.", "LGPL-2.1"),
+    ("Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software "
+     "and accompanying documentation covered by\nthis license.", None),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+     "associated documentation files (the Software).", "MIT"),
+    ("All rights reserved. No license is granted.", None)]
+
+
+def test_headers_name_no_wrong_license(spark, monkeypatch):
+    prose = "\n\n" + "code words go on " * 60
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", F.lit("d/f").alias("path"), "text")
+    rows = spark.createDataFrame([(-1 - i, "h/f", t + prose) for i, (t, _) in enumerate(HEADERS)], docs.schema)
+    got = {r["doc_id"]: r["license"] for r in licenses.scan_licenses(docs.union(rows)).where("doc_id < 0").collect()}
+    assert [(t, got[-1 - i]) for i, (t, _) in enumerate(HEADERS)] == HEADERS
+    affero = dict(licenses.full_texts())["GPL-3.0"].decode().replace("GNU GENERAL", "GNU AFFERO GENERAL", 1)
+    files = spark.createDataFrame([(1, "a/COPYING", affero), (2, "a/x", "words"), (3, None, None), (4, "b/L", "Released under "
+                                   "the MIT License."), *((5 + i, "b/x", "some words") for i in range(40))],
+                                  "doc_id long, path string, text string")
+    near = by_row(licenses.scan_licenses(files), "doc_id", "license", "origin")
+    by_id = {r[0]: r[1:] for r in near}
+    assert by_id[1] == by_id[2] == by_id[3] == (None, None) and by_id[4] == ("MIT", "file")
+    assert all(by_id[5 + i] == ("MIT", "inherited") for i in range(40))
+    monkeypatch.setattr(licenses, "MAX_DIRS", 0)  # the salted join gives the same
+    assert by_row(licenses.scan_licenses(files), "doc_id", "license", "origin") == near
+
+
+def test_cosine_equals_brute_force(spark):
+    n, freq = licenses.document_frequencies(spark.read.parquet(f"{SF}/documents.parquet"))
+    match = licenses.Matcher(n, freq)
+
+    def vector(text):
+        count = collections.Counter(re.findall("[a-z0-9]+", text.lower()))
+        v = {w: k * (math.log((n + 1) / (match.frequency.get(int(licenses.word_hashes(w.encode())[0]), 0) + 1)) + 1)
+             for w, k in count.items()}
+        return v, math.sqrt(sum(x * x for x in v.values()))
+
+    for text in ("Licensed under the Apache License, Version 2.0.", "Released under the MIT License today, friends."):
+        v, a = vector(text)
+        want = {}
+        for name, t in licenses.TEMPLATES:
+            u, b = vector(t)
+            want[name] = max(want.get(name, 0), sum(x * u.get(w, 0) for w, x in v.items()) / (a * b))
+        name, cosine = match.best(text.encode())
+        assert name == max(want, key=want.get) and cosine == pytest.approx(want[name])
+
+
+def test_licenses_of_edge_rows(spark, edges):
+    out = licenses.scan_licenses(edges)
+    assert out.count() == len(EDGES) and out.where("license is not null").count() == 0
+
+
 # ---- 10 decontamination
 
 def test_overlaps_tolerate_substitutions(spark, edges, empty):

@@ -1,13 +1,18 @@
 """License scan: TF-IDF cosine of headers and license files to templates, then inheritance by path.
 
-Headers are the segments of a text (lines, cut at sentence ends, and windows of up to ``WINDOW`` lines
-without a blank one, for wrapped headers) that hold a license cue. A segment and
+Headers are the segments of a text (lines and whole paragraphs, cut at sentence ends, and windows of up to
+``WINDOW`` lines without a blank one, for headers wrapped anyhow) that hold a license cue. A segment and
 every template are sparse vectors of word counts times inverse document frequency, the frequencies
 counted over all documents (words outside the templates weigh as unseen words). The template of
-largest cosine at or above ``MIN_COSINE`` is the segment's license, ties by name; a document's own
+largest cosine at or above ``MIN_COSINE`` is the segment's license, ties by name. Near licenses differ in
+single words, so a name needs more: the segment has every mark (``MARKS``: words that tell licenses apart,
+and version digits) of the template and none that the license lacks, a template without marks is there
+almost whole (``HELD``), and the license leads the next allowed one by ``MARGIN``; else the segment names none.
+An SPDX tag names its license (or expression) itself, at cosine 1. A document's own
 license is that of its best segment. A document at least half of whose words are license segments is
 a license file and declares its license for its directory; so is one whose whole text has a cosine of at
-least ``FILE_COSINE`` to a full license text of ``license_texts``, and that text's name is its license.
+least ``FILE_COSINE`` to a full license text of ``license_texts`` and whose title lines hold no mark that this
+license lacks; that text's name is its license.
 
 A document without a license of its own takes that of the nearest ancestor directory with a license
 file: each distinct directory meets its ancestors in an equi-join by path, the deepest wins, and the
@@ -22,6 +27,7 @@ gives an empty result; repeated rows count each; extra columns are not read.
 from __future__ import annotations
 
 import re
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -37,10 +43,24 @@ MIN_COSINE = 0.6
 FILE_SHARE = 0.5
 FILE_COSINE = 0.9
 WINDOW = 5
+HELD, MARGIN = 0.95, 0.02
+MAX_DIRS = 200_000  # directories with an inherited license that are broadcast; more are joined by salt
+SALTS = 16
 CUE = re.compile(rb"licen[sc]e|copyright|permission is hereby|public domain|redistribution and use in source",
                  re.I)
 _SEGMENT = re.compile(rb"[^\n]+")
 _SENTENCE = re.compile(rb"(?<=[.!?]) +(?=[A-Z])")
+_LEADER = re.compile(rb"^[ \t]*(?:[#*;%!]+|//+|--+|/\*+|<!--|\.\.)*[ \t]*")
+_SPDX = re.compile(rb"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+:() -]*[A-Za-z0-9.+)])", re.I)
+
+# Words that tell licenses, their families and variants apart; single digits but 0 count too.
+MARKS = frozenset(
+    b"academic affero afl agpl apache apsl artistic beerware boost bsd bsl by cc0 cddl cecill cpl creative cc "
+    b"derivatives ecl eclipse epl eupl fdl general gnu gpl isc lesser lgpl libpng library lppl microsoft mit "
+    b"mozilla mpl mulan nc ncsa nd noderivatives noderivs noncommercial odbl ofl opl openssl osl php postgresql "
+    b"psf python ruby sa sharealike sil sleepycat unlicense vim w3c wtfpl x11 zlib zope zpl".split())
+# what says the same as another mark
+_SAME = {b"cc": b"creative", b"gpl": b"gnu"}
 
 # Header statements of well-known licenses (SPDX name, statement).
 TEMPLATES = (
@@ -62,6 +82,23 @@ TEMPLATES = (
     ("CC0-1.0", "Dedicated to the public domain under the CC0 1.0 Universal License."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                 "GNU Affero General Public License as published by the Free Software Foundation, either version 3 "
+                 "of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the "
+                "GNU General Public License as published by the Free Software Foundation; either version 2 of the "
+                "License, or (at your option) any later version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                "GNU General Public License as published by the Free Software Foundation, either version 3 of the "
+                "License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the "
+                 "GNU Lesser General Public License as published by the Free Software Foundation; either version "
+                 "2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                 "GNU Lesser General Public License as published by the Free Software Foundation, either version 3 "
+                 "of the License, or (at your option) any later version."),
+    ("ISC", "Released under the ISC License."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
@@ -70,6 +107,24 @@ TEMPLATES = (
 )
 
 
+def marks(raw: bytes) -> frozenset[bytes]:
+    """What tells the license of a statement: its words of ``MARKS`` and its version digits."""
+    # "library" and "python" are common words: they count beside "general" and "license" only
+    low = raw.lower()
+    found = {w for w in re.findall(rb"[a-z0-9]+", low) if w in MARKS or (len(w) == 1 and w in b"123456789")}
+    if b"library general" not in low:
+        found.discard(b"library")
+    if b"cc" not in found and b"creative" not in found:
+        found.discard(b"by")
+    return frozenset(_SAME.get(w, w) for w in found)
+
+
+def title(raw: bytes) -> bytes:
+    """The first three lines with words that are no copyright line and no more than a title's length."""
+    lines = [x for x in raw[:4096].split(b"\n") if re.search(rb"\w", x)]
+    return b"\n".join(x for x in lines[:3] if len(x) <= 80 and not re.search(rb"copyright", x, re.I))
+
+
 def word_hashes(raw: bytes) -> np.ndarray:
     data = np.frombuffer(raw, np.uint8)
     return X.words(data, np.array([0, len(data)]), X.ALNUM)[2]
@@ -119,7 +174,10 @@ class Matcher:
         self.idf = np.log((n_docs + 1) / (held + 1)) + 1
         self.names = [name for name, _ in texts]
         self.texts = np.array([self.whole_vector(t) for _, t in texts])
-        self.templates = [(name, self.vector(t.encode())) for name, t in TEMPLATES]
+        self.templates = [(name, self.vector(t.encode()), marks(t.encode())) for name, t in TEMPLATES]
+        self.allowed: dict[str, frozenset[bytes]] = {}
+        for name, raw in [*((n, t.encode()) for n, t in TEMPLATES), *((n, title(t)) for n, t in texts)]:
+            self.allowed[name] = self.allowed.get(name, marks(name.encode())) | marks(raw)
 
     def vector(self, raw: bytes) -> dict[int, float]:
         words, count = np.unique(word_hashes(raw), return_counts=True)
@@ -146,13 +204,31 @@ class Matcher:
             return None
         cosine = self.texts @ self.whole_vector(raw)
         i = int(cosine.argmax())
-        return (self.names[i], float(cosine[i])) if cosine[i] >= FILE_COSINE else None
+        if cosine[i] < FILE_COSINE or marks(title(raw)) - self.allowed[self.names[i]]:
+            return None
+        return self.names[i], float(cosine[i])
 
     def best(self, raw: bytes) -> tuple[str, float] | None:
-        v = self.vector(raw)
-        scored = [(-sum(x * t.get(w, 0.0) for w, x in v.items()), name) for name, t in self.templates]
-        cosine, name = min(scored)
-        return (name, -cosine) if -cosine >= MIN_COSINE else None
+        """The license that a segment names, and its cosine."""
+        v, said = self.vector(raw), marks(raw)
+        found: dict[str, float] = {}
+        for name, t, own in self.templates:
+            cosine = sum(x * v.get(w, 0.0) for w, x in t.items())
+            if cosine < MIN_COSINE or own - said or said - self.allowed[name]:
+                continue
+            if not own and sum(x * x for w, x in t.items() if w in v) < HELD:
+                continue
+            found[name] = max(cosine, found.get(name, 0.0))
+        first = sorted((-c, name) for name, c in found.items())[:2]
+        if not first or len(first) == 2 and first[1][0] - first[0][0] < MARGIN:
+            return None
+        return first[0][1], -first[0][0]
+
+
+def spdx_name(raw: bytes) -> str | None:
+    """The expression of the first SPDX tag, single spaces between its words."""
+    m = _SPDX.search(raw)
+    return " ".join(m.group(1).decode().split()) if m else None
 
 
 def license_segments(raw: bytes):
@@ -182,6 +258,16 @@ def license_windows(raw: bytes):
                 yield joined
 
 
+def license_paragraphs(raw: bytes):
+    """Sentences with a cue of each run of lines without a blank one, joined without comment signs."""
+    if not CUE.search(raw):
+        return
+    for run in re.split(rb"\n[^\w\n]*(?=\n|\Z)", raw):
+        if b"\n" in run and CUE.search(re.sub(rb"\s+", b" ", run)):
+            joined = b" ".join(_LEADER.sub(b"", x).strip() for x in run.split(b"\n"))
+            yield from (part for part in _SENTENCE.split(joined) if CUE.search(part))
+
+
 def own_licenses(files: DataFrame, n_docs: int, frequency: dict[int, int]) -> DataFrame:
     """(id, path, license, cosine, is_file) of each row of (id, path, __text)."""
     texts = full_texts()
@@ -199,13 +285,14 @@ def own_licenses(files: DataFrame, n_docs: int, frequency: dict[int, int]) -> Da
                 if full:
                     (name[i], cosine[i]), whole[i] = full, True
                     continue
-                found, covered = [], 0
+                tag = spdx_name(raw)
+                found, covered = [(-1.0, tag)] if tag else [], len(word_hashes(tag.encode())) + 3 if tag else 0
                 for _, part in license_segments(raw):
                     got = match.best(part)
                     if got:
                         found.append((-got[1], got[0]))
                         covered += len(word_hashes(part))
-                for part in license_windows(raw):
+                for part in chain(license_windows(raw), license_paragraphs(raw)):
                     got = match.best(part)
                     if got and -got[1] < min(found, default=(0.0, ""))[0]:
                         found.append((-got[1], got[0]))
@@ -249,12 +336,18 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "pat
             lambda k: F.struct(k.alias("depth"),
                                F.array_join(F.slice("parts", 1, k), "/").alias("up")))).alias("a")
     ).select("dir", "a.depth", "a.up")
-    nearest = (up.join(declared, "up").groupBy("dir")
-               .agg(F.max(F.struct("depth", "inherited")).alias("best"))
-               .select("dir", F.col("best.inherited").alias("inherited")))
+    nearest = materialize(up.join(declared, "up").groupBy("dir")
+                          .agg(F.max(F.struct("depth", "inherited")).alias("best"))
+                          .select("dir", F.col("best.inherited").alias("inherited")), "nearest")
     origin = (F.when(F.col("is_file"), "file").when(F.col("license").isNotNull(), "header")
               .when(F.col("inherited").isNotNull(), "inherited"))
-    return own.join(nearest, "dir", "left").select(
+    if nearest.count() <= MAX_DIRS:
+        joined = own.join(F.broadcast(nearest), "dir", "left")
+    else:  # one directory may hold a third of all files: its rows go to SALTS tasks
+        salted = nearest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = own.withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int")).join(
+            salted, ["dir", "salt"], "left")
+    return joined.select(
         F.col("id").alias(id_col), "path", F.coalesce("license", "inherited").alias("license"),
         "cosine", origin.alias("origin"))
 
