@@ -12,7 +12,7 @@ An SPDX tag names its license (or expression) itself, at cosine 1. A document's
 license is that of its best segment. A document at least half of whose words are license segments is
 a license file and declares its license for its directory; so is one whose whole text has a cosine of at
 least ``FILE_COSINE`` to a full license text of ``license_texts`` and whose title lines hold no mark that this
-license lacks; that text's name is its license.
+license lacks; that text's name is its license (with such a mark it is a license unknown here: no name).
 
 A document without a license of its own takes that of the nearest ancestor directory with a license
 file: each distinct directory meets its ancestors in an equi-join by path, the deepest wins, and the
@@ -198,15 +198,15 @@ class Matcher:
         strange = float((count[~known].astype(float) ** 2).sum()) * (np.log(self.n + 1) + 1) ** 2
         return v / np.sqrt((v * v).sum() + strange)
 
-    def whole(self, raw: bytes) -> tuple[str, float] | None:
-        """The full license whose text a whole document is."""
+    def whole(self, raw: bytes) -> tuple[str | None, float] | None:
+        """The full license whose text a whole document is; no name for a near relative of one."""
         if not self.names:
             return None
         cosine = self.texts @ self.whole_vector(raw)
         i = int(cosine.argmax())
-        if cosine[i] < FILE_COSINE or marks(title(raw)) - self.allowed[self.names[i]]:
+        if cosine[i] < FILE_COSINE:
             return None
-        return self.names[i], float(cosine[i])
+        return None if marks(title(raw)) - self.allowed[self.names[i]] else self.names[i], float(cosine[i])
 
     def best(self, raw: bytes) -> tuple[str, float] | None:
         """The license that a segment names, and its cosine."""
@@ -282,8 +282,9 @@ def own_licenses(files: DataFrame, n_docs: int, frequency: dict[int, int]) -> Da
             for i in hinted:
                 raw = block[off[i]:off[i + 1]]
                 full = match.whole(raw)
-                if full:
-                    (name[i], cosine[i]), whole[i] = full, True
+                if full:  # the notices that an unknown license quotes are not its own
+                    if full[0]:
+                        (name[i], cosine[i]), whole[i] = full, True
                     continue
                 tag = spdx_name(raw)
                 found, covered = [(-1.0, tag)] if tag else [], len(word_hashes(tag.encode())) + 3 if tag else 0
