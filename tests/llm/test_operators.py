@@ -308,12 +308,12 @@ def test_unlikely_runs_and_large_counts(spark):
                               "doc_id long, text string")).where(f"doc_id = {odd}").collect()}
     # every bit has a probability of 5e-7 at least, so no score is lost below the least double
     assert -6.4 * 8 * 66 < got[odd]["score"] / 16 < 0 and got[odd]["bits_per_byte"] < 170
-    counts = [(-3000.25, -1), (-0.5, 0), (-2.0, 3), (-1.0, 2 ** 25 + 1), (-1.0, 2 ** 32 - 1), (-1.0, 2 ** 40 + 1)]
+    counts = [(-3000.25, -1), (-0.5, 0), (-2.0, 3), (-1.0, 2 ** 25 + 1), (-1.0, 2 ** 32 - 1), (-1.0, 2 ** 32 + 2)]
     df = spark.createDataFrame(counts, "lp double, c long").select("lp", "c", lm_scoring._code("lp", "c").alias("x"))
     got = df.collect()
-    lp, c = lm_scoring._decoded(np.array([r["x"] for r in got]))
+    lp, c = lm_scoring._decoded(np.array([r["x"] for r in got]), np.array([7, 2 ** 40 + 1]))
     assert lp.tolist() == [r["lp"] for r in got]
-    assert c.tolist() == [r["c"] if r["c"] < lm_scoring.LARGE else -1 for r in got]  # the last goes beside the code
+    assert c.tolist() == [-1, 0, 3, 2 ** 25 + 1, 2 ** 32 - 1, 2 ** 40 + 1]
 
 
 def test_large_word_counts_reach_the_base(spark, monkeypatch):
@@ -321,7 +321,7 @@ def test_large_word_counts_reach_the_base(spark, monkeypatch):
             .union(spark.createDataFrame([(9000 + i, "the  the  " + "x" * 200) for i in range(9)],
                                          "doc_id long, text string")))  # pieces without a word
     whole = by_row(lm_scoring.score_documents(docs), "doc_id", "n_known", "base_score", "score")
-    monkeypatch.setattr(lm_scoring, "LARGE", 50)  # most counts travel beside the code
+    monkeypatch.setattr(lm_scoring, "LARGE", 50)  # counts of 50 or more come from the list
     assert by_row(lm_scoring.score_documents(docs), "doc_id", "n_known", "base_score", "score") == whole
 
 
