@@ -43,3 +43,23 @@ def test_plan_and_cadence(spark):
     assert [r.step for r in O.cadence(steps, 4).orderBy("step").collect()] == [0, 4, 8]
     assert [r.step for r in O.cadence(steps, 4, skip_zero=True).orderBy("step").collect()] == [4, 8]
     assert O.subset_batches(b, 3).count() == 3 and O.subset_batches(b, None).count() == 25
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 16, 17, 1000, 4999])
+def test_epoch_places_are_permutations(spark, n):
+    ranked = spark.range(1, n + 1).withColumnRenamed("id", "rank")
+    rows = O.epoch_places(ranked, n, seed=5, epochs=3).collect()
+    by = [[r["place"] for r in sorted(rows, key=lambda r: r["rank"]) if r["epoch"] == e] for e in range(3)]
+    assert all(sorted(p) == list(range(n)) for p in by)
+    if n >= 1000:  # epochs differ, and neighbours do not stay together
+        assert by[0] != by[1] != by[2]
+        assert sum(abs(x - y) == 1 for x, y in zip(by[0], by[0][1:])) < n / 50
+    plan = O.epoch_places(ranked, n, seed=5, epochs=3)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan
+
+
+def test_epoch_places_null_and_repeated_ranks(spark):
+    ranked = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (2, "c")], "rank long, k string")
+    rows = O.epoch_places(ranked, 3, seed=5).collect()
+    assert [r["place"] for r in rows if r["k"] == "b"] == [None]
+    assert len({r["place"] for r in rows if r["k"] == "c"}) == 1 and len(rows) == 4

@@ -8,6 +8,7 @@ reproducible and the same formula works in SQL engines.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +85,49 @@ def shuffle_order(df: DataFrame, key: str, seed: int, epoch: int = 0,
                                                  F.col(key).cast("string"))))
 
 
+ROUNDS, WALKS = 6, 64
+
+
+def epoch_places(ranked: DataFrame, n: int, seed: int, epochs: int = 1, rank: str = "rank",
+                 out: str = "place") -> DataFrame:
+    """G4 without a sort: every row once an epoch, with its 0-based ``out`` among the ``n`` rows.
+
+    The place is a keyed permutation of the stored ``rank`` (1..n, see :func:`rank_rows`): rank - 1 is
+    a pair (l, r) of an a x b grid, a about sqrt(n) and a * b < n + a; rounds add a keyed md5 of one
+    side to the other, which is a bijection of the grid, and a pair beyond n walks on until it is
+    inside. At most a * b - n < a pairs lie outside, so ``WALKS`` steps always do for n up to 4096 and
+    fail with a chance of n^-32 above, which raises an error rather than repeat a place. All of it is
+    local to the row: no exchange for an epoch. n = 0 gives no rows; a null rank gives a null place.
+    """
+    a = max(isqrt(max(n - 1, 0)) + 1, 1)
+    b = max(-(-n // a), 1)
+
+    def drawn(t: Column, v: Column) -> Column:
+        text = F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), t.cast("string"),
+                           v.cast("string"))
+        return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+    def one_round(s: Column, t: Column) -> Column:
+        left, right = s["l"], s["r"]
+        return F.struct(
+            F.when(t % 2 == 0, (left + drawn(t, right)) % a).otherwise(left).alias("l"),
+            F.when(t % 2 == 1, (right + drawn(t, left)) % b).otherwise(right).alias("r"))
+
+    def step(x: Column) -> Column:
+        # a whole quotient, exact for n below 2^53
+        start = F.struct(F.round((x - x % b) / b).cast("long").alias("l"), (x % b).alias("r"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, one_round,
+                           lambda s: s["l"] * b + s["r"])
+
+    first = step(F.col(rank).cast("long") - 1)
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), first,
+                         lambda x, _: F.when(x < n, x).otherwise(step(x)))
+    rows = ranked.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    placed = rows.withColumn(out, walked)
+    return placed.withColumn(out, F.when(F.col(out) >= n, F.raise_error(F.lit("no place found")))
+                             .otherwise(F.col(out)))
+
+
 def assign_batches(df: DataFrame, order: Sequence[str | Column], batch_size: int,
                    drop_last: bool = False, out: str = "batch_id") -> DataFrame:
     """Consecutive groups of ``batch_size`` in ``order``; ``pos_in_batch`` from 0.

@@ -153,6 +153,32 @@ def batch_plan(spark: SparkSession, sf: str) -> DataFrame:
     return b.select("doc_id", "batch_id", "pos_in_batch")
 
 
+EPOCH_SQL = """
+WITH RECURSIVE x AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS x, count(*) OVER () AS n FROM documents),
+g AS (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM x),
+h AS (SELECT *, (n + a - 1) // a AS b FROM g),
+w AS (SELECT doc_id, e AS epoch, n, a, b, x // b AS l, x % b AS r, 0 AS t FROM h, range(0, 3) s(e)
+      UNION ALL
+      SELECT doc_id, epoch, n, a, b,
+             CASE WHEN t % 2 = 0 THEN (l + CAST(('0x' || substr(md5('7:' || epoch || ':' || t % 6 || ':' || r), 1, 13)) AS BIGINT)) % a
+                  ELSE l END,
+             CASE WHEN t % 2 = 1 THEN (r + CAST(('0x' || substr(md5('7:' || epoch || ':' || t % 6 || ':' || l), 1, 13)) AS BIGINT)) % b
+                  ELSE r END, t + 1
+      FROM w WHERE t = 0 OR t % 6 <> 0 OR l * b + r >= n)
+SELECT doc_id, CAST(epoch AS INTEGER) AS epoch, CAST((l * b + r) // 7 AS BIGINT) AS batch_id,
+       CAST((l * b + r) % 7 AS INTEGER) AS pos_in_batch
+FROM w WHERE t > 0 AND t % 6 = 0 AND l * b + r < n
+"""
+
+
+@register("epoch_batches", "G4 G5 (places of three epochs by a keyed permutation of one ranking)", EPOCH_SQL)
+def epoch_batches(spark: SparkSession, sf: str) -> DataFrame:
+    ranked = O.rank_rows(_docs(spark, sf).select("doc_id"), ["doc_id"])
+    placed = O.epoch_places(ranked, ranked.count(), seed=7, epochs=3)
+    return placed.select("doc_id", "epoch", F.floor(F.col("place") / 7).cast("long").alias("batch_id"),
+                         (F.col("place") % 7).cast("int").alias("pos_in_batch"))
+
+
 BATCH_SHAPE_SQL = f"""
 WITH r AS (SELECT doc_id, len(regexp_extract_all(text, '{RX}')) + 1 AS n_tok,
                   row_number() OVER (ORDER BY doc_id) AS rn FROM documents),
