@@ -1,6 +1,7 @@
 """Metric reductions and candidate selection on literal fixtures."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +79,38 @@ def test_top_p(spark, p, items):
     assert sorted(r.item_id for r in S.top_p(logits_df(spark), p).collect()) == items
 
 
+@pytest.mark.parametrize("bound", [1, 3, 1000])
+@pytest.mark.parametrize("p", [1e-9, 0.2, 0.5, 0.83, 0.999])
+def test_top_p_selection_equals_order(spark, p, bound):
+    rng = random.Random(5)
+    rows = [("big", i, rng.gauss(0, 2)) for i in range(300)]
+    rows += [("ties", i, 0.25) for i in range(40)] + [("mixed", i, float(i % 3)) for i in range(30)]
+    rows += [("steep", i, -40.0 * i) for i in range(5)] + [("twice", 7, 1.0)] * 4
+    rows += [("big", -1, None), ("big", -2, float("nan")), ("big", -3, float("-inf")), (None, 1, 1.0)]
+    rng.shuffle(rows)
+    want = []
+    for g in {r[0] for r in rows if r[0]}:
+        items = [(z, i) for h, i, z in rows if h == g and z is not None and z == z and z > -math.inf]
+        top = max(z for z, _ in items)
+        mass = sum(math.exp(z - top) for z, _ in items)
+        before = 0.0
+        for z, i in sorted(items, key=lambda x: (-x[0], x[1])):
+            if before < p:
+                want.append((g, i))
+            before += math.exp(z - top) / mass
+    df = spark.createDataFrame(rows, "group_id string, item_id long, logit double")
+    got = [(r.group_id, r.item_id) for r in S.top_p(df, p, bound=bound).collect()]
+    assert sorted(got) == sorted(want)
+    assert S.top_p(df.limit(0), p, bound=bound).count() == 0
+
+
+def test_draw_does_not_depend_on_the_bound(spark):
+    rows = [(g, i, (i * g % 7) / 2.0) for g in range(20) for i in range(30)]
+    df = spark.createDataFrame(rows, "group_id long, item_id long, logit double")
+    draws = [{r.group_id: r.item_id for r in S.sample(df, 4, bound=b).collect()} for b in (1, 5, 1000)]
+    assert draws[0] == draws[1] == draws[2] and len(draws[0]) == 20
+
+
 def test_greedy_softmax_penalty(spark):
     df = logits_df(spark)
     assert S.greedy(df).first().item_id == 0

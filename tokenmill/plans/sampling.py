@@ -70,6 +70,20 @@ def top_p(spark: SparkSession, sf: str) -> DataFrame:
     return p.select("group_id", "item_id", F.round("prob", 6).alias("prob"))
 
 
+@register("top_p_hot", "J5 (few hot groups: cut found by histogram rounds)", """
+WITH g AS (SELECT event_type AS group_id, event_id AS item_id, ln(value + 1) AS z FROM events),
+e AS (SELECT *, exp(z - max(z) OVER (PARTITION BY group_id)) AS e FROM g),
+s AS (SELECT *, e / sum(e) OVER (PARTITION BY group_id) AS p FROM e),
+c AS (SELECT *, coalesce(sum(p) OVER (PARTITION BY group_id ORDER BY p DESC, item_id
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cb FROM s)
+SELECT group_id, item_id, round(z, 6) AS logit FROM c WHERE cb < 0.7
+""")
+def top_p_hot(spark: SparkSession, sf: str) -> DataFrame:
+    hot = logit_table(spark, sf).select(F.col("event_type").alias("group_id"), "item_id", "logit")
+    kept = S.top_p(hot, 0.7, bound=64)  # rows that one task may order: rounds run at any size
+    return kept.select("group_id", "item_id", F.round("logit", 6).alias("logit"))
+
+
 GREEDY_SQL = """
 SELECT user_id AS group_id, arg_max(event_id, (ln(value + 1), -event_id)) AS item_id FROM events GROUP BY user_id
 """
