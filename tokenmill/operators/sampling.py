@@ -78,16 +78,25 @@ def _drawable(df: DataFrame, logit: str) -> DataFrame:
     return df.where(z.isNotNull() & ~F.isnan(z) & (z > float("-inf")))
 
 
-def _first_mass(df: DataFrame, group: str, item: str, prob: str, mass: Column, bound: int
-                ) -> DataFrame:
-    """The rows of each group before which, in (prob desc, item asc) order, less than ``mass`` lies.
+def _first_mass(df: DataFrame, group: str, item: str, logit: str, prob: str, mass: Column,
+                bound: int) -> DataFrame:
+    """Softmax as ``prob``, and of each group the rows before which, in (prob desc, item asc) order,
+    less than ``mass`` lies.
 
-    Radix selection: a group of more than ``bound`` rows is narrowed by histograms of its probability
+    Where no group has more than ``bound`` rows, a window a group is the whole plan. Else radix
+    selection: a group of more than ``bound`` rows is narrowed by histograms of its probability
     mass over ``DIGIT`` bits of the probability at a time. The lowest digit with less than ``mass``
     before it holds the cut: rows above it stay, rows below it go, and only its own rows meet the next
     round. What is left, at most ``bound`` rows, is put in order by a window. More rows than that share
     all bits only where they tie; those are numbered over range partitions. No other row is sorted.
     """
+    order = [F.col(prob).desc(), F.col(item).asc()]
+    window = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum(prob).over(window), F.lit(0.0))
+    largest = df.groupBy(group).count().agg(F.max("count")).first()[0]
+    df = softmax(df, group, logit, prob)
+    if (largest or 0) <= bound:
+        return df.withColumn("__before", ahead).where(F.col("__before") < mass).drop("__before")
     bits = DIGIT * DIGITS
     q = F.least((F.col(prob) * float(2 ** bits)).cast("long"), F.lit(2 ** bits - 1))
     rows = materialize(df.withColumn("__q", q), "first_mass")
@@ -119,10 +128,7 @@ def _first_mass(df: DataFrame, group: str, item: str, prob: str, mass: Column, b
     placed = rows.join(_small(closed.unionByName(ties)), group)
     inside = placed.where(at > F.col("__head"))
     edge = placed.where(at == F.col("__head"))
-    order = [F.col(prob).desc(), F.col(item).asc()]
-    window = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    parts = [edge.where(~F.col("__open")).withColumn(
-        "__before", F.coalesce(F.sum(prob).over(window), F.lit(0.0)))]
+    parts = [edge.where(~F.col("__open")).withColumn("__before", ahead)]
     if not ties.isEmpty():
         parts.append(grouped_offsets(edge.where("__open"), [group], order, prob, "__before"))
     for part in parts:
@@ -150,8 +156,7 @@ def top_p(df: DataFrame, p: float | None, group: str = "group_id", item: str = "
     kept = _drawable(df, logit).where(F.col(group).isNotNull())
     if p >= 1:
         return kept
-    return _first_mass(softmax(kept, group, logit, "__p"), group, item, "__p", F.lit(float(p)),
-                       bound).drop("__p")
+    return _first_mass(kept, group, item, logit, "__p", F.lit(float(p)), bound).drop("__p")
 
 
 def sample_race(df: DataFrame, seed: int, group: str = "group_id", item: str = "item_id",
@@ -179,9 +184,9 @@ def sample(df: DataFrame, seed: int, group: str = "group_id", item: str = "item_
     That item is the last one with less than u before it, so it is found by the same selection as
     the nucleus, without an order of all items. Null, NaN and minus infinite logits are never drawn.
     """
-    pr = softmax(_drawable(df, logit), group, logit, "prob")
     u = F.greatest(md5_uniform(F.lit(seed), F.col(group)), F.lit(5e-324))
-    reached = _first_mass(pr, group, item, "prob", u, bound)
+    rows = _drawable(df, logit).where(F.col(group).isNotNull())
+    reached = _first_mass(rows, group, item, logit, "prob", u, bound)
     return reached.groupBy(group).agg(F.max_by(item, F.struct(-F.col("prob"), F.col(item))).alias(item))
 
 

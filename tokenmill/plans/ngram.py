@@ -10,6 +10,7 @@ from tokenmill.functions.text import word_pattern, word_tokens
 from tokenmill.operators import metrics as M
 from tokenmill.operators import ngram as N
 from tokenmill.operators import ordering as O
+from tokenmill.operators import passages as P
 from tokenmill.plans.pretrain import doc_tokens
 from tokenmill.plans.prefix import materialize
 from tokenmill.plans.registry import register
@@ -149,3 +150,22 @@ def uniform_baseline(spark: SparkSession, sf: str) -> DataFrame:
     u = M.uniform_baseline(toks.select(F.explode("tokens").alias("token")))
     return u.select(F.col("vocab_size").cast("long"), F.round("uniform_loss", 6).alias("uniform_loss"),
                     F.round("uniform_ppl", 6).alias("uniform_ppl"))
+
+
+PASSAGE = 32
+PASSAGE_SQL = f"""
+WITH {SPLIT_DOCS},
+w AS (SELECT doc_id, split, unnest(list_transform(range(1, len(a) - {PASSAGE} + 2),
+                                                  lambda i: md5(array_to_string(list_slice(a, i, i + {PASSAGE} - 1), ' ')))) AS g,
+             unnest(range(1, len(a) - {PASSAGE} + 2)) AS s FROM d WHERE len(a) >= {PASSAGE}),
+f AS (SELECT doc_id, s, s - row_number() OVER (PARTITION BY doc_id ORDER BY s) AS run FROM w
+      WHERE split = 'validation' AND g IN (SELECT g FROM w WHERE split = 'train'))
+SELECT doc_id, CAST(min(s) - 1 AS BIGINT) AS first_token, CAST(max(s) - min(s) + {PASSAGE} AS BIGINT) AS n_tokens
+FROM f GROUP BY doc_id, run
+"""
+
+
+@register("passage_leaks", "G3 (passages shared by the splits, winnowed)", PASSAGE_SQL)
+def passage_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    toks, _ = split_tokens(spark, sf, with_vocab=False)
+    return P.shared_passages(toks, PASSAGE)
