@@ -186,3 +186,16 @@ def test_pair_ids_and_incomplete_pairs(spark):
     assert [tuple(r) for r in P.incomplete_pairs(enc).collect()] == [(big + 1, "chosen")]
     named = P.encode_pairs(df.withColumn("pair_id", F.concat(F.lit("p"), F.col("pair_id").cast("string"))), 32)
     assert named.count() == 3
+
+
+def test_left_padding_for_generation(spark):
+    rows = [(0, 1, ["a", "b"]), (0, 2, ["c", "d", "e"]), (0, 3, None), (1, 4, []), (None, 5, ["f"]),
+            (None, 6, ["g", "h"]), (0, 2, ["c", "d", "e"])]
+    df = spark.createDataFrame(rows, "batch_id long, id long, ids array<string>")
+    got = sorted((r.id, r.ids, r.attention_mask, r.position_ids, r.width)
+                 for r in C.pad_for_generation(df, "ids", "-").collect())
+    assert got == [
+        (1, ["-", "a", "b"], [0, 1, 1], [0, 0, 1], 3), (2, ["c", "d", "e"], [1, 1, 1], [0, 1, 2], 3),
+        (2, ["c", "d", "e"], [1, 1, 1], [0, 1, 2], 3), (3, ["-"] * 3, [0] * 3, [0] * 3, 3),
+        (4, [], [], [], 0), (5, ["-", "f"], [0, 1], [0, 0], 2), (6, ["g", "h"], [1, 1], [0, 1], 2)]
+    assert C.pad_for_generation(df.limit(0), "ids", "-").count() == 0

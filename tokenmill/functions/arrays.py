@@ -52,6 +52,13 @@ def pad_right(a: str | Column, width: int | Column, pad) -> Column:
     return F.concat(a, repeat(pad, w - F.size(a)))
 
 
+def pad_left(a: str | Column, width: int | Column, pad) -> Column:
+    """Left-pad to ``width`` with ``pad`` (never truncates)."""
+    a = _c(a)
+    w = width if isinstance(width, Column) else F.lit(width)
+    return F.concat(repeat(pad, w - F.size(a)), a)
+
+
 def attention_mask(a: str | Column, width: int | Column) -> Column:
     """1 for each real element, 0 for each pad up to ``width``."""
     a = _c(a)

@@ -275,6 +275,24 @@ def pad_dynamic(df: DataFrame, pads: dict[str, object], batch: str = "batch_id",
     return out
 
 
+def pad_for_generation(df: DataFrame, ids: str, pad, batch: str = "batch_id",
+                       width_col: str = "width") -> DataFrame:
+    """Left-pad prompts to the longest of their batch, so that every last token stands at the right
+    edge, with ``attention_mask`` (0 on pads) and ``position_ids`` (0 on pads, then counted from 0).
+
+    A null sequence counts as empty: pads only, mask all 0. The batch's width is an aggregate joined
+    back, since a batch column may hold any number of rows; rows of a null batch share a batch.
+    """
+    a = F.coalesce(F.col(ids), F.array().cast(df.schema[ids].dataType))
+    widths = df.groupBy(F.col(batch).alias("__batch")).agg(F.max(F.size(a)).alias(width_col))
+    rows = df.withColumn(ids, a).join(widths, F.col(batch).eqNullSafe(F.col("__batch"))).drop("__batch")
+    n, width = F.size(ids), F.col(width_col)
+    places = F.transform(F.col(ids), lambda _, i: i)
+    return (rows.withColumn("attention_mask", A.pad_left(A.repeat(1, n), width, 0))
+            .withColumn("position_ids", A.pad_left(places, width, 0))
+            .withColumn(ids, A.pad_left(ids, width, pad)))
+
+
 def resolve_template(models: DataFrame, templates: DataFrame, model: str = "model",
                      sibling_suffix: str = "-Instruct") -> DataFrame:
     """A model without a template borrows the template of ``model + suffix``."""

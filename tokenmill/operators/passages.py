@@ -20,16 +20,23 @@ MAX_BROADCAST_HASHES = 1_000_000
 
 
 def winnow(tokens: Column, length: int, gram: int) -> Column:
-    """array<struct<h, p>>: the fingerprints of a row of at least ``length`` tokens, ``-p`` being the
-    1-based place of the gram; of equal hashes in a window the last place is taken."""
+    """array<struct<h, p>>: the fingerprints of a row of at least ``length`` tokens, ``p`` being the
+    1-based place of the gram; of equal hashes in a window the first place is taken."""
     n = F.size(tokens)
-    grams = F.transform(F.sequence(F.lit(1), n - gram + 1), lambda i: F.struct(
-        F.xxhash64(F.slice(tokens, i, gram)).alias("h"), (-i).alias("p")))
+    grams = F.transform(F.sequence(F.lit(1), n - gram + 1),
+                        lambda i: F.xxhash64(F.slice(tokens, i, gram)))
     starts = F.sequence(F.lit(1), n - length + 1)
-    # the outer lambda holds the grams, so they are hashed once a row
-    picked = F.transform(F.array(grams), lambda g: F.transform(
-        starts, lambda i: F.array_min(F.slice(g, i, F.lit(length - gram + 1)))))
-    return F.array_distinct(F.element_at(picked, 1))
+
+    def once(a: Column, then) -> Column:  # binds an array, so that it is made once a row
+        return F.element_at(F.transform(F.array(a), then), 1)
+
+    def place(g: Column, i: Column) -> Column:
+        return once(F.slice(g, i, F.lit(length - gram + 1)),
+                    lambda w: F.array_position(w, F.array_min(w)) + i - 1)
+
+    return once(grams, lambda g: F.transform(
+        F.array_distinct(F.transform(starts, lambda i: place(g, i))),
+        lambda p: F.struct(F.get(g, (p - 1).cast("int")).alias("h"), p.cast("int").alias("p"))))
 
 
 def shared_passages(df: DataFrame, length: int, keep: Sequence[str] = ("doc_id",),
@@ -49,11 +56,13 @@ def shared_passages(df: DataFrame, length: int, keep: Sequence[str] = ("doc_id",
     span = length - gram + 1
     rows = df.where(F.size(tokens) >= length).where(F.col(split).isin(known, tested)).select(
         F.struct(*keep).alias("__keep"), (F.col(split) == known).alias("__known"),
-        F.col(tokens).alias("__t"), F.monotonically_increasing_id().alias("__row"))
-    rows = materialize(rows, "passage_rows")
+        F.col(tokens).cast("array<string>").alias("__t"), F.monotonically_increasing_id().alias("__row"))
+    # hashing is the dear part: rows are dealt evenly, whatever the files and the longest rows
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(materialize(rows, "passage_keys").repartition(parts), "passage_rows")
     prints = rows.select("__row", "__known", F.explode(winnow(F.col("__t"), length, gram)).alias("f"))
     prints = materialize(prints.select("__row", "__known", F.col("f.h").alias("__h"),
-                                       (-F.col("f.p")).alias("__p")), "passage_prints")
+                                       F.col("f.p").alias("__p")), "passage_prints")
     common = prints.groupBy("__h").agg(F.bool_or("__known").alias("a"),
                                        F.bool_or(~F.col("__known")).alias("b"))
     common = materialize(common.where("a AND b").select("__h"), "passage_common")
@@ -64,13 +73,16 @@ def shared_passages(df: DataFrame, length: int, keep: Sequence[str] = ("doc_id",
     last = F.size("__t") - length + 1
     starts = F.array_distinct(F.flatten(F.transform("__at", lambda p: F.sequence(
         F.greatest(p - span + 1, F.lit(1)), F.least(p, last)))))
+
+    def window(s: Column) -> Column:  # digests are made before the explode: no row carries its tokens
+        part = F.slice("__t", s, F.lit(length))
+        return F.struct(s.alias("s"), F.md5(F.array_join(part, " ", "")).alias("a"),
+                        F.xxhash64(part).alias("b"))
+
     near = rows.join(hits, "__row").select(
-        "__row", "__keep", "__known", "__t", F.explode(starts).alias("__s"))
-    window = F.slice("__t", F.col("__s"), F.lit(length))
-    texts = F.transform(window, lambda t: F.coalesce(t.cast("string"), F.lit("")))
-    digest = F.struct(F.md5(F.concat_ws(" ", texts)), F.xxhash64(window))
-    near = materialize(near.select("__row", "__keep", "__known", "__s", digest.alias("__d")),
-                       "passage_windows")
+        "__row", "__keep", "__known", F.explode(F.transform(starts, window)).alias("w"))
+    near = materialize(near.select("__row", "__keep", "__known", F.col("w.s").alias("__s"),
+                                   F.struct("w.a", "w.b").alias("__d")), "passage_windows")
     found = near.where(~F.col("__known")).join(
         near.where("__known").select("__d").distinct(), "__d", "left_semi")
     places = Window.partitionBy("__row").orderBy("__s")  # windows of one row

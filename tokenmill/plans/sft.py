@@ -233,3 +233,30 @@ def format_prompt(spark: SparkSession, sf: str) -> DataFrame:
     out = C.format_prompt(users, "prompt")
     return out.select("conv_id", "turn", join_tokens("prompt_ids").alias("prompt_ids"),
                       C.preview("prompt").alias("preview"))
+
+
+GENERATION_PAD_SQL = f"""
+WITH p AS (SELECT conv_id, turn, ['{BOS_TEXT}', '{HEADER_START_TEXT}', 'user', '{HEADER_END_TEXT}']
+                  || regexp_extract_all(text, '{TRX}')
+                  || ['{EOT_TEXT}', '{HEADER_START_TEXT}', 'assistant', '{HEADER_END_TEXT}'] AS a,
+                  (row_number() OVER (ORDER BY conv_id, turn) - 1) // 8 AS batch_id
+           FROM conversations WHERE role = 'user'),
+w AS (SELECT *, max(len(a)) OVER (PARTITION BY batch_id) AS width FROM p)
+SELECT conv_id, turn, CAST(batch_id AS BIGINT) AS batch_id, CAST(width AS INTEGER) AS width,
+       array_to_string(list_transform(range(width - len(a)), lambda q: '{PAD_TEXT}') || a, ' ') AS prompt_ids,
+       CAST(width - len(a) AS BIGINT) AS n_pads, CAST(len(a) AS BIGINT) AS n_attended,
+       array_to_string(list_transform(range(width), lambda i: greatest(0, i - (width - len(a)))), ' ') AS positions
+FROM w
+"""
+
+
+@register("generation_pad", "E8 E12 (left padding for generation, mask and positions)", GENERATION_PAD_SQL)
+def generation_pad(spark: SparkSession, sf: str) -> DataFrame:
+    users = _turns(spark, sf).where(F.col("role") == "user").withColumnRenamed("text", "prompt")
+    prompts = C.format_prompt(users, "prompt").select("conv_id", "turn", "prompt_ids")
+    out = C.pad_for_generation(O.assign_batches(prompts, ["conv_id", "turn"], 8), "prompt_ids", PAD_TEXT)
+    attended = F.size(F.filter("attention_mask", lambda m: m == 1)).cast("long")
+    return out.select("conv_id", "turn", "batch_id", "width", join_tokens("prompt_ids").alias("prompt_ids"),
+                      (F.size("attention_mask") - attended).cast("long").alias("n_pads"),
+                      attended.alias("n_attended"),
+                      F.array_join(F.col("position_ids").cast("array<string>"), " ").alias("positions"))
