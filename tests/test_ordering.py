@@ -45,6 +45,19 @@ def test_plan_and_cadence(spark):
     assert O.subset_batches(b, 3).count() == 3 and O.subset_batches(b, None).count() == 25
 
 
+def test_loop_cadence_counts_as_the_loop(spark):
+    for n in (0, 1, 5):
+        want, step = [(0, 0, "peek")], 0
+        for epoch in range(3):
+            for _ in range(n):
+                step += 1
+                want += [(epoch, step, "peek")] * (step % 4 == 0) + [(epoch, step, "eval")] * (step % 5 == 0)
+            want.append((epoch, step, "epoch_end"))
+        rows = [(i * 7,) for i in range(n)] * 2 + [(None,)]
+        b = spark.createDataFrame(rows, "batch_id long")
+        assert sorted(map(tuple, O.loop_cadence(b, 3, 4, 5).collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 16, 17, 1000, 4999])
 def test_epoch_places_are_permutations(spark, n):
     ranked = spark.range(1, n + 1).withColumnRenamed("id", "rank")

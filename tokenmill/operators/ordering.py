@@ -179,6 +179,29 @@ def cadence(steps: DataFrame, every: int, step: str = "step", skip_zero: bool =
     return steps.where(cond)
 
 
+def loop_cadence(batches: DataFrame, epochs: int, peek_every: int, eval_every: int,
+                 batch: str = "batch_id") -> DataFrame:
+    """G8 as the pretraining loop counts: (epoch, step, event) with steps counted from 1 over all epochs.
+
+    ``peek``: one before the first step (step 0) and after every ``peek_every``-th; ``eval``: after
+    every ``eval_every``-th, over the first validation batches; ``epoch_end``: after an epoch's last
+    step, over all of them, also where an ``eval`` fell on the same step. Rows of ``batches`` that share
+    an id are one step, null ids none; without batches only the first peek and the epochs' ends remain.
+    """
+    ids = batches.where(F.col(batch).isNotNull()).select(batch).distinct()
+    n = ids.count()
+    every_epoch = F.explode(F.sequence(F.lit(0), F.lit(epochs - 1)))
+    steps = rank_rows(ids, [batch], "__r").select(every_epoch.alias("epoch"), "__r").select(
+        "epoch", (F.col("epoch").cast("long") * n + F.col("__r")).alias("step"))
+    one = batches.sparkSession.range(1)
+    start = one.select(F.lit(0).alias("epoch"), F.lit(0).cast("long").alias("step"), F.lit("peek").alias("event"))
+    ends = one.select(every_epoch.alias("epoch")).select(
+        "epoch", ((F.col("epoch") + 1).cast("long") * n).alias("step"), F.lit("epoch_end").alias("event"))
+    peeks = cadence(steps, peek_every).withColumn("event", F.lit("peek"))
+    evals = cadence(steps, eval_every).withColumn("event", F.lit("eval"))
+    return start.unionByName(peeks).unionByName(evals).unionByName(ends)
+
+
 def subset_batches(df: DataFrame, n: int | None, batch: str = "batch_id") -> DataFrame:
     """The first ``n`` batches (all when ``n`` is None: end of epoch)."""
     return df if n is None else df.where(F.col(batch) < n)

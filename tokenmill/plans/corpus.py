@@ -233,6 +233,22 @@ def step_plan(spark: SparkSession, sf: str) -> DataFrame:
                       F.lit(every).cast("long").alias("eval_every"), "n_evals", "n_peeks")
 
 
+LOOP_SQL = """
+WITH b AS (SELECT CAST(ceil(count(*) / 8) AS BIGINT) AS n FROM documents),
+s AS (SELECT unnest(range(1, 3 * n + 1)) AS step, n FROM b)
+SELECT 0 AS epoch, CAST(0 AS BIGINT) AS step, 'peek' AS event
+UNION ALL SELECT CAST((step - 1) // n AS INTEGER), step, 'peek' FROM s WHERE step % 25 = 0
+UNION ALL SELECT CAST((step - 1) // n AS INTEGER), step, 'eval' FROM s WHERE step % 10 = 0
+UNION ALL SELECT CAST(step // n - 1 AS INTEGER), step, 'epoch_end' FROM s WHERE step % n = 0
+"""
+
+
+@register("loop_cadence", "G8 (steps from 1, a peek before the first, checks at epoch ends)", LOOP_SQL)
+def loop_cadence(spark: SparkSession, sf: str) -> DataFrame:
+    b = O.assign_batches(_docs(spark, sf).select("doc_id"), ["doc_id"], 8)
+    return O.loop_cadence(b, epochs=3, peek_every=25, eval_every=10)
+
+
 SEGMENT_WINDOWS_SQL = f"""
 WITH {RAW_LINES},
 s AS (SELECT *, sum(CASE WHEN starts_with(line, ' = ') AND NOT starts_with(line, ' = = ') THEN 1 ELSE 0 END)
