@@ -47,6 +47,22 @@ def test_stream_encode_equals_batch(spark, tmp_dir):
     assert got == {(0, 0): 6, (0, 1): 5, (1, 0): 7}
 
 
+def test_streams_read_a_table_that_is_one_file_or_a_folder_of_parts(spark, tmp_dir):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    turns = pa.table({"conv_id": [0, 1, 2], "turn": [0, 0, 0], "role": ["user"] * 3, "text": ["a", "b c", "d"]})
+    folder, flat = os.path.join(tmp_dir, "parts"), os.path.join(tmp_dir, "flat")
+    os.makedirs(os.path.join(folder, "conversations.parquet"))
+    os.makedirs(flat)
+    for i in range(3):
+        pq.write_table(turns.slice(i, 1), os.path.join(folder, "conversations.parquet", f"part-{i}.parquet"))
+    pq.write_table(turns, os.path.join(flat, "conversations.parquet"))
+    for top in (folder, flat):
+        pq.write_table(pa.table({"other": [1]}), os.path.join(top, "labels.parquet"))
+        got = jobs.stream_encode(spark, top, glob="conversations.parquet").collect()
+        assert {(r.conv_id, r.n_tokens) for r in got} == {(0, 5), (1, 6), (2, 5)}
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as E
     df = E.entry(spark)

@@ -28,16 +28,15 @@ def stream_dirs(spark: SparkSession, name: str) -> tuple[str, str]:
 
 def source(spark: SparkSession, folder: str, fmt: str = "parquet", glob: str | None = None,
            max_files: int | None = None) -> DataFrame:
-    """A file-source stream over ``folder`` (optionally only files matching ``glob``),
-    with the schema of the files already there."""
-    static = spark.read.format(fmt)
+    """A file-source stream over ``folder`` (optionally only what matches ``glob`` in it: files, or
+    tables that are folders of part files), with the schema of the files already there."""
     reader = spark.readStream.format(fmt)
-    if glob:
-        static = static.option("pathGlobFilter", glob)
-        reader = reader.option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.schema(static.load(folder).schema).load(folder)
+    # in the path, as pathGlobFilter would be asked of the part files' names; braces make a plain name a
+    # pattern too, whose match may be one file (a stream's plain path must be a folder)
+    path = f"{folder.rstrip('/')}/{{{glob}}}" if glob else folder
+    return reader.schema(spark.read.format(fmt).load(path).schema).load(path)
 
 
 def encode_turns_stream(turns: DataFrame, template: C.ChatTemplate = C.DEFAULT_TEMPLATE
