@@ -84,3 +84,29 @@ def test_lookup_keeps_rows_columns_and_order(spark):
     assert tok.tokens_to_ids(empty, "tokens", vocab).collect() == []
     plan = tok.tokens_to_ids(df, "tokens", vocab)._jdf.queryExecution().executedPlan().toString()
     assert "posexplode(tokens" not in plan
+
+
+def test_byte_ids_of_a_batch_with_specials_stay_arrays():
+    """No Python object an id: a batch with a special takes little more than its ids."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tokenmill.functions import bytes as B
+    texts = pa.array([f"é{EOS_TEXT}x", None, "", "ab", f"{EOS_TEXT}{EOS_TEXT}"] + ["y" * 100_000 + EOS_TEXT] * 20)
+    tracemalloc.start()
+    got = B._encode(texts.slice(0), (EOS_TEXT, EOS_TEXT + "!"))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.slice(0, 5).to_pylist() == [[195, 169, 256, 120], None, [], [97, 98], [256, 256]]
+    assert got[5].as_py() == [121] * 100_000 + [256] and peak < 14 * 2_000_000
+    longer = B._encode(pa.array([f"a{EOS_TEXT}!b{EOS_TEXT}"]).slice(0), (EOS_TEXT, EOS_TEXT + "!"))
+    assert longer.to_pylist() == [[97, 257, 98, 256]]
+    part = B._encode(texts.slice(3, 2), (EOS_TEXT,))
+    assert part.to_pylist() == [[97, 98], [256, 256]]
+
+
+def test_byte_batches_are_bounded_by_bytes(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    tok.encode(spark.createDataFrame([(0, "a")], "id long, text string"), "text", "byte")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 16 << 20

@@ -1,8 +1,9 @@
 """UTF-8 bytes as token ids and back, one vectorised pass over an Arrow batch.
 
 A string column in Arrow already is its bytes plus offsets, so encoding is a cast and decoding the
-reverse; only rows that hold a special go through Python. The column expressions in
-``functions.text`` do the same inside the JVM for short pieces.
+reverse; of rows that hold a special only the specials are touched one by one. An id takes four
+bytes, so :func:`tokenmill.session.bounded_batches` bounds a batch by its bytes, not only by its rows.
+The column expressions in ``functions.text`` do the same inside the JVM for short pieces.
 """
 
 from __future__ import annotations
@@ -22,21 +23,27 @@ from tokenmill.config import BYTE_VOCAB, EOS_TEXT
 def _encode(texts: pa.Array, specials: Sequence[str]) -> pa.Array:
     null = texts.is_null()
     texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, off, data = texts.buffers()
+    off = np.frombuffer(off, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = (np.frombuffer(data, np.uint8)[off[0]:off[-1]] if data is not None and data.size
+            else np.zeros(0, np.uint8))
+    off = off - off[0]
+    values = data.astype(np.int32)
     has = np.zeros(len(texts), bool)
     for s in specials:
         has |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
-    if has.any():
-        cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True)) + ")")
-        ids = {s: BYTE_VOCAB + i for i, s in enumerate(specials)}
-        rows = [sum(([ids[p]] if p in ids else list(p.encode()) for p in cut.split(t)), [])
-                if h else list(t.encode()) for t, h in zip(texts.to_pylist(), has)]
-        return pa.array([None if z else r for r, z in zip(rows, null.to_pylist())], pa.list_(pa.int32()))
-    _, off, data = texts.buffers()
-    off = np.frombuffer(off, np.int64)[texts.offset:texts.offset + len(texts) + 1]
-    values = (np.frombuffer(data, np.uint8)[off[0]:off[-1]] if data is not None and data.size
-              else np.zeros(0, np.uint8))
-    return pa.ListArray.from_arrays(pa.array((off - off[0]).astype(np.int32)),
-                                    pa.array(values.astype(np.int32)), mask=null)
+    if has.any():  # a special's first byte becomes its id, the others go
+        raw = {s.encode(): BYTE_VOCAB + i for i, s in enumerate(specials)}
+        find = re.compile(b"|".join(re.escape(s) for s in sorted(raw, key=len, reverse=True))).finditer
+        keep, gone = np.ones(len(data), bool), np.zeros(len(texts), np.int64)
+        for r in np.flatnonzero(has):
+            lo = off[r]
+            for m in find(data[lo:off[r + 1]].tobytes()):
+                i, j = lo + m.start(), lo + m.end()
+                values[i], keep[i + 1:j] = raw[m.group()], False
+                gone[r] += j - i - 1
+        values, off = values[keep], off - np.r_[0, np.cumsum(gone)]
+    return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(values), mask=null)
 
 
 def _decode(ids: pa.Array, specials: Sequence[str]) -> pa.Array:

@@ -13,10 +13,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from tokenmill.session import bounded_batches
 
 BLOCK_BYTES = 4 << 20
-BATCH_BYTES = 16 << 20
 _HASH_CHUNK = 1 << 20
 _B = np.uint64(0x9E3779B97F4A7C15 | 1)
 _B_INV = np.uint64(pow(int(_B), -1, 1 << 64))
@@ -31,11 +32,6 @@ FOLD = np.where((_bytes >= 65) & (_bytes <= 90), _bytes + 32, _bytes).astype(np.
 _BIG = BLOCK_BYTES  # rows above this size travel in a block of their own
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches handed to Python by bytes, not only by rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-
-
 def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     bounded_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)

@@ -20,6 +20,7 @@ from tokenmill.functions import arrays as A
 from tokenmill.functions import bytes as B
 from tokenmill.functions import text as T
 from tokenmill.plans.prefix import global_rank, materialize
+from tokenmill.session import bounded_batches
 
 DEFAULT_SPECIALS = (EOS_TEXT,)
 UNK_TEXT = "<unk>"
@@ -36,6 +37,7 @@ def encode(df: DataFrame, text_col: str = "text", kind: str = "word", out: str =
     if kind == "word":
         return df.withColumn(out, T.word_tokens(text_col, specials))
     if kind == "byte":
+        bounded_batches(df.sparkSession)
         return df.withColumn(out, B.encode_bytes(text_col, specials))
     if kind == "bpe":
         from tokenmill.operators.bpe import bpe_encode
@@ -54,6 +56,7 @@ def decode(df: DataFrame, ids_col: str = "tokens", kind: str = "word", out: str
     ``vocab`` the ids are first mapped back to token strings.
     """
     if kind == "byte":
+        bounded_batches(df.sparkSession)
         return df.withColumn(out, B.decode_bytes(ids_col, specials))
     if kind == "word":
         if vocab is None:
