@@ -54,6 +54,56 @@ def test_bpe_ids_equal_the_library_s(spark):
         assert r.tokens == lib.encode_ordinary(r.text)
 
 
+def _plain_merge(piece, table):
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    while True:
+        found = [(table[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in table]
+        if not found:
+            return [table[p] for p in parts]
+        i = min(found)[1]
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_bpe_merges_of_short_and_long_pieces_equal_the_definition(spark):
+    import random
+    import time
+
+    from tokenmill.operators import bpe as B
+    _, table = ranks(spark)
+    rng = random.Random(3)
+    table |= {w: len(table) + i for i, w in enumerate([b"aa", b"aaaa", b"ba", b"aba", b"lo"])}
+    for n in (1, 2, 3, 40, B.LONG_PIECE, B.LONG_PIECE + 1, 700):
+        for letters in (b"ab", b"helo w", b"a", b"xyz"):
+            piece = bytes(rng.choice(letters) for _ in range(n))
+            if piece not in table:
+                assert B.bpe_merge(piece, table) == B._merge_long(piece, table) == _plain_merge(piece, table)
+    start = time.time()  # quadratic before: minutes
+    assert len(B.bpe_merge(b"a" * 200_000, table)) == 50_000 and time.time() - start < 20
+
+
+def test_bpe_worker_keeps_pieces_within_its_bound(spark):
+    from tokenmill.operators import bpe as B
+    _, table = ranks(spark)
+    assert B._kept(B._Encoder, table, ("x",)) is B._kept(B._Encoder, table, ("x",))
+    assert B._kept(B._Encoder, dict(table), ("x",)) is not B._kept(B._Encoder, table, ("x",))
+    known, most = B._Pieces(table), B.MAX_CACHED_PIECES
+    B.MAX_CACHED_PIECES = 10
+    try:
+        for i in [*range(25), 3, 24, *range(40)]:
+            assert known[f"p{i}"] == known[f"p{i}"]
+            assert len(known) <= 10 and len(known.older) <= 10
+    finally:
+        B.MAX_CACHED_PIECES = most
+
+
+def test_bpe_decode_of_odd_ids(spark):
+    rdf, table = ranks(spark)
+    df = spark.createDataFrame([(0, [0xC3, 256]), (1, []), (2, None), (3, [len(table), 0xC3, 0xA9])],
+                               "id long, tokens array<int>")
+    got = {r.id: r.decoded for r in tok.decode(df, "tokens", "bpe", ranks=rdf).collect()}
+    assert got == {0: "\ufffdhe", 1: "", 2: None, 3: EOS_TEXT + "é"}
+
+
 def test_one_layout_of_reserved_ids(spark):
     vocab = {r.token: r.id for r in tok.build_vocab(
         spark.createDataFrame([(["b", "a", "b"],)], "tokens array<string>")).collect()}
