@@ -300,6 +300,26 @@ def test_scores_against_brute_force(spark, edges, empty):
     assert lm_scoring.score_documents(edges).count() == len(EDGES)
 
 
+def test_groups_are_learnt_from_every_training_text(spark, monkeypatch):
+    import pyarrow as pa
+    rng = np.random.default_rng(1)
+    texts = ["".join(rng.choice(list("abcd efgh"), 30)) for _ in range(4000)] + ["\u6f22\u5b57" * 9] * 3
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i:i + 500])], names=["__text"])
+               for i in range(0, len(texts), 500)]
+    got = list(lm_scoring._profile_means(iter(batches)))
+    f = np.array(got[0].column(0).to_pylist())
+    mass = got[0].column(1).to_numpy()
+    raw = [t.encode() for t in texts]
+    every = lm_scoring.byte_profiles(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert len(f) <= lm_scoring.MEANS and mass.sum() == len(texts)  # no text is left out
+    assert np.allclose(mass @ f / mass.sum(), every.mean(axis=0), atol=1e-6)
+    seen = []
+    monkeypatch.setattr(lm_scoring, "fit_groups", lambda *a, mass=None: seen.append(mass) or np.zeros((1, 256)))
+    docs = spark.range(4000).selectExpr("id doc_id", "concat('text ', id) text")
+    lm_scoring.score_documents(docs).count()
+    assert seen[0].sum() == docs.where("pmod(crc32(cast(doc_id as string)), 7) <> 2").count()
+
+
 def test_unlikely_runs_and_large_counts(spark):
     rows = [(i, "the cat sat on the mat and the dog ran off to the old barn " * 3) for i in range(300)]
     odd = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 7 == 2)

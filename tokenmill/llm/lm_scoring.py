@@ -3,7 +3,8 @@
 Texts fall into a few groups by their byte shares (in practice languages); the group is named first,
 at log10(GROUPS), and the contexts at a word's start and the piece shares (by the white space before a
 piece) are the group's.
-The centres come from a bounded sample; every text is assigned.
+The centres come from all training texts: every partition reduces its byte shares to a few weighted
+means, the means of all partitions are clustered; every text is assigned.
 
 A text is a chain of pieces: a word with the white-space byte after it (a virtual byte ends the
 text; pieces above 64 bytes are cut). Bytes are predicted bit by bit, high bit first. For each bit,
@@ -37,7 +38,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenmill.llm import textnp as X
-from tokenmill.llm.quality import hash_share
 from tokenmill.plans.prefix import materialize
 
 ORDERS = (1, 2, 3, 4, 6)
@@ -50,7 +50,7 @@ GATES = 8 * (len(ORDERS) + 1)
 INPUTS = len(ORDERS) + 2
 BUCKETS, REACH = 33, 8.0
 DISCOUNT = 0.6
-GROUPS, FIT_GROUPS = 4, 3000  # groups of texts; about so many texts to find them
+GROUPS, MEANS = 4, 8  # groups of texts; weighted means that stand for the texts of a partition
 CHUNK = 8192
 PLACE = 26  # low bits that number a block's entries
 _U = np.uint64
@@ -118,26 +118,44 @@ def byte_profiles(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.sqrt(h / np.maximum(size, 1)[:, None])
 
 
-def _profile_rows(batches):
-    for rec, data, off in X.blocks(batches, "__text"):
-        f = byte_profiles(data, off)
-        yield pa.RecordBatch.from_arrays(
-            [X.list_array(f.ravel().astype(np.float32), np.full(len(f), 256), pa.float32())], names=["f"])
+def _means(profiles: np.ndarray, mass: np.ndarray, k: int, rng, rounds: int = 15):
+    """(means, mass of each, sum of squared distances) of Lloyd's algorithm from one seeded start."""
+    c = profiles[rng.choice(len(profiles), k, replace=False)]
+    for turn in range(rounds):
+        d = (profiles ** 2).sum(axis=1)[:, None] - 2 * profiles @ c.T + (c ** 2).sum(axis=1)
+        near = d.argmin(axis=1)
+        own = (near == np.arange(k)[:, None]) * mass  # [k, rows]
+        total = own.sum(axis=1)
+        c = np.where(total[:, None] > 0, own @ profiles / np.maximum(total, 1)[:, None], c)
+    return c, total, (d.min(axis=1) * mass).sum()
 
 
-def fit_groups(profiles: np.ndarray, k: int = GROUPS, seed: int = 5) -> np.ndarray:
-    """[k, 256] centres of the profiles (Lloyd's algorithm, the best of four seeded starts)."""
+def _profile_means(batches):
+    """The partition's texts as at most ``MEANS`` weighted means of their byte profiles."""
+    means, mass, rng = np.zeros((0, 256)), np.zeros(0), np.random.default_rng(5)
+    for rec, data, off in X.blocks(batches, "__text"):
+        means = np.concatenate([means, byte_profiles(data, off)])
+        mass = np.concatenate([mass, np.ones(rec.num_rows)])
+        if len(means) > MEANS:
+            means, mass, _ = _means(means, mass, MEANS, rng, 5)
+            means, mass = means[mass > 0], mass[mass > 0]
+    if len(means):
+        yield pa.RecordBatch.from_arrays([
+            X.list_array(means.ravel().astype(np.float32), np.full(len(means), 256), pa.float32()),
+            pa.array(mass)], names=["f", "mass"])
+
+
+def fit_groups(profiles: np.ndarray, k: int = GROUPS, seed: int = 5, mass: np.ndarray | None = None
+               ) -> np.ndarray:
+    """[k, 256] centres of the profiles, weighted by ``mass`` (Lloyd's algorithm, the best of four
+    seeded starts)."""
+    mass = np.ones(len(profiles)) if mass is None else mass
     best, least = np.zeros((1, 256)), np.inf
     rng = np.random.default_rng(seed)
     for _ in range(4 if len(profiles) >= k else 0):
-        c = profiles[rng.choice(len(profiles), k, replace=False)]
-        for _ in range(15):
-            d = (profiles ** 2).sum(axis=1)[:, None] - 2 * profiles @ c.T + (c ** 2).sum(axis=1)
-            near = d.argmin(axis=1)
-            c = np.stack([profiles[near == j].mean(axis=0) if (near == j).any() else c[j]
-                          for j in range(k)])
-        if d.min(axis=1).sum() < least:
-            best, least = c, d.min(axis=1).sum()
+        c, _, far = _means(profiles, mass, k, rng)
+        if far < least:
+            best, least = c, far
     return best
 
 
@@ -462,11 +480,12 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(key != held, F.lit(False)).alias("train"),
                       F.col(text_col).alias("__text"))
     id_sql = src.schema["id"].dataType.simpleString()
-    share = min(1.0, FIT_GROUPS / max(src.count(), 1))
-    few = X.collected(X.map_arrow(
-        src.where("train").where(hash_share(F.col("id"), share, 11)).select("__text"),
-        _profile_rows, "f array<float>"))["f"]
-    centres = fit_groups(few.reshape(-1, 256))
+    means = X.collected(X.map_arrow(src.where("train").select("__text"), _profile_means,
+                                    "f array<float>, mass double"))  # a few rows a partition
+    # in an order of their own: which partition ends first decides nothing
+    f = means["f"].reshape(-1, 256).astype(float)
+    order = np.lexsort((f.sum(axis=1), -means["mass"]))
+    centres = fit_groups(f[order], mass=means["mass"][order])
     blocks = materialize(X.map_arrow(
         src, _block_rows(centres),
         f"block long, ids array<{id_sql}>, held array<boolean>, n_bytes array<long>, "
