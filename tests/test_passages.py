@@ -57,3 +57,27 @@ def test_empty_table_and_bad_gram(spark):
     assert out.columns == ["doc_id", "first_token", "n_tokens"] and out.count() == 0
     with pytest.raises(ValueError):
         P.shared_passages(empty, 5, gram=6)
+
+
+@pytest.mark.parametrize("length,gram", [(1, 1), (5, 2), (6, 6), (7, 4), (32, 16)])
+def test_every_window_has_the_first_of_its_least_grams_in_one_pass(length, gram):
+    import time
+
+    import pyarrow as pa
+    rng = random.Random(gram)
+    rows = [[rng.choice(["a", "b", "", None, "\u6f22"]) for _ in range(rng.randrange(0, 60))] for _ in range(40)]
+    rows += [None, [], ["a"] * 50]
+    got = P._winnowed(pa.array([["skipped"], *rows], pa.list_(pa.string())).slice(1), length, gram).to_pylist()
+    assert len(got) == len(rows)
+    known = {}
+    for t, prints in zip(rows, got):
+        t, n = t or [], len(t or [])
+        where = {f["p"]: f["h"] for f in prints}
+        for p, h in where.items():  # equal grams have equal hashes, wherever they stand
+            assert known.setdefault(tuple(t[p - 1:p - 1 + gram]), h) == h
+        assert [f["p"] for f in prints] == sorted(where)
+        for s in range(1, n - length + 2):  # each window holds a fingerprint
+            assert any(s <= p <= s + length - gram for p in where)
+    start = time.time()  # row by row in interpreted expressions: about a minute
+    big = P._winnowed(pa.array([[str(i % 9973) for i in range(100_000)]] * 10), 32, 16)
+    assert all(len(x) > 1000 for x in big) and time.time() - start < 10

@@ -11,32 +11,69 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tokenmill.functions import hashing as X
 from tokenmill.plans.prefix import materialize
+from tokenmill.session import bounded_batches
 
 MAX_BROADCAST_HASHES = 1_000_000
 
 
-def winnow(tokens: Column, length: int, gram: int) -> Column:
-    """array<struct<h, p>>: the fingerprints of a row of at least ``length`` tokens, ``p`` being the
-    1-based place of the gram; of equal hashes in a window the first place is taken."""
-    n = F.size(tokens)
-    grams = F.transform(F.sequence(F.lit(1), n - gram + 1),
-                        lambda i: F.xxhash64(F.slice(tokens, i, gram)))
-    starts = F.sequence(F.lit(1), n - length + 1)
-
-    def once(a: Column, then) -> Column:  # binds an array, so that it is made once a row
-        return F.element_at(F.transform(F.array(a), then), 1)
+def _winnowed(rows: pa.Array, length: int, gram: int) -> pa.Array:
+    """The fingerprints of the rows of a batch, its tokens hashed and winnowed in one pass."""
+    size = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    tokens = rows.flatten()
+    h = _hashes(tokens)
+    n, span = len(h), length - gram + 1
+    g = np.full(max(n - gram + 1, 0), 0x51ED270B, np.uint64)  # of the gram that starts here
+    for j in range(gram):
+        g = X.mix64(g * X._B + h[j:j + len(g)])
+    m = max(len(g) - span + 1, 0)  # windows that start here
+    least, at = g[:m].copy(), np.arange(m)
+    for j in range(1, span):
+        less = g[j:j + m] < least  # of equal hashes the first stays
+        least[less] = g[j:j + m][less]
+        at[less] = np.flatnonzero(less) + j
+    first = np.cumsum(size) - size
+    row = np.repeat(np.arange(len(size)), size)[:m]
+    inside = np.arange(m) + length <= (first + size)[row]
+    at, row = at[inside], row[inside]
+    fresh = np.ones(len(at), bool)  # the places of neighbouring windows never go back
+    fresh[1:] = (at[1:] != at[:-1]) | (row[1:] != row[:-1])
+    at, row = at[fresh], row[fresh]
+    prints = pa.StructArray.from_arrays([pa.array(g[at].view(np.int64)),
+                                         pa.array((at - first[row] + 1).astype(np.int32))], names=["h", "p"])
+    off = np.r_[0, np.cumsum(np.bincount(row, minlength=len(size)))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), prints)
+
+
+def _hashes(tokens: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each token by its bytes and length; nulls share one."""
+    null = tokens.is_null().to_numpy(zero_copy_only=False)
+    tokens = pc.fill_null(tokens, "").cast(pa.large_string())
+    _, off, data = tokens.buffers()
+    off = np.frombuffer(off, np.int64)[tokens.offset:tokens.offset + len(tokens) + 1]
+    data = (np.frombuffer(data, np.uint8)[off[0]:off[-1]] if data is not None and data.size
+            else np.zeros(0, np.uint8))
+    off = off - off[0]
+    h = np.zeros(len(tokens), np.uint64)
+    has = np.diff(off) > 0
+    h[has] = X.hash_spans(data, off[:-1][has], off[1:][has], fold=False) + np.diff(off)[has].astype(np.uint64)
+    h[null] = np.uint64(0x9D39247E33776D41)
+    return h
 
-    def place(g: Column, i: Column) -> Column:
-        return once(F.slice(g, i, F.lit(length - gram + 1)),
-                    lambda w: F.array_position(w, F.array_min(w)) + i - 1)
 
-    return once(grams, lambda g: F.transform(
-        F.array_distinct(F.transform(starts, lambda i: place(g, i))),
-        lambda p: F.struct(F.get(g, (p - 1).cast("int")).alias("h"), p.cast("int").alias("p"))))
+def winnow(tokens: Column, length: int, gram: int) -> Column:
+    """array<struct<h, p>>: the fingerprints of a row of at least ``length`` tokens (others have none),
+    ``p`` being the 1-based place of the gram; of equal hashes in a window the first place is taken."""
+    def run(rows: pa.Array) -> pa.Array:
+        return _winnowed(rows, length, gram)
+    return F.arrow_udf(run, "array<struct<h:bigint,p:int>>")(tokens)
 
 
 def shared_passages(df: DataFrame, length: int, keep: Sequence[str] = ("doc_id",),
@@ -57,6 +94,7 @@ def shared_passages(df: DataFrame, length: int, keep: Sequence[str] = ("doc_id",
     rows = df.where(F.size(tokens) >= length).where(F.col(split).isin(known, tested)).select(
         F.struct(*keep).alias("__keep"), (F.col(split) == known).alias("__known"),
         F.col(tokens).cast("array<string>").alias("__t"), F.monotonically_increasing_id().alias("__row"))
+    bounded_batches(df.sparkSession)
     # hashing is the dear part: rows are dealt evenly, whatever the files and the longest rows
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = materialize(materialize(rows, "passage_keys").repartition(parts), "passage_rows")
