@@ -183,3 +183,22 @@ def test_runs_side_by_side(spark):
     assert got == {0: (2.0, 2.0, 5.0, 1.0, 3.0, -1.0), 1: (None, None, 7.0, 1.0, None, None),
                    2: (None,) * 6, None: (6.0, 6.0, None, None, None, None)}
     assert M.runs_side_by_side(log.limit(0), ["a"], ["loss"]).collect() == []
+
+
+def test_trigrams_of_any_tokens_are_told_apart(spark):
+    """Counts equal a plain count, whatever stands in the tokens."""
+    import random
+    from collections import Counter
+
+    from tokenmill.operators import ngram as N
+    rng = random.Random(4)
+    odd = ["", None, ":", ",", "1,", "1:", "a", "ab", "b", "-", "-1", "é", "\U0001f600", "a:b"]
+    rows = [[rng.choice(odd) for _ in range(rng.randrange(0, 40))] for _ in range(150)] + [None, []]
+    df = spark.createDataFrame([(r,) for r in rows], "tokens array<string>")
+    for n in (3, 4):
+        plain = Counter(tuple(r[i:i + n]) for r in rows if r for i in range(len(r) - n + 1))
+        got = {(*r["ctx"], r["next"]): r["count"] for r in N.ngram_counts(df, n).collect()}
+        assert got == plain
+    ints = spark.createDataFrame([([1, 2, 3, 1, 2, 3],)], "tokens array<int>")
+    assert {(*r["ctx"], r["next"], r["count"]) for r in N.ngram_counts(ints, 3).collect()} == {
+        (1, 2, 3, 2), (2, 3, 1, 1), (3, 1, 2, 1)}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.plans.prefix import materialize
@@ -23,21 +23,55 @@ def ngrams(tokens: DataFrame, n: int, col: str = "tokens", keep: Sequence[str] =
     """
     if n < 1:
         raise ValueError("n >= 1")
-    a = F.col(col)
     if n == 1:
-        return tokens.select(*keep, F.lit("").alias("ctx"), F.explode(a).alias("next"))
-    k = n - 1
-    m = F.size(a) - k  # number of n-grams
+        return tokens.select(*keep, F.lit("").alias("ctx"), F.explode(col).alias("next"))
+    return _spread(tokens, n, col, keep).select(*keep, _context(n), F.col(f"t{n - 1}").alias("next"))
+
+
+def _spread(tokens: DataFrame, n: int, col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """n-grams (n > 1) as scalar columns (keep..., t0, .., t<n-1>)."""
+    a = F.col(col)
+    m = F.size(a) - (n - 1)  # number of n-grams
     # n shifted slices zipped position-wise: codegen'd expressions, no per-element lambda
     shifted = [F.slice(a, j + 1, m).alias(f"t{j}") for j in range(n)]
     z = tokens.where(F.size(a) >= n).select(*keep, F.explode(F.arrays_zip(*shifted)).alias("z"))
-    ctx = F.col("z.t0") if n == 2 else F.array(*[F.col(f"z.t{j}") for j in range(k)])
-    return z.select(*keep, ctx.alias("ctx"), F.col(f"z.t{k}").alias("next"))
+    return z.select(*keep, *[F.col(f"z.t{j}").alias(f"t{j}") for j in range(n)])
+
+
+def _context(n: int) -> Column:
+    return (F.col("t0") if n == 2 else F.array(*[F.col(f"t{j}") for j in range(n - 1)])).alias("ctx")
+
+
+def _packed(n: int) -> Column:
+    """t0, .., t<n-1> (strings) as one string: the lengths of all but the last, then the tokens. A null
+    has the length -1, as the last token an empty length before it."""
+    t = [F.col(f"t{j}") for j in range(n)]
+    sizes = [F.coalesce(F.length(x), F.lit(-1)).cast("string") for x in t[:-1]]
+    sizes.append(F.when(t[-1].isNull(), "-").otherwise(""))
+    return F.concat(F.concat_ws(",", *sizes), F.lit(":"), *[F.coalesce(x, F.lit("")) for x in t])
+
+
+def _unpacked(gram: Column, n: int) -> list[Column]:
+    """The tokens of :func:`_packed`."""
+    head = F.substring_index(gram, ":", 1)
+    sizes = F.split(head, ",")
+    at, out = F.length(head) + 2, []
+    for j in range(n - 1):
+        size = F.element_at(sizes, j + 1).cast("int")
+        out.append(F.when(size >= 0, F.substring(gram, at, size)))
+        at = at + F.greatest(size, F.lit(0))
+    return [*out, F.when(F.element_at(sizes, n) == "", F.substring(gram, at, F.length(gram)))]
 
 
 def ngram_counts(tokens: DataFrame, n: int, col: str = "tokens") -> DataFrame:
-    """(ctx, next, count)."""
-    return ngrams(tokens, n, col).groupBy("ctx", "next").agg(F.count(F.lit(1)).alias("count"))
+    """(ctx, next, count). From three tokens on they are grouped as one string, which shuffles in
+    fewer bytes than an array or several columns; the context is put together after counting."""
+    count = F.count(F.lit(1)).alias("count")
+    if n < 3 or tokens.schema[col].dataType.elementType.simpleString() != "string":
+        return ngrams(tokens, n, col).groupBy("ctx", "next").agg(count)
+    counts = _spread(tokens, n, col).groupBy(_packed(n).alias("__gram")).agg(count)
+    parts = _unpacked(F.col("__gram"), n)
+    return counts.select(F.array(*parts[:-1]).alias("ctx"), parts[-1].alias("next"), "count")
 
 
 def fit_ngram(train_tokens: DataFrame, n: int, vocab_size: int, k: float = 1.0,

@@ -30,11 +30,14 @@ v AS (SELECT count(DISTINCT tok) AS V FROM t)
 
 def split_tokens(spark: SparkSession, sf: str, with_vocab: bool = True
                  ) -> tuple[DataFrame, int | None]:
-    """Tokenized documents with their G3 split, written once; plus the vocabulary size."""
+    """Tokenized documents with their G3 split; plus the vocabulary size, for which they are read
+    twice and so written once."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    toks = materialize(O.split_by_document(doc_tokens(docs), "doc_id", 0.1, seed=3),
-                       "split_tokens")
-    return toks, (N.vocab_size(toks) if with_vocab else None)
+    toks = O.split_by_document(doc_tokens(docs), "doc_id", 0.1, seed=3)
+    if not with_vocab:
+        return toks, None
+    toks = materialize(toks, "split_tokens")
+    return toks, N.vocab_size(toks)
 
 
 def _scored(spark: SparkSession, sf: str, n: int, by=()) -> DataFrame:
