@@ -124,3 +124,31 @@ def test_window_documents_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, tokens array<string>")
     offs = win.stream_offsets(df, ["doc_id"])
     assert win.window_documents(offs, "doc_id", 4, 2).collect() == []
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_windows_of_any_tokens(spark, monkeypatch, limit):
+    """Tokens that are null, empty or hold the separator come back, with offsets broadcast or joined."""
+    import random
+
+    from tokenmill.operators import windows as W
+    monkeypatch.setattr(W, "BROADCAST_OFFSET_ROWS", limit)
+    rng = random.Random(limit)
+    odd = ["a", "bc", "", None, W._SEP, f"x{W._SEP}y", "é", " "]
+    docs = [[rng.choice(odd if k % 2 else odd[:2]) for _ in range(rng.randrange(0, 40))] for k in range(30)]
+    docs += [[None, f"p{W._SEP}q"], [""], ["", ""], [None]]
+    df = spark.createDataFrame(list(enumerate(docs)), "id long, tokens array<string>")
+    offs, n = W.stream_offsets(df, ["id"], chunk_size=7, with_total=True)
+    flat = sum(docs, [])
+    assert n == len(flat)
+    got = {r.window_id: (r.input_ids, r.target_ids) for r in
+           W.sliding_windows(offs, 5, 3, n_tokens=n, block=16).collect()}
+    assert got == {w: (flat[i:i + 5], flat[i + 1:i + 6]) for w, i in enumerate(range(0, n - 5, 3))}
+
+
+def test_pieces_of_strings_shuffle_as_strings(spark):
+    from tokenmill.operators import windows as W
+    df = spark.createDataFrame([(0, ["a", "b", "c"]), (1, None)], "id long, tokens array<string>")
+    text, array = W._packed(F.col("tokens"))
+    got = df.select("id", text.alias("t"), array.alias("a")).orderBy("id").collect()
+    assert got[0].t == W._SEP.join("abc") and got[0].a is None and got[1].t is None and got[1].a is None

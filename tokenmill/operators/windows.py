@@ -52,6 +52,27 @@ def chunk_tokens(df: DataFrame, tokens: str = "tokens", chunk_size: int = DEFAUL
     )
 
 
+_SEP = "\u0001"
+
+
+def _packed(piece: Column) -> tuple[Column, Column]:
+    """An array of strings for a shuffle, as (joined string, array): an array takes twice the bytes. It
+    stays an array, and the string is null, where a token is null or holds the separator."""
+    joined = F.array_join(piece, _SEP)
+    seps = F.length(joined) - F.length(F.replace(joined, F.lit(_SEP), F.lit("")))
+    plain = (F.size(F.array_compact(piece)) == F.size(piece)) & (F.size(piece) > 0) & (
+        seps == F.size(piece) - 1)
+    return F.when(plain, joined), F.when(~plain | plain.isNull(), piece)
+
+
+def _unpacked(joined: Column, piece: Column) -> Column:
+    return F.coalesce(F.split(joined, _SEP, -1), piece)
+
+
+def _strings(df: DataFrame, column: str = "piece") -> bool:
+    return df.schema[column].dataType.elementType.simpleString() == "string"
+
+
 def stream_offsets(df: DataFrame, order: Sequence[str], tokens: str = "tokens",
                    chunk_size: int = DEFAULT_CHUNK, partitions: int | None = None,
                    with_total: bool = False):
@@ -79,8 +100,13 @@ def stream_offsets(df: DataFrame, order: Sequence[str], tokens: str = "tokens",
     stats = offs.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n")).first()
     side = offs.drop("n")
     if stats["rows"] <= BROADCAST_OFFSET_ROWS:  # size check before broadcasting
-        side = F.broadcast(side)
-    out = chunks.join(side, "__chunk").drop("__hash", "__chunk")
+        out = chunks.join(F.broadcast(side), "__chunk").drop("__hash", "__chunk")
+    elif _strings(chunks):
+        text, array = _packed(F.col("piece"))
+        out = chunks.withColumns({"piece": array, "__text": text}).join(side, "__chunk").withColumn(
+            "piece", _unpacked(F.col("__text"), F.col("piece"))).drop("__hash", "__chunk", "__text")
+    else:
+        out = chunks.join(side, "__chunk").drop("__hash", "__chunk")
     if with_total:
         return out, int(stats["n"] or 0)
     return out
@@ -117,10 +143,16 @@ def _block_windows(pieces: DataFrame, group: Sequence[str], max_length: int, str
     """Reassemble each block (one shuffle on the block key) and cut its windows:
     input = [s, s+L), target = [s+1, s+L+1) for every start s = w*S in the block."""
     L, S, B = max_length, stride, block
+    fields, whole = ["piece"], F.col("__p.piece")
+    if _strings(pieces):
+        text, array = _packed(F.col("piece"))
+        pieces = pieces.withColumns({"piece": array, "__text": text})
+        fields = ["__text", "piece"]
+        whole = F.transform("__p", lambda x: _unpacked(x["__text"], x["piece"]))
     g = pieces.groupBy(*group, "block").agg(
-        F.sort_array(F.collect_list(F.struct("start", "piece"))).alias("__p"),
+        F.sort_array(F.collect_list(F.struct("start", *fields))).alias("__p"),
         F.max("__last").alias("__last"))
-    g = g.select(*group, "block", "__last", F.flatten(F.col("__p.piece")).alias("__arr"))
+    g = g.select(*group, "block", "__last", F.flatten(whole).alias("__arr"))
     b = F.col("block")
     w_lo = F.floor((b * B + S - 1) / S).cast("long")
     w_hi = F.least(F.floor(((b + 1) * B - 1) / S), F.floor(F.col("__last") / S)).cast("long")
