@@ -202,3 +202,47 @@ def test_trigrams_of_any_tokens_are_told_apart(spark):
     ints = spark.createDataFrame([([1, 2, 3, 1, 2, 3],)], "tokens array<int>")
     assert {(*r["ctx"], r["next"], r["count"]) for r in N.ngram_counts(ints, 3).collect()} == {
         (1, 2, 3, 2), (2, 3, 1, 1), (3, 1, 2, 1)}
+
+
+def test_pairs_counted_by_parts(spark):
+    """Null tokens, null, empty and one-token rows; parts of one batch and of several."""
+    from collections import Counter
+
+    import pyarrow as pa
+    rows = [["a", "b", "a", "b"], None, [], ["a"], ["b", None, "b", None], ["\u00e9 x", "a"], ["a", "b"], [None, None]]
+    pairs = Counter(p for r in rows for p in zip(r or [], (r or [])[1:], strict=False))
+    df = spark.createDataFrame([(r,) for r in rows], "tokens array<string>")
+    got = {(r["ctx"], r["next"]): r["count"] for r in N.ngram_counts(df, 2).collect()}
+    assert got == pairs
+    assert N.vocab_size(df) == len({t for r in rows for t in r or []})  # null counts as one
+    for size in (1, 1 << 20):
+        batches = [pa.RecordBatch.from_arrays([pa.array(rows[i:i + 3], pa.list_(pa.string()))], ["tokens"])
+                   for i in range(0, len(rows), 3)]
+        out = Counter()
+        for b in N._pair_counts(size)(iter(batches)):
+            for r in b.to_pylist():
+                out[r["ctx"], r["next"]] += r["count"]
+        assert out == pairs
+
+
+def test_scores_from_counts_and_totals(spark):
+    """The two tables of a model score as the joined model does."""
+    train = spark.createDataFrame([(["a", "b", "a", "c", None, "a", "b"],)], "tokens array<string>")
+    ev = spark.createDataFrame([(["a", "b", "x", "a", "a", None, "a"],)], "tokens array<string>")
+    joined = N.score_ngram(N.fit_ngram(train, 2, 5), ev, 2, 5).first()
+    tables = N.fit_ngram(train, 2, 5, joined=False)
+    apart = N.score_ngram(tables, ev, 2, 5).first()
+    assert apart["n_tokens"] == joined["n_tokens"] == 6
+    assert apart["cross_entropy"] == pytest.approx(joined["cross_entropy"], abs=1e-12)
+
+
+def test_bigram_ppl_joins_scored_pairs_only(spark, tmp_dir):
+    """The count table is written once and joined once: no second table of all pairs."""
+    from tokenmill.plans import ngram as plan
+    from tokenmill.plans import prefix
+    spark.createDataFrame([(i, "a b c . " * (1 + i % 3)) for i in range(40)], "doc_id long, text string").write.parquet(
+        f"{tmp_dir}/documents.parquet")
+    before = len(prefix._WRITTEN)
+    assert plan.bigram_ppl(spark, tmp_dir).first()["n_tokens"] > 0
+    names = [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in prefix._WRITTEN[before:]]
+    assert names == ["split_tokens", "ngram_counts"]

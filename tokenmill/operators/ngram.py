@@ -8,11 +8,17 @@ is one row in the join rather than millions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenmill.plans.prefix import materialize
+from tokenmill.session import bounded_batches
+
+# Token arrays that a task counts at a time, and rows of an Arrow batch it hands back.
+GATHER_BYTES = 64 << 20
+BATCH_ROWS = 1 << 16
 
 
 def ngrams(tokens: DataFrame, n: int, col: str = "tokens", keep: Sequence[str] = ()) -> DataFrame:
@@ -63,24 +69,104 @@ def _unpacked(gram: Column, n: int) -> list[Column]:
     return [*out, F.when(F.element_at(sizes, n) == "", F.substring(gram, at, F.length(gram)))]
 
 
+def _strings(tokens: DataFrame, col: str) -> bool:
+    return tokens.schema[col].dataType.elementType.simpleString() == "string"
+
+
+def _by_parts(count, size: int | None = None):
+    """``count`` over (tokens, tokens of each row) of several one-column Arrow batches at a time."""
+    size = size or GATHER_BYTES
+
+    def joined(held):
+        import pyarrow as pa
+        lengths = pa.concat_arrays([a.value_lengths() for a in held]).fill_null(0)
+        return pa.concat_arrays([a.flatten() for a in held]), lengths.to_numpy()
+
+    def run(batches):
+        held, held_bytes = [], 0
+        for b in batches:
+            held.append(b.column(0))
+            held_bytes += b.column(0).nbytes
+            if held_bytes >= size:
+                yield from count(*joined(held))
+                held, held_bytes = [], 0
+        if held:
+            yield from count(*joined(held))
+    return run
+
+
+def _pair_counts(size: int | None = None):
+    """(ctx, next, count) of the token pairs of each part: places in its dictionary are counted, one
+    number a pair, so a pair is made of strings once a part."""
+    def count(tokens, lengths):
+        import numpy as np
+        import pyarrow as pa
+        words = tokens.dictionary_encode()
+        k = len(words.dictionary) + 1  # the last place is a null's
+        at = words.indices.fill_null(k - 1).to_numpy().astype(np.int64)
+        follows = np.ones(len(at), bool)  # by another token of the row
+        follows[np.cumsum(lengths, dtype=np.int64)[lengths > 0] - 1] = False
+        pairs = (at[:-1] * k + at[1:])[follows[:-1]]
+        del at, follows
+        pairs.sort()
+        starts = np.flatnonzero(np.diff(pairs, prepend=-1))
+        counts = np.diff(starts, append=len(pairs))
+        pairs = pairs[starts]
+        values = pa.concat_arrays([words.dictionary, pa.nulls(1, words.dictionary.type)])
+        for i in range(0, len(pairs), BATCH_ROWS):
+            u, w = np.divmod(pairs[i:i + BATCH_ROWS], k)
+            yield pa.RecordBatch.from_arrays(
+                [values.take(pa.array(u)), values.take(pa.array(w)), pa.array(counts[i:i + BATCH_ROWS])],
+                names=["ctx", "next", "count"])
+    return _by_parts(count, size)
+
+
+def _distinct():
+    """The distinct tokens of each part."""
+    def count(tokens, lengths):
+        import pyarrow as pa
+        yield pa.RecordBatch.from_arrays([tokens.unique()], names=["t"])
+    return _by_parts(count)
+
+
 def ngram_counts(tokens: DataFrame, n: int, col: str = "tokens") -> DataFrame:
-    """(ctx, next, count). From three tokens on they are grouped as one string, which shuffles in
-    fewer bytes than an array or several columns; the context is put together after counting."""
+    """(ctx, next, count). Pairs of strings are counted a part of a task at a time before they are
+    grouped. From three tokens on they are grouped as one string, which shuffles in fewer bytes than an
+    array or several columns; the context is put together after counting."""
     count = F.count(F.lit(1)).alias("count")
-    if n < 3 or tokens.schema[col].dataType.elementType.simpleString() != "string":
+    if n < 2 or not _strings(tokens, col):
         return ngrams(tokens, n, col).groupBy("ctx", "next").agg(count)
+    if n == 2:
+        bounded_batches(tokens.sparkSession)
+        parts = tokens.where(F.size(col) >= n).select(col).mapInArrow(
+            _pair_counts(), "ctx string, next string, count long")
+        # few pairs of a task's parts are equal: they are shuffled as they are, not hashed before it too
+        return parts.repartition("ctx", "next").groupBy("ctx", "next").agg(F.sum("count").alias("count"))
     counts = _spread(tokens, n, col).groupBy(_packed(n).alias("__gram")).agg(count)
     parts = _unpacked(F.col("__gram"), n)
     return counts.select(F.array(*parts[:-1]).alias("ctx"), parts[-1].alias("next"), "count")
 
 
+class NgramTables(NamedTuple):
+    """A model of n > 1 tokens before its tables are joined."""
+
+    counts: DataFrame  # (ctx, next, count), written once
+    totals: DataFrame  # (ctx, ctx_count)
+
+
+def _smoothed(k: float, vocab_size: int) -> Column:
+    return F.log((F.col("count") + k) / (F.col("ctx_count") + k * vocab_size))
+
+
 def fit_ngram(train_tokens: DataFrame, n: int, vocab_size: int, k: float = 1.0,
-              col: str = "tokens") -> DataFrame:
+              col: str = "tokens", joined: bool = True) -> DataFrame | NgramTables:
     """Add-k smoothed P(next | ctx) for seen n-grams, plus the context totals.
 
     Returns (ctx, next, count, ctx_count, logp), written once as a table; unseen (ctx, next) use
     ``log(k / (ctx_count + k V))`` and unseen contexts ``log(1 / V)``. The corpus is counted once:
-    context totals come from the count table, for n = 1 they are one number.
+    context totals come from the count table, for n = 1 they are one number. Without ``joined``
+    (n > 1) counts and totals stay two tables: :func:`score_ngram` joins both to the n-grams it scores,
+    so the count table is shuffled and sorted once, not once a join.
     """
     counts = materialize(ngram_counts(train_tokens, n, col), "ngram_counts")
     if n == 1:
@@ -88,28 +174,35 @@ def fit_ngram(train_tokens: DataFrame, n: int, vocab_size: int, k: float = 1.0,
         model = counts.withColumn("ctx_count", F.lit(total).cast("long"))
     else:
         totals = counts.groupBy("ctx").agg(F.sum("count").alias("ctx_count"))
+        if not joined:
+            return NgramTables(counts, totals)
         model = materialize(counts.join(totals, "ctx"), "ngram_model")
-    return model.withColumn(
-        "logp", F.log((F.col("count") + k) / (F.col("ctx_count") + k * vocab_size)))
+    return model.withColumn("logp", _smoothed(k, vocab_size))
 
 
-def score_ngram(model: DataFrame, eval_tokens: DataFrame, n: int, vocab_size: int,
+def score_ngram(model: DataFrame | NgramTables, eval_tokens: DataFrame, n: int, vocab_size: int,
                 k: float = 1.0, col: str = "tokens", by: Sequence[str] = ()) -> DataFrame:
     """Cross-entropy and perplexity of ``eval_tokens`` under ``model`` (overall or per ``by``).
 
     For n = 1 there is one context, so the join is on the token alone and its total is a number.
     """
-    ev = ngrams(eval_tokens, n, col, keep=by)
     if n == 1:
         row = model.select("ctx_count").first()  # equal in all rows
-        ev = ev.groupBy(*by, "next").agg(F.count(F.lit(1)).alias("m"))
+        ev = ngrams(eval_tokens, n, col, keep=by).groupBy(*by, "next").agg(F.count(F.lit(1)).alias("m"))
         j = ev.join(model.select("next", "logp"), "next", "left").withColumn(
             "ctx_count", F.lit(row[0] if row else None).cast("long"))
     else:
-        ev = ev.groupBy(*by, "ctx", "next").agg(F.count(F.lit(1)).alias("m"))
-        totals = model.groupBy("ctx").agg(F.max("ctx_count").alias("ctx_count"))
-        j = ev.join(model.select("ctx", "next", "logp"), ["ctx", "next"], "left").join(
-            totals, "ctx", "left")
+        if by:
+            ev = ngrams(eval_tokens, n, col, keep=by).groupBy(*by, "ctx", "next").agg(F.count(F.lit(1)).alias("m"))
+        else:
+            ev = ngram_counts(eval_tokens, n, col).withColumnRenamed("count", "m")
+        if isinstance(model, NgramTables):
+            j = ev.join(model.counts, ["ctx", "next"], "left").join(
+                model.totals, "ctx", "left").withColumn("logp", _smoothed(k, vocab_size))
+        else:
+            totals = model.groupBy("ctx").agg(F.max("ctx_count").alias("ctx_count"))
+            j = ev.join(model.select("ctx", "next", "logp"), ["ctx", "next"], "left").join(
+                totals, "ctx", "left")
     unseen = F.when(F.col("ctx_count").isNull(), F.lit(-1.0) * F.log(F.lit(float(vocab_size)))) \
         .otherwise(F.log(F.lit(float(k)) / (F.col("ctx_count") + k * vocab_size)))
     lp = F.coalesce(F.col("logp"), unseen)
@@ -142,5 +235,8 @@ def next_token_candidates(prompts: DataFrame, model: DataFrame, key: str, col: s
 
 def vocab_size(tokens: DataFrame, col: str = "tokens") -> int:
     """Distinct token count (one scalar)."""
-    return tokens.select(F.explode(col).alias("t")).distinct().count()
+    if not _strings(tokens, col):
+        return tokens.select(F.explode(col).alias("t")).distinct().count()
+    bounded_batches(tokens.sparkSession)
+    return tokens.select(col).mapInArrow(_distinct(), "t string").distinct().count()
 

@@ -42,7 +42,7 @@ def split_tokens(spark: SparkSession, sf: str, with_vocab: bool = True
 
 def _scored(spark: SparkSession, sf: str, n: int, by=()) -> DataFrame:
     toks, V = split_tokens(spark, sf)
-    model = N.fit_ngram(toks.where(F.col("split") == "train"), n, V, k=1.0)
+    model = N.fit_ngram(toks.where(F.col("split") == "train"), n, V, k=1.0, joined=n == 1)
     return N.score_ngram(model, toks.where(F.col("split") == "validation"), n, V, k=1.0, by=by)
 
 
