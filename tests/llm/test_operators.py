@@ -320,6 +320,43 @@ def test_groups_are_learnt_from_every_training_text(spark, monkeypatch):
     assert seen[0].sum() == docs.where("pmod(crc32(cast(doc_id as string)), 7) <> 2").count()
 
 
+def _block_of(texts):
+    import pyarrow as pa
+    rec = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), pa.array([i % 3 == 0 for i in range(len(texts))]),
+         pa.array([i % 3 != 0 for i in range(len(texts))]), pa.array(texts)], names=["id", "held", "train", "__text"])
+    return next(lm_scoring.X.blocks([rec], "__text", lm_scoring.BLOCK))
+
+
+def test_a_block_is_cut_in_parts_of_bounded_memory():
+    import tracemalloc
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(3000)]
+    block = _block_of([" ".join(rng.choice(words, 1000)) for _ in range(1300)])
+    peaks = []
+    for run in (lambda: lm_scoring.byte_profiles(*block[1:]),
+                lambda: lm_scoring._one_block(*block, np.eye(4, 256), 1)):
+        run()
+        tracemalloc.start()
+        run()
+        peaks.append(tracemalloc.get_traced_memory()[1] / len(block[1]))
+        tracemalloc.stop()
+    assert max(peaks) < 10, peaks  # bytes for a byte of text; 16.3 before
+
+
+def test_parts_of_a_block_make_no_difference(monkeypatch):
+    texts = ["the cat  sat\n", "", None, "x" * 200 + " the cat", "\u6f22\u5b57 the", " ", "the cat sat " * 30, ""]
+    block = _block_of(texts)
+    raw = [(t or "").encode() for t in texts]
+    share = [[t.count(bytes([b])) / max(len(t), 1) for b in range(256)] for t in raw]
+    centres, got = np.eye(4, 256, 97), []
+    for part in (1 << 20, 64, 1):
+        monkeypatch.setattr(lm_scoring, "PART", part)
+        assert np.array_equal(lm_scoring.byte_profiles(*block[1:]), np.sqrt(share))
+        got.append(lm_scoring._one_block(*block, centres, 1).to_pydict())
+    assert got[0] == got[1] == got[2]
+
+
 def test_unlikely_runs_and_large_counts(spark):
     rows = [(i, "the cat sat on the mat and the dog ran off to the old barn " * 3) for i in range(300)]
     odd = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 7 == 2)

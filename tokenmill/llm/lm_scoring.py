@@ -44,6 +44,7 @@ ORDERS = (1, 2, 3, 4, 6)
 TABLE_BITS = 18
 MAX_PIECE = 64
 BLOCK = 8 << 20
+PART = 1 << 20  # bytes of a block that are cut and numbered at a time (one text may have more)
 SLICE = 1 << 18  # pieces of documents that are summed at a time (one document may have more)
 LANES = 20_000
 GATES = 8 * (len(ORDERS) + 1)
@@ -112,10 +113,16 @@ _AFTER[[0, 0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = np.arange(7)
 
 def byte_profiles(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """[rows, 256] square roots of the byte shares of each text."""
-    n, size = len(off) - 1, np.diff(off)
-    row = np.repeat(np.arange(n), size)
-    h = np.bincount(row * 256 + data, minlength=n * 256).reshape(n, 256)
-    return np.sqrt(h / np.maximum(size, 1)[:, None])
+    size = np.diff(off)
+    share = np.zeros((len(size), 256))
+    for lo in range(0, len(data), PART):  # a row may go over several parts
+        hi = min(lo + PART, len(data))
+        first, last = np.searchsorted(off, lo, side="right") - 1, np.searchsorted(off, hi)
+        row = np.repeat(np.arange(last - first), np.diff(np.clip(off[first:last + 1], lo, hi)))
+        share[first:last] += np.bincount(row * 256 + data[lo:hi], minlength=(last - first) * 256
+                                         ).reshape(-1, 256)
+    share /= np.maximum(size, 1)[:, None]
+    return np.sqrt(share, out=share)
 
 
 def _means(profiles: np.ndarray, mass: np.ndarray, k: int, rng, rounds: int = 15):
@@ -168,10 +175,10 @@ def _block_rows(centres: np.ndarray):
     return run
 
 
-def _one_block(rec, data, off, centres, number: int) -> pa.RecordBatch:
-    group = ((centres ** 2).sum(axis=1) - 2 * (byte_profiles(data, off) @ centres.T)).argmin(axis=1)
-    held = np.array(rec.column(1).to_pylist(), bool)
-    train = np.array(rec.column(2).to_pylist(), bool)
+def _one_part(data: np.ndarray, off: np.ndarray, group: np.ndarray, train: np.ndarray, base: int):
+    """(buffer, keys of the distinct pieces, their (start from ``base``, end, kind, before, word hash),
+    their training counts, number of each piece among them, words and pieces of each text)."""
+    n = len(off) - 1
     buf, row, s, e, kind, word = split_pieces(data, off)
     before = (group[row] << 4).astype(np.uint8) | _AFTER[buf[s - 1]]
     key = X.mix64(X.hash_spans(buf, s, e, fold=False) + before)
@@ -181,24 +188,51 @@ def _one_block(rec, data, off, centres, number: int) -> pa.RecordBatch:
     ranked = key[order]
     fresh = np.r_[True, ranked[1:] != ranked[:-1]]
     at = order[fresh]  # any place of an entry
-    idx = np.empty(len(key), np.int64)
+    idx = np.empty(len(key), np.int32)
     idx[order] = np.cumsum(fresh) - 1
-    text = buf.tobytes()
-    entries = [bytes([kd, pre]) + text[a:b] + (w.tobytes() if kd == 2 else b"")
-               for kd, pre, a, b, w in zip(kind[at].tolist(), before[at].tolist(), s[at].tolist(),
-                                           e[at].tolist(), word[at])]
-    n = rec.num_rows
+    return (buf.tobytes(), ranked[fresh], (s[at] + base, e[at] + base, kind[at], before[at], word[at]),
+            np.bincount(idx, weights=train[row], minlength=len(at)), idx,
+            np.bincount(row, weights=word > 0, minlength=n).astype(np.int64), np.bincount(row, minlength=n))
+
+
+def _one_block(rec, data, off, centres, number: int) -> pa.RecordBatch:
+    group = ((centres ** 2).sum(axis=1) - 2 * (byte_profiles(data, off) @ centres.T)).argmin(axis=1)
+    held = np.array(rec.column(1).to_pylist(), bool)
+    train = np.array(rec.column(2).to_pylist(), bool)
+    n, base, lo, parts = rec.num_rows, 0, 0, []
+    while lo < n:  # a few texts at a time: only the distinct pieces' spans are kept, and the numbers
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + PART, side="right")) - 1)
+        parts.append(_one_part(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], group[lo:hi], train[lo:hi], base))
+        base += len(parts[-1][0])
+        lo = hi
+    texts, keys, spans, counts, numbers, words, pieces = zip(*parts)
+    key = np.concatenate(keys)
+    order = np.argsort(key)
+    ranked = key[order]
+    fresh = np.r_[True, ranked[1:] != ranked[:-1]]
+    at = order[fresh]  # any part that has the entry
+    place = np.empty(len(key), np.int32)
+    place[order] = np.cumsum(fresh) - 1
+    first = np.cumsum([0, *map(len, keys)])
+    idx = np.concatenate([place[i:][k] for i, k in zip(first, numbers)])
+    text = b"".join(texts)
+    del parts, texts, keys, numbers
+    span = [np.concatenate(x)[at] for x in zip(*spans)]
+    entries = pa.concat_arrays([pa.array(
+        [bytes([kd, pre]) + text[a:b] + (w.tobytes() if kd == 2 else b"") for a, b, kd, pre, w in zip(
+            *(x[lo:lo + LANES].tolist() for x in span[:4]), span[4][lo:lo + LANES])], pa.binary())
+        for lo in range(0, max(len(at), 1), LANES)])
     return pa.RecordBatch.from_arrays([
         pa.array([number], pa.int64()),
         pa.array([rec.column(0).to_pylist()], pa.list_(rec.column(0).type)),
         pa.array([held.tolist()], pa.list_(pa.bool_())),
         X.list_array(off[1:] - off[:-1], [n], pa.int64()),
         pa.array([int(train.sum())], pa.int64()),
-        X.list_array(np.bincount(row, weights=word > 0, minlength=n).astype(np.int64), [n], pa.int64()),
-        X.list_array(np.bincount(row, minlength=n), [n], pa.int64()),
-        pa.array([_packed(idx.astype(np.int32))], pa.binary()),
-        pa.array([entries], pa.list_(pa.binary())),
-        X.list_array(np.bincount(idx, weights=train[row], minlength=len(at)).astype(np.int64),
+        X.list_array(np.concatenate(words), [n], pa.int64()),
+        X.list_array(np.concatenate(pieces), [n], pa.int64()),
+        pa.array([_packed(idx)], pa.binary()),
+        pa.ListArray.from_arrays(pa.array([0, len(entries)], pa.int32()), entries),
+        X.list_array(np.bincount(place, weights=np.concatenate(counts), minlength=len(at)).astype(np.int64),
                      [len(at)], pa.int64()),
     ], names=["block", "ids", "held", "n_bytes", "train_docs", "words", "pieces", "idx", "entries",
               "n_train"])
