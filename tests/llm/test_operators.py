@@ -669,3 +669,51 @@ def test_benchmark_rows_with_shared_or_null_ids(spark):
             # the second document matches 25 tokens: 9 of the mask and 16 to either side where there are any
             assert {(1, key, 9)} < got and {g[:2] for g in got} == {(1, key), (2, key)}
             assert left == 0
+
+
+def test_a_long_benchmark_item_is_broadcast_once_not_with_each_of_its_seeds(spark):
+    item = [f"w{i}" for i in range(2000)]
+    docs = spark.createDataFrame([(1, " ".join(item[700:760])), (2, "nothing of it"), (2, " ".join(item[:9]))],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    found = contamination.find_overlaps(docs, bench)
+    assert [(r["id"], r["matched"]) for r in found.collect()] == [(1, 41)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    compared = [x for x in plan.splitlines() if "zip_with" in x.replace("zipwith", "zip_with")]
+    assert compared and not any(re.search(r"\bth#", x) for x in compared)  # no hit takes a whole text along
+
+
+@pytest.mark.parametrize("part", [1, 7, 40])
+def test_texts_in_parts_have_the_overlaps_of_whole_texts(spark, monkeypatch, part):
+    rnd = random.Random(9)
+    items = [(k, " ".join(f"t{rnd.randrange(300)}" for _ in range(n))) for k, n in enumerate([2, 5, 8, 9, 20, 45, 70])]
+    texts = [(d, " ".join(" ".join([*[f"t{rnd.randrange(300)}" for _ in range(rnd.randrange(30))],
+                                    *rnd.choice(items)[1].split()[rnd.randrange(3):]]) for _ in range(5))) for d in range(40)]
+    docs, bench = (spark.createDataFrame([*texts, (None, items[5][1]), (7, None), (8, "")], "doc_id long, text string"),
+                   spark.createDataFrame(items, "item_id long, text string"))
+    want = sorted(map(str, contamination.find_overlaps(docs, bench).collect()))
+    assert len(want) > 60
+    monkeypatch.setattr(contamination, "PART", part)
+    for limit in (contamination.MAX_BROADCAST_BYTES, 0):
+        monkeypatch.setattr(contamination, "MAX_BROADCAST_BYTES", limit)
+        assert sorted(map(str, contamination.find_overlaps(docs, bench).collect())) == want
+
+
+@pytest.mark.parametrize("bits", [1 << 12, 1 << 20])
+def test_shuffled_seeds_pass_a_bit_table_without_loss(spark, monkeypatch, bits):
+    rnd = random.Random(8)
+    items = [(k, " ".join(f"t{rnd.randrange(5000)}" for _ in range(rnd.choice([3, 8, 9, 30, 60])))) for k in range(60)]
+    texts = [(d, " ".join([f"t{rnd.randrange(5000)}" for _ in range(50)] + [items[d % 60][1]] * (d % 3)))
+             for d in range(120)]
+    docs, bench = (spark.createDataFrame(texts, "doc_id long, text string"),
+                   spark.createDataFrame(items, "item_id long, text string"))
+    want = sorted(map(tuple, contamination.find_overlaps(docs, bench).collect()))
+    monkeypatch.setattr(contamination, "MAX_BROADCAST_BYTES", 0)
+    monkeypatch.setattr(contamination, "MAX_MARK_BITS", bits)
+    assert len(want) >= 80 and sorted(map(tuple, contamination.find_overlaps(docs, bench).collect())) == want
+    seeds = contamination._seeds(contamination._token_hashes(bench, "text"), []).select("seed")
+    other = spark.range(5000).select(F.xxhash64("id").alias("seed"))
+    kept = contamination._marked(other.unionByName(seeds), seeds, 200_000)
+    assert kept.join(seeds.distinct(), "seed").count() == seeds.count()
+    assert kept.count() < seeds.count() + (5000 if bits == 1 << 12 else 50)
