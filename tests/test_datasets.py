@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tokenmill.operators import ordering as O
 from tokenmill.operators import preference as P
 from tokenmill.plans import datasets as D
+from tokenmill.plans.pretrain import lm_dataset
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,6 +23,26 @@ def test_pretraining_examples(spark):
     assert set(per_batch.values()) == {4}  # drop_last on train
 
 
+def test_pretraining_batches_are_planned_without_token_arrays(spark, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(150))
+    docs = spark.createDataFrame([(d, text[d:], "validation" if d == 3 else "train") for d in range(5)],
+                                 "doc_id long, text string, split string")
+    want = []
+    for s in ("train", "validation"):
+        w = lm_dataset(docs.where(F.col("split") == s), 8, 3)
+        want += D._batches(w, s, "window_id", 4, 0, 0, True).withColumn("split", F.lit(s)).collect()
+    ranked, assign = [], O.assign_batches
+
+    def spy(df, *args, **kw):
+        ranked.append(df.columns)
+        return assign(df, *args, **kw)
+
+    monkeypatch.setattr(O, "assign_batches", spy)
+    got = D.pretraining_examples(docs, max_length=8, stride=3, batch_size=4)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want)) and len(want) > 200
+    assert len(ranked) == 3 and not any("input_ids" in c or "target_ids" in c for c in ranked)
+
+
 def test_sft_dataset_static_and_dynamic(spark):
     turns = spark.read.parquet(f"{SF}/conversations.parquet")
     st = D.sft_dataset(turns, max_length=128, batch_size=3, val_fraction=0.1,

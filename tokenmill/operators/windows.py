@@ -139,9 +139,10 @@ def _block_pieces(chunks: DataFrame, max_length: int, block: int, last_start: Co
 
 
 def _block_windows(pieces: DataFrame, group: Sequence[str], max_length: int, stride: int,
-                   block: int) -> DataFrame:
+                   block: int, plan: DataFrame | None = None) -> DataFrame:
     """Reassemble each block (one shuffle on the block key) and cut its windows:
-    input = [s, s+L), target = [s+1, s+L+1) for every start s = w*S in the block."""
+    input = [s, s+L), target = [s+1, s+L+1) for every start s = w*S in the block. ``plan``
+    (see :func:`sliding_windows`; no ``group``): only its windows, with its columns."""
     L, S, B = max_length, stride, block
     fields, whole = ["piece"], F.col("__p.piece")
     if _strings(pieces):
@@ -152,8 +153,17 @@ def _block_windows(pieces: DataFrame, group: Sequence[str], max_length: int, str
     g = pieces.groupBy(*group, "block").agg(
         F.sort_array(F.collect_list(F.struct("start", *fields))).alias("__p"),
         F.max("__last").alias("__last"))
-    g = g.select(*group, "block", "__last", F.flatten(whole).alias("__arr"))
     b = F.col("block")
+    if plan is not None:  # one short array a block: the windows themselves are not moved again
+        mine = plan.groupBy(F.floor(F.col("window_id") * S / B).alias("block")).agg(
+            F.collect_list(F.struct("window_id", *[c for c in plan.columns if c != "window_id"])).alias("__w"))
+        g = g.join(mine, "block").select("block", "__w", F.flatten(whole).alias("__arr"))
+        rel = lambda w: (w["window_id"] * S - b * B + 1).cast("int")
+        return g.select(F.explode(F.transform("__w", lambda w: F.struct(
+            w["window_id"].alias("window_id"), F.slice("__arr", rel(w), L).alias("input_ids"),
+            F.slice("__arr", rel(w) + 1, L).alias("target_ids"),
+            *[w[c].alias(c) for c in plan.columns if c != "window_id"]))).alias("__w")).select("__w.*")
+    g = g.select(*group, "block", "__last", F.flatten(whole).alias("__arr"))
     w_lo = F.floor((b * B + S - 1) / S).cast("long")
     w_hi = F.least(F.floor(((b + 1) * B - 1) / S), F.floor(F.col("__last") / S)).cast("long")
 
@@ -171,13 +181,15 @@ def _block_windows(pieces: DataFrame, group: Sequence[str], max_length: int, str
 
 def sliding_windows(offsets: DataFrame, max_length: int, stride: int,
                     n_tokens: int | None = None, lineage_key: str | None = None,
-                    block: int = DEFAULT_BLOCK) -> DataFrame:
+                    block: int = DEFAULT_BLOCK, plan: DataFrame | None = None) -> DataFrame:
     """Windows over the global stream (they cross document boundaries).
 
     ``offsets`` is the output of :func:`stream_offsets`. Starts are ``range(0, N-L, S)``
     (S < L overlaps, S == L tiles, S > L leaves gaps); with ``lineage_key`` (D6) every
     window also lists the documents it touches, in stream order (see :func:`window_documents`).
-    Output: (window_id, input_ids, target_ids[, doc_ids, n_docs]).
+    ``plan``, a table with one row for each ``window_id`` wanted, adds its columns to the windows; it
+    travels to the blocks, so token arrays are not shuffled or ranked for it.
+    Output: (window_id, input_ids, target_ids[, columns of the plan][, doc_ids, n_docs]).
     """
     _check(max_length, stride)
     if n_tokens is None:
@@ -185,7 +197,7 @@ def sliding_windows(offsets: DataFrame, max_length: int, stride: int,
     W = window_count_value(n_tokens, max_length, stride)
     last = F.lit((W - 1) * stride).cast("long")
     pieces = _block_pieces(offsets, max_length, block, last)
-    out = _block_windows(pieces, [], max_length, stride, block)
+    out = _block_windows(pieces, [], max_length, stride, block, plan)
     if lineage_key:
         listed = F.sort_array(F.collect_list(F.struct("window_pos", lineage_key)))
         docs = window_documents(offsets, lineage_key, max_length, stride, n_tokens).groupBy(

@@ -17,7 +17,7 @@ from tokenmill.operators import preference as P
 from tokenmill.operators import windows as win
 from tokenmill.operators.segment import segment_lines, segment_tokens
 from tokenmill.plans.prefix import materialize
-from tokenmill.plans.pretrain import lm_dataset
+from tokenmill.plans.pretrain import doc_tokens
 
 
 def _batches(df: DataFrame, split: str, key: str, batch_size: int, seed: int, epoch: int,
@@ -50,17 +50,20 @@ def pretraining_examples(docs: DataFrame, max_length: int = 256, stride: int = 1
     """§3.1: per named split: (segment the line corpus at its headings) -> encode -> EOS -> stream
     offsets -> windows (input, target); train shuffled with the last partial batch dropped,
     other splits in order. ``headings`` says that the rows are lines of a corpus, not documents;
-    segments are then cut into windows without building document strings."""
+    segments are then cut into windows without building document strings. Batches are planned on the
+    window ids, which follow from the stream's length, and go to the stream blocks that the windows are cut from."""
     out = None
     for s in splits:
         rows = docs.where(F.col(split_col) == s)
         if headings:
             toks = segment_tokens(segment_lines(rows, key), key)
-            offs, n = win.stream_offsets(toks, ["seg_id", key, "line_no"], with_total=True)
-            w = win.sliding_windows(offs, max_length, stride, n_tokens=n)
+            order = ["seg_id", key, "line_no"]
         else:
-            w = lm_dataset(rows, max_length, stride, kind=kind, key=key)
-        b = _batches(w, s, "window_id", batch_size, seed, epoch, drop_last_train=True)
+            toks, order = doc_tokens(rows, kind, key=key), [key]
+        offs, n = win.stream_offsets(toks, order, with_total=True)
+        ids = docs.sparkSession.range(win.window_count_value(n, max_length, stride)).toDF("window_id")
+        plan = _batches(ids, s, "window_id", batch_size, seed, epoch, drop_last_train=True)
+        b = win.sliding_windows(offs, max_length, stride, n_tokens=n, plan=plan)
         b = b.withColumn(split_col, F.lit(s))
         out = b if out is None else out.unionByName(b)
     return out
